@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelens.config import ModelParams
-from cinelens.operators import features, prepare, profiling, validate
+from cinelens.operators import evaluate, features, prepare, profiling, validate
 from cinelens.plans import model as model_mod
-from cinelens.plans.oracle_sql import PREP, SCORES, TFIDF, recommend_sql, with_stages
+from cinelens.plans.oracle_sql import EVAL, PREP, SCORES, TFIDF, recommend_sql, with_stages
 from cinelens.sources import testdata
 
 
@@ -84,6 +84,16 @@ class Stages:
     def users(self) -> DataFrame:
         return self.raw[1].select("userId").distinct()
 
+    @property
+    def evaluation(self):
+        """(result, lists) of the leave-one-out run with default settings."""
+
+        def build():
+            m = self.model(None)
+            return evaluate.evaluate_leave_one_out(m.items, m.ratings, m.dims)
+
+        return self._get("eval", build)
+
     @property
     def recommendations(self) -> DataFrame:
         return self._get("recs", lambda: self.model().recommend(self.users, 10))
@@ -378,6 +388,59 @@ def _r5(s: Stages):
     return s.model(None).liked()
 
 
+# ----------------------------------------------------------- evaluation
+
+EVAL_SQL = with_stages(PREP, TFIDF, EVAL)
+
+
+@query("e1_eligible", PREP_SQL + """
+SELECT userId, count(*) AS n_liked FROM ratings_prep WHERE rating >= 4.0 GROUP BY userId HAVING count(*) >= 5
+""")
+def _e1(s: Stages):
+    return evaluate.eligible_users(s.ratings_prep)
+
+
+@query("e2_sample", EVAL_SQL + "\nSELECT userId FROM sampled")
+def _e2(s: Stages):
+    return evaluate.sample_users(evaluate.eligible_users(s.ratings_prep))
+
+
+@query("e3_holdout", EVAL_SQL + "\nSELECT userId, held_movieId, held_rating, held_epoch FROM held")
+def _e3(s: Stages):
+    users = evaluate.sample_users(evaluate.eligible_users(s.ratings_prep))
+    return evaluate.holdout(evaluate.liked_rows(s.ratings_prep, users, 4.0, 42))
+
+
+@query("e5_eval_lists", EVAL_SQL + """
+SELECT e.userId, CAST(e.rank AS BIGINT) AS rank, e.movieId, round(e.similarity, 6) AS similarity, h.held_movieId
+FROM elists e JOIN held h ON h.userId = e.userId
+""")
+def _e5(s: Stages):
+    return s.evaluation[1]
+
+
+@query("e6_hitrate", EVAL_SQL + """
+SELECT round(hit_rate_at_k, 6) AS hit_rate_at_k, round(hit_rate_at_k_unmasked, 6) AS hit_rate_at_k_unmasked, n_users
+FROM eval_result
+""")
+def _e6(s: Stages):
+    return s.evaluation[0].select("hit_rate_at_k", "hit_rate_at_k_unmasked", "n_users")
+
+
+@query("e7_coverage", EVAL_SQL + "\nSELECT round(coverage_at_k, 6) AS coverage_at_k, k FROM eval_result")
+def _e7(s: Stages):
+    return s.evaluation[0].select("coverage_at_k", "k")
+
+
+@query("e8_result", EVAL_SQL + """
+SELECT round(hit_rate_at_k, 6) AS hit_rate_at_k, n_users, k, round(coverage_at_k, 6) AS coverage_at_k,
+       users_evaluated, round(hit_rate_at_k_unmasked, 6) AS hit_rate_at_k_unmasked
+FROM eval_result
+""")
+def _e8(s: Stages):
+    return s.evaluation[0]
+
+
 # ------------------------------------------------------------ profiling
 
 

@@ -166,3 +166,82 @@ FROM recs r LEFT JOIN {meta} f ON f.movieId = r.movieId
 
 def with_stages(*stages: str) -> str:
     return "WITH " + ",\n".join(s.strip().rstrip(",") for s in (VIEWS_SQL, *stages))
+
+
+# Leave-one-out evaluation E1-E8 (seed 42, threshold 4.0, min 5 liked,
+# 300 users, k 10), exact sparse scoring.
+EVAL = r"""
+elig AS (SELECT userId, count(*) AS n_liked FROM ratings_prep WHERE rating >= 4.0 GROUP BY userId HAVING count(*) >= 5),
+sampled AS (SELECT userId FROM elig ORDER BY md5('42:' || CAST(userId AS VARCHAR)), userId LIMIT 300),
+lrows AS (
+  SELECT userId, movieId, rating, CAST(epoch(timestamp) AS BIGINT) AS ep, count(*) AS copies
+  FROM ratings_prep WHERE rating >= 4.0 AND userId IN (SELECT userId FROM sampled)
+  GROUP BY userId, movieId, rating, ep),
+lrows_h AS (
+  SELECT *, md5('42:' || CAST(userId AS VARCHAR) || ':' || CAST(movieId AS VARCHAR) || ':' || CAST(ep AS VARCHAR)
+                || ':' || printf('%.6f', rating)) AS h
+  FROM lrows),
+held AS (
+  SELECT userId, movieId AS held_movieId, rating AS held_rating, ep AS held_epoch FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId ORDER BY h) AS rn FROM lrows_h) WHERE rn = 1),
+last_r AS (
+  SELECT userId, movieId, rating AS last_rating FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId, movieId ORDER BY ep DESC, rating DESC) AS rn FROM lrows)
+  WHERE rn = 1),
+remaining AS (
+  SELECT l.userId, l.movieId,
+         sum(l.copies - CASE WHEN l.movieId = h.held_movieId AND l.rating = h.held_rating AND l.ep = h.held_epoch
+                             THEN 1 ELSE 0 END) AS n
+  FROM lrows l JOIN held h ON h.userId = l.userId GROUP BY l.userId, l.movieId),
+train AS (
+  SELECT r.userId, r.movieId, r.n * lr.last_rating AS w
+  FROM remaining r JOIN last_r lr ON lr.userId = r.userId AND lr.movieId = r.movieId
+  WHERE r.n > 0 AND r.movieId IN (SELECT movieId FROM featurized)),
+twsum AS (SELECT userId, sum(w) AS ws FROM train GROUP BY userId),
+tprof AS (
+  SELECT t.userId, wt.term, sum(t.w * wt.weight) / max(s.ws) AS pw
+  FROM train t JOIN weights wt ON t.movieId = wt.movieId JOIN twsum s ON s.userId = t.userId
+  GROUP BY t.userId, wt.term),
+tnorm AS (SELECT userId, sqrt(sum(pw * pw)) AS pn FROM tprof GROUP BY userId),
+tdots AS (
+  SELECT p.userId, w.movieId, sum(p.pw * w.weight) AS dot
+  FROM tprof p JOIN weights w ON p.term = w.term GROUP BY p.userId, w.movieId),
+tscores AS (
+  SELECT u.userId, i.movieId,
+         CASE WHEN coalesce(pn.pn, 0) > 0 AND i.inorm > 0
+              THEN coalesce(d.dot, 0.0) / (pn.pn * i.inorm) ELSE 0.0 END AS similarity
+  FROM twsum u CROSS JOIN item_norm i
+  LEFT JOIN tnorm pn ON pn.userId = u.userId
+  LEFT JOIN tdots d ON d.userId = u.userId AND d.movieId = i.movieId),
+eseen AS (SELECT DISTINCT userId, movieId FROM ratings_prep WHERE userId IN (SELECT userId FROM twsum)),
+elists AS (
+  SELECT * FROM (
+    SELECT s.userId, s.movieId, s.similarity,
+           row_number() OVER (PARTITION BY s.userId ORDER BY round(s.similarity, 9) DESC, s.movieId) AS rank
+    FROM tscores s
+    WHERE NOT EXISTS (SELECT 1 FROM eseen x WHERE x.userId = s.userId AND x.movieId = s.movieId))
+  WHERE rank <= 10),
+ulists AS (
+  SELECT * FROM (
+    SELECT s.userId, s.movieId,
+           row_number() OVER (PARTITION BY s.userId ORDER BY round(s.similarity, 9) DESC, s.movieId) AS rank
+    FROM tscores s JOIN held h ON h.userId = s.userId
+    WHERE s.movieId = h.held_movieId
+       OR NOT EXISTS (SELECT 1 FROM eseen x WHERE x.userId = s.userId AND x.movieId = s.movieId))
+  WHERE rank <= 10),
+eval_users AS (
+  SELECT u.userId,
+         CASE WHEN EXISTS (SELECT 1 FROM elists e JOIN held h ON h.userId = e.userId
+                           WHERE e.userId = u.userId AND e.movieId = h.held_movieId) THEN 1 ELSE 0 END AS hit,
+         CASE WHEN EXISTS (SELECT 1 FROM ulists e JOIN held h ON h.userId = e.userId
+                           WHERE e.userId = u.userId AND e.movieId = h.held_movieId) THEN 1 ELSE 0 END AS hit_u
+  FROM twsum u),
+eval_result AS (
+  SELECT CASE WHEN count(*) > 0 THEN sum(hit) / count(*) ELSE 0.0 END AS hit_rate_at_k,
+         count(*) AS n_users, CAST(10 AS BIGINT) AS k,
+         (SELECT CASE WHEN count(*) > 0 THEN count(DISTINCT movieId) / count(*) ELSE 0.0 END FROM elists)
+           AS coverage_at_k,
+         list_sort(list(userId)) AS users_evaluated,
+         CASE WHEN count(*) > 0 THEN sum(hit_u) / count(*) ELSE 0.0 END AS hit_rate_at_k_unmasked
+  FROM eval_users)
+"""
