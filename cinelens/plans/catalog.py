@@ -388,6 +388,44 @@ def _r5(s: Stages):
     return s.model(None).liked()
 
 
+@query("r8_service_recommend", SCORES_SQL + ",\n" + recommend_sql(meta="movies"))
+def _r8(s: Stages):
+    """R8 + R10: the service's answer for every user: the fitted model with
+    the raw catalogue as metadata (genres keep their pipes) and raw ratings
+    as seen sets (Q11)."""
+    movies, ratings, _ = s.raw
+    return s.model(None).recommend(s.users, 10, movies=movies, ratings=ratings)
+
+
+@query("r9_service_liked", with_stages() + """
+SELECT DISTINCT r.userId, m.movieId, m.title, m.genres
+FROM ratings r JOIN movies m ON m.movieId = r.movieId WHERE r.rating >= 4.0
+""")
+def _r9(s: Stages):
+    """R9 + R10: liked movies from raw ratings and the raw catalogue, so
+    merged-away and no-genre movies show up too (Q11)."""
+    movies, ratings, _ = s.raw
+    return s.model(None).liked(ratings=ratings, movies=movies)
+
+
+@query("s3_store_roundtrip")
+def _s3(s: Stages):
+    """S3 + S4: save the model to the shared checkpoint folder, load it
+    back and return recommendation rows that differ (expected: none)."""
+    import uuid
+
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources import store
+
+    m = s.model(None)
+    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    store.save_model(m, path)
+    loaded = store.load_model(s.spark, path, m.movies, m.ratings)
+    a = s.recommendations.select("userId", "rank", "movieId")
+    b = loaded.recommend(s.users, 10).select("userId", "rank", "movieId")
+    return a.exceptAll(b).unionByName(b.exceptAll(a))
+
+
 # ----------------------------------------------------------- evaluation
 
 EVAL_SQL = with_stages(PREP, TFIDF, EVAL)
