@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelens.config import EVAL_MAX_USERS, EVAL_MIN_LIKED, EVAL_SEED, RATING_THRESHOLD, TOP_K
-from cinelens.functions.vectors import vec_mean
+from cinelens.operators.profiles import weighted_profiles
 from cinelens.operators.scoring import top_n_unseen
 
 
@@ -115,13 +115,7 @@ def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame) -> DataFr
     weighted = remaining.join(last, ["userId", "movieId"]).join(items, "movieId", "inner").select(
         "userId", "vec", F.col("n").cast("double").alias("n"), (F.col("n") * F.col("last_rating")).alias("w")
     )
-    agg = weighted.groupBy("userId").agg(
-        vec_mean("vec", "w").alias("_wmean"), vec_mean("vec", "n").alias("_mean"), F.sum("w").alias("_wsum")
-    )
-    return agg.select(
-        "userId",
-        F.when(F.abs(F.col("_wsum")) <= F.lit(1e-8), F.col("_mean")).otherwise(F.col("_wmean")).alias("vec"),
-    )
+    return weighted_profiles(weighted, "w", "n")
 
 
 def evaluate_leave_one_out(

@@ -146,9 +146,12 @@ def _omega(term_col, width: int, seed: int):
 
 def _times_side(a: DataFrame, x: DataFrame, on: str, group: str) -> DataFrame:
     """``sum over `on` of weight * x[on]`` grouped by ``group``:
-    ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``."""
+    ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``.
+    The result is checkpointed: it is read twice (Gram, next product) and
+    its lineage holds every earlier iteration."""
     joined = a.join(x, on)
-    return joined.groupBy(group).agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
+    prod = joined.groupBy(group).agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
+    return prod.checkpoint(eager=True)
 
 
 def _orthonormalize(df: DataFrame, key: str, width: int, passes: int = 2) -> tuple[DataFrame, int]:
@@ -163,6 +166,15 @@ def _orthonormalize(df: DataFrame, key: str, width: int, passes: int = 2) -> tup
     return df, width
 
 
+def _normalized(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """One Gram pass and a lazy transform: the orthonormalized iterate is
+    not written, it feeds the next product directly."""
+    m = orthonormal_transform(gram(df, "vec", width))
+    if m.shape[1] == 0:
+        return df, 0
+    return apply_matrix(df, key, "vec", m), m.shape[1]
+
+
 def randomized_svd(
     weights: DataFrame,
     movies: DataFrame,
@@ -177,6 +189,10 @@ def randomized_svd(
     when the matrix rank is lower: Q17); ``term_basis`` rows are ``V_k`` and
     project a new TF-IDF row as ``sum(weight * basis[term])``. Raises when
     ``n_components`` exceeds the number of terms.
+
+    Per power iteration: two products with ``A`` (one join + grouped sum
+    each, checkpointed) and two Gram passes; the final basis gets a second
+    orthonormalization pass.
     """
     spark = weights.sparkSession
     ensure_checkpoint_dir(spark)
@@ -187,18 +203,19 @@ def randomized_svd(
         raise ValueError(f"n_components={k} is above the number of terms ({n_terms})")
     width = k + max(int(oversample), 0)
 
-    # Range finder: Y = A Omega, then power iterations Q <- orth(A orth(A^T Q)).
+    # Range finder: Y = A Omega, then Y <- A orth(A^T orth(Y)).
     y = a.groupBy("movieId").agg(
         vec_sum(F.transform(_omega(F.col("term"), width, seed), lambda v: v * F.col("weight"))).alias("vec")
-    )
-    q, width = _orthonormalize(y, "movieId", width)
+    ).checkpoint(eager=True)
     for _ in range(int(power_iters)):
+        q, width = _normalized(y, "movieId", width)
         if width == 0:
             break
-        z, width = _orthonormalize(_times_side(a, q, "movieId", "term"), "term", width)
+        z, width = _normalized(_times_side(a, q, "movieId", "term"), "term", width)
         if width == 0:
             break
-        q, width = _orthonormalize(_times_side(a, z, "term", "movieId"), "movieId", width)
+        y = _times_side(a, z, "term", "movieId")
+    q, width = _orthonormalize(y, "movieId", width) if width else (y, 0)
 
     if width == 0:  # all-zero matrix
         zeros = F.array_repeat(F.lit(0.0), k)
@@ -207,7 +224,7 @@ def randomized_svd(
         return items, basis, np.zeros(k)
 
     # B = Q^T A as per-term columns b(t); B B^T = U_B S^2 U_B^T.
-    b = _times_side(a, q, "movieId", "term").checkpoint(eager=True)
+    b = _times_side(a, q, "movieId", "term")
     evals, u_b = np.linalg.eigh(gram(b, "vec", width))
     order = np.argsort(evals)[::-1]
     evals, u_b = np.clip(evals[order], 0.0, None), u_b[:, order]

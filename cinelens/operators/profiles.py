@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.functions.vectors import vec_mean
+from cinelens.functions.vectors import vec_mean, vec_sum
 
 
 def liked(ratings: DataFrame, threshold: float) -> DataFrame:
@@ -13,21 +13,28 @@ def liked(ratings: DataFrame, threshold: float) -> DataFrame:
     return ratings.filter(F.col("rating") >= F.lit(float(threshold)))
 
 
-def weighted_profiles(rows: DataFrame, weight_col: str = "rating") -> DataFrame:
-    """Per user ``sum(w * v) / sum(w)``; plain mean when the weights
-    sum to zero (Q20). Input ``(userId, vec, <weight_col>)``.
+def weighted_profiles(rows: DataFrame, weight_col: str = "rating", count_col: str | None = None) -> DataFrame:
+    """Per user ``sum(w * v) / sum(w)``; the plain mean when the
+    weights sum to zero (Q20). Input ``(userId, vec, <weight_col>)``;
+    ``count_col`` (optional) gives each row's multiplicity for the mean.
 
-    One grouped JVM aggregate with a map-side step, so a user with a third
-    of all rows is combined before the shuffle.
+    Grouped JVM aggregates with a map-side step (Spark ML's Summarizer for
+    vector sums), so a user with a third of all rows is combined before
+    the shuffle.
     """
+    w = F.col(weight_col)
+    mean = vec_mean("vec", count_col) if count_col else vec_mean("vec")
     agg = rows.groupBy("userId").agg(
-        vec_mean("vec", weight_col).alias("_wmean"),
-        vec_mean("vec").alias("_mean"),
-        F.sum(weight_col).alias("_wsum"),
+        vec_sum(F.transform("vec", lambda x: x * w)).alias("_wvec"),
+        F.sum(w).alias("_wsum"),
+        mean.alias("_mean"),
     )
+    wsum = F.col("_wsum")
     return agg.select(
         "userId",
-        F.when(F.abs(F.col("_wsum")) <= F.lit(1e-8), F.col("_mean")).otherwise(F.col("_wmean")).alias("vec"),
+        F.when(F.abs(wsum) <= F.lit(1e-8), F.col("_mean"))
+        .otherwise(F.transform("_wvec", lambda x: x / wsum))
+        .alias("vec"),
     )
 
 
