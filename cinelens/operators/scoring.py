@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelens.session import ship_package
+from cinelens.session import ensure_checkpoint_dir, ship_package
 
 CANDIDATE_SCHEMA = "userId long, movieId long, similarity double"
 # Users scored per numpy product inside a task (bounds the score matrix).
@@ -113,13 +113,20 @@ def _kernel(n: int, dims: int):
     return run
 
 
-def grid_size(n_users: int, n_items: int, dims: int, budget_bytes: int, max_users: int, max_items: int):
-    """(item blocks, user salts) so a task holds at most ``budget_bytes``
-    of vectors on each side."""
+def grid_size(
+    n_users: int, n_items: int, dims: int, budget_bytes: int, max_users: int, max_items: int, min_tasks: int = 1
+):
+    """(item blocks, user salts): a task holds at most ``budget_bytes`` of
+    vectors on each side, and there are at least ``min_tasks`` tasks (the
+    cluster's parallelism) as long as there are users to split."""
     per_row = max(dims, 1) * 8
     items_per_block = max(1, min(max_items, budget_bytes // per_row))
     users_per_group = max(1, min(max_users, budget_bytes // per_row))
-    return max(1, math.ceil(n_items / items_per_block)), max(1, math.ceil(n_users / users_per_group))
+    blocks = max(1, math.ceil(n_items / items_per_block))
+    salts = max(1, math.ceil(n_users / users_per_group))
+    if blocks * salts < min_tasks:
+        salts = max(salts, min(max(n_users, 1), math.ceil(min_tasks / blocks)))
+    return blocks, salts
 
 
 def top_n_unseen(
@@ -137,12 +144,16 @@ def top_n_unseen(
 
     ``profiles(userId, vec)``, ``items(movieId, vec)``, ``seen(userId,
     movieId)`` (may be None). Returns ``(userId, movieId, similarity,
-    rank)`` with ranks 1..n (fewer when fewer unseen items exist).
+    rank)`` with ranks 1..n (fewer when fewer unseen items exist),
+    checkpointed (at most ``n`` rows per user).
     """
     ship_package(profiles.sparkSession)
     n_items = items.count()
     n_users = profiles.count()
-    blocks, salts = grid_size(n_users, n_items, dims, budget_bytes, users_per_group, items_per_block)
+    parallelism = profiles.sparkSession.sparkContext.defaultParallelism
+    blocks, salts = grid_size(
+        n_users, n_items, dims, budget_bytes, users_per_group, items_per_block, min_tasks=2 * parallelism
+    )
 
     block_of = lambda c: F.pmod(F.xxhash64(F.lit(seed), F.col(c)), F.lit(blocks)).cast("int")
     salt_of = lambda c: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(c)), F.lit(salts)).cast("int")
@@ -181,4 +192,8 @@ def top_n_unseen(
         .applyInPandas(_kernel(n, dims), CANDIDATE_SCHEMA)
     )
     w = Window.partitionBy("userId").orderBy(*rank_order())
-    return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    # Materialized once: callers read the lists several times (ranked rows,
+    # list lengths, hits), and the kernel is the costliest step to redo.
+    ensure_checkpoint_dir(profiles.sparkSession)
+    return top.checkpoint(eager=True)

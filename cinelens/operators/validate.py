@@ -71,45 +71,91 @@ def low_activity_users(ratings: DataFrame, floor: int = MIN_RATINGS_PER_USER) ->
     return per_user.agg(F.count_if(F.col("n") < F.lit(int(floor))).alias("n_low"))
 
 
-def _row(table: str, check: str, n_bad, fatal: bool, message) -> list:
-    return [
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        n_bad.cast("bigint").alias("n_bad"),
-        F.lit(fatal).alias("fatal"),
-        (message if not isinstance(message, str) else F.lit(message)).alias("message"),
-    ]
+def _unpivot(row: DataFrame, table: str, checks: list) -> DataFrame:
+    """One-row aggregate -> one report row per check, in the given order.
+    ``checks``: ``(name, n_bad column, fatal, message column)``."""
+    parts = ", ".join(
+        f"'{name}', CAST({n_bad} AS BIGINT), {str(fatal).lower()}, {msg}" for name, n_bad, fatal, msg in checks
+    )
+    return row.selectExpr(f"stack({len(checks)}, {parts}) as (check, n_bad, fatal, message)").select(
+        F.lit(table).alias("table"), "check", "n_bad", "fatal", "message"
+    )
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
 def _movie_checks(movies: DataFrame) -> list:
+    """Nulls, duplicate ids and duplicate titles in one scan."""
+    per_col = [F.count_if(F.col(c).isNull()) for c in movies.columns]
+    row = movies.agg(
+        reduce(lambda a, b: a + b, per_col).alias("n_nulls"),
+        (F.count(F.lit(1)) - F.countDistinct("movieId")).alias("dup_ids"),
+        (F.count(F.lit(1)) - F.countDistinct("title")).alias("dup_titles"),
+    )
     return [
-        null_count(movies).select(*_row("movies", "nulls", F.col("n_nulls"), True, MSG_NULL_MOVIES)),
-        duplicate_count(movies, "movieId").select(*_row("movies", "duplicate_ids", F.col("n_dup"), True, MSG_DUP_IDS)),
-        duplicate_count(movies, "title").select(
-            *_row("movies", "duplicate_titles", F.col("n_dup"), False, "duplicate titles (warning)")
-        ),
+        _unpivot(
+            row,
+            "movies",
+            [
+                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_MOVIES)),
+                ("duplicate_ids", "dup_ids", True, _sql_str(MSG_DUP_IDS)),
+                ("duplicate_titles", "dup_titles", False, _sql_str("duplicate titles (warning)")),
+            ],
+        )
     ]
 
 
 def _rating_checks(ratings: DataFrame, movies: DataFrame, floor: int, lo: float, hi: float) -> list:
-    out_of_range = F.when(F.coalesce(F.col("out_of_range"), F.lit(True)), 1).otherwise(0)
+    """Nulls and range in one scan; unknown movies (anti join) and user
+    activity (grouping) enter as scalar subqueries."""
+    per_col = [F.count_if(F.col(c).isNull()) for c in ratings.columns]
+    orphans = orphan_count(ratings, movies).scalar()
+    low = low_activity_users(ratings, floor).scalar()
+    row = ratings.agg(
+        reduce(lambda a, b: a + b, per_col).alias("n_nulls"),
+        F.min("rating").alias("mn"),
+        F.max("rating").alias("mx"),
+    ).select(
+        "n_nulls",
+        orphans.alias("orphans"),
+        F.when(F.coalesce((F.col("mn") < F.lit(lo)) | (F.col("mx") > F.lit(hi)), F.lit(True)), 1)
+        .otherwise(0)
+        .alias("bad_range"),
+        low.alias("n_low"),
+    )
     return [
-        null_count(ratings).select(*_row("ratings", "nulls", F.col("n_nulls"), True, MSG_NULL_RATINGS)),
-        orphan_count(ratings, movies).select(
-            *_row("ratings", "unknown_movies", F.col("n_orphans"), True, MSG_RATING_ORPHANS)
-        ),
-        rating_range(ratings, lo, hi).select(*_row("ratings", "rating_range", out_of_range, True, MSG_RANGE)),
-        low_activity_users(ratings, floor).select(
-            *_row("ratings", "user_activity", F.col("n_low"), True, MSG_ACTIVITY.format(n=int(floor)))
-        ),
+        _unpivot(
+            row,
+            "ratings",
+            [
+                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_RATINGS)),
+                ("unknown_movies", "orphans", True, _sql_str(MSG_RATING_ORPHANS)),
+                ("rating_range", "bad_range", True, _sql_str(MSG_RANGE)),
+                ("user_activity", "n_low", True, _sql_str(MSG_ACTIVITY.format(n=int(floor)))),
+            ],
+        )
     ]
 
 
 def _tag_checks(tags: DataFrame, movies: DataFrame) -> list:
-    message = F.format_string(MSG_TAG_ORPHANS.replace("{n}", "%d"), F.col("n_orphans"))
+    per_col = [F.count_if(F.col(c).isNull()) for c in tags.columns]
+    orphans = orphan_count(tags, movies).scalar()
+    row = tags.agg(reduce(lambda a, b: a + b, per_col).alias("n_nulls")).select(
+        "n_nulls",
+        orphans.alias("orphans"),
+        F.format_string(MSG_TAG_ORPHANS.replace("{n}", "%d"), orphans).alias("orphan_msg"),
+    )
     return [
-        null_count(tags).select(*_row("tags", "nulls", F.col("n_nulls"), True, MSG_NULL_TAGS)),
-        orphan_count(tags, movies).select(*_row("tags", "unknown_movies", F.col("n_orphans"), True, message)),
+        _unpivot(
+            row,
+            "tags",
+            [
+                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_TAGS)),
+                ("unknown_movies", "orphans", True, "orphan_msg"),
+            ],
+        )
     ]
 
 

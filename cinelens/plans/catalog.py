@@ -51,7 +51,21 @@ class Stages:
 
     @property
     def raw(self):
-        return self._get("raw", lambda: testdata.load(self.spark, self.sf_dir))
+        """(movies, ratings, tags) as mapped from the driver's tables.
+
+        Ratings and tags are a join of lineitem and orders; they are
+        written once to the checkpoint folder, as a job reads its inputs
+        once, instead of being re-joined by every query.
+        """
+
+        def build():
+            from cinelens.session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(self.spark)
+            movies, ratings, tags = testdata.load(self.spark, self.sf_dir)
+            return movies, ratings.checkpoint(eager=True), tags.checkpoint(eager=True)
+
+        return self._get("raw", build)
 
     @property
     def prepared(self):

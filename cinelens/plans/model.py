@@ -88,9 +88,9 @@ def fit(movies: DataFrame, ratings: DataFrame, params: ModelParams = ModelParams
     """Item vectors, then profiles. Raises ``ValueError`` on a missing
     ``movie_text``, an empty catalogue (F10) or empty ratings (F11).
 
-    Item vectors are checkpointed to the shared checkpoint folder: they
-    feed profiles, scoring and the centroid, and a lost executor must not
-    send Spark back through the whole TF-IDF lineage.
+    Item vectors and profiles are checkpointed to the shared checkpoint
+    folder: they feed scoring, the centroid and evaluation, and a lost
+    executor must not send Spark back through the whole TF-IDF lineage.
     """
     from cinelens.session import ensure_checkpoint_dir
 
@@ -99,7 +99,7 @@ def fit(movies: DataFrame, ratings: DataFrame, params: ModelParams = ModelParams
     items, vocab, dims, basis, values = fit_items(movies, params)
     ensure_checkpoint_dir(items.sparkSession)
     items = items.checkpoint(eager=True)
-    prof = profiles.build_profiles(ratings, items, params.rating_threshold)
+    prof = profiles.build_profiles(ratings, items, params.rating_threshold).checkpoint(eager=True)
     return ContentModel(params, movies, ratings, items, prof, vocab, dims, basis, values)
 
 
