@@ -191,3 +191,15 @@ def user_activity(ratings: DataFrame) -> DataFrame:
     act = ratings.groupBy("userId").agg(F.count("rating").alias("rating_count"))
     return act.orderBy(F.desc("rating_count"), "userId")
 
+
+
+def preview(df: DataFrame, n: int = 5, order: str | None = None) -> DataFrame:
+    """The first ``n`` rows (by ``order`` when given, for a stable
+    answer); the limit is the feature."""
+    return (df.orderBy(order) if order else df).limit(int(n))
+
+
+def activity_histogram(ratings: DataFrame, bins: int = 30) -> DataFrame:
+    """Histogram of ratings per user (A12 + A18)."""
+    per_user = ratings.groupBy("userId").agg(F.count("rating").alias("rating_count"))
+    return histogram(per_user, "rating_count", bins)

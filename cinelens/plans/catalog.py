@@ -203,14 +203,16 @@ def _v7(s: Stages):
 
 @query("v8_report", with_stages() + """
 SELECT * FROM (VALUES
-  ('movies', 'nulls', (SELECT count(*) FROM movies WHERE movieId IS NULL OR title IS NULL OR genres IS NULL), true,
+  ('movies', 'nulls', (SELECT count(*) FILTER (WHERE movieId IS NULL) + count(*) FILTER (WHERE title IS NULL)
+                       + count(*) FILTER (WHERE genres IS NULL) FROM movies), true,
    'Validation failed: Null movieId found'),
   ('movies', 'duplicate_ids', (SELECT count(*) - count(DISTINCT movieId) FROM movies), true,
    'Validation failed: Duplicate movieId found'),
   ('movies', 'duplicate_titles', (SELECT count(*) - count(DISTINCT title) FROM movies), false,
    'duplicate titles (warning)'),
-  ('ratings', 'nulls', (SELECT count(*) FROM ratings WHERE userId IS NULL OR movieId IS NULL OR rating IS NULL
-                        OR timestamp IS NULL), true, 'Validation failed: Null ratings found'),
+  ('ratings', 'nulls', (SELECT count(*) FILTER (WHERE userId IS NULL) + count(*) FILTER (WHERE movieId IS NULL)
+                        + count(*) FILTER (WHERE rating IS NULL) + count(*) FILTER (WHERE timestamp IS NULL)
+                        FROM ratings), true, 'Validation failed: Null ratings found'),
   ('ratings', 'unknown_movies', (SELECT count(*) FROM ratings r WHERE r.movieId NOT IN (SELECT movieId FROM movies)),
    true, 'Validation failed: Ratings dataset contains unknown movieIds'),
   ('ratings', 'rating_range', (SELECT CASE WHEN min(rating) < 0.0 OR max(rating) > 5.0 OR min(rating) IS NULL
@@ -218,8 +220,9 @@ SELECT * FROM (VALUES
    'Validation failed: Rating column contains invalid values'),
   ('ratings', 'user_activity', (SELECT count(*) FROM (SELECT userId FROM ratings GROUP BY userId HAVING count(*) < 2)),
    true, 'Validation failed: Not every user has more than 2 ratings.'),
-  ('tags', 'nulls', (SELECT count(*) FROM tags WHERE userId IS NULL OR movieId IS NULL OR tag IS NULL
-                     OR timestamp IS NULL), true, 'Validation failed: Null values found in tags'),
+  ('tags', 'nulls', (SELECT count(*) FILTER (WHERE userId IS NULL) + count(*) FILTER (WHERE movieId IS NULL)
+                     + count(*) FILTER (WHERE tag IS NULL) + count(*) FILTER (WHERE timestamp IS NULL)
+                     FROM tags), true, 'Validation failed: Null values found in tags'),
   ('tags', 'unknown_movies', (SELECT count(*) FROM tags t WHERE t.movieId NOT IN (SELECT movieId FROM movies)), true,
    'Validation failed: Tags table contains '
    || (SELECT count(*) FROM tags t WHERE t.movieId NOT IN (SELECT movieId FROM movies)) || ' unknown movieIds')
@@ -579,7 +582,7 @@ def _d10(s: Stages):
 def _describe_sql(table: str, col: str) -> str:
     x = f"CAST({col} AS DOUBLE)"
     return f"""
-SELECT '{col}' AS "column", statistic, round(value, 6) AS value FROM (
+SELECT '{table}' AS "table", '{col}' AS "column", statistic, round(value, 6) AS value FROM (
   SELECT unnest(['count','null_count','mean','std','min','25%','50%','75%','max']) AS statistic,
          unnest([CAST(count({x}) AS DOUBLE), CAST(count(*) FILTER (WHERE {col} IS NULL) AS DOUBLE),
                  avg({x}), stddev_samp({x}), min({x}), quantile_cont({x}, 0.25), quantile_cont({x}, 0.5),
@@ -587,10 +590,16 @@ SELECT '{col}' AS "column", statistic, round(value, 6) AS value FROM (
   FROM {table})"""
 
 
+_DESCRIBED = [("movies", ["movieId"]), ("ratings", ["userId", "movieId", "rating", "timestamp"]),
+              ("tags", ["userId", "movieId", "timestamp"])]
+
+
 @query("d11_describe", with_stages() + "\nUNION ALL".join(
-    _describe_sql("ratings", c) for c in ("userId", "movieId", "rating", "timestamp")))
+    _describe_sql(t, c) for t, cols in _DESCRIBED for c in cols))
 def _d11(s: Stages):
-    return profiling.describe(s.raw[1], ["userId", "movieId", "rating", "timestamp"])
+    frames = dict(zip(("movies", "ratings", "tags"), s.raw))
+    parts = [profiling.describe(frames[t], cols).select(F.lit(t).alias("table"), "*") for t, cols in _DESCRIBED]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("d12_counts", with_stages() + """
@@ -632,6 +641,65 @@ def _d15(s: Stages):
     return profiling.user_activity(s.raw[1])
 
 
+@query("d5_dup_ids", with_stages() + """
+SELECT * FROM movies WHERE movieId IN (SELECT movieId FROM movies GROUP BY movieId HAVING count(*) > 1)
+""")
+def _d5(s: Stages):
+    return profiling.duplicated_rows(s.raw[0], "movieId")
+
+
+@query("d7_orphans", with_stages() + """
+SELECT 'ratings' AS "table", count(*) AS n_orphans FROM ratings r
+WHERE NOT EXISTS (SELECT 1 FROM movies m WHERE m.movieId = r.movieId)
+UNION ALL
+SELECT 'tags', count(*) FROM tags t WHERE NOT EXISTS (SELECT 1 FROM movies m WHERE m.movieId = t.movieId)
+""")
+def _d7(s: Stages):
+    movies, ratings, tags = s.raw
+    return (validate.orphan_count(ratings, movies).select(F.lit("ratings").alias("table"), "n_orphans")
+            .unionByName(validate.orphan_count(tags, movies).select(F.lit("tags").alias("table"), "n_orphans")))
+
+
+@query("d12_tag_counts", with_stages() + "SELECT tag AS value, count(*) AS count FROM tags GROUP BY tag")
+def _d12t(s: Stages):
+    return profiling.value_counts(s.raw[2], "tag")
+
+
+@query("d12_genres_counts", with_stages() + "SELECT genres AS value, count(*) AS count FROM movies GROUP BY genres")
+def _d12g(s: Stages):
+    return profiling.value_counts(s.raw[0], "genres")
+
+
+@query("d12_genre_counts", with_stages() + """
+SELECT genre, count(*) AS count FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM movies) GROUP BY genre
+""")
+def _d12s(s: Stages):
+    return profiling.single_genre_counts(s.raw[0])
+
+
+@query("d15_activity_hist", with_stages() + """
+SELECT b AS bin, round(lo + w * b, 6) AS lo, round(lo + w * (b + 1), 6) AS hi, coalesce(c, 0) AS count FROM (
+  SELECT CAST(b.range AS BIGINT) AS b, x.lo, x.w, c.c
+  FROM range(30) b
+  CROSS JOIN (SELECT CAST(min(n) AS DOUBLE) AS lo, CAST(max(n) - min(n) AS DOUBLE) / 30 AS w
+              FROM (SELECT count(rating) AS n FROM ratings GROUP BY userId)) x
+  LEFT JOIN (
+    SELECT CAST(CASE WHEN w > 0 THEN least(floor((n - lo) / w), 29) ELSE 0 END AS BIGINT) AS bin, count(*) AS c
+    FROM (SELECT count(rating) AS n FROM ratings GROUP BY userId),
+         (SELECT CAST(min(n) AS DOUBLE) AS lo, CAST(max(n) - min(n) AS DOUBLE) / 30 AS w
+          FROM (SELECT count(rating) AS n FROM ratings GROUP BY userId))
+    GROUP BY 1
+  ) c ON c.bin = b.range)
+""")
+def _d15h(s: Stages):
+    return profiling.activity_histogram(s.raw[1], 30)
+
+
+@query("t7_preview", with_stages() + "SELECT * FROM movies ORDER BY movieId LIMIT 5")
+def _t7(s: Stages):
+    return profiling.preview(s.raw[0], 5, "movieId")
+
+
 # Row-count only (no oracle).
 
 

@@ -115,3 +115,72 @@ def project(model: ContentModel, weights: DataFrame) -> DataFrame:
         .groupBy("movieId")
         .agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
     )
+
+
+class ContentRecommender:
+    """Object API with the reference's method names over the Spark model.
+
+    ``ContentRecommender(movies, **params).fit(ratings)``, then
+    ``recommend(user_id | users_df, rec_n)``, ``get_actual_liked_movies``,
+    ``save_model`` / ``load_model``. Calls before ``fit`` raise
+    ``RuntimeError`` (R2, E9). A single id is a one-row users table; the
+    same job serves any number of users.
+    """
+
+    def __init__(self, movies: DataFrame, params: ModelParams = ModelParams()):
+        self.movies_df = movies
+        self.params = params
+        self.model: ContentModel | None = None
+
+    @property
+    def fitted(self) -> bool:
+        return self.model is not None
+
+    def _require(self) -> ContentModel:
+        if self.model is None:
+            raise RuntimeError("Recommender has not been fitted. Please run fit() first.")
+        return self.model
+
+    def fit(self, ratings: DataFrame) -> "ContentRecommender":
+        self.model = fit(self.movies_df, ratings, self.params)
+        return self
+
+    def _users(self, users) -> DataFrame:
+        if isinstance(users, DataFrame):
+            return users
+        spark = self.movies_df.sparkSession
+        ids = [users] if isinstance(users, int) else list(users)
+        return spark.createDataFrame([(int(u),) for u in ids], "userId long")
+
+    def recommend(self, users, rec_n: int = 10, dedupe_top_up: bool = False) -> DataFrame:
+        return self._require().recommend(self._users(users), rec_n, dedupe_top_up=dedupe_top_up)
+
+    def get_actual_liked_movies(self, users=None) -> DataFrame:
+        liked = self._require().liked()
+        return liked if users is None else liked.join(self._users(users), "userId", "left_semi")
+
+    def popular_movies(self, top_n: int = 10) -> DataFrame:
+        return self._require().popular(top_n)
+
+    def save_model(self, path: str) -> None:
+        from cinelens.sources import store
+
+        if self.model is None:
+            raise RuntimeError("Cannot save an unfitted model.")
+        store.save_model(self.model, path)
+
+    @classmethod
+    def load_model(cls, path: str, movies: DataFrame, ratings: DataFrame | None = None) -> "ContentRecommender":
+        from cinelens.sources import store
+
+        model = store.load_model(movies.sparkSession, path, movies, ratings)
+        rec = cls(movies, model.params)
+        rec.model = model
+        return rec
+
+    def evaluate_leave_one_out(self, ratings: DataFrame, **kwargs):
+        """E1-E9 over ``ratings`` with this model's item vectors."""
+        from cinelens.operators import evaluate
+
+        m = self._require()
+        return evaluate.evaluate_leave_one_out(m.items, ratings, m.dims, **kwargs)
