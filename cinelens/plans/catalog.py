@@ -580,14 +580,19 @@ def _d10(s: Stages):
 
 
 def _describe_sql(table: str, col: str) -> str:
+    """Moments, plus nearest-rank quartiles: the value at 0-based rank
+    round(q * (n - 1)) of the sorted non-null values."""
     x = f"CAST({col} AS DOUBLE)"
     return f"""
 SELECT '{table}' AS "table", '{col}' AS "column", statistic, round(value, 6) AS value FROM (
-  SELECT unnest(['count','null_count','mean','std','min','25%','50%','75%','max']) AS statistic,
+  SELECT unnest(['count','null_count','mean','std','min','max']) AS statistic,
          unnest([CAST(count({x}) AS DOUBLE), CAST(count(*) FILTER (WHERE {col} IS NULL) AS DOUBLE),
-                 avg({x}), stddev_samp({x}), min({x}), quantile_cont({x}, 0.25), quantile_cont({x}, 0.5),
-                 quantile_cont({x}, 0.75), max({x})]) AS value
-  FROM {table})"""
+                 avg({x}), stddev_samp({x}), min({x}), max({x})]) AS value
+  FROM {table}
+  UNION ALL
+  SELECT q.name, s.v FROM (VALUES ('25%', 0.25), ('50%', 0.5), ('75%', 0.75)) q(name, p)
+  JOIN (SELECT {x} AS v, row_number() OVER (ORDER BY {x}) - 1 AS pos FROM {table} WHERE {col} IS NOT NULL) s
+    ON s.pos = round(q.p * ((SELECT count({x}) FROM {table}) - 1)))"""
 
 
 _DESCRIBED = [("movies", ["movieId"]), ("ratings", ["userId", "movieId", "rating", "timestamp"]),
