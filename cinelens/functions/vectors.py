@@ -1,4 +1,9 @@
-"""Dense vector expressions on ``array<double>`` columns."""
+"""Dense vector expressions on ``array<double>`` columns.
+
+``cosine`` is the column form of F8 (pairs already on one row); scoring
+against a whole catalogue uses the blocked kernel in
+``operators/scoring.py`` instead.
+"""
 
 from __future__ import annotations
 
@@ -22,25 +27,12 @@ def l2_norm(a) -> Column:
     return F.sqrt(dot(a, a))
 
 
-def unit(a) -> Column:
-    """``a / |a|``; a zero vector stays zero (cosine 0, as in the reference)."""
-    n = l2_norm(a)
-    return F.when(n > 0, F.transform(_col(a), lambda x: x / n)).otherwise(
-        F.transform(_col(a), lambda x: x * 0.0)
-    )
-
-
 def cosine(a, b) -> Column:
     """Cosine similarity; 0.0 when either side is a zero vector."""
     den = l2_norm(a) * l2_norm(b)
     return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))
 
 
-def scale(a, s) -> Column:
-    s = _col(s) if not isinstance(s, (int, float)) else F.lit(float(s))
-    return F.transform(_col(a), lambda x: x * s)
-
-
 def vec_mean(a, weight=None) -> Column:
     """Grouped (weighted) mean of equal-length arrays.
 

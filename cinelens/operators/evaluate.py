@@ -26,14 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelens.config import EVAL_MAX_USERS, EVAL_MIN_LIKED, EVAL_SEED, RATING_THRESHOLD, TOP_K
+from cinelens.functions.time import epoch_seconds
 from cinelens.operators.profiles import weighted_profiles
 from cinelens.operators.scoring import top_n_unseen
 
 
 def _epoch(df: DataFrame, col: str = "timestamp"):
     dt = df.schema[col].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_timestamp(F.col(col))
+    if isinstance(dt, T.TimestampNTZType):
+        return epoch_seconds(col)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_seconds(F.col(col))
     return F.col(col).cast("bigint")
 
 

@@ -24,14 +24,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cinelens.functions.vectors import vec_sum
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
-VEC = T.ArrayType(T.DoubleType())
-
-
 # ------------------------------------------------------------ exact vectors
 
 

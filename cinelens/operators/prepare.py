@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cinelens.config import NO_GENRES
 from cinelens.functions import text
+from cinelens.functions.time import ntz_from_epoch_seconds
 
 
 def drop_no_genres(movies: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def normalize_tag_column(tags: DataFrame) -> DataFrame:
 
 def convert_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """Epoch seconds to a naive timestamp (UTC wall clock)."""
-    return df.withColumn(column, F.timestamp_seconds(F.col(column)).cast("timestamp_ntz"))
+    return df.withColumn(column, ntz_from_epoch_seconds(column))
 
 
 def mark_last_rating_per_user(ratings: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelens.config import NO_GENRES
+from cinelens.functions.time import epoch_seconds
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +49,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("userId"),
         F.col("l_partkey").alias("movieId"),
         (F.ceil(F.col("l_quantity") / 5) / 2).cast("double").alias("rating"),
-        F.unix_timestamp(F.col("o_orderdate")).cast("bigint").alias("timestamp"),
+        epoch_seconds("o_orderdate").cast("bigint").alias("timestamp"),
     )
 
 
@@ -57,7 +58,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("userId"),
         F.col("l_partkey").alias("movieId"),
         F.concat(F.col("o_orderpriority"), F.lit(" "), F.col("l_returnflag")).alias("tag"),
-        F.unix_timestamp(F.col("l_shipdate")).cast("bigint").alias("timestamp"),
+        epoch_seconds("l_shipdate").cast("bigint").alias("timestamp"),
     )
 
 

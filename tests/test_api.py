@@ -65,3 +65,11 @@ def test_duplicated_rows_and_pairs(spark):
     assert sorted(r.movieId for r in profiling.duplicated_rows(df, "title").collect()) == [1, 2]
     r = spark.createDataFrame([(1, 1, 4.0), (1, 1, 3.0), (2, 1, 4.0)], "userId long, movieId long, rating double")
     assert [(x.userId, x.movieId, x.duplicates) for x in profiling.duplicate_pairs(r).collect()] == [(1, 1, 2)]
+
+
+def test_cosine_expression(spark):
+    from cinelens.functions.vectors import cosine
+
+    df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 2.0])], "a array<double>, b array<double>")
+    got = [r.c for r in df.select(cosine("a", "b").alias("c")).collect()]
+    assert abs(got[0] - 2 ** -0.5) < 1e-12 and got[1] == 0.0  # zero vector -> 0
