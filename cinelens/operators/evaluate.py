@@ -97,12 +97,10 @@ def holdout(rows: DataFrame) -> DataFrame:
 def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame) -> DataFrame:
     """Profiles from the liked rows minus one copy of the held-out row.
 
-    Each remaining row weighs the user's last rating of its movie (Q14);
-    weights summing to zero fall back to the plain mean (Q20).
+    Each remaining row weighs the user's last rating of its movie among
+    the remaining rows (Q14); weights summing to zero fall back to the
+    plain mean (Q20).
     """
-    last = rows.groupBy("userId", "movieId").agg(
-        F.max_by("rating", F.struct("epoch", "rating")).alias("last_rating")
-    )
     is_held = (
         (F.col("movieId") == F.col("held_movieId"))
         & (F.col("rating") == F.col("held_rating"))
@@ -110,12 +108,15 @@ def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame) -> DataFr
     )
     remaining = (
         rows.join(held, "userId")
-        .select("userId", "movieId", (F.col("copies") - F.when(is_held, 1).otherwise(0)).alias("n"))
+        .select("userId", "movieId", "rating", "epoch", (F.col("copies") - F.when(is_held, 1).otherwise(0)).alias("n"))
         .filter(F.col("n") > 0)
-        .groupBy("userId", "movieId")
-        .agg(F.sum("n").alias("n"))
     )
-    weighted = remaining.join(last, ["userId", "movieId"]).join(items, "movieId", "inner").select(
+    # The last rating is taken over the training rows (the held-out copy
+    # no longer counts), and weighs every remaining copy of the movie.
+    per_movie = remaining.groupBy("userId", "movieId").agg(
+        F.sum("n").alias("n"), F.max_by("rating", F.struct("epoch", "rating")).alias("last_rating")
+    )
+    weighted = per_movie.join(items, "movieId", "inner").select(
         "userId", "vec", F.col("n").cast("double").alias("n"), (F.col("n") * F.col("last_rating")).alias("w")
     )
     return weighted_profiles(weighted, "w", "n")

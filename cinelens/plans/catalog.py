@@ -715,6 +715,29 @@ def _f7_full(s: Stages):
     return m.recommend(s.users, 10)
 
 
+@query("f7_svd_gram", SCORES_SQL + """
+SELECT i.movieId, round(i.inorm * i.inorm, 6) AS sq_norm, round(coalesce(d.dot, 0.0), 6) AS centroid_dot
+FROM item_norm i LEFT JOIN (
+  SELECT w.movieId, sum(c.c * w.weight) AS dot FROM centroid c JOIN weights w ON c.term = w.term GROUP BY w.movieId
+) d ON d.movieId = i.movieId
+""")
+def _f7_gram(s: Stages):
+    """F7 numerically against SQL: at full rank the SVD keeps inner
+    products, so each item's squared norm and its inner product with the
+    catalogue centroid equal those of its TF-IDF row."""
+    from cinelens.functions.vectors import dot, vec_mean
+
+    n_terms = _tfidf(s)[1].count()
+    items = s.model(int(n_terms)).items
+    # Centroid as k rows (d, c_d); v . c is an equi-join on the dimension.
+    center = items.agg(vec_mean("vec").alias("c")).select(F.posexplode("c").alias("d", "c_d"))
+    parts = items.select("movieId", F.posexplode("vec").alias("d", "v_d"))
+    cdot = parts.join(F.broadcast(center), "d").groupBy("movieId").agg(F.sum(F.col("v_d") * F.col("c_d")).alias("centroid_dot"))
+    return items.select("movieId", dot("vec", "vec").alias("sq_norm")).join(cdot, "movieId", "left").select(
+        "movieId", "sq_norm", F.coalesce("centroid_dot", F.lit(0.0)).alias("centroid_dot")
+    )
+
+
 # Row-count only (no oracle).
 
 

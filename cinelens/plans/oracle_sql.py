@@ -184,19 +184,21 @@ lrows_h AS (
 held AS (
   SELECT userId, movieId AS held_movieId, rating AS held_rating, ep AS held_epoch FROM (
     SELECT *, row_number() OVER (PARTITION BY userId ORDER BY h) AS rn FROM lrows_h) WHERE rn = 1),
+remaining AS (
+  SELECT l.userId, l.movieId, l.rating, l.ep,
+         l.copies - CASE WHEN l.movieId = h.held_movieId AND l.rating = h.held_rating AND l.ep = h.held_epoch
+                         THEN 1 ELSE 0 END AS n
+  FROM lrows l JOIN held h ON h.userId = l.userId),
 last_r AS (
   SELECT userId, movieId, rating AS last_rating FROM (
-    SELECT *, row_number() OVER (PARTITION BY userId, movieId ORDER BY ep DESC, rating DESC) AS rn FROM lrows)
+    SELECT *, row_number() OVER (PARTITION BY userId, movieId ORDER BY ep DESC, rating DESC) AS rn
+    FROM remaining WHERE n > 0)
   WHERE rn = 1),
-remaining AS (
-  SELECT l.userId, l.movieId,
-         sum(l.copies - CASE WHEN l.movieId = h.held_movieId AND l.rating = h.held_rating AND l.ep = h.held_epoch
-                             THEN 1 ELSE 0 END) AS n
-  FROM lrows l JOIN held h ON h.userId = l.userId GROUP BY l.userId, l.movieId),
 train AS (
   SELECT r.userId, r.movieId, r.n * lr.last_rating AS w
-  FROM remaining r JOIN last_r lr ON lr.userId = r.userId AND lr.movieId = r.movieId
-  WHERE r.n > 0 AND r.movieId IN (SELECT movieId FROM featurized)),
+  FROM (SELECT userId, movieId, sum(n) AS n FROM remaining WHERE n > 0 GROUP BY userId, movieId) r
+  JOIN last_r lr ON lr.userId = r.userId AND lr.movieId = r.movieId
+  WHERE r.movieId IN (SELECT movieId FROM featurized)),
 twsum AS (SELECT userId, sum(w) AS ws FROM train GROUP BY userId),
 tprof AS (
   SELECT t.userId, wt.term, sum(t.w * wt.weight) / max(s.ws) AS pw

@@ -65,3 +65,23 @@ def test_hit_rate_masked_vs_unmasked(spark):
     assert r.hit_rate_at_k == 0.0 and r.n_users == 1
     assert r.hit_rate_at_k_unmasked == 1.0
     assert 0.0 < r.coverage_at_k <= 1.0
+
+
+def test_last_rating_taken_over_training_rows(spark):
+    # Q14: movie 1 liked twice; whichever copy is held out, the other copy
+    # weighs its own rating (the last among the rows that remain).
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], V)
+    r = spark.createDataFrame([(1, 1, 4.0, 1), (1, 1, 5.0, 2), (1, 2, 4.0, 3)], R)
+    rows = evaluate.liked_rows(r, spark.createDataFrame([(1,)], "userId long"), 4.0, 42)
+    for held_row in [(1, 1, 4.0, 1), (1, 1, 5.0, 2), (1, 2, 4.0, 3)]:
+        held = spark.createDataFrame([held_row], "userId long, held_movieId long, held_rating double, held_epoch long")
+        vec = np.array(evaluate.train_profiles(rows, held, items).first().vec)
+        left = [x for x in [(1, 4.0, 1), (1, 5.0, 2), (2, 4.0, 3)] if (1,) + x != held_row]
+        last = {}
+        for m, rating, ep in sorted(left, key=lambda t: t[2]):
+            last[m] = rating
+        w = {1: 0.0, 2: 0.0}
+        for m, _, _ in left:
+            w[m] += last[m]
+        want = np.array([w[1], w[2]]) / (w[1] + w[2])
+        assert np.allclose(vec, want), held_row
