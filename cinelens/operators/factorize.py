@@ -198,6 +198,10 @@ def randomized_svd(
     if k > n_terms:
         raise ValueError(f"n_components={k} is above the number of terms ({n_terms})")
     width = k + max(int(oversample), 0)
+    if width >= n_terms or width >= a.select("movieId").distinct().count():
+        # The sketch already spans the whole range of A (with probability
+        # one): power iterations cannot improve it, the result is exact.
+        power_iters = 0
 
     # Range finder: Y = A Omega, then Y <- A orth(A^T orth(Y)).
     y = a.groupBy("movieId").agg(

@@ -53,7 +53,7 @@ class Stages:
     def raw(self):
         """(movies, ratings, tags) as mapped from the driver's tables.
 
-        Ratings and tags are a join of lineitem and orders; they are
+        Ratings and tags come from one join of lineitem and orders; it is
         written once to the checkpoint folder, as a job reads its inputs
         once, instead of being re-joined by every query.
         """
@@ -62,8 +62,7 @@ class Stages:
             from cinelens.session import ensure_checkpoint_dir
 
             ensure_checkpoint_dir(self.spark)
-            movies, ratings, tags = testdata.load(self.spark, self.sf_dir)
-            return movies, ratings.checkpoint(eager=True), tags.checkpoint(eager=True)
+            return testdata.load_materialized(self.spark, self.sf_dir)
 
         return self._get("raw", build)
 
