@@ -140,14 +140,44 @@ def _omega(term_col, width: int, seed: int):
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), normal)
 
 
-def _times_side(a: DataFrame, x: DataFrame, on: str, group: str) -> DataFrame:
-    """``sum over `on` of weight * x[on]`` grouped by ``group``:
-    ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``.
-    The result is checkpointed: it is read twice (Gram, next product) and
-    its lineage holds every earlier iteration."""
-    joined = a.join(x, on)
-    prod = joined.groupBy(group).agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
-    return prod.checkpoint(eager=True)
+# Largest factor (rows x width doubles) joined to A by broadcast.
+BROADCAST_FACTOR_BYTES = 256 << 20
+
+
+class _Sides:
+    """A held twice, hash-partitioned by movieId and by term, persisted.
+
+    A product with a factor ``x`` keyed by one side and summed by the other
+    then moves only what it must: a factor under the size limit is
+    broadcast into the copy partitioned by the output key (no shuffle for
+    the join, none for the grouped sum); a larger factor is shuffled to the
+    copy partitioned by the join key, and A itself never moves.
+    """
+
+    def __init__(self, a: DataFrame, n_docs: int, n_terms: int):
+        from pyspark import StorageLevel
+
+        self.by = {
+            "movieId": a.repartition("movieId").persist(StorageLevel.MEMORY_AND_DISK),
+            "term": a.repartition("term").persist(StorageLevel.MEMORY_AND_DISK),
+        }
+        self.rows = {"movieId": n_docs, "term": n_terms}
+
+    def times(self, x: DataFrame, on: str, group: str, width: int) -> DataFrame:
+        """``sum over `on` of weight * x[on]`` grouped by ``group``:
+        ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``.
+        Checkpointed: it is read twice (Gram, next product) and its lineage
+        holds every earlier iteration."""
+        if self.rows[on] * max(width, 1) * 8 <= BROADCAST_FACTOR_BYTES:
+            joined = self.by[group].join(F.broadcast(x), on)
+        else:
+            joined = self.by[on].join(x, on)
+        prod = joined.groupBy(group).agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
+        return prod.checkpoint(eager=True)
+
+    def release(self) -> None:
+        for df in self.by.values():
+            df.unpersist()
 
 
 def _orthonormalize(df: DataFrame, key: str, width: int, passes: int = 2) -> tuple[DataFrame, int]:
@@ -195,36 +225,40 @@ def randomized_svd(
     k = int(n_components)
     a = weights.select("movieId", "term", "weight").checkpoint(eager=True)
     n_terms = a.select("term").distinct().count()
+    n_docs = a.select("movieId").distinct().count()
     if k > n_terms:
         raise ValueError(f"n_components={k} is above the number of terms ({n_terms})")
     width = k + max(int(oversample), 0)
-    if width >= n_terms or width >= a.select("movieId").distinct().count():
+    if width >= n_terms or width >= n_docs:
         # The sketch already spans the whole range of A (with probability
         # one): power iterations cannot improve it, the result is exact.
         power_iters = 0
+    sides = _Sides(a, n_docs, n_terms)
 
     # Range finder: Y = A Omega, then Y <- A orth(A^T orth(Y)).
-    y = a.groupBy("movieId").agg(
+    y = sides.by["movieId"].groupBy("movieId").agg(
         vec_sum(F.transform(_omega(F.col("term"), width, seed), lambda v: v * F.col("weight"))).alias("vec")
     ).checkpoint(eager=True)
     for _ in range(int(power_iters)):
         q, width = _normalized(y, "movieId", width)
         if width == 0:
             break
-        z, width = _normalized(_times_side(a, q, "movieId", "term"), "term", width)
+        z, width = _normalized(sides.times(q, "movieId", "term", width), "term", width)
         if width == 0:
             break
-        y = _times_side(a, z, "term", "movieId")
+        y = sides.times(z, "term", "movieId", width)
     q, width = _orthonormalize(y, "movieId", width) if width else (y, 0)
 
     if width == 0:  # all-zero matrix
+        sides.release()
         zeros = F.array_repeat(F.lit(0.0), k)
         items = movies.select("movieId", zeros.alias("vec"))
         basis = a.select("term").distinct().select("term", zeros.alias("vec"))
         return items, basis, np.zeros(k)
 
     # B = Q^T A as per-term columns b(t); B B^T = U_B S^2 U_B^T.
-    b = _times_side(a, q, "movieId", "term")
+    b = sides.times(q, "movieId", "term", width)
+    sides.release()
     evals, u_b = np.linalg.eigh(gram(b, "vec", width))
     order = np.argsort(evals)[::-1]
     evals, u_b = np.clip(evals[order], 0.0, None), u_b[:, order]
