@@ -80,7 +80,13 @@ def load_materialized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     checkpoint folder (only the columns both views use) and both views
     projected from it."""
     cols = ["o_custkey", "l_partkey", "l_quantity", "o_orderdate", "o_orderpriority", "l_returnflag", "l_shipdate"]
-    lines = _order_lines(spark, sf_dir).select(*cols).checkpoint(eager=True)
+    lines = _order_lines(spark, sf_dir).select(*cols)
+    # A single-row-group file scans as one task; spread it over the cores
+    # once, so every later pass over ratings and tags runs in parallel.
+    parallelism = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < parallelism:
+        lines = lines.repartition(parallelism)
+    lines = lines.checkpoint(eager=True)
     return movies(spark, sf_dir), _ratings_from(lines), _tags_from(lines)
 
 
