@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from cinelens.config import EVAL_MAX_USERS, EVAL_MIN_LIKED, EVAL_SEED, RATING_THRESHOLD, TOP_K
 from cinelens.functions.time import epoch_seconds
+from cinelens.operators.joins import broadcast_if_small, vector_row_bytes
 from cinelens.operators.profiles import weighted_profiles
 from cinelens.operators.scoring import top_n_unseen
 
@@ -94,7 +95,7 @@ def holdout(rows: DataFrame) -> DataFrame:
     )
 
 
-def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame) -> DataFrame:
+def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame, dims: int | None = None) -> DataFrame:
     """Profiles from the liked rows minus one copy of the held-out row.
 
     Each remaining row weighs the user's last rating of its movie among
@@ -116,6 +117,8 @@ def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame) -> DataFr
     per_movie = remaining.groupBy("userId", "movieId").agg(
         F.sum("n").alias("n"), F.max_by("rating", F.struct("epoch", "rating")).alias("last_rating")
     )
+    if dims is not None:
+        items = broadcast_if_small(items, items.count(), vector_row_bytes(dims))
     weighted = per_movie.join(items, "movieId", "inner").select(
         "userId", "vec", F.col("n").cast("double").alias("n"), (F.col("n") * F.col("last_rating")).alias("w")
     )
@@ -144,7 +147,7 @@ def evaluate_leave_one_out(
     users = sample_users(eligible_users(ratings, like_threshold, min_liked), max_users, seed)
     rows = liked_rows(ratings, users, like_threshold, seed)
     held = holdout(rows)
-    prof = train_profiles(rows, held, items)
+    prof = train_profiles(rows, held, items, dims)
 
     # One scoring pass: exclude seen minus the held-out movie, keep k + 1.
     seen = ratings.select("userId", "movieId").distinct().join(prof.select("userId"), "userId", "left_semi")

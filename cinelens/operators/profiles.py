@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelens.functions.vectors import vec_mean, vec_sum
+from cinelens.operators.joins import broadcast_if_small, vector_row_bytes
 
 
 def liked(ratings: DataFrame, threshold: float) -> DataFrame:
@@ -38,10 +39,15 @@ def weighted_profiles(rows: DataFrame, weight_col: str = "rating", count_col: st
     )
 
 
-def build_profiles(ratings: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+def build_profiles(
+    ratings: DataFrame, items: DataFrame, threshold: float, n_items: int | None = None, dims: int | None = None
+) -> DataFrame:
     """Liked ratings joined to item vectors (J3 as an inner join, P4),
     weighted by the rating. Users with no liked, known movie get no row.
-    A movie rated twice by a user counts twice (Q14)."""
+    A movie rated twice by a user counts twice (Q14). With ``n_items`` and
+    ``dims`` known, a small item table is broadcast (checked size)."""
+    if n_items is not None and dims is not None:
+        items = broadcast_if_small(items, n_items, vector_row_bytes(dims))
     rows = liked(ratings, threshold).select("userId", "movieId", "rating").join(items, "movieId", "inner")
     return weighted_profiles(rows)
 

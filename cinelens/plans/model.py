@@ -99,7 +99,9 @@ def fit(movies: DataFrame, ratings: DataFrame, params: ModelParams = ModelParams
     items, vocab, dims, basis, values = fit_items(movies, params)
     ensure_checkpoint_dir(items.sparkSession)
     items = items.checkpoint(eager=True)
-    prof = profiles.build_profiles(ratings, items, params.rating_threshold).checkpoint(eager=True)
+    prof = profiles.build_profiles(
+        ratings, items, params.rating_threshold, n_items=items.count(), dims=dims
+    ).checkpoint(eager=True)
     return ContentModel(params, movies, ratings, items, prof, vocab, dims, basis, values)
 
 

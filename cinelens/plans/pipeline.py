@@ -85,3 +85,37 @@ def run(
         recs.write.mode("overwrite").parquet(f"{out}/recommendations")
         result.write.mode("overwrite").parquet(f"{out}/evaluation")
     return PipelineResult(model, movies_p, ratings_p, tags_p, result, lists, recs)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m cinelens.plans.pipeline <csv folder> <out>
+    [--model PATH] [--components K]``. As in the reference's entry point,
+    a failure is logged and the process ends normally (exit code 1)."""
+    import argparse
+
+    from cinelens.session import build_session
+    from cinelens.sources import read_movielens
+
+    ap = argparse.ArgumentParser(prog="cinelens")
+    ap.add_argument("input", help="folder with movies.csv, ratings.csv, tags.csv")
+    ap.add_argument("output", help="folder for recommendations/ and evaluation/")
+    ap.add_argument("--model", default=None, help="folder to save the model to")
+    ap.add_argument("--components", type=int, default=ModelParams().n_components)
+    args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO)
+    spark = build_session()
+    try:
+        movies, ratings, tags = read_movielens(spark, args.input)
+        run(spark, movies, ratings, tags, ModelParams(n_components=args.components),
+                  model_path=args.model, output_path=args.output)
+        r = spark.read.parquet(f"{args.output.rstrip('/')}/evaluation").first()
+        log.info("HitRate@%s: %.3f (evaluated on %s users)", r.k, r.hit_rate_at_k, r.n_users)
+        log.info("Coverage@%s: %.3f", r.k, r.coverage_at_k)
+        return 0
+    except Exception:  # noqa: BLE001 - logged, like the reference's main
+        log.exception("pipeline failed")
+        return 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
