@@ -756,6 +756,20 @@ def _f7(s: Stages):
         "vec", F.lit(0.0), lambda acc, v: acc + v * v)).alias("norm"))
 
 
+@query("r2_recommend_svd")
+def _r2_svd(s: Stages):
+    """The reference's default configuration: 100 SVD components. Values
+    depend on the basis (rows-only); one list of 10 per user."""
+    return s.model(100).recommend(s.users, 10)
+
+
+@query("e8_result_svd")
+def _e8_svd(s: Stages):
+    """Leave-one-out evaluation of the default (100-component) model."""
+    m = s.model(100)
+    return evaluate.evaluate_leave_one_out(m.items, m.ratings, m.dims)[0]
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
