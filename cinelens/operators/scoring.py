@@ -17,9 +17,11 @@ shuffle) gives the exact top ``n``.
 
 Ties: ``round(similarity, 9)`` descending, then movieId ascending.
 
-Block and salt counts come from ``count()`` of the item and user tables and
-a per-task memory budget. A very active user's seen rows are spread over
-the item blocks, so no task holds more than one block of them.
+Block and salt counts come from ``count()`` of the item and user tables, a
+per-task memory budget (``budget_bytes`` of vectors per side) and a floor
+of twice the session's parallelism in tasks. A very active user's seen rows
+are spread over the item blocks, so no task holds more than one block of
+them.
 """
 
 from __future__ import annotations
