@@ -151,7 +151,9 @@ def quantiles(df: DataFrame, col: str, qs=(0.25, 0.5, 0.75), interpolation: str
     pos = positions(df, col)
     lo = pos.select(F.col("_pos").alias("lo"), F.col(col).alias("v_lo"))
     hi = pos.select(F.col("_pos").alias("hi"), F.col(col).alias("v_hi"))
-    joined = F.broadcast(wanted).join(lo, "lo", "left").join(hi, "hi", "left")
+    # Right outer joins, so the few wanted ranks are the broadcast side.
+    joined = lo.join(F.broadcast(wanted), "lo", "right")
+    joined = hi.join(F.broadcast(joined), "hi", "right")
     value = F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))
     return joined.select("q", F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(value).alias("value"))
 
@@ -235,7 +237,11 @@ def top_rated(ratings: DataFrame, movies: DataFrame, n: int = 10) -> DataFrame:
     ties by movieId, with title and genres."""
     counts = ratings.groupBy("movieId").agg(F.count("rating").alias("rating_count"))
     top = counts.orderBy(F.desc("rating_count"), "movieId").limit(n)
-    return top.join(F.broadcast(movies.select("movieId", "title", "genres")), "movieId", "left")
+    # top ⟕ movies, written as movies ⟖ broadcast(top): the broadcast side
+    # is the n-row list, never the catalogue.
+    return movies.select("movieId", "title", "genres").join(F.broadcast(top), "movieId", "right").select(
+        "movieId", "rating_count", "title", "genres"
+    )
 
 
 def user_activity(ratings: DataFrame) -> DataFrame:
