@@ -39,6 +39,8 @@ def exact_vectors(weights: DataFrame, vocab: DataFrame, movies: DataFrame, max_d
     kept term get a zero vector.
     """
     dims = vocab.count()
+    if dims == 0:
+        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     if dims > max_dims:
         raise ValueError(
             f"vocabulary has {dims} terms, above max_exact_dims={max_dims}; use n_components"
@@ -48,11 +50,11 @@ def exact_vectors(weights: DataFrame, vocab: DataFrame, movies: DataFrame, max_d
         F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("m")
     )
     dense = F.transform(
-        F.sequence(F.lit(0), F.lit(max(dims, 1) - 1)),
+        F.sequence(F.lit(0), F.lit(dims - 1)),
         lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)),
     )
     vecs = entries.select("movieId", dense.alias("vec"))
-    return attach_zero_rows(movies, vecs, max(dims, 1)), max(dims, 1)
+    return attach_zero_rows(movies, vecs, dims), dims
 
 
 def attach_zero_rows(movies: DataFrame, vecs: DataFrame, dims: int) -> DataFrame:
@@ -226,6 +228,8 @@ def randomized_svd(
     a = weights.select("movieId", "term", "weight").checkpoint(eager=True)
     n_terms = a.select("term").distinct().count()
     n_docs = a.select("movieId").distinct().count()
+    if n_terms == 0:
+        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     if k > n_terms:
         raise ValueError(f"n_components={k} is above the number of terms ({n_terms})")
     width = k + max(int(oversample), 0)

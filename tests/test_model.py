@@ -100,3 +100,13 @@ def test_save_load_roundtrip(spark, fx10, tmp_path):
     assert np.allclose(loaded.singular_values, m.singular_values)
     with pytest.raises(FileNotFoundError):
         store.load_model(spark, str(tmp_path / "missing"), movies)
+
+
+def test_empty_vocabulary_raises(spark):
+    # Every term is in every document, so max_df prunes them all.
+    movies = spark.createDataFrame(
+        [(1, "A", "x", "", "comedy drama"), (2, "B", "y", "", "comedy drama")], FEAT)
+    ratings = spark.createDataFrame([(1, 1, 5.0)], R)
+    for nc in (None, 1):
+        with pytest.raises(ValueError, match="no terms remain"):
+            M.fit(movies, ratings, ModelParams(n_components=nc))
