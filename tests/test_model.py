@@ -110,3 +110,19 @@ def test_empty_vocabulary_raises(spark):
     for nc in (None, 1):
         with pytest.raises(ValueError, match="no terms remain"):
             M.fit(movies, ratings, ModelParams(n_components=nc))
+
+
+def test_project_new_rows_through_term_basis(spark, fx10):
+    # Full rank: a catalogue movie's own TF-IDF row projects onto its item vector.
+    from cinelens.operators import features
+
+    movies, ratings = fx10
+    n_terms = features.tfidf(movies)[1].count()
+    m = M.fit(movies, ratings, ModelParams(n_components=int(n_terms)))
+    weights, _ = features.tfidf(movies)
+    proj = {r.movieId: np.array(r.vec) for r in M.project(m, weights).collect()}
+    items = {r.movieId: np.array(r.vec) for r in m.items.collect()}
+    for mid, v in proj.items():
+        assert np.allclose(v, items[mid], atol=1e-9), mid
+    with pytest.raises(RuntimeError):
+        M.project(M.fit(movies, ratings, ModelParams(n_components=None)), weights)
