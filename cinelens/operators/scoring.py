@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinelens.operators.joins import BROADCAST_LIMIT_BYTES
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
 CANDIDATE_SCHEMA = "userId long, movieId long, similarity double"
@@ -169,9 +170,16 @@ def top_n_unseen(
         "vec",
     )
     if seen is not None:
+        seen = seen.select("userId", "movieId")
+        if n_users * 16 <= BROADCAST_LIMIT_BYTES:
+            # Few users scored: drop other users' seen rows by a broadcast
+            # semi join (no shuffle of the seen table).
+            seen = seen.join(F.broadcast(profiles.select("userId")), "userId", "left_semi")
+        # Otherwise every seen row goes to its (block, salt) group as is; the
+        # kernel ignores rows of users it does not score, which is cheaper
+        # than a second shuffle of the seen table to filter them.
         seen_rows = (
-            seen.select("userId", "movieId")
-            .join(profiles.select("userId"), "userId", "left_semi")
+            seen
             .select(
                 block_of("movieId").alias("block"),
                 salt_of("userId").alias("salt"),

@@ -1,5 +1,7 @@
 import numpy as np
+import pytest
 
+from cinelens.operators import scoring
 from cinelens.operators.scoring import top_n_unseen
 
 
@@ -14,7 +16,10 @@ def _brute(users, items, seen, n):
     return out
 
 
-def test_blocked_kernel_matches_brute_force(spark):
+@pytest.mark.parametrize("limit", [None, 0])
+def test_blocked_kernel_matches_brute_force(spark, monkeypatch, limit):
+    if limit is not None:  # no semi join: seen rows of unscored users reach the kernel
+        monkeypatch.setattr(scoring, "BROADCAST_LIMIT_BYTES", limit)
     rng = np.random.default_rng(0)
     n_items, n_users, d = 57, 23, 6
     items = rng.normal(size=(n_items, d))
@@ -25,7 +30,8 @@ def test_blocked_kernel_matches_brute_force(spark):
     seen |= {(3, j) for j in range(n_items) if j not in (1, 2)}  # user 3 has 2 unseen items
     p = spark.createDataFrame([(u, v.tolist()) for u, v in users.items()], "userId long, vec array<double>")
     it = spark.createDataFrame([(j, items[j].tolist()) for j in range(n_items)], "movieId long, vec array<double>")
-    sn = spark.createDataFrame(sorted(seen), "userId long, movieId long")
+    extra = {(999, j) for j in range(10)}  # a user with no profile
+    sn = spark.createDataFrame(sorted(seen | extra), "userId long, movieId long")
     # A tiny memory budget forces several item blocks and user salts.
     got = top_n_unseen(p, it, sn, 5, d, items_per_block=10, users_per_group=4)
     lists = {}
