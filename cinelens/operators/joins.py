@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side broadcast on a checked size.
+# Largest side broadcast on a checked size (vectors, metadata).
 BROADCAST_LIMIT_BYTES = 64 << 20
+# Largest id set broadcast into a semi join (about 10 million ids).
+ID_SET_LIMIT_BYTES = 256 << 20
+ID_ROW_BYTES = 24
 
 
 def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

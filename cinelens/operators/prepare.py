@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cinelens.config import NO_GENRES
 from cinelens.functions import text
 from cinelens.functions.time import ntz_from_epoch_seconds
+from cinelens.operators.joins import ID_ROW_BYTES, ID_SET_LIMIT_BYTES, broadcast_if_small
 
 
 def drop_no_genres(movies: DataFrame) -> DataFrame:
@@ -112,6 +113,10 @@ def run_data_preparation(
     a merged-away id are dropped, not moved: Q5).
     """
     merged, valid_ids = merge_duplicate_titles(drop_no_genres(movies), ratings)
+    # The id set is one row per surviving movie: counted, it is broadcast
+    # into both semi joins when it fits, so neither ratings nor tags are
+    # shuffled to be filtered.
+    valid_ids = broadcast_if_small(valid_ids, valid_ids.count(), ID_ROW_BYTES, ID_SET_LIMIT_BYTES)
     movies_out = normalize_genres(merged)
     tags_out = normalize_tag_column(filter_on_valid_id(tags, valid_ids))
     ratings_out = mark_last_rating_per_user(convert_timestamp(filter_on_valid_id(ratings, valid_ids)))
