@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelens.config import MAX_RATING, MIN_RATING, MIN_RATINGS_PER_USER
+from cinelens.operators.joins import ID_ROW_BYTES, ID_SET_LIMIT_BYTES, broadcast_if_small
 
 log = logging.getLogger(__name__)
 
@@ -51,8 +52,13 @@ def duplicate_count(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphan_count(df: DataFrame, movies: DataFrame) -> DataFrame:
-    """V4 / V7 (J5, J6): rows whose movieId is not in ``movies``."""
-    orphans = df.select("movieId").join(movies.select("movieId"), "movieId", "left_anti")
+    """V4 / V7 (J5, J6): rows whose movieId is not in ``movies``.
+
+    The catalogue ids are counted and broadcast into the anti join when
+    they fit, so the ratings table is not shuffled just to be checked."""
+    ids = movies.select("movieId")
+    ids = broadcast_if_small(ids, ids.count(), ID_ROW_BYTES, ID_SET_LIMIT_BYTES)
+    orphans = df.select("movieId").join(ids, "movieId", "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("n_orphans"))
 
 
