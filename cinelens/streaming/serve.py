@@ -2,20 +2,26 @@
 
 The reference answers one HTTP request at a time from a model loaded once.
 Here requests arrive as a stream of rows ``(request_id, userId, k)`` (files
-landing in a folder, or any streaming source) and each micro-batch is
-answered by the batch operator for all users in it at once:
-``foreachBatch`` runs :meth:`ContentModel.recommend` on the batch's users
-(the blocked kernel scores only those users), keeps ``rank <= k`` per
-request and appends to a sink table. Unknown users get the popular list,
-as the service does.
-
-The stream is stateless (each request is answered from the fitted model),
-so exactly-once delivery comes from the checkpointed source offsets plus
-an idempotent sink keyed by ``(request_id, batch_id)``.
+landing in a folder, or any streaming source). Two forms:
+
+- :func:`serve`: ``foreachBatch`` scores the users of each micro-batch in
+  one job (the blocked kernel scores only those users);
+- :func:`serve_precomputed`: every user is scored once in batch
+  (:func:`precompute`), and the stream answers with stateless stream-static
+  equi-joins, no per-request work beyond the joins.
+
+Both are exact for each request's own k: a top-k ranked list is a prefix of
+a longer one, while the popular list (cold start) and top-up rows depend on
+k and are precomputed per k (bounded by ``max_k^2 / 2`` rows). Unknown
+users get the popular list, as the service does. The streams keep no state;
+exactly-once output comes from checkpointed source offsets and sinks that a
+replayed batch overwrites or appends idempotently.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +30,15 @@ REQUEST_SCHEMA = "request_id string, userId long, k int"
 
 def answer_requests(model, requests: DataFrame, max_k: int = 30) -> DataFrame:
     """Batch form: ``(request_id, userId, rank, movieId, title, genres)``
-    for each request, ``rank <= k`` (k capped at ``max_k``, as the UI's
-    slider is)."""
+    for each request (k capped at ``max_k``, as the UI's slider is). One
+    scoring pass for all users of the batch; the per-k tables of
+    :func:`precompute` make every answer exact for its own k."""
     req = requests.select(
         "request_id", "userId", F.least(F.coalesce(F.col("k"), F.lit(10)), F.lit(max_k)).alias("k")
     )
     top_k = req.agg(F.max("k")).first()[0] or 10
-    recs = model.recommend(req.select("userId"), int(top_k))
-    return req.join(recs, "userId").filter(F.col("rank") <= F.col("k")).select(
-        "request_id", "userId", "rank", "movieId", "title", "genres"
-    )
+    tables = precompute(model, req.select("userId"), int(top_k))
+    return answer_from_lists(req, tables, int(top_k))
 
 
 def serve(
@@ -64,3 +69,116 @@ def serve(
     else:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+@dataclass
+class ServingTables:
+    """Static side of request serving, exact for every ``k <= max_k``.
+
+    ``ranked``: per warm user the cosine-ranked unseen rows (a top-k list
+    is a prefix of a longer one); ``warm``: users with a profile;
+    ``topup``: for users whose ranked list is shorter than ``max_k``, the
+    top-up rows of each ``k`` (``popular(k - L)`` minus seen, catalogue
+    order), at most ``max_k^2 / 2`` rows per such user; ``cold``: the
+    popular list of each ``k`` in catalogue order (``max_k^2 / 2`` rows).
+    """
+
+    ranked: DataFrame
+    warm: DataFrame
+    topup: DataFrame
+    cold: DataFrame
+
+
+def precompute(model, users: DataFrame, max_k: int = 30) -> ServingTables:
+    """One batch job over ``users``; every table is checkpointed."""
+    from pyspark.sql import Window
+
+    n = int(max_k)
+    recs = model.recommend(users, n)
+    meta = model.movies.select("movieId", "title", "genres")
+    ranked = recs.filter(F.col("source") == "profile").select("userId", "rank", "movieId", "title", "genres")
+    warm = model.profiles.join(users.select("userId").distinct(), "userId", "left_semi").select("userId")
+    lengths = warm.join(ranked.groupBy("userId").agg(F.count(F.lit(1)).alias("L")), "userId", "left").select(
+        "userId", F.coalesce(F.col("L"), F.lit(0)).alias("L")
+    )
+    pop = model.popular(n).select("movieId", "pop_rank")
+    ks = F.explode(F.sequence(F.lit(1), F.lit(n))).alias("k")
+
+    # Cold: for each k, popular(k) in catalogue order.
+    cold = (
+        pop.select("movieId", "pop_rank", ks)
+        .filter(F.col("pop_rank") <= F.col("k"))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("movieId")))
+        .join(F.broadcast(meta.join(pop.select("movieId"), "movieId", "left_semi")), "movieId")
+        .select("k", "rank", "movieId", "title", "genres")
+    )
+
+    # Top-up: for short lists and each k > L, popular(k - L) minus seen.
+    seen = model.ratings.select("userId", "movieId").distinct()
+    short = lengths.filter(F.col("L") < n)
+    cands = (
+        short.select("userId", "L", F.explode(F.sequence(F.lit(1), F.lit(n) - F.col("L"))).alias("pop_rank"))
+        .join(F.broadcast(pop), "pop_rank")
+        .join(seen, ["userId", "movieId"], "left_anti")
+    )
+    per_k = cands.select("userId", "L", "movieId", "pop_rank", ks).filter(
+        (F.col("k") > F.col("L")) & (F.col("pop_rank") <= F.col("k") - F.col("L"))
+    )
+    topup = (
+        per_k.withColumn(
+            "rank", F.col("L") + F.row_number().over(Window.partitionBy("userId", "k").orderBy("movieId"))
+        )
+        .join(meta, "movieId", "left")
+        .select("userId", "k", "rank", "movieId", "title", "genres")
+    )
+    return ServingTables(
+        ranked.checkpoint(eager=True),
+        warm.checkpoint(eager=True),
+        topup.checkpoint(eager=True),
+        cold.checkpoint(eager=True),
+    )
+
+
+def answer_from_lists(requests: DataFrame, tables: ServingTables, max_k: int = 30) -> DataFrame:
+    """Stream-static equi-joins (no window, no state): a request
+    ``(request_id, userId, k)`` gets the user's ranked rows with ``rank <=
+    k`` and the top-up rows precomputed for that ``k``; a user without a
+    profile gets the cold list of that ``k``. Works on a streaming or a
+    batch ``requests``; the cold table has ``max_k^2 / 2`` rows, so it is
+    broadcast on a proven size."""
+    req = requests.select(
+        "request_id", "userId", F.least(F.coalesce(F.col("k"), F.lit(10)), F.lit(max_k)).alias("k")
+    )
+    tagged = req.join(tables.warm.withColumn("_warm", F.lit(True)), "userId", "left")
+    warm_req = tagged.filter(F.col("_warm").isNotNull())
+    cols = ["request_id", "userId", "rank", "movieId", "title", "genres"]
+    ranked = warm_req.join(tables.ranked, "userId").filter(F.col("rank") <= F.col("k")).select(*cols)
+    topped = warm_req.join(tables.topup, ["userId", "k"]).select(*cols)
+    cold = tagged.filter(F.col("_warm").isNull()).join(F.broadcast(tables.cold), "k").select(*cols)
+    return ranked.unionByName(topped).unionByName(cold)
+
+
+def serve_precomputed(
+    spark: SparkSession,
+    tables: ServingTables,
+    request_dir: str,
+    sink_path: str,
+    checkpoint_path: str,
+    max_k: int = 30,
+    trigger_seconds: int | None = None,
+):
+    """Start a stateless stream answering requests from precomputed lists
+    (stream-static joins, append mode) into a parquet sink."""
+    requests = spark.readStream.schema(REQUEST_SCHEMA).parquet(request_dir)
+    answers = answer_from_lists(requests, tables, max_k)
+    writer = (
+        answers.writeStream.format("parquet")
+        .option("path", sink_path)
+        .option("checkpointLocation", checkpoint_path)
+        .outputMode("append")
+    )
+    if trigger_seconds:
+        writer = writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
+    else:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -23,3 +23,40 @@ def test_requests_served_in_micro_batches(spark, tmp_path):
     assert len(got["r1"]) == 2 and not set(got["r1"]) & {1, 2}
     assert len(got["r2"]) == 3  # unknown user: popular list
     assert os.path.isdir(str(tmp_path / "ckpt"))
+
+
+def _fixture(spark):
+    movies = spark.createDataFrame(
+        [(1, "A", "x", "", "adventure animation"), (2, "B", "y", "", "adventure"), (3, "C", "z", "", "crime"),
+         (4, "D", "w", "", "comedy romance"), (5, "E", "v", "", "comedy")],
+        "movieId long, title string, genres string, tag string, movie_text string")
+    ratings = spark.createDataFrame([(1, 1, 5.0), (1, 2, 4.0), (1, 3, 4.0), (2, 4, 5.0)],
+                                    "userId long, movieId long, rating double")
+    return M.fit(movies, ratings, ModelParams(n_components=None)), ratings
+
+
+def _expected(spark, model, reqs):
+    """Each request answered by its own recommend call with its own k."""
+    out = []
+    for r in reqs.collect():
+        users = spark.createDataFrame([(r.userId,)], "userId long")
+        for x in model.recommend(users, r.k).collect():
+            out.append((r.request_id, x.rank, x.movieId))
+    return sorted(out)
+
+
+def test_stream_static_serving_exact_for_every_k(spark, tmp_path):
+    model, ratings = _fixture(spark)
+    tables = serve.precompute(model, ratings.select("userId").distinct(), max_k=4)
+    # user 1 has 2 unseen items: k=4 needs top-up; user 42 is cold (k < max_k).
+    reqs = spark.createDataFrame([("r1", 1, 4), ("r2", 42, 2), ("r3", 2, 1), ("r4", 1, 1), ("r5", 42, 4)],
+                                 serve.REQUEST_SCHEMA)
+    req_dir = str(tmp_path / "requests")
+    reqs.write.parquet(req_dir)
+    q = serve.serve_precomputed(spark, tables, req_dir, str(tmp_path / "out"), str(tmp_path / "ck"), max_k=4)
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out"))
+                 .select("request_id", "rank", "movieId").collect())
+    assert got == _expected(spark, model, reqs)
+    batch = sorted(tuple(r) for r in serve.answer_requests(model, reqs, 4).select("request_id", "rank", "movieId").collect())
+    assert batch == got
