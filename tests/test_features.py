@@ -87,3 +87,20 @@ def test_max_df_prunes_common_terms(spark):
     movies = spark.createDataFrame([(1, "aa bb"), (2, "aa cc")], "movieId long, movie_text string")
     _, vocab = features.tfidf(movies, TfidfParams())
     assert "aa" not in {r.term for r in vocab.collect()}  # df 2 > 0.95 * 2
+
+
+def test_tokenizer_agrees_with_word_regex_on_random_text(spark):
+    """F2 on 400 random strings mixing scripts, digits, marks and symbols:
+    the JVM pattern gives the same tokens as the documented word pattern
+    (runs of two or more word characters)."""
+    import random
+    import re
+
+    alphabet = list("abcXYZ019_ -!.,'éüßñçøÅ") + ["²", "٣", "中", "ж", " ", "\t", "́", "ǅ", "ʰ"]
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 25))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, movie_text string")
+    got = {r.i: r.t for r in df.select("i", text.tokens("movie_text").alias("t")).collect()}
+    word = re.compile(r"(?u)\b\w\w+\b")
+    for i, t in enumerate(texts):
+        assert got[i] == word.findall(t.lower()), repr(t)
