@@ -133,3 +133,24 @@ def test_whole_stage(spark):
     assert rows(t, "movieId", "tag") == [(1, "funny"), (3, "action_thriller"), (4, "classic")]
     got = rows(r, "userId", "movieId", "rating", "is_last_rating")
     assert got == [(1, 1, 4.0, True), (1, 1, 5.0, False), (3, 3, 3.0, True), (4, 4, 5.0, True)]
+
+
+def test_cleaning_rules_on_random_text(spark):
+    """N1 and N2 on 300 random strings against the rules written in plain
+    Python: lower case, Unicode whitespace, strip, drop outside [a-z0-9 ],
+    spaces to underscores (tags); pipes with spaces to one space (genres)."""
+    import random
+    import re
+
+    alphabet = list("aBc Z9_-|!.é") + [" ", "\t", "\n", " ", " | ", "ß"]
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 20))) for _ in range(300)]
+    df = spark.createDataFrame([(i, i, t, 0) for i, t in enumerate(texts)], T_SCHEMA)
+    tags = {r.userId: r.tag for r in prepare.normalize_tag_values(df).collect()}
+    genres = {r.movieId: r.genres for r in prepare.normalize_genres(
+        spark.createDataFrame([(i, "t", t) for i, t in enumerate(texts)], M_SCHEMA)).collect()}
+    for i, t in enumerate(texts):
+        tag = re.sub(r"\s+", " ", t.lower()).strip()
+        tag = re.sub(r"[^a-z0-9 ]", "", tag).replace(" ", "_")
+        assert tags[i] == tag, repr(t)
+        assert genres[i] == re.sub(r"\s*\|\s*", " ", t.lower()).strip(), repr(t)
