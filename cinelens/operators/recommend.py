@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelens.functions.vectors import vec_mean
+from cinelens.operators.joins import broadcast_if_small
 from cinelens.operators.profiles import liked
 from cinelens.operators.scoring import top_n_unseen
 
+# Conservative size of one metadata row (id, title, genres) when broadcast.
+METADATA_ROW_BYTES = 256
+
 
 def popular(items: DataFrame, n: int, dims: int) -> DataFrame:
     """The ``n`` items closest (cosine) to the centroid of all items.
@@ -35,6 +39,14 @@ def popular(items: DataFrame, n: int, dims: int) -> DataFrame:
     )
 
 
+def _metadata(movies: DataFrame) -> DataFrame:
+    """``(movieId, title, genres)``, broadcast when the counted catalogue
+    fits (J4): the table it meets has a row per recommendation, the largest
+    output of the job, and should not be shuffled for a lookup."""
+    meta = movies.select("movieId", "title", "genres")
+    return broadcast_if_small(meta, meta.count(), METADATA_ROW_BYTES)
+
+
 def seen_pairs(ratings: DataFrame) -> DataFrame:
     """P5: distinct ``(userId, movieId)`` pairs (hashed on both columns)."""
     return ratings.select("userId", "movieId").distinct()
@@ -103,7 +115,7 @@ def recommend_users(
         )
     )
     recs = ranked.unionByName(topped).unionByName(cold)
-    return recs.join(movies.select("movieId", "title", "genres"), "movieId", "left").select(
+    return recs.join(_metadata(movies), "movieId", "left").select(
         "userId", "rank", "movieId", "title", "genres", "similarity", "source"
     )
 
@@ -113,6 +125,6 @@ def liked_movies(ratings: DataFrame, movies: DataFrame, threshold: float) -> Dat
     metadata: ``(userId, movieId, title, genres)``; sort by movieId for the
     reference's catalogue order."""
     ids = liked(ratings, threshold).select("userId", "movieId").distinct()
-    return ids.join(movies.select("movieId", "title", "genres"), "movieId", "inner").select(
+    return ids.join(_metadata(movies), "movieId", "inner").select(
         "userId", "movieId", "title", "genres"
     )
