@@ -141,6 +141,24 @@ TFIDF_SQL = with_stages(PREP, TFIDF)
 SCORES_SQL = with_stages(PREP, TFIDF, SCORES)
 
 
+# ---------------------------------------------------------------- sources
+
+
+@query("s1_csv_scan", with_stages() + "SELECT movieId, title, genres FROM movies")
+def _s1(s: Stages):
+    """The catalogue written as CSV (header, RFC 4180 quoting) to the
+    checkpoint folder and scanned back with the declared schema."""
+    import uuid
+
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources.tables import read_csv
+
+    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/csv-{uuid.uuid4().hex}/movies.csv"
+    (s.raw[0].write.option("header", True).option("escape", '"').option("quoteAll", False)
+     .mode("overwrite").csv(path))
+    return read_csv(s.spark, path, "movies")
+
+
 # ------------------------------------------------------------- validation
 
 
