@@ -37,6 +37,9 @@ from cinelens.operators.joins import BROADCAST_LIMIT_BYTES
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
 CANDIDATE_SCHEMA = "userId long, movieId long, similarity double"
+# Session setting for the per-task vector budget, in MB per side.
+BUDGET_CONF = "cinelens.scoring.budgetMB"
+DEFAULT_BUDGET_MB = 64
 # Users scored per numpy product inside a task (bounds the score matrix).
 CHUNK_USERS = 256
 
@@ -140,7 +143,7 @@ def top_n_unseen(
     dims: int,
     items_per_block: int = 20000,
     users_per_group: int = 20000,
-    budget_bytes: int = 64 << 20,
+    budget_bytes: int | None = None,
     seed: int = 17,
 ) -> DataFrame:
     """Exact top ``n`` items per user, seen items excluded.
@@ -150,10 +153,15 @@ def top_n_unseen(
     rank)`` with ranks 1..n (fewer when fewer unseen items exist),
     checkpointed (at most ``n`` rows per user).
     """
-    ship_package(profiles.sparkSession)
+    spark = profiles.sparkSession
+    ship_package(spark)
+    if budget_bytes is None:
+        # Per-task vector budget (each side); larger executors can raise it
+        # to cut the number of user salts, and so the catalogue copies.
+        budget_bytes = int(float(spark.conf.get(BUDGET_CONF, str(DEFAULT_BUDGET_MB))) * (1 << 20))
     n_items = items.count()
     n_users = profiles.count()
-    parallelism = profiles.sparkSession.sparkContext.defaultParallelism
+    parallelism = spark.sparkContext.defaultParallelism
     blocks, salts = grid_size(
         n_users, n_items, dims, budget_bytes, users_per_group, items_per_block, min_tasks=2 * parallelism
     )
@@ -205,5 +213,5 @@ def top_n_unseen(
     top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     # Materialized once: callers read the lists several times (ranked rows,
     # list lengths, hits), and the kernel is the costliest step to redo.
-    ensure_checkpoint_dir(profiles.sparkSession)
+    ensure_checkpoint_dir(spark)
     return top.checkpoint(eager=True)

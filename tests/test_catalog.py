@@ -52,3 +52,19 @@ def test_every_query_has_a_callable():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert not math.isnan(len(qs))
+
+
+@pytest.mark.parametrize("name", ["r2_recommend", "e5_eval_lists", "f7_svd_gram", "a4_last_rating", "v8_report"])
+def test_no_cartesian_or_nested_loop_plans(spark, name):
+    """Scale guard: the final (post-AQE) plan of each query has no
+    cartesian product and no broadcast nested-loop join."""
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_report import plan_text, summarize
+
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    counts = summarize(plan_text(df))["counts"]
+    assert "CartesianProduct" not in counts and "BroadcastNestedLoopJoin" not in counts, counts
