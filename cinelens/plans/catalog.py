@@ -414,6 +414,16 @@ def _r3(s: Stages):
     return m.recommend(s.users, n).filter(F.col("source") == "top_up")
 
 
+@query("r3_top_up_dedupe", SCORES_SQL + ",\n" + recommend_sql(n=_N_ALL, dedupe=True).replace(
+    "FROM recs r LEFT JOIN", "FROM (SELECT * FROM recs WHERE source = 'top_up') r LEFT JOIN"))
+def _r3d(s: Stages):
+    """R3 with the ``dedupe_top_up`` switch: top-up rows skip items already
+    in the ranked list (the parity form, r3_top_up, may repeat them)."""
+    m = s.model(None)
+    n = s.featurized.count()
+    return m.recommend(s.users, n, dedupe_top_up=True).filter(F.col("source") == "top_up")
+
+
 @query("r5_liked", PREP_SQL + """
 SELECT DISTINCT r.userId, f.movieId, f.title, f.genres
 FROM ratings_prep r JOIN featurized f ON f.movieId = r.movieId WHERE r.rating >= 4.0

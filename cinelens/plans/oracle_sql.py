@@ -132,7 +132,7 @@ pop AS (
 
 
 def recommend_sql(n: str = "10", users: str = "SELECT DISTINCT userId FROM ratings",
-                  seen: str = "seen", meta: str = "featurized") -> str:
+                  seen: str = "seen", meta: str = "featurized", dedupe: bool = False) -> str:
     """R2 + R3 + R7 + J4 for ``users``; ``n`` is SQL text (a number or a
     scalar subquery)."""
     return rf"""
@@ -147,7 +147,8 @@ lens AS (
 fill AS (
   SELECT l.userId, l.L, p.movieId FROM lens l JOIN pop p ON p.pop_rank <= {n} - l.L
   WHERE l.L < {n}
-    AND NOT EXISTS (SELECT 1 FROM {seen} x WHERE x.userId = l.userId AND x.movieId = p.movieId)),
+    AND NOT EXISTS (SELECT 1 FROM {seen} x WHERE x.userId = l.userId AND x.movieId = p.movieId)
+    {"AND NOT EXISTS (SELECT 1 FROM top t WHERE t.userId = l.userId AND t.movieId = p.movieId)" if dedupe else ""}),
 topped AS (
   SELECT userId, L + row_number() OVER (PARTITION BY userId ORDER BY movieId) AS rank, movieId,
          0.0 AS similarity, 'top_up' AS source
