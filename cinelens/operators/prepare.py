@@ -113,10 +113,11 @@ def run_data_preparation(
     a merged-away id are dropped, not moved: Q5).
     """
     merged, valid_ids = merge_duplicate_titles(drop_no_genres(movies), ratings)
-    # The id set is one row per surviving movie: counted, it is broadcast
-    # into both semi joins when it fits, so neither ratings nor tags are
-    # shuffled to be filtered.
-    valid_ids = broadcast_if_small(valid_ids, valid_ids.count(), ID_ROW_BYTES, ID_SET_LIMIT_BYTES)
+    # The id set has at most one row per catalogue movie; bounded by the
+    # catalogue's row count (a scan of the catalogue only, not of ratings),
+    # it is broadcast into both semi joins when it fits, so neither ratings
+    # nor tags are shuffled to be filtered.
+    valid_ids = broadcast_if_small(valid_ids, movies.count(), ID_ROW_BYTES, ID_SET_LIMIT_BYTES)
     movies_out = normalize_genres(merged)
     tags_out = normalize_tag_column(filter_on_valid_id(tags, valid_ids))
     ratings_out = mark_last_rating_per_user(convert_timestamp(filter_on_valid_id(ratings, valid_ids)))

@@ -39,12 +39,14 @@ def popular(items: DataFrame, n: int, dims: int) -> DataFrame:
     )
 
 
-def _metadata(movies: DataFrame) -> DataFrame:
-    """``(movieId, title, genres)``, broadcast when the counted catalogue
-    fits (J4): the table it meets has a row per recommendation, the largest
-    output of the job, and should not be shuffled for a lookup."""
+def _metadata(movies: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """``(movieId, title, genres)``, broadcast when the catalogue fits (J4):
+    the table it meets has a row per recommendation, the largest output of
+    the job, and should not be shuffled for a lookup. ``n_rows`` is a known
+    row count (else the catalogue is counted)."""
     meta = movies.select("movieId", "title", "genres")
-    return broadcast_if_small(meta, meta.count(), METADATA_ROW_BYTES)
+    n = meta.count() if n_rows is None else n_rows
+    return broadcast_if_small(meta, n, METADATA_ROW_BYTES)
 
 
 def seen_pairs(ratings: DataFrame) -> DataFrame:
@@ -63,6 +65,7 @@ def recommend_users(
     dedupe_top_up: bool = False,
     items_per_block: int = 20000,
     users_per_group: int = 20000,
+    n_movies: int | None = None,
 ) -> DataFrame:
     """R2 + R3 + R7 (+ J4) for every user in ``users(userId)``.
 
@@ -71,7 +74,8 @@ def recommend_users(
     minus seen, in catalogue order; with ``dedupe_top_up=False`` (parity,
     Q2) those may repeat listed items. Cold users get ``popular(n)`` in
     catalogue order, seen items not excluded (Q4).
-    ``ratings`` gives the seen sets, ``movies`` the metadata (R10).
+    ``ratings`` gives the seen sets, ``movies`` the metadata (R10);
+    ``n_movies`` its row count when known.
     """
     n = int(n)
     users = users.select("userId").distinct()
@@ -115,16 +119,16 @@ def recommend_users(
         )
     )
     recs = ranked.unionByName(topped).unionByName(cold)
-    return recs.join(_metadata(movies), "movieId", "left").select(
+    return recs.join(_metadata(movies, n_movies), "movieId", "left").select(
         "userId", "rank", "movieId", "title", "genres", "similarity", "source"
     )
 
 
-def liked_movies(ratings: DataFrame, movies: DataFrame, threshold: float) -> DataFrame:
+def liked_movies(ratings: DataFrame, movies: DataFrame, threshold: float, n_movies: int | None = None) -> DataFrame:
     """Per user the movies rated ``>= threshold``, once each, with
     metadata: ``(userId, movieId, title, genres)``; sort by movieId for the
     reference's catalogue order."""
     ids = liked(ratings, threshold).select("userId", "movieId").distinct()
-    return ids.join(_metadata(movies), "movieId", "inner").select(
+    return ids.join(_metadata(movies, n_movies), "movieId", "inner").select(
         "userId", "movieId", "title", "genres"
     )

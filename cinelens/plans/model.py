@@ -50,14 +50,21 @@ class ContentModel:
             dedupe_top_up=dedupe_top_up,
             items_per_block=self.params.items_per_block,
             users_per_group=self.params.users_per_group,
+            n_movies=None if movies is not None else self.n_catalogue(),
         )
 
+    def n_catalogue(self) -> int:
+        """Rows of the model's catalogue: one item vector per movie, read
+        from the checkpointed vectors instead of re-running featurization."""
+        return self.items.count()
+
     def liked(self, ratings: DataFrame | None = None, movies: DataFrame | None = None) -> DataFrame:
         """R5 for every user."""
         return recommend.liked_movies(
             ratings if ratings is not None else self.ratings,
             movies if movies is not None else self.movies,
             self.params.rating_threshold,
+            n_movies=None if movies is not None else self.n_catalogue(),
         )
 
     def popular(self, n: int = 10) -> DataFrame:

@@ -24,6 +24,7 @@ from cinelens.config import (
 )
 from cinelens.operators import evaluate, features, prepare, validate
 from cinelens.plans.model import ContentModel, fit
+from cinelens.session import ensure_checkpoint_dir
 from cinelens.sources import store
 
 log = logging.getLogger(__name__)
@@ -69,7 +70,11 @@ def run(
         log.warning("validation: %s", exc)
 
     movies_p, tags_p, ratings_p = prepare.run_data_preparation(movies, ratings, tags)
-    featurized = features.assemble_movie_text(movies_p, tags_p)
+    # Both feed several jobs (fit, profiles, seen sets, evaluation, lookups):
+    # written once to the checkpoint folder instead of recomputed per use.
+    ensure_checkpoint_dir(spark)
+    featurized = features.assemble_movie_text(movies_p, tags_p).checkpoint(eager=True)
+    ratings_p = ratings_p.checkpoint(eager=True)
     model = fit(featurized, ratings_p, params)
     if model_path:
         store.save_model(model, model_path)
