@@ -14,6 +14,7 @@ from cinelens.functions.vectors import vec_mean
 from cinelens.operators.joins import broadcast_if_small
 from cinelens.operators.profiles import liked
 from cinelens.operators.scoring import top_n_unseen
+from cinelens.session import ensure_checkpoint_dir
 
 # Conservative size of one metadata row (id, title, genres) when broadcast.
 METADATA_ROW_BYTES = 256
@@ -78,7 +79,10 @@ def recommend_users(
     ``n_movies`` its row count when known.
     """
     n = int(n)
-    users = users.select("userId").distinct()
+    # Read by the warm/cold split, the grid sizing and the kernel: the
+    # distinct user set is written once instead of re-derived per use.
+    ensure_checkpoint_dir(profiles.sparkSession)
+    users = users.select("userId").distinct().checkpoint(eager=True)
     warm = profiles.join(users, "userId", "left_semi")
     seen = seen_pairs(ratings)
     top = top_n_unseen(
