@@ -150,7 +150,12 @@ def evaluate_leave_one_out(
     prof = train_profiles(rows, held, items, dims)
 
     # One scoring pass: exclude seen minus the held-out movie, keep k + 1.
-    seen = ratings.select("userId", "movieId").distinct().join(prof.select("userId"), "userId", "left_semi")
+    # Restrict to the evaluated users first (at most max_users ids, broadcast
+    # when bounded), then deduplicate: no distinct over the whole table.
+    evaluated_ids = prof.select("userId")
+    if max_users is not None:
+        evaluated_ids = F.broadcast(evaluated_ids)
+    seen = ratings.join(evaluated_ids, "userId", "left_semi").select("userId", "movieId").distinct()
     seen_but_held = seen.join(
         held.select("userId", F.col("held_movieId").alias("movieId")), ["userId", "movieId"], "left_anti"
     )
