@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelens.llm import langid, quality, toxicity
+from cinelens.llm import jaccard, langid, linededup, mixing, packing, quality, tokens, topk, toxicity, vptree
 from cinelens.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -36,6 +36,63 @@ def op1_language_id(spark, sf_dir):
     return out.select("doc_id", held.alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "margin", (F.col("lang") == langid.UND).alias("rejected"))
 
 
+@query
+def op2_source_mix(spark, sf_dir):
+    """The mix of all documents by source, in training order."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    first = mixed.withColumn("position", F.round(F.array_min(F.transform("copies", lambda c: c["position"])), 6))
+    return mixing.in_order(first).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+ORACLE["op2_source_mix"] = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5(CAST(doc_id AS VARCHAR)) AS ticket
+  FROM documents),
+s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1]::DOUBLE AS weight FROM s),
+l AS (
+  SELECT *, (3 * source_size) / weight AS ratio,
+    (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, weight, CAST(source_size AS BIGINT) AS source_size,
+    least(3.0::DOUBLE * source_size, weight * coalesce((SELECT min(level) FROM l WHERE ratio > level), 0)) AS target
+  FROM l),
+c AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.weight,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ticket, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (
+  SELECT *, greatest(0, least(size, floor(target) - at)) + greatest(0, least(size, floor(target) - at - source_size))
+          + greatest(0, least(size, floor(target) - at - 2 * source_size)) AS taken, at / target AS share FROM c)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(taken AS BIGINT) AS taken,
+  CASE WHEN taken > 0 THEN round(CASE weight
+    WHEN 5 THEN 2 * share / (1.5 + sqrt(2.25 - 2 * share))
+    WHEN 2 THEN share
+    ELSE 2 * share / (0.5 + sqrt(0.25 + 2 * share)) END, 6) END AS position
+FROM k
+"""
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    """Tokens of every document by page of 1,000 characters; a token that
+    crosses a page's end counts where it begins."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", tokens.pages(F.col("text"), 1000).alias("sections"))
+    out = tokens.section_counts(docs, "first")
+    return out.select("doc_id", F.col("section").alias("page"), F.col("start").alias("char_start"), F.col("end").alias("char_end"),
+                      F.col("tokens").cast("long").alias("n_tokens"), "doc_tokens")
+
+
+@query
+def op4_ngram_jaccard(spark, sf_dir):
+    """Components of near copies among all documents (4 words, 0.85)."""
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 @query
 def op5_quality(spark, sf_dir):
     """Quality score of every document; learned outside the held-out third."""
@@ -45,6 +102,44 @@ def op5_quality(spark, sf_dir):
     return classified(quality.score(docs, model).withColumn("held_out", held))
 
 
+@query
+def op6_line_dedup(spark, sf_dir):
+    """Every line of all documents: whether it is kept, and its keeper."""
+    return linededup.lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "kept", "keeper_doc_id", "keeper_line_no")
+
+
+@query
+def op7_packing(spark, sf_dir):
+    """Token sequences of all documents, one row for each piece."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_topk(spark, sf_dir):
+    """The 20 best inner products of every 20th vector, exactly."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op8_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query
+def op9_vptree(spark, sf_dir):
+    """The 10 nearest vectors found for every 100th vector."""
+    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op10_toxicity(spark, sf_dir):
     """Toxicity score of every document; learned outside the held-out fifth."""
