@@ -52,10 +52,10 @@ def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     if n == 0:
         return np.empty(0, np.uint64)
     if n < k:
-        total = np.uint64(n) * _PLACE[7]
+        total = np.full(1, n, np.uint64) * _PLACE[7]
         for j in range(n):
-            total = total + mix64(hashes[j : j + 1] * _PLACE[j])
-        return mix64(np.atleast_1d(total))
+            total += mix64(hashes[j : j + 1] * _PLACE[j])
+        return mix64(total)
     total = np.zeros(n - k + 1, np.uint64)
     for j in range(k):
         total += mix64(hashes[j : n - k + 1 + j] * _PLACE[j])

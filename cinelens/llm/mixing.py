@@ -85,8 +85,9 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
     free = capped.withColumn("level", level).withColumn("ratio", F.col("cap") / F.col("weight"))
-    # The first source that stays under its cap has the level of all that do.
-    chosen = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", "level"))).over(whole)["level"]
+    # The first source that stays under its cap has the level of all that do
+    # (of equal ratios the first has the highest).
+    chosen = -F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", (-F.col("level")).alias("fall")))).over(whole)["fall"]
     return free.withColumn("chosen", F.coalesce(chosen, F.lit(0.0))).select(
         "source", "kind", "source_size", F.least("cap", F.col("chosen") * F.col("weight")).alias("target"))
 

@@ -59,15 +59,15 @@ l AS (
   FROM w WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
   SELECT source, weight, CAST(source_size AS BIGINT) AS source_size,
-    least(3.0::DOUBLE * source_size, weight * coalesce((SELECT min(level) FROM l WHERE ratio > level), 0)) AS target
+    least(3.0::DOUBLE * source_size, weight * coalesce((SELECT max(level) FROM l WHERE ratio = (SELECT min(ratio) FROM l WHERE ratio > level)), 0)) AS target
   FROM l),
 c AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, t.weight,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ticket, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ticket, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 k AS (
-  SELECT *, greatest(0, least(size, floor(target) - at)) + greatest(0, least(size, floor(target) - at - source_size))
-          + greatest(0, least(size, floor(target) - at - 2 * source_size)) AS taken, at / target AS share FROM c)
+  SELECT *, greatest(0, least(size, floor(target) - ahead)) + greatest(0, least(size, floor(target) - ahead - source_size))
+          + greatest(0, least(size, floor(target) - ahead - 2 * source_size)) AS taken, ahead / target AS share FROM c)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(taken AS BIGINT) AS taken,
   CASE WHEN taken > 0 THEN round(CASE weight
     WHEN 5 THEN 2 * share / (1.5 + sqrt(2.25 - 2 * share))
@@ -122,10 +122,10 @@ def op8_topk(spark, sf_dir):
 
 ORACLE["op8_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 p AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),

@@ -6,9 +6,9 @@ query reads all lists in step, from the end that suits the sign of its own
 component: the rows met are scored in full, and at each depth the threshold
 (the sum over dimensions of the query's component times the list's value
 there) bounds every row not met yet. Reading stops when the k-th score found
-is above the threshold, so that no row unseen could reach it or tie; at the
-latest when a list has been read to its end. Depths grow geometrically, and
-the rows new at a depth are scored together.
+is above the threshold, so that no row unseen could reach it or tie, or when
+every row has been met. Depths grow geometrically, and the rows new at a depth
+are scored together.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ K = 20
 SCALE = 64
 SHARD_ROWS = 4096
 BLOCK_ROWS = 4096
-#: First depth of the lists; each next one is twice as deep.
+#: Least first depth of the lists (a 16th of a shard otherwise); each next one
+#: is twice as deep.
 FIRST_DEPTH = 16
 
 
@@ -40,28 +41,38 @@ class Lists:
         first and ties by id, and the depth read. Lists of components 0 add
         nothing to a score and are not read."""
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        met = np.zeros(self.n, bool)
-        scores = np.zeros(self.n, np.int64)
+        query = query.astype(self.rows.dtype)
+        met, scores = np.zeros(self.n, bool), np.zeros(self.n, self.rows.dtype)
         depth, best = 0, np.empty(0, np.int64)
         while True:
-            last, depth = depth, min(self.n, max(FIRST_DEPTH, depth * 2))
+            last, depth = depth, min(self.n, max(FIRST_DEPTH, self.n // 16, depth * 2))
             fresh = np.zeros(self.n, bool)
             fresh[self.order[last:depth][:, up]] = True
             fresh[self.order[self.n - depth : self.n - last][:, down]] = True
             if not len(up) and not len(down):
-                depth, fresh[:] = self.n, True
+                fresh[:] = True
             fresh &= ~met
             new = np.flatnonzero(fresh)
             met |= fresh
-            # Whole numbers under 2**53 in all, so the double product is exact.
-            scores[new] = (self.rows[new] @ query).astype(np.int64)
+            scores[new] = (self.rows @ query)[new] if 2 * len(new) > self.n else self.rows[new] @ query
             best = np.concatenate([best, new[ids[new] != own]])
+            if len(best) > 4 * k:
+                found = scores[best]
+                best = best[found >= np.partition(found, -k)[-k]]
             best = best[np.lexsort((ids[best], -scores[best]))][:k]
-            if depth == self.n:
-                return best, scores[best], depth
+            if met.all() or depth == self.n:
+                return best, scores[best].astype(np.int64), depth
             bound = self.sorted[depth - 1, up] @ query[up] + self.sorted[self.n - depth, down] @ query[down]
             if len(best) == k and scores[best[-1]] > bound:
-                return best, scores[best], depth
+                return best, scores[best].astype(np.int64), depth
+
+
+def exact_type(rows: np.ndarray, queries: np.ndarray):
+    """The floats that hold every partial sum of a product exactly."""
+    largest = np.abs(rows).max() * np.abs(queries).max() * rows.shape[1]
+    if largest >= 2.0**53:
+        raise ValueError("inner products of these vectors do not fit a double exactly; use a smaller scale")
+    return np.float32 if largest < 2.0**24 else np.float64
 
 
 def quantize(vec: str = "vec", scale: int = SCALE) -> Column:
@@ -78,7 +89,7 @@ def search(embeddings: DataFrame, is_query: Column, k: int = K, scale: int = SCA
     rows = vectors.clean(embeddings).withColumn("vec", quantize(scale=scale))
 
     def within(ids, rows, asked, queries):
-        lists = Lists(rows)
+        lists = Lists(rows.astype(exact_type(rows, queries)))
         got = [lists.top(q, ids, own, k)[:2] for own, q in zip(asked, queries)]
         at = np.repeat(np.arange(len(got)), [len(b) for b, _ in got])
         return at, ids[np.concatenate([b for b, _ in got])], np.concatenate([s for _, s in got])

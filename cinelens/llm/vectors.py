@@ -40,8 +40,8 @@ def blocks(rows: DataFrame, is_query, shard_rows: int, block_rows: int):
     parts = max(1, math.ceil(queries.count() / block_rows))
     shard = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards))
     block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(parts))
-    candidates = rows.withColumn("shard", shard).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
-    asked = queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long"))
+    candidates = rows.withColumn("shard", shard).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    asked = queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     return candidates, asked, shards * parts
 
 
