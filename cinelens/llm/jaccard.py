@@ -36,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelens.llm import kernels, regions
@@ -259,3 +259,21 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     labels = components(links)
     out = named.join(labels, named["class_id"] == labels["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id")
+
+
+def keep_one(docs: DataFrame, params: Params = Params()) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest
+    doc_id, and with its columns. Documents without words and rows with a null
+    doc_id stay; of rows that repeat a doc_id one stays (by hash of its text)."""
+    named = join(docs, params).checkpoint()
+    ids = named.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("head")).checkpoint()
+    gone = ids.filter("head = 0").select(F.col("doc_id").alias("_id")).checkpoint()
+    kept = docs.join(broadcast_if_small(gone, gone.count(), 24), docs["doc_id"] == F.col("_id"), "left_anti")
+    repeated = ids.filter("head = 1 and rows > 1").select(F.col("doc_id").alias("_id")).checkpoint()
+    if repeated.isEmpty():
+        return kept
+    several = broadcast_if_small(repeated, repeated.count(), 24)
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    once = kept.join(several, kept["doc_id"] == F.col("_id"), "left_semi").withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    return kept.join(several, kept["doc_id"] == F.col("_id"), "left_anti").unionByName(once)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cinelens.llm import nbsvm
+from cinelens.llm.common import prepare, slices
 
 PARAMS = nbsvm.Params(grams="char", orders=(5, 6, 7), bits=19, fit_rows=3000)
 
@@ -26,22 +28,18 @@ def score(docs: DataFrame, model: nbsvm.Model, keep=("doc_id",)) -> DataFrame:
 
 
 def remove(docs: DataFrame, model: nbsvm.Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` scored under ``threshold``, with their columns."""
-    from pyspark.sql.types import StructField, StructType
-
-    from cinelens.llm.common import prepare, slices
-
+    """The rows of ``docs`` scored under ``threshold``, with their columns;
+    rows with a null or empty text stay."""
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         scorer = nbsvm.Scorer(shared.value)
         for batch in slices(batches, 2000):
-            keep = np.array([scorer(t.as_py()) < threshold for t in batch.column("text")], bool)
-            yield batch.filter(pa.array(keep))
+            keep = [not t or scorer(t) < threshold for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, StructType([StructField(f.name, f.dataType) for f in docs.schema.fields]))
