@@ -3,8 +3,8 @@
 *Encoding.* The tokenizer file (a parameter) is read once on the driver and
 broadcast. Texts of plain Latin letters, digits, marks and white space are
 split at white space, which this tokenizer drops and never merges across, and
-every distinct word is encoded once in a worker; all other texts are encoded
-whole. Either way the ids are those of the tokenizer for the whole text.
+every distinct part of a word is encoded once in a worker; all other texts are
+encoded whole. Either way the ids are those of the tokenizer for the whole text.
 
 *Attribution* (``section_counts``). A document is encoded once. Its tokens'
 character spans, which are sorted, are joined to its sections by binary
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -50,18 +51,46 @@ def read(path: str) -> str:
         return f.read()
 
 
+# How the tokenizer's pattern cuts lower-case plain text within a word.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 for itself, the others in order from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return [letters[b] for b in range(256)]
+
+
+class _Parts(dict):
+    """Part of a word (letters, a digit, marks) to the ids of its tokens."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        coded = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
+        ids = [t.id for t in self.model.tokenize(coded)]
+        self[part] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+
 class _Ids(dict):
     """Word to the little-endian 32-bit ids of its tokens."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.parts = tokenizer, _Parts(tokenizer.model)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
+        self[word] = out = b"".join(map(self.parts.__getitem__, _PARTS.findall(word)))
         return out
 
 
