@@ -56,6 +56,3 @@ class ModelParams:
     svd_power_iters: int = 5
     # Largest vocabulary kept as dense exact vectors when n_components is None.
     max_exact_dims: int = 16384
-    # Scoring blocks: items per block and users per group (memory per task).
-    items_per_block: int = 20000
-    users_per_group: int = 20000

@@ -60,28 +60,23 @@ def tokens(c) -> Column:
 
 def ngrams(tok: Column, ngram_range: tuple = (1, 2)) -> Column:
     """all n-grams with n in ``ngram_range``, words joined by a space,
-    unigrams first, then bigrams, each in text order."""
+    unigrams first, then bigrams, each in text order.
+
+    An (n+1)-gram is an n-gram zipped with the token after it, so every
+    position costs one concatenation whatever the text's length. ``tok``
+    should be a column, not an expression to evaluate again.
+    """
     lo, hi = ngram_range
-    parts = []
-    for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append(tok)
-            continue
-        idx = F.sequence(F.lit(0), F.size(tok) - n)
-        # One-argument lambda only: transform() passes (element, index) to
-        # a two-argument one.
-        gram = F.transform(idx, _gram_at(tok, n))
-        parts.append(F.when(F.size(tok) >= n, gram).otherwise(F.array().cast("array<string>")))
+    parts, grams = [], tok
+    for n in range(1, hi + 1):
+        if n > 1:
+            count = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))
+            grams = F.zip_with(F.slice(grams, 1, count), F.slice(tok, n, count), lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= lo:
+            parts.append(grams)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def _gram_at(tok: Column, n: int):
-    def at(i):
-        return F.array_join(F.slice(tok, i + 1, F.lit(n)), " ")
-
-    return at
-
-
 def display_genres(c) -> Column:
     """``|`` to ``, `` then ``,`` to ``, ``; ``A|B`` shows as ``A,  B``."""
     once = F.replace(_col(c).cast("string"), F.lit("|"), F.lit(", "))

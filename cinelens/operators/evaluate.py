@@ -21,15 +21,24 @@ per user. Here every step is a DataFrame over all sampled users at once:
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelens.config import EVAL_MAX_USERS, EVAL_MIN_LIKED, EVAL_SEED, RATING_THRESHOLD, TOP_K
 from cinelens.functions.time import epoch_seconds
-from cinelens.operators.joins import broadcast_if_small, vector_row_bytes
+from cinelens.operators.joins import ID_ROW_BYTES, broadcast_if_small, vector_row_bytes
 from cinelens.operators.profiles import weighted_profiles
 from cinelens.operators.scoring import top_n_unseen
+from cinelens.session import ensure_checkpoint_dir
+
+
+class Evaluation(NamedTuple):
+    result: DataFrame
+    lists: DataFrame
+    users: DataFrame
 
 
 def _epoch(df: DataFrame, col: str = "timestamp"):
@@ -134,15 +143,14 @@ def evaluate_leave_one_out(
     k: int = TOP_K,
     max_users: int | None = EVAL_MAX_USERS,
     seed: int = EVAL_SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """``(result, lists)``.
-
-    ``lists``: ``(userId, rank, movieId, similarity, held_movieId)`` of the
-    masked top-k lists. ``result`` is one row ``(hit_rate_at_k, n_users, k,
-    coverage_at_k, users_evaluated, hit_rate_at_k_unmasked)``;
-    ``users_evaluated`` is the sorted list of user ids (null when
-    ``max_users`` is None, as the list would then be unbounded; read the
-    users from ``lists``).
+) -> Evaluation:
+    """E1-E8 over a sample of ``max_users`` users, or over all (``None``).
+
+    ``result`` is one row ``(hit_rate_at_k, n_users, k, coverage_at_k,
+    hit_rate_at_k_unmasked)``; ``lists`` has ``(userId, rank, movieId,
+    similarity, held_movieId)`` of the masked top-k lists; ``users`` has a row
+    ``(userId, hit, hit_unmasked)`` for each evaluated user, however many
+    (:func:`record` makes the one-row form with an array of ids).
     """
     users = sample_users(eligible_users(ratings, like_threshold, min_liked), max_users, seed)
     rows = liked_rows(ratings, users, like_threshold, seed)
@@ -152,9 +160,9 @@ def evaluate_leave_one_out(
     # One scoring pass: exclude seen minus the held-out movie, keep k + 1.
     # Restrict to the evaluated users first (at most max_users ids, broadcast
     # when bounded), then deduplicate: no distinct over the whole table.
-    evaluated_ids = prof.select("userId")
-    if max_users is not None:
-        evaluated_ids = F.broadcast(evaluated_ids)
+    ensure_checkpoint_dir(prof.sparkSession)
+    prof = prof.checkpoint(eager=True)
+    evaluated_ids = broadcast_if_small(prof.select("userId"), prof.count(), ID_ROW_BYTES)
     seen = ratings.join(evaluated_ids, "userId", "left_semi").select("userId", "movieId").distinct()
     seen_but_held = seen.join(
         held.select("userId", F.col("held_movieId").alias("movieId")), ["userId", "movieId"], "left_anti"
@@ -183,9 +191,6 @@ def evaluate_leave_one_out(
         F.count(F.lit(1)).alias("n_users"),
         F.sum("hit").alias("hits"),
         F.sum("hit_u").alias("hits_u"),
-        (F.array_sort(F.collect_list("userId")) if max_users is not None else F.lit(None).cast("array<bigint>")).alias(
-            "users_evaluated"
-        ),
     )
     cover = lists.agg(F.countDistinct("movieId").alias("n_distinct"), F.count(F.lit(1)).alias("n_recs"))
     result = user_part.select(
@@ -195,9 +200,16 @@ def evaluate_leave_one_out(
         F.when(cover.select("n_recs").scalar() > 0,
                cover.select("n_distinct").scalar() / cover.select("n_recs").scalar())
         .otherwise(F.lit(0.0)).alias("coverage_at_k"),
-        "users_evaluated",
         F.when(F.col("n_users") > 0, F.col("hits_u") / F.col("n_users")).otherwise(F.lit(0.0)).alias(
             "hit_rate_at_k_unmasked"
         ),
     )
-    return result, lists
+    return Evaluation(result, lists, per_user.withColumnRenamed("hit_u", "hit_unmasked"))
+
+
+def record(evaluation: Evaluation) -> DataFrame:
+    """E8 as one row: the result with ``users_evaluated``, the sorted ids.
+    For a bounded sample; of an evaluation of all users read ``users``."""
+    ids = evaluation.users.agg(F.array_sort(F.collect_list("userId")).alias("users_evaluated")).scalar()
+    return evaluation.result.select(
+        "hit_rate_at_k", "n_users", "k", "coverage_at_k", ids.alias("users_evaluated"), "hit_rate_at_k_unmasked")

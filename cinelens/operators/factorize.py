@@ -40,7 +40,7 @@ def exact_vectors(weights: DataFrame, vocab: DataFrame, movies: DataFrame, max_d
     """
     dims = vocab.count()
     if dims == 0:
-        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
+        raise ValueError("No term is left in the vocabulary: lower min_df or raise max_df.")
     if dims > max_dims:
         raise ValueError(
             f"vocabulary has {dims} terms, above max_exact_dims={max_dims}; use n_components"
@@ -76,6 +76,10 @@ def _stack(series: pd.Series, width: int) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64, copy=False)
 
 
+# Largest Gram matrix (2,896 columns) held by a task and by the driver.
+GRAM_LIMIT_BYTES = 64 << 20
+
+
 def gram(df: DataFrame, col: str, width: int) -> np.ndarray:
     """``X^T X`` of a vector column (``width x width``, on the driver).
 
@@ -83,6 +87,9 @@ def gram(df: DataFrame, col: str, width: int) -> np.ndarray:
     summed by one grouped vector sum. Only ``width^2`` numbers are returned.
     """
 
+    if width * width * 8 > GRAM_LIMIT_BYTES:
+        raise ValueError(f"{width} columns: their Gram matrix is over {GRAM_LIMIT_BYTES >> 20} MB; ask for fewer components")
+
     def partial(batches):
         acc = np.zeros((width, width))
         for pdf in batches:
@@ -113,15 +120,21 @@ def apply_matrix(df: DataFrame, key: str, col: str, m: np.ndarray) -> DataFrame:
     return df.select(key, col).mapInPandas(run, f"{key} {key_type}, {col} array<double>")
 
 
-def orthonormal_transform(g: np.ndarray, rel_tol: float = 1e-10) -> np.ndarray:
-    """``M`` with ``(X M)^T (X M) = I`` from ``G = X^T X``; directions with
-    eigenvalue below ``rel_tol * max`` are dropped (rank deficiency)."""
+def orthonormal_transform(g: np.ndarray, shift: float = 0.0, rel_tol: float = 0.0) -> np.ndarray:
+    """``M`` with ``(X M)^T (X M)`` near ``I`` from ``G = X^T X``.
+
+    ``shift`` (a share of the largest eigenvalue) is added to the eigenvalues,
+    so that small directions are scaled up without dividing by noise;
+    directions with an eigenvalue of at most ``rel_tol * max`` are dropped.
+    """
     evals, evecs = np.linalg.eigh(g)
     top = evals.max() if evals.size else 0.0
     keep = evals > rel_tol * top if top > 0 else np.zeros_like(evals, dtype=bool)
+    if shift:
+        keep = np.full(len(evals), top > 0)
     if not keep.any():
         return np.zeros((g.shape[0], 0))
-    return evecs[:, keep] / np.sqrt(evals[keep])
+    return evecs[:, keep] / np.sqrt(np.maximum(evals[keep], 0.0) + shift * top)
 
 
 # ---------------------------------------------------------------- the SVD
@@ -143,26 +156,24 @@ def _omega(term_col, width: int, seed: int):
 
 
 # Largest factor (rows x width doubles) joined to A by broadcast.
-BROADCAST_FACTOR_BYTES = 256 << 20
+BROADCAST_FACTOR_BYTES = 64 << 20
 
 
 class _Sides:
-    """A held twice, hash-partitioned by movieId and by term, persisted.
-
-    A product with a factor ``x`` keyed by one side and summed by the other
-    then moves only what it must: a factor under the size limit is
-    broadcast into the copy partitioned by the output key (no shuffle for
-    the join, none for the grouped sum); a larger factor is shuffled to the
-    copy partitioned by the join key, and A itself never moves.
+    """A, held once, dealt by (movieId, term) so that neither a very common
+    term nor a very long text fills a partition.
+
+    A product joins A with a factor keyed by one side and sums by the other.
+    A factor under the size limit is broadcast, and A does not move; a larger
+    one is joined by a shuffle of two plain tables, which AQE splits where a
+    key is skewed. Either way the sum begins before its own shuffle (partial
+    aggregation), so a common key moves as one partial sum for each task.
     """
 
     def __init__(self, a: DataFrame, n_docs: int, n_terms: int):
         from pyspark import StorageLevel
 
-        self.by = {
-            "movieId": a.repartition("movieId").persist(StorageLevel.MEMORY_AND_DISK),
-            "term": a.repartition("term").persist(StorageLevel.MEMORY_AND_DISK),
-        }
+        self.a = a.repartition("movieId", "term").persist(StorageLevel.MEMORY_AND_DISK)
         self.rows = {"movieId": n_docs, "term": n_terms}
 
     def times(self, x: DataFrame, on: str, group: str, width: int) -> DataFrame:
@@ -170,23 +181,31 @@ class _Sides:
         ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``.
         Checkpointed: it is read twice (Gram, next product) and its lineage
         holds every earlier iteration."""
-        if self.rows[on] * max(width, 1) * 8 <= BROADCAST_FACTOR_BYTES:
-            joined = self.by[group].join(F.broadcast(x), on)
-        else:
-            joined = self.by[on].join(x, on)
+        small = self.rows[on] * max(width, 1) * 8 <= BROADCAST_FACTOR_BYTES
+        joined = self.a.join(F.broadcast(x) if small else x, on)
         prod = joined.groupBy(group).agg(vec_sum(F.transform("vec", lambda v: v * F.col("weight"))).alias("vec"))
         return prod.checkpoint(eager=True)
 
     def release(self) -> None:
-        for df in self.by.values():
-            df.unpersist()
+        self.a.unpersist()
+
+
+# Shift of a Gram matrix, relative to its largest eigenvalue: over the rounding
+# of sums of products, so it hides nothing that they can still tell.
+GRAM_SHIFT = 1e-14
 
 
-def _orthonormalize(df: DataFrame, key: str, width: int, passes: int = 2) -> tuple[DataFrame, int]:
-    """Orthonormal columns spanning ``df.vec`` (Gram eigen-decomposition,
-    repeated so the result is orthonormal to working precision)."""
-    for _ in range(passes):
-        m = orthonormal_transform(gram(df, "vec", width))
+def _orthonormalize(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """Orthonormal columns spanning ``df.vec`` in three Gram passes.
+
+    A Gram matrix squares the condition, so one pass cannot tell a direction
+    of relative size 1e-8 from noise. The first pass is shifted: sizes t become
+    ``t / sqrt(t**2 + shift)``. The second then drops what is still under
+    1e-6, that is t under 1e-13, zero at working precision; the third brings
+    the columns to orthonormal at that precision.
+    """
+    for settings in ({"shift": GRAM_SHIFT}, {"rel_tol": 1e-12}, {"rel_tol": 1e-12}):
+        m = orthonormal_transform(gram(df, "vec", width), **settings)
         width = m.shape[1]
         if width == 0:
             break
@@ -195,9 +214,9 @@ def _orthonormalize(df: DataFrame, key: str, width: int, passes: int = 2) -> tup
 
 
 def _normalized(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
-    """One Gram pass and a lazy transform: the orthonormalized iterate is
-    not written, it feeds the next product directly."""
-    m = orthonormal_transform(gram(df, "vec", width))
+    """One shifted Gram pass and a lazy transform: no direction is dropped,
+    and the iterate is not written, it feeds the next product directly."""
+    m = orthonormal_transform(gram(df, "vec", width), shift=GRAM_SHIFT)
     if m.shape[1] == 0:
         return df, 0
     return apply_matrix(df, key, "vec", m), m.shape[1]
@@ -219,8 +238,7 @@ def randomized_svd(
     ``n_components`` exceeds the number of terms.
 
     Per power iteration: two products with ``A`` (one join + grouped sum
-    each, checkpointed) and two Gram passes; the final basis gets a second
-    orthonormalization pass.
+    each, checkpointed) and two Gram passes; the final basis gets two more.
     """
     spark = weights.sparkSession
     ensure_checkpoint_dir(spark)
@@ -229,18 +247,14 @@ def randomized_svd(
     n_terms = a.select("term").distinct().count()
     n_docs = a.select("movieId").distinct().count()
     if n_terms == 0:
-        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
+        raise ValueError("No term is left in the vocabulary: lower min_df or raise max_df.")
     if k > n_terms:
         raise ValueError(f"n_components={k} is above the number of terms ({n_terms})")
     width = k + max(int(oversample), 0)
-    if width >= n_terms or width >= n_docs:
-        # The sketch already spans the whole range of A (with probability
-        # one): power iterations cannot improve it, the result is exact.
-        power_iters = 0
     sides = _Sides(a, n_docs, n_terms)
 
     # Range finder: Y = A Omega, then Y <- A orth(A^T orth(Y)).
-    y = sides.by["movieId"].groupBy("movieId").agg(
+    y = sides.a.groupBy("movieId").agg(
         vec_sum(F.transform(_omega(F.col("term"), width, seed), lambda v: v * F.col("weight"))).alias("vec")
     ).checkpoint(eager=True)
     for _ in range(int(power_iters)):

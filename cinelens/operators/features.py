@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from cinelens.config import TfidfParams
 from cinelens.functions import text
+from cinelens.operators.ordering import numbered
+from cinelens.session import ensure_checkpoint_dir
 
 
 def assemble_movie_text(movies: DataFrame, tags: DataFrame, sort: bool = False) -> DataFrame:
@@ -38,27 +40,9 @@ def assemble_movie_text(movies: DataFrame, tags: DataFrame, sort: bool = False)
 
 
 def row_index(movies: DataFrame, order_col: str = "movieId") -> DataFrame:
-    """0-based position of each row in ``order_col`` order, with title.
-
-    A range partitioning sorts the rows; ``monotonically_increasing_id``
-    then gives (partition, position); per-partition counts (one row per
-    partition) turn that into a global position. No step puts all rows in
-    one partition.
-    """
-    ranged = movies.select(order_col, "title").repartitionByRange(order_col).sortWithinPartitions(order_col)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).select(
-        "*",
-        F.shiftright("_mid", 33).alias("_part"),
-        F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
-    )
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    )
-    return tagged.join(F.broadcast(offsets), "_part").select(
-        (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos")).alias("idx"), order_col, "title"
-    )
+    """0-based position of each row in ``order_col`` order, with title
+    (see :func:`cinelens.operators.ordering.numbered`)."""
+    return numbered(movies.select(order_col, "title"), order_col, name="idx").select("idx", order_col, "title")
 
 
 def run_featurization(movies: DataFrame, tags: DataFrame, sort: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -71,9 +55,10 @@ def run_featurization(movies: DataFrame, tags: DataFrame, sort: bool = False) ->
 
 
 def doc_terms(movies: DataFrame, params: TfidfParams = TfidfParams()) -> DataFrame:
-    """F2 + F3 + raw tf: ``(movieId, term, tf)``."""
-    grams = text.ngrams(text.tokens("movie_text"), params.ngram_range)
-    exploded = movies.select("movieId", F.explode(grams).alias("term"))
+    """F2 + F3 + raw tf: ``(movieId, term, tf)``. The tokens are a column of
+    their own, so the text is tokenized once."""
+    tokenized = movies.select("movieId", text.tokens("movie_text").alias("_tok"))
+    exploded = tokenized.select("movieId", F.explode(text.ngrams(F.col("_tok"), params.ngram_range)).alias("term"))
     return exploded.groupBy("movieId", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -115,9 +100,13 @@ def tfidf(movies: DataFrame, params: TfidfParams = TfidfParams()) -> tuple[DataF
     row is divided by its L2 norm (l1: sum of absolute values); a row with
     no kept term has no entries, i.e. a zero vector.
     """
+    ensure_checkpoint_dir(movies.sparkSession)
     n_docs = movies.agg(F.count(F.lit(1)).cast("double")).scalar()
-    terms = doc_terms(movies, params)
-    vocab = vocabulary(terms, n_docs, params)
+    # Written once: document frequencies and weights read the same terms, and
+    # as plain tables both sides of the join can be split by AQE when a term
+    # stands in every text.
+    terms = doc_terms(movies, params).checkpoint(eager=True)
+    vocab = vocabulary(terms, n_docs, params).checkpoint(eager=True)
     tf = F.col("tf").cast("double")
     tfw = (F.lit(1.0) + F.log(tf)) if params.sublinear_tf else tf
     raw = terms.join(vocab.select("term", "idf"), "term").select(

@@ -13,6 +13,7 @@ from cinelens.config import NO_GENRES
 from cinelens.functions import text
 from cinelens.functions.time import ntz_from_epoch_seconds
 from cinelens.operators.joins import ID_ROW_BYTES, ID_SET_LIMIT_BYTES, broadcast_if_small
+from cinelens.session import ensure_checkpoint_dir
 
 
 def drop_no_genres(movies: DataFrame) -> DataFrame:
@@ -92,10 +93,12 @@ def mark_last_rating_per_user(ratings: DataFrame) -> DataFrame:
 
     Equal latest timestamps flag every such row (Q7). Written as a grouped
     max joined back rather than a window over the user, so one very active
-    user is combined map-side and the join can be split by AQE instead of
-    landing in one task.
+    user is combined map-side. The grouped table is written first: joined to a
+    plain table, a very active user's rows are split by AQE, which does not
+    split against an aggregate on the join key.
     """
-    latest = ratings.groupBy("userId").agg(F.max("timestamp").alias("_latest"))
+    ensure_checkpoint_dir(ratings.sparkSession)
+    latest = ratings.groupBy("userId").agg(F.max("timestamp").alias("_latest")).checkpoint(eager=True)
     return (
         ratings.join(latest, "userId", "left")
         .withColumn("is_last_rating", F.col("timestamp") == F.col("_latest"))

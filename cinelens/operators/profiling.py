@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from cinelens.config import NO_GENRES
 from cinelens.functions import text
+from cinelens.operators.ordering import numbered
 from cinelens.operators.validate import null_counts_by_column
+from cinelens.session import ensure_checkpoint_dir
 
 # Genre names the catalogue format check accepts.
 VALID_GENRES = [
@@ -65,16 +67,22 @@ def duplicated_rows(df: DataFrame, key: str) -> DataFrame:
     """All rows whose ``key`` occurs more than once.
 
     Counted by a grouped aggregate and a semi join, so a very common key is
-    combined map-side instead of filling one window partition.
+    combined map-side instead of filling one window partition. The keys are
+    written first: against a plain table AQE splits a skewed key's rows, which
+    it does not against an aggregate on the join key.
     """
-    dup_keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(key)
+    ensure_checkpoint_dir(df.sparkSession)
+    dup_keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(key).checkpoint(eager=True)
     return df.join(dup_keys, key, "left_semi")
 
 
 def genre_pattern(genres: list = VALID_GENRES) -> str:
-    """Whole-string, case-insensitive format check for genres (RX9)."""
-    alt = "|".join(g.replace("-", "\\-") for g in genres)
-    return rf"^(?i)(?:\(no genres listed\)|(?:{alt})(?:\|(?:{alt}))*)$"
+    """Whole-string, case-insensitive format check for genres (RX9): the
+    no-genre marker, or names joined by pipes. Names are quoted, so a caller's
+    may hold any character."""
+    one = "(?:" + "|".join(rf"\Q{g}\E" for g in genres) + ")"
+    # Fixed form: marker, or name (pipe name)*.
+    return rf"(?i)^(?:\Q{NO_GENRES}\E|{one}(?:[|]{one})*)$"
 
 
 def malformed_genres(movies: DataFrame, genres: list = VALID_GENRES) -> DataFrame:
@@ -110,24 +118,10 @@ def distinct_tags(tags: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, col: str) -> DataFrame:
-    """``(_pos, col)``: 0-based rank of every non-null value in sorted
-    order. A range partitioning sorts the values; per-partition counts (one
-    row per partition) turn in-partition positions into global ones, so no
-    step holds all values in one task."""
-    ranged = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    ranged = ranged.repartitionByRange("_x").sortWithinPartitions("_x")
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).select(
-        "_x", F.shiftright("_mid", 33).alias("_part"), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_in")
-    )
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-
-    offsets = sizes.select(
-        "_part", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_off")
-    )
-    return tagged.join(F.broadcast(offsets), "_part").select(
-        (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_in")).alias("_pos"), F.col("_x").alias(col)
-    )
+    """``(_pos, col)``: 0-based rank of every non-null value in sorted order
+    (see :func:`cinelens.operators.ordering.numbered`)."""
+    values = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    return numbered(values, "_x").select("_pos", F.col("_x").alias(col))
 
 
 def quantiles(df: DataFrame, col: str, qs=(0.25, 0.5, 0.75), interpolation: str = "nearest") -> DataFrame:
@@ -166,27 +160,23 @@ def describe(df: DataFrame, columns: list, interpolation: str = "nearest") -> Da
     column as ``(column, statistic, value)``. Moments come from one
     aggregate; quartiles are exact, nearest-rank by default (as the
     reference's describe), taken by position from a distributed sort."""
-    rows = []
+    x = lambda c: F.col(c).cast("double")
+    # One scan for the moments of all columns.
+    moments = df.agg(*[
+        F.array(F.count(x(c)).cast("double"), F.count_if(F.col(c).isNull()).cast("double"), F.avg(x(c)), F.stddev_samp(x(c)),
+                F.min(x(c)), F.max(x(c))).alias(f"_m{i}")
+        for i, c in enumerate(columns)])
+    names = F.array(*[F.lit(n) for n in ("count", "null_count", "mean", "std", "min", "max")])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.arrays_zip(names.alias("statistic"), F.col(f"_m{i}").alias("value")).alias("stats"))
+                     for i, c in enumerate(columns)])
+    tall = moments.select(F.explode(each).alias("c")).select("c.column", F.explode("c.stats").alias("s"))
+    rows = [tall.select("column", F.col("s.statistic").alias("statistic"), F.col("s.value").alias("value"))]
     for c in columns:
-        x = F.col(c).cast("double")
-        moments = df.agg(
-            F.count(x).cast("double").alias("count"),
-            F.count_if(F.col(c).isNull()).cast("double").alias("null_count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
-        ).selectExpr(
-            f"'{c}' as column",
-            "stack(6, 'count', count, 'null_count', null_count, 'mean', mean, 'std', std, 'min', min, "
-            "'max', max) as (statistic, value)",
-        )
-        qv = quantiles(df, c, (0.25, 0.5, 0.75), interpolation).select(
+        rows.append(quantiles(df, c, (0.25, 0.5, 0.75), interpolation).select(
             F.lit(c).alias("column"),
             F.concat((F.col("q") * 100).cast("int").cast("string"), F.lit("%")).alias("statistic"),
             "value",
-        )
-        rows += [moments, qv]
+        ))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelens.functions.vectors import vec_mean
+from cinelens.functions.vectors import cosine, vec_mean
 from cinelens.operators.joins import broadcast_if_small
 from cinelens.operators.profiles import liked
-from cinelens.operators.scoring import top_n_unseen
+from cinelens.operators.scoring import rank_order, top_n_unseen
 from cinelens.session import ensure_checkpoint_dir
 
 # Conservative size of one metadata row (id, title, genres) when broadcast.
@@ -26,15 +26,17 @@ def popular(items: DataFrame, n: int, dims: int) -> DataFrame:
     ``(movieId, pop_rank, cat_rank, similarity)``: ``pop_rank`` orders by
     similarity, ``cat_rank`` by movieId, the order the reference returns
     them in (Q3). Not based on rating counts. The centroid (A9, one grouped
-    aggregate) is scored like a user profile by the blocked kernel, so the
-    catalogue is never in one task and the ranking rule is the same as for
-    users. At most ``n`` rows remain, so the two numberings are cheap.
+    aggregate) enters as a scalar subquery, so the catalogue is scanned twice
+    and never shuffled; ties follow the users' ranking rule. At most ``n``
+    rows remain, so the two numberings are cheap.
     """
-    center = items.agg(vec_mean("vec").alias("vec")).select(F.lit(0).cast("long").alias("userId"), "vec")
-    top = top_n_unseen(center, items, None, int(n), dims)
+    center = items.agg(vec_mean("vec").alias("vec")).scalar()
+    beside = items.select("movieId", "vec", center.alias("_center"))
+    near = beside.select("movieId", cosine("vec", "_center").alias("similarity"))
+    top = near.orderBy(*rank_order()).limit(int(n))
     return top.select(
         "movieId",
-        F.col("rank").alias("pop_rank"),
+        F.row_number().over(Window.orderBy(*rank_order())).alias("pop_rank"),
         F.row_number().over(Window.orderBy("movieId")).alias("cat_rank"),
         "similarity",
     )
@@ -64,8 +66,6 @@ def recommend_users(
     n: int,
     dims: int,
     dedupe_top_up: bool = False,
-    items_per_block: int = 20000,
-    users_per_group: int = 20000,
     n_movies: int | None = None,
 ) -> DataFrame:
     """R2 + R3 + R7 (+ J4) for every user in ``users(userId)``.
@@ -84,10 +84,8 @@ def recommend_users(
     ensure_checkpoint_dir(profiles.sparkSession)
     users = users.select("userId").distinct().checkpoint(eager=True)
     warm = profiles.join(users, "userId", "left_semi")
-    seen = seen_pairs(ratings)
-    top = top_n_unseen(
-        warm, items, seen, n, dims, items_per_block=items_per_block, users_per_group=users_per_group
-    )
+    # Masking a seen item twice is harmless: no distinct before the kernel.
+    top = top_n_unseen(warm, items, ratings.select("userId", "movieId"), n, dims)
     pop = popular(items, n, dims)
 
     ranked = top.select("userId", "rank", "movieId", "similarity", F.lit("profile").alias("source"))
@@ -95,7 +93,9 @@ def recommend_users(
     lengths = warm.select("userId").join(
         top.groupBy("userId").agg(F.count(F.lit(1)).alias("L")), "userId", "left"
     ).select("userId", F.coalesce(F.col("L"), F.lit(0)).alias("L"))
-    short = lengths.filter(F.col("L") < n)
+    short = lengths.filter(F.col("L") < n).checkpoint(eager=True)
+    # Ratings meet the top-up rows only for users whose list is short.
+    seen = seen_pairs(ratings.join(broadcast_if_small(short.select("userId"), short.count(), 16), "userId", "left_semi"))
     fill = short.select(
         "userId", "L", F.explode(F.sequence(F.lit(1), F.lit(n) - F.col("L"))).alias("pop_rank")
     ).join(F.broadcast(pop.select("pop_rank", "movieId")), "pop_rank")

@@ -17,8 +17,8 @@ shuffle) gives the exact top ``n``.
 
 Ties: ``round(similarity, 9)`` descending, then movieId ascending.
 
-Block and salt counts come from ``count()`` of the item and user tables, a
-per-task memory budget (``budget_bytes`` of vectors per side) and a floor
+Block and salt counts come from ``count()`` of the item, user and seen tables,
+a per-task memory budget (``budget_bytes`` for each of the three) and a floor
 of twice the session's parallelism in tasks. A very active user's seen rows
 are spread over the item blocks, so no task holds more than one block of
 them.
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelens.operators.joins import BROADCAST_LIMIT_BYTES
+from cinelens.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
 CANDIDATE_SCHEMA = "userId long, movieId long, similarity double"
@@ -119,17 +119,24 @@ def _kernel(n: int, dims: int):
     return run
 
 
+# Bytes of one seen row in a task (two ids, as columns and as lookups).
+SEEN_ROW_BYTES = 64
+
+
 def grid_size(
-    n_users: int, n_items: int, dims: int, budget_bytes: int, max_users: int, max_items: int, min_tasks: int = 1
+    n_users: int, n_items: int, dims: int, budget_bytes: int, min_tasks: int = 1, n_seen: int = 0,
+    max_users: int | None = None, max_items: int | None = None,
 ):
     """(item blocks, user salts): a task holds at most ``budget_bytes`` of
-    vectors on each side, and there are at least ``min_tasks`` tasks (the
-    cluster's parallelism) as long as there are users to split."""
+    item vectors, as much of user vectors, and (with seen rows spread evenly)
+    as much of seen rows; there are at least ``min_tasks`` tasks as long as
+    there are users to split. ``max_users`` and ``max_items`` cut finer."""
     per_row = max(dims, 1) * 8
-    items_per_block = max(1, min(max_items, budget_bytes // per_row))
-    users_per_group = max(1, min(max_users, budget_bytes // per_row))
+    items_per_block = max(1, min(max_items or n_items or 1, budget_bytes // per_row))
+    users_per_group = max(1, min(max_users or n_users or 1, budget_bytes // per_row))
     blocks = max(1, math.ceil(n_items / items_per_block))
     salts = max(1, math.ceil(n_users / users_per_group))
+    salts = max(salts, min(max(n_users, 1), math.ceil(n_seen * SEEN_ROW_BYTES / (budget_bytes * blocks))))
     if blocks * salts < min_tasks:
         salts = max(salts, min(max(n_users, 1), math.ceil(min_tasks / blocks)))
     return blocks, salts
@@ -141,8 +148,8 @@ def top_n_unseen(
     seen: DataFrame | None,
     n: int,
     dims: int,
-    items_per_block: int = 20000,
-    users_per_group: int = 20000,
+    items_per_block: int | None = None,
+    users_per_group: int | None = None,
     budget_bytes: int | None = None,
     seed: int = 17,
 ) -> DataFrame:
@@ -161,9 +168,17 @@ def top_n_unseen(
         budget_bytes = int(float(spark.conf.get(BUDGET_CONF, str(DEFAULT_BUDGET_MB))) * (1 << 20))
     n_items = items.count()
     n_users = profiles.count()
-    parallelism = spark.sparkContext.defaultParallelism
+    if seen is not None:
+        # Only scored users' rows go to the grid. The scored ids are plain, so
+        # beyond the broadcast limit AQE splits a very active user's rows.
+        scored = profiles.select("userId")
+        if n_users * 16 > BROADCAST_LIMIT_BYTES:
+            ensure_checkpoint_dir(spark)
+            scored = scored.checkpoint(eager=True)
+        seen = seen.select("userId", "movieId").join(broadcast_if_small(scored, n_users, 16), "userId", "left_semi")
     blocks, salts = grid_size(
-        n_users, n_items, dims, budget_bytes, users_per_group, items_per_block, min_tasks=2 * parallelism
+        n_users, n_items, dims, budget_bytes, min_tasks=2 * spark.sparkContext.defaultParallelism,
+        n_seen=0 if seen is None else seen.count(), max_users=users_per_group, max_items=items_per_block,
     )
 
     block_of = lambda c: F.pmod(F.xxhash64(F.lit(seed), F.col(c)), F.lit(blocks)).cast("int")
@@ -178,14 +193,6 @@ def top_n_unseen(
         "vec",
     )
     if seen is not None:
-        seen = seen.select("userId", "movieId")
-        if n_users * 16 <= BROADCAST_LIMIT_BYTES:
-            # Few users scored: drop other users' seen rows by a broadcast
-            # semi join (no shuffle of the seen table).
-            seen = seen.join(F.broadcast(profiles.select("userId")), "userId", "left_semi")
-        # Otherwise every seen row goes to its (block, salt) group as is; the
-        # kernel ignores rows of users it does not score, which is cheaper
-        # than a second shuffle of the seen table to filter them.
         seen_rows = (
             seen
             .select(

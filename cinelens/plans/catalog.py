@@ -99,7 +99,7 @@ class Stages:
 
     @property
     def evaluation(self):
-        """(result, lists) of the leave-one-out run with default settings."""
+        """Leave-one-out run with default settings."""
 
         def build():
             m = self.model(None)
@@ -144,19 +144,34 @@ SCORES_SQL = with_stages(PREP, TFIDF, SCORES)
 # ---------------------------------------------------------------- sources
 
 
-@query("s1_csv_scan", with_stages() + "SELECT movieId, title, genres FROM movies")
+@query("s1_csv_scan", with_stages() + """
+SELECT 'movies' AS "table", movieId, 0::BIGINT AS userId, title AS a, genres AS b, 0.0::DOUBLE AS rating, 0::BIGINT AS ts FROM movies
+UNION ALL SELECT 'ratings', movieId, userId, NULL, NULL, rating, timestamp FROM ratings
+UNION ALL SELECT 'tags', movieId, userId, tag, NULL, 0.0, timestamp FROM tags
+UNION ALL SELECT 'movies', -movieId, 0, 'A "' || title || '", The', nullif(split_part(genres, '|', 2), ''), 0.0, 0 FROM movies WHERE movieId % 50 = 0
+""")
 def _s1(s: Stages):
-    """The catalogue written as CSV (header, RFC 4180 quoting) to the
-    checkpoint folder and scanned back with the declared schema."""
+    """The three tables written as CSV (header, RFC 4180 quoting) and
+    scanned back with the declared schemas; some titles hold quotes and
+    commas, some fields are empty."""
     import uuid
 
     from cinelens.session import ensure_checkpoint_dir
-    from cinelens.sources.tables import read_csv
+    from cinelens.sources.tables import read_movielens
 
-    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/csv-{uuid.uuid4().hex}/movies.csv"
-    (s.raw[0].write.option("header", True).option("escape", '"').option("quoteAll", False)
-     .mode("overwrite").csv(path))
-    return read_csv(s.spark, path, "movies")
+    folder = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    movies, ratings, tags = s.raw
+    odd = movies.filter("movieId % 50 = 0").select(
+        (-F.col("movieId")).alias("movieId"), F.concat(F.lit('A "'), "title", F.lit('", The')).alias("title"),
+        F.nullif(F.split_part("genres", F.lit("|"), F.lit(2)), F.lit("")).alias("genres"))
+    for name, df in (("movies", movies.unionByName(odd)), ("ratings", ratings), ("tags", tags)):
+        df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+    m, r, t = read_movielens(s.spark, folder)
+    none = lambda kind: F.lit(None).cast(kind)
+    return m.select(F.lit("movies").alias("table"), "movieId", F.lit(0).cast("long").alias("userId"), F.col("title").alias("a"),
+                    F.col("genres").alias("b"), F.lit(0.0).alias("rating"), F.lit(0).cast("long").alias("ts")).union(
+        r.select(F.lit("ratings"), "movieId", "userId", none("string"), none("string"), "rating", "timestamp")).union(
+        t.select(F.lit("tags"), "movieId", "userId", "tag", none("string"), F.lit(0.0), "timestamp"))
 
 
 # ------------------------------------------------------------- validation
@@ -249,6 +264,112 @@ def _v8(s: Stages):
     return validate.validation_report(*s.raw)
 
 
+DAMAGED = """
+bad_movies AS (
+  SELECT movieId, CASE WHEN movieId % 13 = 0 THEN NULL ELSE title END AS title, CASE WHEN movieId % 5 = 0 THEN 'Drama|Comedy' ELSE genres END AS genres FROM movies
+  UNION ALL SELECT movieId, title, genres FROM movies WHERE movieId % 17 = 0
+  UNION ALL SELECT -movieId, title, '  ' FROM movies WHERE movieId % 19 = 0),
+bad_ratings AS (
+  SELECT CASE WHEN userId % 23 = 0 THEN -(userId * 100000 + movieId) ELSE userId END AS userId,
+         CASE WHEN movieId % 11 = 0 THEN movieId + 100000000 ELSE movieId END AS movieId,
+         CASE WHEN userId % 7 = 0 THEN rating + 3 ELSE rating END AS rating,
+         CASE WHEN userId % 29 = 0 THEN NULL ELSE timestamp END AS timestamp FROM ratings
+  UNION ALL SELECT userId, movieId, rating, timestamp FROM ratings WHERE movieId % 31 = 0),
+bad_tags AS (
+  SELECT userId, CASE WHEN movieId % 11 = 0 THEN movieId + 100000000 ELSE movieId END AS movieId,
+         CASE WHEN userId % 7 = 0 THEN NULL WHEN userId % 3 = 0 THEN '  ' ELSE tag END AS tag, timestamp FROM tags)
+"""
+DAMAGED_SQL = with_stages(DAMAGED)
+
+
+def _damaged(s: Stages):
+    """Copies of the three tables with faults in them, so that every check
+    has something to find: null, repeated and unknown ids, ratings out of
+    range, users with one rating, blank and null fields."""
+
+    def build():
+        movies, ratings, tags = s.raw
+        when = lambda test, yes, no: F.when(F.expr(test), yes).otherwise(no)
+        unknown = when("movieId % 11 = 0", F.col("movieId") + 100000000, F.col("movieId")).alias("movieId")
+        m = movies.select("movieId", when("movieId % 13 = 0", F.lit(None), F.col("title")).alias("title"),
+                          when("movieId % 5 = 0", F.lit("Drama|Comedy"), F.col("genres")).alias("genres"))
+        m = m.unionByName(movies.filter("movieId % 17 = 0")).unionByName(
+            movies.filter("movieId % 19 = 0").select((-F.col("movieId")).alias("movieId"), "title", F.lit("  ").alias("genres")))
+        r = ratings.select(when("userId % 23 = 0", -(F.col("userId") * 100000 + F.col("movieId")), F.col("userId")).alias("userId"), unknown,
+                           when("userId % 7 = 0", F.col("rating") + 3, F.col("rating")).alias("rating"),
+                           when("userId % 29 = 0", F.lit(None), F.col("timestamp")).alias("timestamp"))
+        r = r.unionByName(ratings.filter("movieId % 31 = 0"))
+        t = tags.select("userId", unknown, when("userId % 7 = 0", F.lit(None), when("userId % 3 = 0", F.lit("  "), F.col("tag"))).alias("tag"), "timestamp")
+        return m, r, t
+
+    return s._get("damaged", build)
+
+
+@query("v8_report_damaged", DAMAGED_SQL + """
+SELECT "table", "check", n_bad, fatal FROM (VALUES
+  ('movies', 'nulls', (SELECT count(*) FILTER (WHERE movieId IS NULL) + count(*) FILTER (WHERE title IS NULL)
+                       + count(*) FILTER (WHERE genres IS NULL) FROM bad_movies), true),
+  ('movies', 'duplicate_ids', (SELECT count(*) - count(DISTINCT movieId) FROM bad_movies), true),
+  ('movies', 'duplicate_titles', (SELECT count(*) - count(DISTINCT title) FROM bad_movies), false),
+  ('ratings', 'nulls', (SELECT count(*) FILTER (WHERE userId IS NULL) + count(*) FILTER (WHERE movieId IS NULL)
+                        + count(*) FILTER (WHERE rating IS NULL) + count(*) FILTER (WHERE timestamp IS NULL) FROM bad_ratings), true),
+  ('ratings', 'unknown_movies', (SELECT count(*) FROM bad_ratings r WHERE r.movieId NOT IN (SELECT movieId FROM bad_movies)), true),
+  ('ratings', 'rating_range', (SELECT CASE WHEN min(rating) < 0.0 OR max(rating) > 5.0 THEN 1 ELSE 0 END FROM bad_ratings), true),
+  ('ratings', 'user_activity', (SELECT count(*) FROM (SELECT userId FROM bad_ratings GROUP BY userId HAVING count(*) < 2)), true),
+  ('tags', 'nulls', (SELECT count(*) FILTER (WHERE userId IS NULL) + count(*) FILTER (WHERE movieId IS NULL)
+                     + count(*) FILTER (WHERE tag IS NULL) + count(*) FILTER (WHERE timestamp IS NULL) FROM bad_tags), true),
+  ('tags', 'unknown_movies', (SELECT count(*) FROM bad_tags t WHERE t.movieId NOT IN (SELECT movieId FROM bad_movies)), true)
+) AS v("table", "check", n_bad, fatal)
+""")
+def _v8d(s: Stages):
+    return validate.validation_report(*_damaged(s)).select("table", "check", "n_bad", "fatal")
+
+
+@query("v_raising_forms", DAMAGED_SQL + """
+SELECT * FROM (VALUES ('movies', true), ('ratings', true), ('tags', true), ('movies_as_given', false), ('tags_as_given', false)) AS v("table", raised)
+""")
+def _raising(s: Stages):
+    """V1-V7 in their raising form: on the damaged tables each raises."""
+    movies, ratings, tags = _damaged(s)
+    cases = {"movies": lambda: validate.validate_movies(movies), "ratings": lambda: validate.validate_ratings(ratings, movies),
+             "tags": lambda: validate.validate_tags(tags, movies), "movies_as_given": lambda: validate.validate_movies(s.raw[0]),
+             "tags_as_given": lambda: validate.validate_tags(s.raw[2], s.raw[0])}
+    rows = []
+    for name, call in cases.items():
+        try:
+            call()
+            rows.append((name, False))
+        except ValueError:
+            rows.append((name, True))
+    return s.spark.createDataFrame(rows, "table string, raised boolean")
+
+
+@query("d5_dup_ids_damaged", DAMAGED_SQL + """
+SELECT movieId, title, genres FROM bad_movies WHERE movieId IN (SELECT movieId FROM bad_movies GROUP BY movieId HAVING count(*) > 1)
+""")
+def _d5d(s: Stages):
+    return profiling.duplicated_rows(_damaged(s)[0], "movieId").select("movieId", "title", "genres")
+
+
+@query("d6_genres_damaged", DAMAGED_SQL + """
+SELECT movieId, genres FROM bad_movies WHERE NOT regexp_full_match(genres, '(Drama[|]Comedy|[(]no genres listed[)])')
+""")
+def _d6d(s: Stages):
+    """D6 where the format accepts a fifth of the rows."""
+    return profiling.malformed_genres(_damaged(s)[0]).select("movieId", "genres")
+
+
+@query("d7_orphans_damaged", DAMAGED_SQL + """
+SELECT * FROM (VALUES
+  ('ratings', (SELECT count(*) FROM bad_ratings r WHERE NOT EXISTS (SELECT 1 FROM bad_movies m WHERE m.movieId = r.movieId))),
+  ('tags', (SELECT count(*) FROM bad_tags t WHERE NOT EXISTS (SELECT 1 FROM bad_movies m WHERE m.movieId = t.movieId)))) AS v("table", n_orphans)
+""")
+def _d7d(s: Stages):
+    movies, ratings, tags = _damaged(s)
+    parts = [validate.orphan_count(df, movies).select(F.lit(n).alias("table"), "n_orphans") for n, df in (("ratings", ratings), ("tags", tags))]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------- preparation
 
 
@@ -360,6 +481,61 @@ def _f6(s: Stages):
     return _tfidf(s)[0]
 
 
+DOC_TFIDF = r"""
+WITH toks AS (SELECT doc_id AS movieId, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
+grams AS (
+  SELECT movieId, unnest(t) AS term FROM toks
+  UNION ALL SELECT movieId, a || ' ' || b FROM (SELECT movieId, unnest(t[1:len(t) - 1]) AS a, unnest(t[2:]) AS b FROM toks WHERE len(t) > 1)),
+doc_terms AS (SELECT movieId, term, count(*) AS tf FROM grams GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM doc_terms GROUP BY term),
+n AS (SELECT count(*) AS n FROM documents),
+vocab AS (SELECT term, df, ln((1 + n) / (1 + df)) + 1 AS idf FROM dfs, n WHERE df >= 3 AND df <= 0.5 * n),
+raw AS (SELECT d.movieId, d.term, (1 + ln(d.tf)) * v.idf AS w FROM doc_terms d JOIN vocab v ON v.term = d.term),
+weights AS (SELECT movieId, term, w / sqrt(sum(w * w) OVER (PARTITION BY movieId)) AS weight FROM raw)
+"""
+
+
+def _documents(s: Stages):
+    docs = s.spark.read.parquet(f"{s.sf_dir.rstrip('/')}/documents.parquet")
+    return docs.select(F.col("doc_id").alias("movieId"), F.col("text").alias("movie_text"))
+
+
+def _doc_tfidf(s: Stages):
+    from cinelens.config import TfidfParams
+
+    return s._get("doc_tfidf", lambda: features.tfidf(_documents(s), TfidfParams(min_df=3, max_df=0.5)))
+
+
+@query("f3_ngrams_documents", DOC_TFIDF + "SELECT movieId, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_grams, max(term) AS last_term FROM doc_terms GROUP BY movieId")
+def _f3_docs(s: Stages):
+    """F2 + F3 over the long texts of ``documents``: the terms of each."""
+    return features.doc_terms(_documents(s)).groupBy("movieId").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_grams"), F.max("term").alias("last_term"))
+
+
+@query("f5_vocab_documents", DOC_TFIDF + "SELECT term, df, round(idf, 6) AS idf FROM vocab")
+def _f5_docs(s: Stages):
+    """F4 + F5 where pruning acts: terms in 3 documents at least and in half
+    of them at most."""
+    return _doc_tfidf(s)[1]
+
+
+@query("f6_tfidf_documents", DOC_TFIDF + "SELECT movieId, term, round(weight, 6) AS weight FROM weights")
+def _f6_docs(s: Stages):
+    return _doc_tfidf(s)[0]
+
+
+@query("f9_row_index_lines", """
+SELECT CAST(row_number() OVER (ORDER BY movieId) - 1 AS BIGINT) AS idx, movieId, title
+FROM (SELECT l_orderkey * 8 + l_linenumber AS movieId, CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS title FROM lineitem)
+""")
+def _f9_lines(s: Stages):
+    """F9 over every line item."""
+    lines = s.spark.read.parquet(f"{s.sf_dir.rstrip('/')}/lineitem.parquet")
+    key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long")
+    return features.row_index(lines.select(key.alias("movieId"), key.cast("string").alias("title")))
+
+
 @query("f9_row_index", PREP_SQL + """
 SELECT CAST(row_number() OVER (ORDER BY movieId) - 1 AS BIGINT) AS idx, movieId, title FROM featurized
 """)
@@ -452,10 +628,10 @@ def _r9(s: Stages):
     return s.model(None).liked(ratings=ratings, movies=movies)
 
 
-@query("s3_store_roundtrip")
+@query("s3_store_roundtrip", SCORES_SQL + ",\n" + recommend_sql())
 def _s3(s: Stages):
-    """S3 + S4: save the model to the shared checkpoint folder, load it
-    back and return recommendation rows that differ (expected: none)."""
+    """S3 + S4: the default-configuration model is saved, the exact model is
+    saved over it, loaded back, and recommends."""
     import uuid
 
     from cinelens.session import ensure_checkpoint_dir
@@ -463,11 +639,24 @@ def _s3(s: Stages):
 
     m = s.model(None)
     path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    store.save_model(s.model(100), path)
     store.save_model(m, path)
     loaded = store.load_model(s.spark, path, m.movies, m.ratings)
-    a = s.recommendations.select("userId", "rank", "movieId")
-    b = loaded.recommend(s.users, 10).select("userId", "rank", "movieId")
-    return a.exceptAll(b).unionByName(b.exceptAll(a))
+    if loaded.term_basis is not None:
+        raise AssertionError("a part of the earlier model was loaded")
+    return loaded.recommend(s.users, 10)
+
+
+@query("r7_cold_without_ratings", SCORES_SQL + """
+SELECT -1 - u.userId AS userId, CAST(row_number() OVER (PARTITION BY u.userId ORDER BY p.movieId) AS BIGINT) AS rank, p.movieId
+FROM (SELECT DISTINCT userId FROM ratings) u, pop p WHERE p.pop_rank <= 10
+""")
+def _r7_bare(s: Stages):
+    """A model without ratings answers users that have no profile."""
+    from dataclasses import replace
+
+    bare = replace(s.model(None), ratings=None)
+    return bare.recommend(s.users.select((-1 - F.col("userId")).alias("userId")), 10).select("userId", "rank", "movieId")
 
 
 # ----------------------------------------------------------- evaluation
@@ -520,7 +709,21 @@ SELECT round(hit_rate_at_k, 6) AS hit_rate_at_k, n_users, k, round(coverage_at_k
 FROM eval_result
 """)
 def _e8(s: Stages):
-    return s.evaluation[0]
+    return evaluate.record(s.evaluation)
+
+
+EVAL_ALL_SQL = EVAL_SQL.replace("userId LIMIT 300)", "userId)")
+
+
+@query("e8_all_users", EVAL_ALL_SQL + """
+SELECT round(hit_rate_at_k, 6) AS hit_rate_at_k, n_users, k, round(coverage_at_k, 6) AS coverage_at_k,
+       round(hit_rate_at_k_unmasked, 6) AS hit_rate_at_k_unmasked
+FROM eval_result
+""")
+def _e8_all(s: Stages):
+    """E1-E8 over every eligible user (no sample)."""
+    m = s.model(None)
+    return evaluate.evaluate_leave_one_out(m.items, m.ratings, m.dims, max_users=None).result
 
 
 # ------------------------------------------------------------ profiling
@@ -776,7 +979,15 @@ def _f7_gram(s: Stages):
 # Row-count only (no oracle).
 
 
-@query("d1_schema")
+@query("d1_schema", with_stages() + """
+SELECT v."table", v."column", v.dtype, v.position, t.n_rows, t.n_cols FROM (VALUES
+  ('movies', 'movieId', 'bigint', 0), ('movies', 'title', 'string', 1), ('movies', 'genres', 'string', 2),
+  ('ratings', 'userId', 'bigint', 0), ('ratings', 'movieId', 'bigint', 1), ('ratings', 'rating', 'double', 2), ('ratings', 'timestamp', 'bigint', 3),
+  ('tags', 'userId', 'bigint', 0), ('tags', 'movieId', 'bigint', 1), ('tags', 'tag', 'string', 2), ('tags', 'timestamp', 'bigint', 3)
+) AS v("table", "column", dtype, position)
+JOIN (VALUES ('movies', (SELECT count(*) FROM movies), 3), ('ratings', (SELECT count(*) FROM ratings), 4), ('tags', (SELECT count(*) FROM tags), 4)
+) AS t("table", n_rows, n_cols) ON t."table" = v."table"
+""")
 def _d1(s: Stages):
     movies, ratings, tags = s.raw
     parts = [profiling.schema_table(df, n) for n, df in (("movies", movies), ("ratings", ratings), ("tags", tags))]
@@ -792,6 +1003,80 @@ def _f7(s: Stages):
         "vec", F.lit(0.0), lambda acc, v: acc + v * v)).alias("norm"))
 
 
+SVD_CHECKS = ["basis_orthonormal", "items_are_a_times_basis", "items_orthogonal_by_component", "singular_values_fall",
+              "leading_vectors_satisfy_ata", "kept_and_residual_norms_add_up"]
+
+
+@query("f7_svd_invariants", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', true)" for c in SVD_CHECKS) + ') AS v("check", ok)')
+def _f7_invariants(s: Stages):
+    """F7 of the default model (100 components, 5 power iterations) by what
+    must hold of any basis, to 1e-6 of the largest singular value; the vectors
+    that lead (a tenth) satisfy A'A v = sigma^2 v, and their items A v, to 1e-4
+    of it (a randomized basis leaves out a little of the trailing ones)."""
+    import numpy as np
+
+    from cinelens.functions.vectors import vec_sum
+    from cinelens.operators.factorize import gram
+
+    m, (weights, _) = s.model(100), _tfidf(s)
+    k, sigma = m.dims, np.asarray(m.singular_values)
+    scaled = F.transform("vec", lambda v: v * F.col("weight"))
+    product = weights.join(m.term_basis, "term").groupBy("movieId").agg(vec_sum(scaled).alias("vec"))
+    lead = max(1, k // 10)
+    gap = F.aggregate(F.slice(F.zip_with("vec", "other", lambda x, y: F.abs(x - y)), 1, lead), F.lit(0.0), lambda a, x: F.greatest(a, x))
+    worst = m.items.join(product.select("movieId", F.col("vec").alias("other")), "movieId").agg(F.max(gap)).first()[0]
+    back = weights.join(m.items, "movieId").groupBy("term").agg(vec_sum(scaled).alias("vec"))
+    squares = F.array(*[F.lit(float(x * x)) for x in sigma])
+    off = F.aggregate(F.slice(F.zip_with("vec", F.zip_with("basis", squares, lambda v, q: v * q), lambda x, y: F.abs(x - y)), 1, lead), F.lit(0.0), lambda a, x: F.greatest(a, x))
+    far = back.join(m.term_basis.select("term", F.col("vec").alias("basis")), "term").agg(F.max(off)).first()[0]
+    total = weights.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
+    basis, items = gram(m.term_basis, "vec", k), gram(m.items, "vec", k)
+    tol = 1e-6 * sigma[0]
+    some = sigma > tol
+    # Residual of each row: its norm minus that of its item vector.
+    rows = weights.groupBy("movieId").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).join(
+        m.items.select("movieId", F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v).alias("kept")), "movieId")
+    residual, low = rows.agg(F.sum(F.col("n") - F.col("kept")), F.min(F.col("n") - F.col("kept"))).first()
+    ok = [np.abs(basis - np.diag(some.astype(float))).max() < 1e-6, worst < 1e-4 * sigma[0], np.abs(items - np.diag(sigma**2)).max() < tol * sigma[0],
+          bool((np.diff(sigma) <= tol).all()), far < 1e-4 * sigma[0] ** 2, low > -tol and abs(float((sigma**2).sum()) + residual - total) < tol * sigma[0]]
+    return s.spark.createDataFrame([(c, bool(x)) for c, x in zip(SVD_CHECKS, ok)], "check string, ok boolean")
+
+
+LIST_CHECKS = ["ten_ranks_each", "none_seen", "similarity_is_cosine", "sorted"]
+
+
+@query("r2_recommend_svd_checks", PREP_SQL + "SELECT v.c AS \"check\", v.n AS n_bad, u.n AS n_users FROM (VALUES " + ", ".join(f"('{c}', 0)" for c in LIST_CHECKS) + """) AS v(c, n),
+(SELECT count(DISTINCT userId) AS n FROM ratings_prep WHERE rating >= 4.0) u
+""")
+def _r2_svd_checks(s: Stages):
+    """Lists of the default model: of every user with a profile, rows that
+    break what any basis must give."""
+    from cinelens.functions.vectors import cosine
+
+    m = s.model(100)
+    lists = m.recommend(m.profiles.select("userId"), 10).checkpoint()
+    n_users = m.profiles.count()
+    per = lists.groupBy("userId").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("rank")).alias("ranks"))
+    bad_ranks = per.filter(F.col("ranks") != F.array(*[F.lit(i) for i in range(1, 11)])).count() + n_users - per.count()
+    seen = lists.join(m.ratings.select("userId", "movieId"), ["userId", "movieId"], "left_semi").count()
+    both = lists.join(m.items, "movieId").join(m.profiles.select("userId", F.col("vec").alias("p")), "userId")
+    off = both.filter(F.abs(cosine("vec", "p") - F.col("similarity")) > 1e-9).count()
+    order = Window.partitionBy("userId").orderBy("rank")
+    rises = lists.withColumn("before", F.lag(F.round("similarity", 9)).over(order)).filter(F.round("similarity", 9) > F.col("before")).count()
+    return s.spark.createDataFrame([(c, n, n_users) for c, n in zip(LIST_CHECKS, (bad_ranks, seen, off, rises))], "check string, n_bad long, n_users long")
+
+
+@query("e8_result_svd_checks", EVAL_SQL + """
+SELECT n_users, k, users_evaluated, 0.0 AS hit_rate_at_k, true AS in_range FROM eval_result
+""")
+def _e8_svd_checks(s: Stages):
+    """Evaluation of the default model: who is evaluated does not depend on
+    the basis, the masked hit rate is 0, the other ratios lie in [0, 1]."""
+    r = _e8_svd(s)
+    fine = F.col("coverage_at_k").between(0.0, 1.0) & (F.col("coverage_at_k") > 0) & F.col("hit_rate_at_k_unmasked").between(0.0, 1.0)
+    return r.select("n_users", "k", "users_evaluated", "hit_rate_at_k", fine.alias("in_range"))
+
+
 @query("r2_recommend_svd")
 def _r2_svd(s: Stages):
     """The reference's default configuration: 100 SVD components. Values
@@ -803,7 +1088,7 @@ def _r2_svd(s: Stages):
 def _e8_svd(s: Stages):
     """Leave-one-out evaluation of the default (100-component) model."""
     m = s.model(100)
-    return evaluate.evaluate_leave_one_out(m.items, m.ratings, m.dims)[0]
+    return evaluate.record(evaluate.evaluate_leave_one_out(m.items, m.ratings, m.dims))
 
 
 def queries() -> dict:

@@ -38,7 +38,11 @@ class ContentModel:
         ``ratings`` replace the model's metadata and seen sets (R10)."""
         seen = ratings if ratings is not None else self.ratings
         if seen is None:
-            raise RuntimeError("no ratings to take seen items from; pass ratings=")
+            # Without ratings only users without a profile can be answered:
+            # their list needs none.
+            if not users.select("userId").join(self.profiles.select("userId"), "userId", "left_semi").isEmpty():
+                raise RuntimeError("no ratings to take seen items from; pass ratings=")
+            seen = users.sparkSession.createDataFrame([], "userId long, movieId long")
         return recommend.recommend_users(
             users,
             self.profiles,
@@ -48,8 +52,6 @@ class ContentModel:
             n,
             self.dims,
             dedupe_top_up=dedupe_top_up,
-            items_per_block=self.params.items_per_block,
-            users_per_group=self.params.users_per_group,
             n_movies=None if movies is not None else self.n_catalogue(),
         )
 

@@ -80,9 +80,10 @@ def run(
         store.save_model(model, model_path)
         model = store.load_model(spark, model_path, featurized, ratings_p)
 
-    result, lists = evaluate.evaluate_leave_one_out(
+    evaluation = evaluate.evaluate_leave_one_out(
         model.items, ratings_p, model.dims, params.rating_threshold, EVAL_MIN_LIKED, TOP_K, EVAL_MAX_USERS
     )
+    result, lists = evaluate.record(evaluation), evaluation.lists
     who = users if users is not None else ratings.select("userId").distinct()
     recs = model.recommend(who, TOP_K)
     if output_path:

@@ -93,3 +93,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cinelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def stored(df):
+    """``df`` written once as a Parquet table in the shared checkpoint folder,
+    and read from there: its lineage is cut, and its size is known to the
+    planner. (A checkpointed frame keeps the estimate of the plan that made it;
+    in a loop of joins these multiply until planning takes minutes.)"""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def release(*tables) -> None:
+    """Delete tables made by :func:`stored` that nothing reads any more."""
+    for df in tables:
+        path = df.__dict__.pop("stored_path", None)
+        if path:
+            spark = df.sparkSession
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

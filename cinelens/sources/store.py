@@ -1,22 +1,28 @@
 """Model store S3/S4: a fitted model as a folder of Parquet parts.
 
-Layout under ``path``: ``params.json`` (one-row JSON), ``items/``,
-``profiles/``, ``vocab/`` and, for SVD models, ``term_basis/``. The
-reference's single binary file held neither vocabulary nor SVD basis; both
-are kept here so new movies can be projected after loading. Writes are
-Spark jobs (no part passes through the driver); ``path`` should be a shared
-folder (HDFS, object store) on a cluster.
+Layout under ``path``: ``manifest.json`` (one-row JSON: version folder, parts,
+parameters) and one folder for each save, ``v-<id>/``, with ``items/``,
+``profiles/``, ``vocab/`` and, for SVD models, ``term_basis/``. A save writes
+a new version folder first and the manifest last, and a load reads what the
+manifest lists, so parts of an earlier model are never mixed in and a save
+that fails half-way leaves the old model in place. The version before is
+removed once the manifest is written. Writes are Spark jobs (no part passes
+through the driver); ``path`` should be a shared folder on a cluster.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from cinelens.config import ModelParams, TfidfParams
 
+MANIFEST = "manifest.json"
+
 
 def save_model(model, path: str) -> None:
     """S3: write every part; raises ``RuntimeError`` for an unfitted model."""
@@ -24,19 +30,38 @@ def save_model(model, path: str) -> None:
         raise RuntimeError("Cannot save an unfitted model.")
     spark = model.items.sparkSession
     path = path.rstrip("/")
+    parts = {"items": model.items, "profiles": model.profiles, "vocab": model.vocab}
+    if model.term_basis is not None:
+        parts["term_basis"] = model.term_basis
+    old = _manifest(spark, path)
+    version = f"v-{uuid.uuid4().hex}"
+    for name, df in parts.items():
+        df.write.parquet(f"{path}/{version}/{name}")
     meta = {
+        "version": version,
+        "parts": list(parts),
         "params": asdict(model.params),
         "dims": int(model.dims),
         "singular_values": None if model.singular_values is None else [float(x) for x in model.singular_values],
     }
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
-        f"{path}/params.json"
-    )
-    model.items.write.mode("overwrite").parquet(f"{path}/items")
-    model.profiles.write.mode("overwrite").parquet(f"{path}/profiles")
-    model.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    if model.term_basis is not None:
-        model.term_basis.write.mode("overwrite").parquet(f"{path}/term_basis")
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/{MANIFEST}")
+    if old:
+        place, fs = _file_system(spark, f"{path}/{old['version']}")
+        fs.delete(place, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The manifest under ``path``; None if there is none. Errors of reading
+    one that is there are raised."""
+    place, fs = _file_system(spark, f"{path}/{MANIFEST}")
+    if not fs.exists(place):
+        return None
+    return json.loads(spark.read.json(f"{path}/{MANIFEST}").first()["meta"])
 
 
 def _params(d: dict) -> ModelParams:
@@ -52,27 +77,19 @@ def load_model(spark: SparkSession, path: str, movies: DataFrame, ratings: DataF
     from cinelens.plans.model import ContentModel
 
     path = path.rstrip("/")
-    try:
-        meta_row = spark.read.json(f"{path}/params.json").first()
-    except Exception as exc:  # AnalysisException: path does not exist
-        raise FileNotFoundError(f"Model not found at {path}") from exc
-    meta = json.loads(meta_row["meta"])
-    import numpy as np
-
-    basis = None
-    try:
-        basis = spark.read.parquet(f"{path}/term_basis")
-    except Exception:
-        basis = None
+    meta = _manifest(spark, path)
+    if meta is None:
+        raise FileNotFoundError(f"no model under {path}")
+    parts = {name: spark.read.parquet(f"{path}/{meta['version']}/{name}") for name in meta["parts"]}
     values = meta.get("singular_values")
     return ContentModel(
         params=_params(meta["params"]),
         movies=movies,
         ratings=ratings,
-        items=spark.read.parquet(f"{path}/items"),
-        profiles=spark.read.parquet(f"{path}/profiles"),
-        vocab=spark.read.parquet(f"{path}/vocab"),
+        items=parts["items"],
+        profiles=parts["profiles"],
+        vocab=parts["vocab"],
         dims=int(meta["dims"]),
-        term_basis=basis,
+        term_basis=parts.get("term_basis"),
         singular_values=None if values is None else np.asarray(values),
     )

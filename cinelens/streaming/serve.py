@@ -7,38 +7,57 @@ landing in a folder, or any streaming source). Two forms:
 - :func:`serve`: ``foreachBatch`` scores the users of each micro-batch in
   one job (the blocked kernel scores only those users);
 - :func:`serve_precomputed`: every user is scored once in batch
-  (:func:`precompute`), and the stream answers with stateless stream-static
-  equi-joins, no per-request work beyond the joins.
-
-Both are exact for each request's own k: a top-k ranked list is a prefix of
-a longer one, while the popular list (cold start) and top-up rows depend on
-k and are precomputed per k (bounded by ``max_k^2 / 2`` rows). Unknown
-users get the popular list, as the service does. The streams keep no state;
-exactly-once output comes from checkpointed source offsets and sinks that a
-replayed batch overwrites or appends idempotently.
+  (:func:`precompute`), and the stream answers with equi-joins, no per-request
+  work beyond the joins.
+
+Both are exact for each request's own k, whatever it is: a top-k ranked list
+is a prefix of a longer one, while the popular list (cold start) and top-up
+rows depend on k and are precomputed per k up to a depth (``max_k^2 / 2``
+rows); deeper requests are scored. Unknown users get the popular list, as the
+service does. The streams keep no state; exactly-once output comes from
+checkpointed source offsets and sinks that a replayed batch overwrites.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinelens.operators.joins import broadcast_if_small
+from cinelens.operators.recommend import METADATA_ROW_BYTES
+
 REQUEST_SCHEMA = "request_id string, userId long, k int"
+ANSWER_SCHEMA = "request_id string, userId long, rank int, movieId long, title string, genres string"
+ANSWER = ["request_id", "userId", "rank", "movieId", "title", "genres"]
+#: k of a request that names none.
+DEFAULT_K = 10
 
 
-def answer_requests(model, requests: DataFrame, max_k: int = 30) -> DataFrame:
-    """Batch form: ``(request_id, userId, rank, movieId, title, genres)``
-    for each request (k capped at ``max_k``, as the UI's slider is). One
-    scoring pass for all users of the batch; the per-k tables of
-    :func:`precompute` make every answer exact for its own k."""
-    req = requests.select(
-        "request_id", "userId", F.least(F.coalesce(F.col("k"), F.lit(10)), F.lit(max_k)).alias("k")
-    )
-    top_k = req.agg(F.max("k")).first()[0] or 10
-    tables = precompute(model, req.select("userId"), int(top_k))
-    return answer_from_lists(req, tables, int(top_k))
+def _requests(requests: DataFrame) -> DataFrame:
+    return requests.select("request_id", "userId", F.coalesce(F.col("k"), F.lit(DEFAULT_K)).alias("k"))
+
+
+def answer_requests(model, requests: DataFrame) -> DataFrame:
+    """Batch form: ``(request_id, userId, rank, movieId, title, genres)`` for
+    each request, whatever its k (null: 10).
+
+    Requests are answered by distinct k, one scoring pass each over the users
+    that asked for it, so that a single deep request does not deepen all."""
+    req = _requests(requests)
+    # As many values as the batch has different k.
+    depths = sorted(r["k"] for r in req.select("k").distinct().collect())
+    parts = []
+    for k in depths:
+        asked = req.filter(F.col("k") == k)
+        if k > 0:
+            recs = model.recommend(asked.select("userId"), int(k)).select("userId", "rank", "movieId", "title", "genres")
+            parts.append(asked.join(recs, "userId").select(*ANSWER))
+    if not parts:
+        return requests.sparkSession.createDataFrame([], ANSWER_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def serve(
@@ -47,21 +66,20 @@ def serve(
     request_dir: str,
     sink_path: str,
     checkpoint_path: str,
-    max_k: int = 30,
     trigger_seconds: int | None = None,
 ):
     """Start the stream: parquet request files in ``request_dir`` ->
     answers appended as parquet under ``sink_path`` (one folder per batch,
     overwritten on replay, so a retried batch does not duplicate rows)."""
+    return _start(spark, lambda batch: answer_requests(model, batch), request_dir, sink_path, checkpoint_path, trigger_seconds)
+
+
+def _start(spark, answer, request_dir, sink_path, checkpoint_path, trigger_seconds):
     requests = spark.readStream.schema(REQUEST_SCHEMA).parquet(request_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        out = answer_requests(model, batch, max_k)
-        out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{sink_path.rstrip('/')}/batch_id={batch_id}"
-        )
+        if not batch.isEmpty():
+            answer(batch).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path)
     if trigger_seconds:
@@ -140,26 +158,26 @@ def precompute(model, users: DataFrame, max_k: int = 30) -> ServingTables:
 
 
 def answer_from_lists(requests: DataFrame, tables: ServingTables, max_k: int = 30) -> DataFrame:
-    """Stream-static equi-joins (no window, no state): a request
-    ``(request_id, userId, k)`` gets the user's ranked rows with ``rank <=
-    k`` and the top-up rows precomputed for that ``k``; a user without a
-    profile gets the cold list of that ``k``. Works on a streaming or a
-    batch ``requests``; the cold table has ``max_k^2 / 2`` rows, so it is
-    broadcast on a proven size."""
-    req = requests.select(
-        "request_id", "userId", F.least(F.coalesce(F.col("k"), F.lit(10)), F.lit(max_k)).alias("k")
-    )
+    """Equi-joins with the precomputed lists (no window, no state), for
+    requests ``(request_id, userId, k)`` with k up to ``max_k``, the depth of
+    the tables: the user's ranked rows with ``rank <= k`` and the top-up rows
+    of that ``k``; a user without a profile gets the cold list of that ``k``.
+    Works on a streaming or a batch ``requests``. Deeper requests have no rows
+    here; :func:`serve_precomputed` answers them by scoring. The cold table has
+    ``max_k^2 / 2`` rows, so it is broadcast on a checked size."""
+    req = _requests(requests).filter(F.col("k") <= max_k)
     tagged = req.join(tables.warm.withColumn("_warm", F.lit(True)), "userId", "left")
     warm_req = tagged.filter(F.col("_warm").isNotNull())
-    cols = ["request_id", "userId", "rank", "movieId", "title", "genres"]
-    ranked = warm_req.join(tables.ranked, "userId").filter(F.col("rank") <= F.col("k")).select(*cols)
-    topped = warm_req.join(tables.topup, ["userId", "k"]).select(*cols)
-    cold = tagged.filter(F.col("_warm").isNull()).join(F.broadcast(tables.cold), "k").select(*cols)
+    ranked = warm_req.join(tables.ranked, "userId").filter(F.col("rank") <= F.col("k")).select(*ANSWER)
+    topped = warm_req.join(tables.topup, ["userId", "k"]).select(*ANSWER)
+    lists = broadcast_if_small(tables.cold, max_k * (max_k + 1) // 2, METADATA_ROW_BYTES)
+    cold = tagged.filter(F.col("_warm").isNull()).join(lists, "k").select(*ANSWER)
     return ranked.unionByName(topped).unionByName(cold)
 
 
 def serve_precomputed(
     spark: SparkSession,
+    model,
     tables: ServingTables,
     request_dir: str,
     sink_path: str,
@@ -167,18 +185,12 @@ def serve_precomputed(
     max_k: int = 30,
     trigger_seconds: int | None = None,
 ):
-    """Start a stateless stream answering requests from precomputed lists
-    (stream-static joins, append mode) into a parquet sink."""
-    requests = spark.readStream.schema(REQUEST_SCHEMA).parquet(request_dir)
-    answers = answer_from_lists(requests, tables, max_k)
-    writer = (
-        answers.writeStream.format("parquet")
-        .option("path", sink_path)
-        .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
-    )
-    if trigger_seconds:
-        writer = writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
-    else:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    """Start a stream answering requests from precomputed lists; those deeper
+    than the lists (``k > max_k``) are scored by the model."""
+
+    def answer(batch: DataFrame) -> DataFrame:
+        deep = batch.filter(F.col("k") > max_k)
+        out = answer_from_lists(batch, tables, max_k)
+        return out if deep.isEmpty() else out.unionByName(answer_requests(model, deep))
+
+    return _start(spark, answer, request_dir, sink_path, checkpoint_path, trigger_seconds)

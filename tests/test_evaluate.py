@@ -45,13 +45,14 @@ def test_leave_one_out_fx15(spark, items):
     rows = [(1, 1, 5.0, 1), (1, 2, 4.0, 2), (1, 3, 4.5, 3), (1, 4, 4.0, 4), (1, 5, 5.0, 5), (1, 1, 3.0, 6),
             (2, 1, 5.0, 1), (2, 2, 4.0, 2), (2, 3, 4.5, 3), (2, 4, 4.0, 4), (2, 5, 5.0, 5), (2, 2, 3.0, 6)]
     ratings = spark.createDataFrame(rows, R)
-    res, lists = evaluate.evaluate_leave_one_out(items, ratings, 2, k=3)
-    r = res.first()
+    ev = evaluate.evaluate_leave_one_out(items, ratings, 2, k=3)
+    lists = ev.lists
+    r = evaluate.record(ev).first()
     assert r.n_users == 2 and r.k == 3
     assert r.hit_rate_at_k == 0.0 and r.coverage_at_k == 0.0  # everything seen: empty lists
     assert sorted(r.users_evaluated) == [1, 2]
     assert lists.count() == 0
-    res10, _ = evaluate.evaluate_leave_one_out(items, ratings, 2, min_liked=10)
+    res10, _, _ = evaluate.evaluate_leave_one_out(items, ratings, 2, min_liked=10)
     assert res10.first().n_users == 0
 
 
@@ -60,7 +61,7 @@ def test_hit_rate_masked_vs_unmasked(spark):
     # the unmasked rate can find it.
     items = spark.createDataFrame([(i, [1.0, 0.01 * i]) for i in range(1, 8)] + [(9, [0.0, 1.0])], V)
     rows = [(1, m, 5.0, m) for m in range(1, 7)]
-    res, lists = evaluate.evaluate_leave_one_out(items, spark.createDataFrame(rows, R), 2, k=2)
+    res, lists, _ = evaluate.evaluate_leave_one_out(items, spark.createDataFrame(rows, R), 2, k=2)
     r = res.first()
     assert r.hit_rate_at_k == 0.0 and r.n_users == 1
     assert r.hit_rate_at_k_unmasked == 1.0

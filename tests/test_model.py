@@ -108,7 +108,7 @@ def test_empty_vocabulary_raises(spark):
         [(1, "A", "x", "", "comedy drama"), (2, "B", "y", "", "comedy drama")], FEAT)
     ratings = spark.createDataFrame([(1, 1, 5.0)], R)
     for nc in (None, 1):
-        with pytest.raises(ValueError, match="no terms remain"):
+        with pytest.raises(ValueError, match="No term is left"):
             M.fit(movies, ratings, ModelParams(n_components=nc))
 
 

@@ -49,14 +49,14 @@ def test_stream_static_serving_exact_for_every_k(spark, tmp_path):
     model, ratings = _fixture(spark)
     tables = serve.precompute(model, ratings.select("userId").distinct(), max_k=4)
     # user 1 has 2 unseen items: k=4 needs top-up; user 42 is cold (k < max_k).
-    reqs = spark.createDataFrame([("r1", 1, 4), ("r2", 42, 2), ("r3", 2, 1), ("r4", 1, 1), ("r5", 42, 4)],
+    reqs = spark.createDataFrame([("r1", 1, 4), ("r2", 42, 2), ("r3", 2, 1), ("r4", 1, 1), ("r5", 42, 4), ("r6", 1, 5), ("r7", 42, 5)],
                                  serve.REQUEST_SCHEMA)
     req_dir = str(tmp_path / "requests")
     reqs.write.parquet(req_dir)
-    q = serve.serve_precomputed(spark, tables, req_dir, str(tmp_path / "out"), str(tmp_path / "ck"), max_k=4)
+    q = serve.serve_precomputed(spark, model, tables, req_dir, str(tmp_path / "out"), str(tmp_path / "ck"), max_k=4)
     q.awaitTermination(120)
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out"))
                  .select("request_id", "rank", "movieId").collect())
     assert got == _expected(spark, model, reqs)
-    batch = sorted(tuple(r) for r in serve.answer_requests(model, reqs, 4).select("request_id", "rank", "movieId").collect())
+    batch = sorted(tuple(r) for r in serve.answer_requests(model, reqs).select("request_id", "rank", "movieId").collect())
     assert batch == got
