@@ -138,9 +138,12 @@ def arrange(docs: DataFrame, **settings) -> DataFrame:
     training order; the copy cut at a source's target keeps its first words,
     with the white space between them."""
     columns = docs.columns
-    mixed = mix(docs, keep=tuple(columns), **settings).withColumn("_copy", F.explode("copies"))
-    words_and_gaps = F.regexp_extract_all(F.col("text"), F.lit("[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*"), F.lit(0))
+    # The row travels as one column, so that its names cannot meet the mix's own.
+    whole = docs.select("doc_id", "text", "source", F.struct(*[docs[c] for c in columns]).alias("_row"))
+    mixed = mix(whole, keep=("_row",), **settings).withColumn("_copy", F.explode("copies"))
+    words_and_gaps = F.regexp_extract_all(F.col("_row.text"), F.lit("[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*"), F.lit(0))
     lead = F.array_join(F.slice(words_and_gaps, 1, F.col("_copy.words").cast("int")), "")
-    cut = F.when(F.col("_copy.words") < F.col("size"), lead).otherwise(F.col("text"))
-    rows = mixed.withColumn("text", cut).withColumn("position", F.col("_copy.position"))
-    return in_order(rows.select(*columns, "position", "_ticket")).select(*columns)
+    cut = F.when(F.col("_copy.words") < F.col("size"), lead).otherwise(F.col("_row.text"))
+    row = F.col("_row").withField("text", cut)
+    rows = mixed.select(row.alias("_row"), F.col("_copy.position").alias("position"), "_ticket")
+    return in_order(rows).select(*[F.col("_row").getField(c).alias(c) for c in columns])

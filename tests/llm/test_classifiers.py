@@ -86,7 +86,7 @@ def test_queries_cover_all_documents(spark, name):
     got = queries.QUERIES[name](spark, sf).toPandas()
     docs_ = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
     assert sorted(got.doc_id) == sorted(docs_.doc_id) and got.score.between(0, 1).all()
-    if name.startswith("op1"):
+    if name.startswith("op1_"):
         both = got.merge(docs_, on="doc_id")
         held = both[both.held_out]
         assert (held.lang_pred == held.lang).mean() > 0.9
