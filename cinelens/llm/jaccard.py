@@ -43,6 +43,7 @@ from cinelens.llm import kernels, regions
 from cinelens.llm.common import prepare, slices, unit_hash
 from cinelens.llm.components import components
 from cinelens.operators.joins import broadcast_if_small
+from cinelens.session import release, stored
 
 
 @dataclass(frozen=True)
@@ -65,13 +66,13 @@ class Order:
 
     def __init__(self, frequent: np.ndarray, counts: np.ndarray):
         by = np.argsort(frequent)
-        self.frequent, self.counts = frequent[by], counts[by]
+        self.counts, self.find = counts[by], kernels.Lookup(frequent[by])
 
     def count(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.frequent):
-            return np.zeros(len(shingles), np.int64)
-        at = np.minimum(np.searchsorted(self.frequent, shingles), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == shingles, self.counts[at], 0)
+        out = np.zeros(len(shingles), np.int64)
+        at, found = self.find(shingles)
+        out[at] = self.counts[found]
+        return out
 
     def first(self, shingles: np.ndarray, k: int) -> np.ndarray:
         """The first ``k`` of a sorted set."""
@@ -93,15 +94,15 @@ class Pivots:
             every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
             by = np.argsort(every, kind="stable")
             self.every, self.owner = every[by], owner[by]
-            self.keys, self.start = np.unique(self.every, return_index=True)
+            keys, self.start = np.unique(self.every, return_index=True)
+            self.find = kernels.Lookup(keys)
             self.end = np.append(self.start[1:], len(self.every))
 
     def near(self, shingles: np.ndarray) -> list[tuple[int, float, bool]]:
         """(pivot, distance, linked) of the pivots within twice eps."""
         if not len(self.sizes) or not len(shingles):
             return []
-        at = np.minimum(np.searchsorted(self.keys, shingles), len(self.keys) - 1)
-        at = at[self.keys[at] == shingles]
+        at = self.find(shingles)[1]
         if not len(at):
             return []
         reps = self.end[at] - self.start[at]
@@ -117,7 +118,7 @@ def _sample(docs: DataFrame, params: Params) -> tuple[Order, Pivots]:
     """Frequent shingles and pivots of a bounded sample."""
     total = docs.count()
     picked = docs.filter("text is not null").filter(unit_hash("text", F.lit(3)) < min(1.0, params.sample_rows / max(total, 1)))
-    picked = picked.select("text").checkpoint()
+    picked = stored(picked.select("text"))
 
     def shingles(batches):
         import pyarrow as pa
@@ -153,30 +154,32 @@ def _sample(docs: DataFrame, params: Params) -> tuple[Order, Pivots]:
             sets.append(s)
             room -= len(s)
             net = Pivots(sets, params)
+    release(picked)
     return order, net
 
 
 def _measure(docs: DataFrame, pivots, params: Params) -> DataFrame:
-    """``doc_id, n, hi, lo, near``: size and 128-bit digest of each set, and
-    the pivots around it."""
+    """``doc_id, n, hi, lo, near, sketch``: size, 128-bit digest and sketch of
+    each set, and the pivots around it."""
 
     def run(batches):
         import pyarrow as pa
 
         net = pivots.value
         for batch in slices(batches):
-            n, hi, lo, near = [], [], [], []
+            n, hi, lo, near, sketches = [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = kernels.shingle_set(t, params.words)
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 n.append(len(s))
                 hi.append((d >> 64) - (1 << 63))
                 lo.append((d & (1 << 64) - 1) - (1 << 63))
+                sketches.append(kernels.sketch(s))
                 near.append([{"pivot": p, "dist": d, "link": k} for p, d, k in net.near(s)])
             kind = pa.list_(pa.struct([("pivot", pa.int32()), ("dist", pa.float64()), ("link", pa.bool_())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind)], names=["doc_id", "n", "hi", "lo", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind), pa.array(sketches, pa.binary())], names=["doc_id", "n", "hi", "lo", "near", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, near array<struct<pivot:int,dist:double,link:boolean>>")
+    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, near array<struct<pivot:int,dist:double,link:boolean>>, sketch binary")
 
 
 def _replicate(docs: DataFrame, order, pivots, ring: np.ndarray, params: Params) -> DataFrame:
@@ -205,23 +208,28 @@ def _replicate(docs: DataFrame, order, pivots, ring: np.ndarray, params: Params)
     return docs.mapInArrow(run, "cell long, n long, node long")
 
 
-def _verifier(docs: DataFrame, params: Params):
-    """Exact distances of candidate pairs; only their texts are shuffled."""
+def _sets(docs: DataFrame, params: Params):
+    """``node, n, set`` of wanted documents; only their texts are shuffled, if
+    any."""
 
-    def sets(batches):
-        import pyarrow as pa
+    def task(fold: bool):
+        def run(batches):
+            import pyarrow as pa
 
-        for batch in slices(batches):
-            found = [kernels.shingle_set(t, params.words).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["node", "set"])
+            for batch in slices(batches):
+                whole = [kernels.shingle_set(t, params.words) for t in batch.column("text").to_pylist()]
+                found = [np.unique(s.astype(np.uint32)).view(np.int32) if fold else s.view(np.int64) for s in whole]
+                kind = pa.list_(pa.int32() if fold else pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in whole], pa.int64()), pa.array(found, kind), pa.array([kernels.sketch(s) for s in whole], pa.binary())], names=["node", "n", "set", "sketch"])
+
+        return run
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().checkpoint()
+    def sets(nodes: DataFrame, fold: bool) -> DataFrame:
+        wanted = stored(nodes.withColumnRenamed("node", "doc_id"))
         texts = docs.join(broadcast_if_small(wanted, wanted.count(), 24), "doc_id", "left_semi")
-        held = texts.mapInArrow(sets, "node long, set array<long>").checkpoint()
-        return regions.compare(pairs, held, params.num, params.den)
+        return texts.mapInArrow(task(fold), f"node long, n long, set array<{'int' if fold else 'long'}>, sketch binary")
 
-    return verify
+    return sets
 
 
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -240,23 +248,26 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order, net = _sample(docs, params)
     order, pivots = spark.sparkContext.broadcast(order), spark.sparkContext.broadcast(net)
-    measured = _measure(docs, pivots, params).checkpoint()
+    measured = stored(_measure(docs, pivots, params))
     full = measured.filter("doc_id is not null and n > 0")
-    classes = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("other")).filter("class_id < other").drop("other").checkpoint()
-    named = measured.join(classes, ["hi", "lo"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))).checkpoint()
+    classes = stored(full.groupBy("hi", "lo").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("other")).filter("class_id < other").drop("other"))
+    named = stored(measured.join(classes, ["hi", "lo"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))))
+    release(measured, classes)
     # Links that the document pivots give; the smallest node stands for a pivot.
     near = named.filter("doc_id is not null").select("class_id", F.explode("near").alias("near")).select("class_id", "near.*")
     ball = near.filter("link").select("pivot", F.col("class_id").alias("b")).distinct()
     heads = ball.groupBy("pivot").agg(F.min("b").alias("a"))
-    links = ball.join(F.broadcast(heads), "pivot").select("a", "b").checkpoint()
+    links = stored(ball.join(F.broadcast(heads), "pivot").select("a", "b"))
     ring = np.full(len(net.sizes), np.inf)
     for r in near.filter("not link").groupBy("pivot").agg(F.min("dist").alias("dist")).collect():
         ring[r["pivot"]] = r["dist"]
-    copies = named.filter("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("class_id")).cast("int")).alias("head")).filter("head = 0").select("doc_id").checkpoint()
+    copies = stored(named.filter("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("class_id")).cast("int")).alias("head")).filter("head = 0").select("doc_id"))
     heads_only = docs.filter("doc_id is not null").join(broadcast_if_small(copies, copies.count(), 24), "doc_id", "left_anti")
     rows = _replicate(heads_only, order, pivots, ring, params)
-    links = regions.resolve(rows, _verifier(heads_only, params), params.num, params.den, links)
-    labels = components(links)
+    sketches = named.filter("doc_id = class_id and n > 0").select(F.col("class_id").alias("node"), "n", "sketch")
+    known = regions.resolve(rows, _sets(heads_only, params), params.num, params.den, links, sketches)
+    labels = components(known)
+    release(copies, links, known)
     out = named.join(labels, named["class_id"] == labels["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id")
 
@@ -265,12 +276,12 @@ def keep_one(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest
     doc_id, and with its columns. Documents without words and rows with a null
     doc_id stay; of rows that repeat a doc_id one stays (by hash of its text)."""
-    named = join(docs, params).checkpoint()
-    ids = named.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("head")).checkpoint()
-    gone = ids.filter("head = 0").select(F.col("doc_id").alias("_id")).checkpoint()
+    named = stored(join(docs, params))
+    ids = stored(named.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("head")))
+    gone = ids.filter("head = 0").select(F.col("doc_id").alias("_id"))
     kept = docs.join(broadcast_if_small(gone, gone.count(), 24), docs["doc_id"] == F.col("_id"), "left_anti")
-    repeated = ids.filter("head = 1 and rows > 1").select(F.col("doc_id").alias("_id")).checkpoint()
+    repeated = ids.filter("head = 1 and rows > 1").select(F.col("doc_id").alias("_id"))
     if repeated.isEmpty():
         return kept
     several = broadcast_if_small(repeated, repeated.count(), 24)

@@ -47,21 +47,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """64-bit hashes of all runs of ``k`` words, repeats included; fewer
-    words count as one run, no word as none."""
+    words count as one run, no word as none. The words' hashes are random
+    already, so a sum with a multiplier for each place is mixed once."""
     n = len(hashes)
     if n == 0:
         return np.empty(0, np.uint64)
-    if n < k:
-        total = np.full(1, n, np.uint64) * _PLACE[7]
-        for j in range(n):
-            total += mix64(hashes[j : j + 1] * _PLACE[j])
-        return mix64(total)
-    total = np.zeros(n - k + 1, np.uint64)
-    for j in range(k):
-        total += mix64(hashes[j : n - k + 1 + j] * _PLACE[j])
+    short = n < k
+    runs, k = (1, n) if short else (n - k + 1, k)
+    total = hashes[:runs] * _PLACE[0]
+    for j in range(1, k):
+        total += hashes[j : j + runs] * _PLACE[j]
+    if short:
+        total += np.uint64(n)
     return mix64(total)
 
 
+class Lookup:
+    """Places of values in a sorted key array. A bitmap over the leading bits
+    turns most absent values away before the binary search."""
+
+    def __init__(self, keys: np.ndarray, bits: int = 22):
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.map = np.zeros(1 << bits, bool)
+        self.map[keys >> self.shift] = True
+
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in values, places in keys) of the values found."""
+        at = np.flatnonzero(self.map[values >> self.shift])
+        if not len(at):
+            return at, at
+        found = np.minimum(np.searchsorted(self.keys, values[at]), len(self.keys) - 1)
+        same = self.keys[found] == values[at]
+        return at[same], found[same]
+
+
 def shingle_set(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text; empty without words."""
     if not text:
@@ -69,6 +88,27 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(ascii_words(text)), k))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Counts of a set's hashes by their leading bits, a byte each, in about
+    half as many classes as the set has elements (a power of two)."""
+    bits = max(3, len(shingles).bit_length() - 2)
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def sketch_gap(x: bytes, y: bytes) -> int:
+    """Sum of absolute differences of two sketches, the finer one folded: at
+    most the size of the symmetric difference of the sets."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int32), np.frombuffer(y, np.uint8).astype(np.int32)
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < len(b):
+        # A capped class of the finer one may hold more than it tells.
+        a = np.minimum(a, 255)
+        b = np.minimum(b.reshape(len(a), -1).sum(axis=1), 255)
+    return int(np.abs(a - b).sum())
+
+
 class Distinct:
     """Distinct values of an index array in linear time, without sorting:
     each value's last place is stamped, and the places that kept their own

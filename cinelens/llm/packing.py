@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from cinelens.llm import tokens
 from cinelens.llm.common import prepare, slices
 from cinelens.operators.joins import broadcast_if_small
+from cinelens.session import stored
 
 
 @dataclass(frozen=True)
@@ -114,10 +115,10 @@ def pack(docs: DataFrame, params: Params = Params(), tokenizer: str | None = Non
     """
     spark = docs.sparkSession
     prepare(spark)
-    pieces = cut_documents(docs, params, tokenizer, with_ids).checkpoint()
+    pieces = stored(cut_documents(docs, params, tokenizer, with_ids))
     counts = pieces.groupBy("class", "part").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.withColumn("before", before).select("class", "part", "before").checkpoint()
+    offsets = stored(counts.withColumn("before", before).select("class", "part", "before"))
     # One row for each class, of which there are at most 2 * sqrt(capacity).
     totals = sorted((r["class"], r["n"]) for r in counts.groupBy("class").agg(F.sum("n").alias("n")).collect())
     bins, base = [], 0

@@ -8,6 +8,7 @@ one). Then
 
 - linked rows join components: rows of one component need no comparing, and
   a region whose rest is one component is done;
+- pairs whose sketches are too far apart are left out, exactly;
 - by the triangle inequality rows x and y with ``|d(x, p) - d(y, p)| > eps``
   for a pivot p cannot link, so rows carry the interval that their distance
   to the region's first pivot lies in, and such pairs are left out;
@@ -25,8 +26,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinelens.llm import kernels
 from cinelens.llm.common import prepare
 from cinelens.llm.components import components
+from cinelens.session import release, stored
 
 GROWTH = 8
 
@@ -89,60 +92,133 @@ def more_pivots(num: int, den: int, eps: float, pivots: int):
     return run
 
 
-def resolve(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], num: int, den: int, links: DataFrame | None = None) -> DataFrame:
+def resolve(rows: DataFrame, sets: Callable[[DataFrame, bool], DataFrame], num: int, den: int, links: DataFrame | None = None,
+            sketches: DataFrame | None = None) -> DataFrame:
     """Links ``(a, b)`` with the components of all linked pairs.
 
-    ``rows(cell, n, node)``: longs; ``n`` is the size of the node's set. Sets
-    whose sizes differ by more than num / den cannot link. ``verify(pairs(a,
-    b))`` gives ``a, b, dist, link`` with a's and b's true distance. ``links``
-    are known beforehand.
+    ``rows(cell, n, node)``: longs; ``n`` is the size of the node's set, or 1
+    throughout if sizes are to rule out nothing. ``sets(nodes, fold)`` gives
+    ``node, n, set, sketch`` (see :func:`compare` and :func:`screen`) of the
+    ``nodes(node)``, with elements folded to 32 bits or whole. ``links`` are known beforehand.
+
+    With ``sketches(node, n, sketch)`` of all nodes at hand, every pair is
+    screened by them and sets are made only of nodes in pairs still open;
+    without, sets and sketches of all nodes that share a region are made once.
+    Pairs that folding leaves in doubt count as not linked, which costs
+    comparisons but no link, and are compared by whole sets at the end.
     """
-    spark = rows.sparkSession
-    prepare(spark)
+    prepare(rows.sparkSession)
     eps = 1 - num / den + 1e-9
-    sorted_rows = rows.repartition("cell").sortWithinPartitions("cell", "n", "node")
-    starred = sorted_rows.mapInArrow(first_pivots(num, den), "cell long, n long, node long, pivot long, pivot_n long, fits boolean").checkpoint()
-    pairs = starred.filter("fits").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct().checkpoint()
-    done = verify(pairs).checkpoint()
-    known = done.filter("link").select("a", "b")
-    if links is not None:
-        known = known.union(links.select("a", "b"))
+    in_order = lambda df: df.repartition("cell").sortWithinPartitions("cell", "n", "node")
+    starred = stored(in_order(rows).mapInArrow(first_pivots(num, den), "cell long, n long, node long, pivot long, pivot_n long, fits boolean"))
+    pairs = stored(starred.filter("fits").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    held = None
+    if sketches is None:
+        held = stored(sets(starred.select(F.explode(F.array("node", "pivot")).alias("node")).distinct(), True))
+
+    def measure(pairs: DataFrame) -> DataFrame:
+        """``a, b, dist, link, sure, lo``: without a distance where the
+        sketches alone rule a link out; ``lo`` is at most the distance."""
+        seen = stored(screen(pairs, held if sketches is None else sketches, num, den))
+        near = seen.filter("open").select("a", "b")
+        own = held or stored(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), True))
+        out = compare(near, own, num, den).withColumn("lo", F.col("dist"))
+        far = seen.filter("not open").select("a", "b", F.lit(None).cast("double").alias("dist"), F.lit(False).alias("link"), F.lit(True).alias("sure"), "lo")
+        out = stored(out.unionByName(far))
+        release(seen)
+        if own is not held:
+            release(own)
+        return out
+
+    done = measure(pairs)
+    known = done.filter("link and sure").select("a", "b")
+    known = stored(known if links is None else known.union(links.select("a", "b")))
     # Distance to the first pivot: known, or at least what the sizes tell.
     lower = 1 - F.col("pivot_n") / F.col("n")
     keyed = starred.withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
-    measured = keyed.join(done.select("a", "b", "dist"), ["a", "b"], "left")
-    left = measured.select("cell", "n", "node", F.coalesce("dist", lower).alias("lo"), F.coalesce("dist", F.lit(1.0)).alias("hi"))
-    left, pivots = many_rows(left).checkpoint(), 1
+    measured = keyed.join(done.groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max(F.coalesce("dist", F.lit(1.0))).alias("hi")), ["a", "b"], "left")
+    left = _many_rows(measured.select("cell", "n", "node", F.coalesce("lo", lower).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")))
+    release(starred, pairs)
+    pivots = 1
     while not left.isEmpty():
         pivots *= GROWTH
         labels = components(known)
-        named = left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).checkpoint()
-        mixed = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("cell").checkpoint()
+        named = stored(left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        mixed = stored(named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("cell"))
         open_rows = named.join(mixed, "cell").select("cell", "n", "node", "component", "lo", "hi")
-        step = open_rows.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
-            more_pivots(num, den, eps, pivots), "a long, b long, cell long, n long, node long, lo double, hi double").checkpoint()
-        fresh = step.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = fresh.join(done.select("a", "b"), ["a", "b"], "left_anti").checkpoint()
+        step = stored(in_order(open_rows).mapInArrow(more_pivots(num, den, eps, pivots), "a long, b long, cell long, n long, node long, lo double, hi double"))
+        release(left, labels, named, mixed)
+        pairs = step.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        fresh = stored(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
         if not fresh.isEmpty():
-            new = verify(fresh).checkpoint()
-            done = done.unionByName(new).checkpoint()
-            known = known.union(new.filter("link").select("a", "b")).checkpoint()
-        left = many_rows(step.filter("cell is not null").select("cell", "n", "node", "lo", "hi")).checkpoint()
+            new = measure(fresh)
+            both, more = stored(done.unionByName(new)), stored(known.union(new.filter("link and sure").select("a", "b")))
+            release(new, done, known)
+            done, known = both, more
+        left = _many_rows(step.filter("cell is not null").select("cell", "n", "node", "lo", "hi"))
+        release(step, fresh)
+    release(left)
+    if held:
+        release(held)
+    doubtful = stored(done.filter("not sure").select("a", "b").distinct())
+    if not doubtful.isEmpty():
+        whole = sets(doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct(), False)
+        last = stored(known.union(compare(doubtful, whole, num, den).filter("link").select("a", "b")))
+        release(known)
+        known = last
+    release(done, doubtful)
     return known
 
 
 def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``a, b, dist, link`` of ``pairs(a, b)``, exactly, from ``sets(node,
-    set)`` without repeats in a set. A pair whose node has several sets has a
-    row for each choice."""
-    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-    counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"), (F.size("x") + F.size("y")).cast("long").alias("sizes"))
-    union = F.col("sizes") - F.col("shared")
-    return counted.select("a", "b", (1 - F.col("shared") / union).alias("dist"), (den * F.col("shared") >= num * union).alias("link"))
-
-
-def many_rows(rows: DataFrame) -> DataFrame:
-    """Rows of cells that hold two different nodes or more."""
-    held = rows.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("cell").checkpoint()
-    return rows.join(held, "cell")
+    """``a, b, dist, link, sure`` of ``pairs(a, b)`` from ``sets(node, n,
+    set)`` without repeats in a set; ``n`` is the size of the node's true set.
+
+    Sets of integers are folded hashes: two different elements match with
+    probability 2**-32. Such a pair is not ``sure`` if a set lost elements to
+    folding or if so few matches as four times the expected ones and 3 could
+    turn ``link``. A pair whose node has several sets has a row for each choice.
+    """
+    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("set").alias("y")), "b")
+    both = left.join(sets.select(F.col("node").alias("a"), "n", F.col("set").alias("x")), "a")
+    counted = both.select("a", "b", "n", "m", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"),
+                          ((F.size("x") == F.col("n")) & (F.size("y") == F.col("m"))).alias("whole"))
+    linked = lambda shared: den * shared >= num * (F.col("n") + F.col("m") - shared)
+    chance = F.least(F.col("shared"), F.ceil(F.col("n") * F.col("m") / F.lit(float(1 << 30))) + 3)
+    folded = sets.schema["set"].dataType.elementType.simpleString() == "int"
+    sure = F.col("whole") & (linked(F.col("shared")) == linked(F.col("shared") - chance)) if folded else F.lit(True)
+    return counted.select("a", "b", (1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))).alias("dist"), linked(F.col("shared")).alias("link"), sure.alias("sure"))
+
+
+def screen(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b, lo, open`` of ``pairs(a, b)`` by sketches of their sets.
+
+    Mapping a set to its counts by class does not lengthen distances: the sum
+    g of the counts' differences is at most the symmetric difference, which a
+    linked pair keeps within (den - num) / (den + num) of its sizes' sum, and
+    the distance is at least 2 g / (sizes + g). So pairs well beyond the
+    threshold go, exactly, for an eighth of the bytes.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            n, x, y = (batch.column(c).to_pylist() for c in ("sizes", "x", "y"))
+            gap = np.array([kernels.sketch_gap(p, q) for p, q in zip(x, y)], np.int64)
+            n = np.array(n, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(2 * gap / np.maximum(n + gap, 1)), pa.array((den + num) * gap <= (den - num) * n)], names=["a", "b", "lo", "open"])
+
+    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
+    both = left.join(sets.select(F.col("node").alias("a"), "n", F.col("sketch").alias("x")), "a")
+    each = both.select("a", "b", (F.col("n") + F.col("m")).alias("sizes"), "x", "y").mapInArrow(run, "a long, b long, lo double, open boolean")
+    return each.groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max("open").alias("open"))
+
+
+def _many_rows(rows: DataFrame) -> DataFrame:
+    """Rows of cells that hold two different nodes or more, stored."""
+    rows = stored(rows)
+    held = stored(rows.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("cell"))
+    out = stored(rows.join(held, "cell"))
+    release(rows, held)
+    return out

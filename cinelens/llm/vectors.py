@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelens.llm.common import prepare
+from cinelens.session import stored
 
 
 def clean(vectors: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def search(rows: DataFrame, is_query, within: Callable, k: int, best_first, shar
     """
     spark = rows.sparkSession
     prepare(spark)
-    rows = rows.checkpoint()
+    rows = stored(rows)
     candidates, asked, groups = blocks(rows, is_query, shard_rows, block_rows)
 
     def run(left, right):
