@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from cinelens.llm import kernels
 from cinelens.llm.common import prepare, slices, unit_hash
 from cinelens.operators.joins import broadcast_if_small
+from cinelens.session import release, stored
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class Params:
     orders: tuple[int, ...] = (5, 6, 7)
     bits: int = 19
     #: Rows of each class in the fit, about (chosen by hash).
-    fit_rows: int = 3000
+    fit_rows: int = 2000
     smoothing: float = 30.0
     cost: float = 1.0
     epochs: int = 12
@@ -87,13 +88,13 @@ def count_task(params: Params):
     return run
 
 
-def ratios(neg: np.ndarray, pos: np.ndarray, a: float) -> np.ndarray:
-    """Log-count ratio of each n-gram. The smoothing ``a`` is dealt to the
-    classes by their share of all counts, so that an n-gram seen as often as
-    its class's size foretells has ratio 0, however unequal the classes."""
-    share = pos.sum() / (pos.sum() + neg.sum())
-    p, q = pos + 2 * a * share, neg + 2 * a * (1 - share)
-    return np.log(p / share) - np.log(q / (1 - share))
+def ratio(neg, pos, neg_total: float, pos_total: float, a: float):
+    """Log-count ratio of an n-gram, as an expression. The smoothing ``a`` is
+    dealt to the classes by their share of all counts, so that an n-gram seen
+    as often as its class's size foretells has ratio 0, however unequal the
+    classes."""
+    share = pos_total / (pos_total + neg_total)
+    return F.log((pos + F.lit(2 * a * share)) / F.lit(share)) - F.log((neg + F.lit(2 * a * (1 - share))) / F.lit(1 - share))
 
 
 def descend(rows: list[np.ndarray], labels: np.ndarray, r: np.ndarray, params: Params) -> tuple[np.ndarray, float]:
@@ -192,16 +193,17 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params) -> Model:
     labels = labels.select("doc_id", F.col("label").cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
     known = broadcast_if_small(labels, labels.count(), 16)
     train = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "label", "text")
-    counted = train.mapInArrow(count_task(params), "gram long, neg long, pos long").groupBy("gram").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas()
-    total = counted[counted.gram < 0]
-    neg_rows, pos_rows = (int(total[c].iloc[0]) if len(total) else 0 for c in ("neg", "pos"))
+    counted = stored(train.mapInArrow(count_task(params), "gram long, neg long, pos long").groupBy("gram").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
+    sums = {r["rows"]: r for r in counted.groupBy((F.col("gram") < 0).alias("rows")).agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).collect()}
     flat = Model(params, np.zeros(size, np.float32), np.zeros(size, np.float32), 0.0, 1.0, 0.0)
-    if not neg_rows or not pos_rows:
+    if not {True, False} <= sums.keys() or not all(sums[k][c] for k in sums for c in ("neg", "pos")):
+        release(counted)
         return flat
-    counted = counted[counted.gram >= 0]
-    neg, pos = np.zeros(size), np.zeros(size)
-    neg[counted.gram], pos[counted.gram] = counted.neg, counted.pos
-    r = ratios(neg, pos, params.smoothing).astype(np.float32)
+    neg_rows, pos_rows = sums[True]["neg"], sums[True]["pos"]
+    held = counted.filter("gram >= 0").select(F.col("gram").cast("int").alias("gram"), ratio(F.col("neg"), F.col("pos"), sums[False]["neg"], sums[False]["pos"], params.smoothing).cast("float").alias("r")).toPandas()
+    release(counted)
+    r = np.zeros(size, np.float32)
+    r[held["gram"]] = held["r"]
     shared = spark.sparkContext.broadcast(r)
     part = lambda n: F.lit(min(1.0, params.fit_rows / n))
     key = F.xxhash64("doc_id")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cinelens.llm import nbsvm
 
-PARAMS = nbsvm.Params(grams="word", bits=18, fit_rows=3000, smoothing=5.0)
+PARAMS = nbsvm.Params(grams="word", bits=18, fit_rows=2000, smoothing=5.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: nbsvm.Params = PARAMS) -> nbsvm.Model:

@@ -33,7 +33,7 @@ from cinelens.llm.common import prepare, slices
 
 RULES = ("first", "middle", "split")
 #: Words a worker keeps encoded; past it the table starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 # Characters whose lower case and composed form are one character each, and
 # which the tokenizer's pattern splits at white space alike: ASCII without
 # rare controls, Latin-1 letters, the two inverted marks.

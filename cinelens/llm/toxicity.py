@@ -14,7 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from cinelens.llm import nbsvm
 from cinelens.llm.common import prepare, slices
 
-PARAMS = nbsvm.Params(grams="char", orders=(5, 6, 7), bits=19, fit_rows=3000)
+PARAMS = nbsvm.Params(grams="char", orders=(5, 6, 7), bits=19, fit_rows=2000)
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: nbsvm.Params = PARAMS) -> nbsvm.Model:
