@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hashes a worker keeps; past it the table starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Odd multipliers, one for each place in a shingle.
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                    0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -96,17 +96,20 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def fold_sketches(raw: bytes, rows: int, width: int) -> np.ndarray:
+    """``rows`` sketches of one length as a table of ``width`` classes. Counts
+    are capped at 255 again: a capped class may hold more than it tells."""
+    table = np.frombuffer(raw, np.uint8).astype(np.int32).reshape(rows, -1)
+    if table.shape[1] > width:
+        table = np.minimum(table.reshape(rows, width, -1).sum(axis=2), 255)
+    return table
+
+
 def sketch_gap(x: bytes, y: bytes) -> int:
     """Sum of absolute differences of two sketches, the finer one folded: at
     most the size of the symmetric difference of the sets."""
-    a, b = np.frombuffer(x, np.uint8).astype(np.int32), np.frombuffer(y, np.uint8).astype(np.int32)
-    if len(a) > len(b):
-        a, b = b, a
-    if len(a) < len(b):
-        # A capped class of the finer one may hold more than it tells.
-        a = np.minimum(a, 255)
-        b = np.minimum(b.reshape(len(a), -1).sum(axis=1), 255)
-    return int(np.abs(a - b).sum())
+    width = min(len(x), len(y))
+    return int(np.abs(fold_sketches(x, 1, width) - fold_sketches(y, 1, width)).sum())
 
 
 class Distinct:

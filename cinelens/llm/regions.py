@@ -59,26 +59,63 @@ def first_pivots(num: int, den: int):
     return run
 
 
+class Held:
+    """A region's pivots, ready to be compared with one row at a time."""
+
+    def __init__(self):
+        self.rows, self.sketches, self.folded, self.arrays = [], [], {}, None
+
+    def add(self, row, sketch: bytes) -> None:
+        self.rows.append(row)
+        self.sketches.append(sketch)
+        self.folded, self.arrays = {}, None
+
+    def near(self, row, sketch: bytes, num: int, den: int, eps: float) -> np.ndarray:
+        """Nodes of the pivots that ``row`` may link to."""
+        if not self.rows:
+            return np.empty(0, np.int64)
+        if self.arrays is None:
+            self.arrays = [np.array(c) for c in zip(*self.rows)]
+            self.lengths = np.array([len(s) for s in self.sketches])
+        m, other, group, low, high = self.arrays
+        n, node, component, lo, hi = row
+        keep = np.flatnonzero((group != component) & (other != node) & (den * m >= num * n) & (low - hi <= eps) & (lo - high <= eps))
+        if len(keep):
+            gap = np.empty(len(keep), np.int64)
+            for size in set(self.lengths[keep].tolist()):
+                which = np.flatnonzero(self.lengths[keep] == size)
+                width = min(size, len(sketch))
+                if (size, width) not in self.folded:
+                    place = np.flatnonzero(self.lengths == size)
+                    table = kernels.fold_sketches(b"".join(self.sketches[i] for i in place), len(place), width)
+                    self.folded[size, width] = np.searchsorted(place, np.arange(len(self.rows))), table
+                at, table = self.folded[size, width]
+                mine = kernels.fold_sketches(sketch, 1, width)
+                gap[which] = np.abs(table[at[keep[which]]] - mine).sum(axis=1)
+            keep = keep[(den + num) * gap <= (den - num) * (m[keep] + n)]
+        return other[keep]
+
+
 def more_pivots(num: int, den: int, eps: float, pivots: int):
-    """Task over rows (cell, n, node, component, lo, hi) sorted by cell, n and
-    node: pairs of each row with the pivots before it, and the rows that are
-    no pivots themselves (with a null pivot)."""
+    """Task over rows (cell, n, node, component, lo, hi, sketch) sorted by
+    cell, n and node: pairs of each row with the pivots before it that it may
+    link to, and the rows that are no pivots themselves (without a pair).
+    Sizes, intervals and sketches are looked at here, so that pairs that
+    cannot link never become rows."""
 
     def run(batches):
         import pyarrow as pa
 
-        cell, held = None, []
+        cell, held = None, Held()
         for batch in batches:
             out, rest = [], []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("cell", "n", "node", "component", "lo", "hi"))):
-                c, n, node, component, lo, hi = row
+            for c, n, node, component, lo, hi, sketch in zip(*(batch.column(x).to_pylist() for x in ("cell", "n", "node", "component", "lo", "hi", "sketch"))):
                 if c != cell:
-                    cell, held = c, []
-                for m, other, group, low, high in held:
-                    if group != component and other != node and den * m >= num * n and low - hi <= eps and lo - high <= eps:
-                        out.append((other, node))
-                if len(held) < pivots:
-                    held.append(row[1:])
+                    cell, held = c, Held()
+                row = (n, node, component, lo, hi)
+                out += [(int(other), node) for other in held.near(row, sketch, num, den, eps)]
+                if len(held.rows) < pivots:
+                    held.add(row, sketch)
                 else:
                     rest.append((c, n, node, lo, hi))
             a, b = zip(*out) if out else ((), ())
@@ -145,7 +182,9 @@ def resolve(rows: DataFrame, sets: Callable[[DataFrame, bool], DataFrame], num:
         labels = components(known)
         named = stored(left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mixed = stored(named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("cell"))
-        open_rows = named.join(mixed, "cell").select("cell", "n", "node", "component", "lo", "hi")
+        # ``n`` may be 1 throughout; pairs are judged by the sets' own sizes.
+        own_size = (held if sketches is None else sketches).select("node", F.col("n").alias("size"), "sketch").distinct()
+        open_rows = named.join(mixed, "cell").join(own_size, "node").select("cell", F.col("size").alias("n"), "node", "component", "lo", "hi", "sketch")
         step = stored(in_order(open_rows).mapInArrow(more_pivots(num, den, eps, pivots), "a long, b long, cell long, n long, node long, lo double, hi double"))
         release(left, labels, named, mixed)
         pairs = step.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
