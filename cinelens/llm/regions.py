@@ -32,6 +32,8 @@ from cinelens.llm.components import components
 from cinelens.session import release, stored
 
 GROWTH = 8
+#: Pairs a task remembers, as near copies meet in many regions.
+SENT_PAIRS = 500_000
 
 
 def first_pivots(num: int, den: int):
@@ -106,14 +108,19 @@ def more_pivots(num: int, den: int, eps: float, pivots: int):
     def run(batches):
         import pyarrow as pa
 
-        cell, held = None, Held()
+        # Pairs sent by this task; sending one again after a reset is harmless.
+        cell, held, sent = None, Held(), set()
         for batch in batches:
             out, rest = [], []
+            if len(sent) > SENT_PAIRS:
+                sent.clear()
             for c, n, node, component, lo, hi, sketch in zip(*(batch.column(x).to_pylist() for x in ("cell", "n", "node", "component", "lo", "hi", "sketch"))):
                 if c != cell:
                     cell, held = c, Held()
                 row = (n, node, component, lo, hi)
-                out += [(int(other), node) for other in held.near(row, sketch, num, den, eps)]
+                fresh = {(int(other), node) for other in held.near(row, sketch, num, den, eps)} - sent
+                sent |= fresh
+                out += sorted(fresh)
                 if len(held.rows) < pivots:
                     held.add(row, sketch)
                 else:
