@@ -147,6 +147,36 @@ def test_lines_equal_brute_force(spark, params):
     assert sum(k != v for k, v in want.items()) > 60
 
 
+def edited(line, at, n, letters):
+    """``line`` with ``n`` characters changed from place ``at`` on."""
+    return line[:at] + "".join(letters[(letters.index(c) + 1) % len(letters)] if c in letters else c for c in line[at : at + n]) + line[at + n :]
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳"])
+def test_small_edits_link(spark, letters):
+    rng, rows, near, far = random.Random(3), [], [], []
+    cases = [(n, 1) for n in range(20, 81, 3)] + [(40, 3), (45, 3), (50, 3), (60, 4), (70, 4), (80, 4)]
+    for length, changed in cases * 3:
+        line = "".join(rng.choice(letters) for _ in range(length))
+        near.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), line), (len(rows) + 1, edited(line, rng.randrange(6, length - 9), changed, letters))]
+    for length in (20, 40, 80):
+        line = "".join(rng.choice(letters) for _ in range(length))
+        far.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), line), (len(rows) + 1, edited(line, length // 3, length // 3, letters))]
+    keeper = {r["doc_id"]: r["keeper_doc_id"] for r in linededup.lines(docs(spark, rows)).collect()}
+    assert [(rows[a][1], rows[b][1]) for a, b in near if keeper[a] != a or keeper[b] != a] == []
+    assert all(keeper[b] == b for _, b in far)
+
+
+def test_shingles_are_characters():
+    for k in (2, 3, 5):
+        for line in ("abcabd", "é天a\U0001F600bé天a", "x", "天地", "\ud800a\udc00"):
+            got, sizes = linededup.shingles([line.encode("utf-8", "surrogatepass")] * 2, k)
+            grams = [line[i : i + k] for i in range(max(1, len(line) - k + 1))]
+            assert sizes.tolist() == [len(grams)] * 2 and len(set(got.tolist())) == len(set(grams))
+
+
 def test_removed_lines(spark):
     d = docs(spark, [(1, "keep this line of text\nand another one here"), (2, "Keep  this line of text\n\nsomething else entirely"), (3, "keep this line of text"),
                      (4, None), (5, ""), (6, "a\nb"), (7, "only a copy\nonly a copy"), (8, "a"), (None, "no id on this row")])
