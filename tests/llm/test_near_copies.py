@@ -169,6 +169,16 @@ def test_small_edits_link(spark, letters):
     assert all(keeper[b] == b for _, b in far)
 
 
+def test_line_digests_stay_off_the_driver(spark, monkeypatch):
+    def refused(*a, **b):
+        raise AssertionError("digests of lines collected")
+
+    d = docs(spark, line_table()[:20])
+    for name in ("toPandas", "toArrow"):
+        monkeypatch.setattr(type(d), name, refused)
+    assert linededup.lines(d).filter("not kept").count() > 0
+
+
 def test_shingles_are_characters():
     for k in (2, 3, 5):
         for line in ("abcabd", "é天a\U0001F600bé天a", "x", "天地", "\ud800a\udc00"):
