@@ -27,6 +27,13 @@ sample last, so that common passages rarely form regions; any order is exact.
 *Recursion.* Regions are joined by :mod:`cinelens.llm.regions`: pivots within
 a region, triangle-inequality windows, and again on what is left.
 
+*Link counts.* Every link lies within a component, so the links of each
+different set are counted there, once all components are known: a component's
+sets are dealt into blocks of about ``block_shingles`` by hash, and each pair of
+blocks is one group of a shuffle, so that a large component is spread over many
+tasks, of which each holds two blocks. Overlaps are matrix products over the
+shingles that both sides hold; only counts leave a task.
+
 The sample only chooses pivots and the order; it has no effect on the result.
 """
 
@@ -59,6 +66,8 @@ class Params:
     max_frequent: int = 500_000
     pivots: int = 256
     pivot_shingles: int = 1_000_000
+    #: Shingles (about) of a block of sets whose links are counted together.
+    block_shingles: int = 1 << 18
 
 
 class Order:
@@ -158,6 +167,12 @@ def _sample(docs: DataFrame, params: Params) -> tuple[Order, Pivots]:
     return order, net
 
 
+def digest(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two longs."""
+    d = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
+
+
 def _measure(docs: DataFrame, pivots, params: Params) -> DataFrame:
     """``doc_id, n, hi, lo, near, sketch``: size, 128-bit digest and sketch of
     each set, and the pivots around it."""
@@ -170,10 +185,10 @@ def _measure(docs: DataFrame, pivots, params: Params) -> DataFrame:
             n, hi, lo, near, sketches = [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = kernels.shingle_set(t, params.words)
-                d = xxhash.xxh3_128_intdigest(s.tobytes())
+                d = digest(s)
                 n.append(len(s))
-                hi.append((d >> 64) - (1 << 63))
-                lo.append((d & (1 << 64) - 1) - (1 << 63))
+                hi.append(d[0])
+                lo.append(d[1])
                 sketches.append(kernels.sketch(s))
                 near.append([{"pivot": p, "dist": d, "link": k} for p, d, k in net.near(s)])
             kind = pa.list_(pa.struct([("pivot", pa.int32()), ("dist", pa.float64()), ("link", pa.bool_())]))
@@ -232,9 +247,138 @@ def _sets(docs: DataFrame, params: Params):
     return sets
 
 
+#: Rows of a matrix product, and shingles of one step of it.
+ROWS, COLUMNS = 1024, 4096
+
+
+def linked(a: list[np.ndarray], b: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Whether each set of ``a`` links to each of ``b``; sets are sorted and
+    not empty."""
+    n, m = (np.array([len(s) for s in x], np.int64) for x in (a, b))
+    x, y = np.concatenate(a), np.concatenate(b)
+    keys = np.intersect1d(x, y)
+    both = np.zeros((len(a), len(b)))
+    if len(keys):
+        sides = []
+        for every, sizes in ((x, n), (y, m)):
+            at = np.minimum(np.searchsorted(keys, every), len(keys) - 1)
+            held = np.flatnonzero(keys[at] == every)
+            place, owner = at[held], np.repeat(np.arange(len(sizes)), sizes)[held]
+            by = np.argsort(place, kind="stable")
+            sides.append((place[by], owner[by], len(sizes)))
+        for start in range(0, len(keys), COLUMNS):
+            width = min(COLUMNS, len(keys) - start)
+            tables = []
+            for place, owner, rows in sides:
+                lo, hi = np.searchsorted(place, [start, start + width])
+                table = np.zeros((rows, width), np.float32)
+                table[owner[lo:hi], place[lo:hi] - start] = 1
+                tables.append(table)
+            both += tables[0] @ tables[1].T
+    both = both.astype(np.int64)
+    return (both > 0) & (den * both >= num * (n[:, None] + m[None, :] - both))
+
+
+def count_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each set of ``left`` and of ``right`` to the other side;
+    without ``right``, to the others of ``left``."""
+    same, right = right is None, left if right is None else right
+    counts = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
+    orders = [np.argsort([len(s) for s in side], kind="stable") for side in (left, right)]
+    parts = [[o[i : i + ROWS] for i in range(0, len(o), ROWS)] for o in orders]
+    for i, p in enumerate(parts[0]):
+        for k, q in enumerate(parts[1]):
+            # Sets of sizes too far apart cannot link.
+            if same and k < i or den * len(left[p[-1]]) < num * len(right[q[0]]) or den * len(right[q[-1]]) < num * len(left[p[0]]):
+                continue
+            link = linked([left[x] for x in p], [right[x] for x in q], num, den)
+            if same and i == k:
+                counts[0][p] += link.sum(axis=1) - 1
+            else:
+                counts[0][p] += link.sum(axis=1)
+                counts[0 if same else 1][q] += link.sum(axis=0)
+    return counts[0], counts[1]
+
+
+def _count_task(params: Params):
+    """Task over rows (component, i, k, own, hi, lo, set) sorted by the first
+    three: links of each set in its pair of blocks."""
+
+    def count(rows: list) -> list[tuple[int, int, int]]:
+        i, k = rows[0][1:3]
+        sides = [[r for r in rows if r[3] == i], [r for r in rows if r[3] == k] if i != k else []]
+        if not sides[0] or i != k and not sides[1]:
+            return []
+        sets = [[r[6] for r in side] for side in sides]
+        found = count_pairs(sets[0], sets[1] if i != k else None, params.num, params.den)
+        return [(r[4], r[5], int(n)) for side, counts in zip(sides, found) for r, n in zip(side, counts) if n]
+
+    def run(batches):
+        import pyarrow as pa
+
+        group, names = [], ("component", "i", "k", "own", "hi", "lo")
+
+        def sent(found):
+            hi, lo, n = zip(*found) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (hi, lo, n)], names=["hi", "lo", "links"])
+
+        for batch in slices(batches):
+            out, column = [], batch.column("set")
+            for at, key in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
+                if group and group[-1][:3] != key[:3]:
+                    out += count(group)
+                    group = []
+                # A copy, which does not hold on to the whole batch.
+                group.append((*key, column[at].values.to_numpy().view(np.uint64).copy()))
+            yield sent(out)
+        if group:
+            yield sent(count(group))
+
+    return run
+
+
+def _link_counts(docs: DataFrame, found: DataFrame, params: Params) -> DataFrame:
+    """``hi, lo, n_links`` of the sets that link to another one."""
+    spark = docs.sparkSession
+    members = stored(found.filter("doc_id is not null and n_shingles > 0").groupBy("hi", "lo").agg(
+        F.min("component_id").alias("component"), F.first("class_id").alias("class_id"), F.first("n_shingles").alias("n")))
+    sizes = stored(members.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sets")).filter("sets > 1").select(
+        "component", F.ceil(F.col("total") / F.lit(float(params.block_shingles))).cast("long").alias("blocks")))
+    several = stored(members.join(broadcast_if_small(sizes, sizes.count(), 24), "component").withColumn("own", F.expr("pmod(lo, blocks)")))
+    release(members)
+
+    def sets(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            hi, lo, found = [], [], []
+            for t in batch.column("text").to_pylist():
+                s = kernels.shingle_set(t, params.words)
+                d = digest(s)
+                hi.append(d[0])
+                lo.append(d[1])
+                found.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["hi", "lo", "set"])
+
+    ids = several.select(F.col("class_id").alias("doc_id")).distinct()
+    rows = several.count()
+    texts = docs.join(broadcast_if_small(ids, rows, 24), "doc_id", "left_semi")
+    whole = texts.select("text").mapInArrow(sets, "hi long, lo long, set array<long>").join(broadcast_if_small(several, rows, 56), ["hi", "lo"])
+    whole = stored(whole.dropDuplicates(["hi", "lo"]).select("component", "blocks", "own", "hi", "lo", "set"))
+    dealt = whole.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "component", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("k"), "own", "hi", "lo", "set")
+    key = ["component", "i", "k"]
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key)
+    out = stored(dealt.mapInArrow(_count_task(params), "hi long, lo long, links long").groupBy("hi", "lo").agg(F.sum("links").alias("n_links")))
+    release(sizes, several, whole)
+    return out
+
+
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id`` of each row of
-    ``docs(doc_id, text)``.
+    """``doc_id, n_shingles, component_id, class_id, n_links`` of each row of
+    ``docs(doc_id, text)``. Rows of one set share a class; ``n_links`` is how
+    many other sets the row's set links to, each looked at by itself (0 without
+    words, null with a null doc_id).
 
     Words are runs of characters other than \\x20 and \\x09-\\x0D, with A-Z
     lower-cased; a set holds the distinct shingles of ``words`` words, the
@@ -243,6 +387,14 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     null doc_id has a null component and takes no part. Rows that repeat a
     doc_id are one document: it links where any of its texts does.
     """
+    found = stored(_components(docs, params))
+    counts = _link_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), found, params)
+    out = found.join(broadcast_if_small(counts, counts.count(), 32), ["hi", "lo"], "left")
+    return out.select("doc_id", "n_shingles", "component_id", "class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
+
+
+def _components(docs: DataFrame, params: Params) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_id, hi, lo`` of each row."""
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -269,14 +421,14 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     labels = components(known)
     release(copies, links, known)
     out = named.join(labels, named["class_id"] == labels["node"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id", "hi", "lo")
 
 
 def keep_one(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest
     doc_id, and with its columns. Documents without words and rows with a null
     doc_id stay; of rows that repeat a doc_id one stays (by hash of its text)."""
-    named = stored(join(docs, params))
+    named = stored(_components(docs, params))
     ids = stored(named.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("head")))
     gone = ids.filter("head = 0").select(F.col("doc_id").alias("_id"))

@@ -89,8 +89,9 @@ def op3_token_counts(spark, sf_dir):
 
 @query
 def op4_ngram_jaccard(spark, sf_dir):
-    """Components of near copies among all documents (4 words, 0.85)."""
-    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+    """Components, classes and link counts of near copies among all documents
+    (4 words, 0.85)."""
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 @query

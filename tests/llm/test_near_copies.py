@@ -88,6 +88,39 @@ def test_join_equals_brute_force(spark, params):
     assert all(r["n_shingles"] == len(shingle_set(rows[r["doc_id"]][1], params.words)) for r in got)
 
 
+def brute_counts(rows, params):
+    """Links of each row's set to other sets."""
+    sets = [frozenset(shingle_set(t, params.words)) if i is not None else frozenset() for i, t in rows]
+    different = set(sets) - {frozenset()}
+    link = lambda x, y: params.den * len(x & y) >= params.num * len(x | y)
+    counts = {x: sum(x != y and link(x, y) for y in different) for x in different} | {frozenset(): 0}
+    return sorted((i, len(s), counts[s]) for (i, _), s in zip(rows, sets) if i is not None)
+
+
+@pytest.mark.parametrize("params", [jaccard.Params(), jaccard.Params(num=80, block_shingles=300)])
+def test_link_counts_equal_brute_force(spark, params):
+    rows = near_copies()
+    rows += [(5000 + i, t) for i, t in rows[:70:7]] + [(5000, rows[40][1]), (None, rows[3][1])]
+    got = jaccard.join(docs(spark, rows), params).collect()
+    want = brute_counts(rows, params)
+    assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got if r["doc_id"] is not None) == want
+    assert [r["n_links"] for r in got if r["doc_id"] is None] == [None]
+    assert max(n for _, _, n in want) > 20 and sum(n > 0 for _, _, n in want) > 60
+
+
+def test_counts_over_several_parts(monkeypatch):
+    rng = random.Random(6)
+    base = rng.sample(range(10**9), 60)
+    sets = [jaccard.np.unique(jaccard.np.array([rng.randrange(10**9) if rng.random() < 0.06 else x for x in base[: rng.randint(45, 60)]], jaccard.np.uint64)) for _ in range(50)]
+    monkeypatch.setattr(jaccard, "ROWS", 7)
+    monkeypatch.setattr(jaccard, "COLUMNS", 11)
+    link = lambda x, y: 100 * len(set(x.tolist()) & set(y.tolist())) >= 85 * len(set(x.tolist()) | set(y.tolist()))
+    assert jaccard.count_pairs(sets, None, 85, 100)[0].tolist() == [sum(i != k and link(x, y) for k, y in enumerate(sets)) for i, x in enumerate(sets)]
+    left, right = jaccard.count_pairs(sets[:20], sets[20:], 85, 100)
+    assert left.tolist() == [sum(link(x, y) for y in sets[20:]) for x in sets[:20]]
+    assert right.tolist() == [sum(link(x, y) for x in sets[:20]) for y in sets[20:]]
+
+
 def test_join_awkward(spark):
     rows = awkward()
     got = jaccard.join(docs(spark, rows)).collect()
