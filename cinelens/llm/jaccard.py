@@ -125,6 +125,8 @@ class Pivots:
 
 def _sample(docs: DataFrame, params: Params) -> tuple[Order, Pivots]:
     """Frequent shingles and pivots of a bounded sample."""
+    # A row without an id takes no part, so it can be no pivot either.
+    docs = docs.filter("doc_id is not null")
     total = docs.count()
     picked = docs.filter("text is not null").filter(unit_hash("text", F.lit(3)) < min(1.0, params.sample_rows / max(total, 1)))
     picked = stored(picked.select("text"))

@@ -121,6 +121,20 @@ def test_counts_over_several_parts(monkeypatch):
     assert right.tolist() == [sum(link(x, y) for x in sets[:20]) for y in sets[20:]]
 
 
+def test_rows_without_id_join_nothing(spark):
+    rows = []
+    for g in range(12):
+        middle = [f"g{g}w{i}" for i in range(120)]
+        first, second = ["x"] * 2 + middle[2:], middle[:-2] + ["y"] * 2
+        first[40], second[80] = "x", "y"
+        rows += [(None, " ".join(middle))] * 3 + [(6 * g + i, " ".join(w)) for i, w in enumerate([first] * 3 + [second] * 3)]
+    params = jaccard.Params(num=90)
+    got = jaccard.join(docs(spark, rows), params).collect()
+    want = brute(rows, params)
+    assert len(set(want.values())) == 24
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == want
+
+
 def test_join_awkward(spark):
     rows = awkward()
     got = jaccard.join(docs(spark, rows)).collect()
