@@ -23,8 +23,7 @@ K = 20
 SCALE = 64
 SHARD_ROWS = 4096
 BLOCK_ROWS = 4096
-#: Least first depth of the lists (a 16th of a shard otherwise); each next one
-#: is twice as deep.
+#: First depth of the lists; each next one is twice as deep.
 FIRST_DEPTH = 16
 
 
@@ -45,7 +44,7 @@ class Lists:
         met, scores = np.zeros(self.n, bool), np.zeros(self.n, self.rows.dtype)
         depth, best = 0, np.empty(0, np.int64)
         while True:
-            last, depth = depth, min(self.n, max(FIRST_DEPTH, self.n // 16, depth * 2))
+            last, depth = depth, min(self.n, max(FIRST_DEPTH, depth * 2))
             fresh = np.zeros(self.n, bool)
             fresh[self.order[last:depth][:, up]] = True
             fresh[self.order[self.n - depth : self.n - last][:, down]] = True
@@ -54,7 +53,7 @@ class Lists:
             fresh &= ~met
             new = np.flatnonzero(fresh)
             met |= fresh
-            scores[new] = (self.rows @ query)[new] if 2 * len(new) > self.n else self.rows[new] @ query
+            scores[new] = self.rows[new] @ query
             best = np.concatenate([best, new[ids[new] != own]])
             if len(best) > 4 * k:
                 found = scores[best]

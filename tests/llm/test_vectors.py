@@ -91,3 +91,14 @@ def test_top_k_query_equals_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
     rows = lambda p: sorted(map(tuple, p[["query_id", "rank", "vec_id", "score"]].astype("int64").itertuples(index=False)))
     assert rows(queries.QUERIES["op8_topk"](spark, sf).toPandas()) == rows(con.execute(queries.ORACLE["op8_topk"]).df())
+
+
+def test_lists_stop_early_on_clustered_rows():
+    rng = np.random.default_rng(5)
+    centres = np.eye(64) * 60
+    rows = np.floor(centres[np.arange(4096) % 64] + rng.normal(0, 1, (4096, 64))).astype(np.float32)
+    lists, ids = topk.Lists(rows), np.arange(4096)
+    query = np.floor(centres[3])
+    best, scores, depth = lists.top(query, ids, -1, 20)
+    want = np.lexsort((ids, -(rows @ query.astype(np.float32))))[:20]
+    assert best.tolist() == want.tolist() and depth < 4096 // 16
