@@ -92,3 +92,9 @@ def test_queries_cover_all_documents(spark, name):
         assert (held.lang_pred == held.lang).mean() > 0.9
     else:
         assert (got.predicted == (got.score >= 0.5)).all()
+
+
+def test_fits_are_not_cut():
+    from cinelens.llm import quality, toxicity
+
+    assert quality.PARAMS.fit_rows == toxicity.PARAMS.fit_rows == 3000
