@@ -3,8 +3,11 @@
 *Encoding.* The tokenizer file (a parameter) is read once on the driver and
 broadcast. Texts of plain Latin letters, digits, marks and white space are
 split at white space, which this tokenizer drops and never merges across, and
-every distinct part of a word is encoded once in a worker; all other texts are
-encoded whole. Either way the ids are those of the tokenizer for the whole text.
+every distinct part of a word is encoded once in a worker; all other texts, and
+those that hold the string of an added token, are encoded whole. Either way the
+ids are those of the tokenizer, as its file sets it up, for the whole text.
+
+Rows that repeat a doc_id or a text are encoded each for itself.
 
 *Attribution* (``section_counts``). A document is encoded once. Its tokens'
 character spans, which are sorted, are joined to its sections by binary
@@ -111,24 +114,31 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._ids, self._spans = _Ids(self.tokenizer), _Spans(self.tokenizer)
 
+    def _words(self, text: str) -> list[str] | None:
+        """Lower-cased words of a text that can be encoded word by word."""
+        if not _PLAIN.fullmatch(text):
+            return None
+        lower = text.lower()
+        return None if any(t in lower for t in self.added) else lower.split()
+
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self._ids.__getitem__, text.lower().split()))
+        if (words := self._words(text)) is not None:
+            return b"".join(map(self._ids.__getitem__, words))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def spans(self, text: str | None) -> np.ndarray:
         """Character spans, one row (start, end) for each token."""
         if not text:
             return np.empty((0, 2), np.int64)
-        if not _PLAIN.fullmatch(text):
+        if (words := self._words(text)) is None:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-        parts = list(map(self._spans.__getitem__, text.lower().split()))
+        parts = list(map(self._spans.__getitem__, words))
         if not parts:
             return np.empty((0, 2), np.int64)
         chars = np.frombuffer(text.encode("latin-1"), np.uint8)

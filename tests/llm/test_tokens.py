@@ -17,9 +17,8 @@ HARD = ["The café's don't — I'll, we've 123 4567 x1y2", "ÀÉÎ ß ÿ ¿Qué?
 
 @pytest.fixture(scope="module")
 def own():
-    t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
-    return t
+    """The tokenizer as its file sets it up."""
+    return Tokenizer.from_file(tokens.default_path())
 
 
 def test_fast_path_equals_tokenizer(own):
