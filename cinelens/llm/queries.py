@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelens.llm import jaccard, langid, linededup, mixing, packing, quality, tokens, topk, toxicity, vptree
+from cinelens.llm import bestfit, bisector, importance, jaccard, langid, linededup, mixing, packing, quality, tokens, topk, toxicity, vptree
 from cinelens.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -148,3 +148,87 @@ def op10_toxicity(spark, sf_dir):
     model = toxicity.fit(docs.filter(fold("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
     held = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
     return classified(toxicity.score(docs, model).withColumn("held_out", held))
+
+
+@query
+def op11_importance(spark, sf_dir):
+    """Every document's weight towards the benchmark texts, its noisy score,
+    and its rank if drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_importance"] = r"""
+WITH tab AS (
+  SELECT list(x ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS x FROM range(256) r(b))),
+texts AS (
+  SELECT 'd' AS side, doc_id, text, row_number() OVER () AS rid FROM documents
+  UNION ALL SELECT 'b', NULL, text, NULL FROM benchmark),
+grams AS (
+  SELECT side, doc_id, rid, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM texts),
+bytes AS (
+  SELECT word, [CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT) FOR i IN range(1, len(h) // 2 + 1)] AS b
+  FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM grams)),
+buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, tab),
+counts AS (
+  SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t
+  FROM grams JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts),
+weights AS (
+  SELECT rid, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM grams JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY rid),
+scored AS (
+  SELECT x.doc_id, x.rid, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || x.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM texts x LEFT JOIN weights USING (rid) WHERE x.side = 'd'),
+ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, CAST(score AS BIGINT) AS score, CASE WHEN place <= 10 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranked USING (rid)
+"""
+
+
+@query
+def op12_best_fit(spark, sf_dir):
+    """Token sequences of all documents by best fit, one row for each piece."""
+    return bestfit.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroids(spark, sf_dir):
+    """Every usable vector's cluster after 5 rounds with 40 centroids."""
+    return bisector.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds_sql(rounds: int, k: int) -> str:
+    """Exact integer rounds of assignment and floored means, as plain SQL."""
+    nearest = """a{r} AS (
+  SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT rid, c, list_sum(list_transform(list_zip(vs.v, c{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM vs, c{r}) GROUP BY rid)"""
+    means = """m{r} AS (
+  SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS v FROM (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+      SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r} JOIN vs USING (rid)) GROUP BY c, i) GROUP BY c),
+c{next} AS (SELECT c{r}.c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON m{r}.c = c{r}.c)"""
+    steps = [f"{nearest.format(r=r)},\n{means.format(r=r, next=r + 1)}" for r in range(rounds)]
+    return f"""
+WITH vs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = 64
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+    SELECT sha256('2:' || vec_id) AS h, v FROM vs ORDER BY h, v LIMIT {k})),
+{", ".join(steps)},
+{nearest.format(r=rounds)}
+SELECT vec_id, CAST(a.c AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN vs USING (rid) JOIN c{rounds} z ON z.c = a.c
+"""
+
+
+ORACLE["op13_centroids"] = _rounds_sql(5, 40)
