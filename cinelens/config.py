@@ -46,7 +46,7 @@ class TfidfParams:
 @dataclass(frozen=True)
 class ModelParams:
     """Recommender settings. ``n_components=None`` keeps the exact TF-IDF
-    space (no SVD); only allowed while the vocabulary is small."""
+    space (no SVD), as sparse rows over a vocabulary of any size."""
 
     tfidf: TfidfParams = field(default_factory=TfidfParams)
     rating_threshold: float = RATING_THRESHOLD
@@ -54,5 +54,3 @@ class ModelParams:
     seed: int = SVD_SEED
     svd_oversample: int = 10
     svd_power_iters: int = 5
-    # Largest vocabulary kept as dense exact vectors when n_components is None.
-    max_exact_dims: int = 16384

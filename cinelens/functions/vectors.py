@@ -1,4 +1,6 @@
-"""Dense vector expressions on ``array<double>`` columns.
+"""Vector expressions (F8, A7-A9): dense ones on ``array<double>`` columns,
+and sparse rows ``struct<idx: array<long>, val: array<double>>`` (``idx``
+ascending), whose width is not bounded by memory.
 
 ``cosine`` is the column form of F8 (pairs already on one row); scoring
 against a whole catalogue uses the blocked kernel in
@@ -9,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -49,3 +52,18 @@ def vec_mean(a, weight=None) -> Column:
 def vec_sum(a) -> Column:
     """Grouped element-wise sum of equal-length arrays (partial aggregation)."""
     return vector_to_array(Summarizer.sum(array_to_vector(_col(a))))
+
+
+def is_sparse(df: DataFrame, col: str = "vec") -> bool:
+    return isinstance(df.schema[col].dataType, T.StructType)
+
+
+def entries(col: str = "vec") -> Column:
+    """Array of structs ``(idx, val)`` of a sparse row."""
+    return F.arrays_zip(F.col(f"{col}.idx").alias("idx"), F.col(f"{col}.val").alias("val"))
+
+
+def sparse(pairs) -> Column:
+    """Sparse row from an array of structs ``(idx, val)``, in any order."""
+    ordered = F.array_sort(_col(pairs))
+    return F.struct(F.transform(ordered, lambda e: e["idx"]).alias("idx"), F.transform(ordered, lambda e: e["val"]).alias("val"))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from cinelens.config import EVAL_MAX_USERS, EVAL_MIN_LIKED, EVAL_SEED, RATING_THRESHOLD, TOP_K
 from cinelens.functions.time import epoch_seconds
-from cinelens.operators.joins import ID_ROW_BYTES, broadcast_if_small, vector_row_bytes
+from cinelens.operators.joins import ID_ROW_BYTES, broadcast_if_small, vector_rows
 from cinelens.operators.profiles import weighted_profiles
 from cinelens.operators.scoring import top_n_unseen
 from cinelens.session import ensure_checkpoint_dir
@@ -127,7 +127,7 @@ def train_profiles(rows: DataFrame, held: DataFrame, items: DataFrame, dims: int
         F.sum("n").alias("n"), F.max_by("rating", F.struct("epoch", "rating")).alias("last_rating")
     )
     if dims is not None:
-        items = broadcast_if_small(items, items.count(), vector_row_bytes(dims))
+        items = broadcast_if_small(items, *vector_rows(items, dims))
     weighted = per_movie.join(items, "movieId", "inner").select(
         "userId", "vec", F.col("n").cast("double").alias("n"), (F.col("n") * F.col("last_rating")).alias("w")
     )

@@ -10,8 +10,9 @@ DataFrames:
   hash), so it is never stored or shipped;
 - ``A @ X`` and ``A.T @ X`` are a join of ``A`` with a per-term or
   per-movie vector table and a grouped vector sum (partial aggregation);
-- only ``l x l`` matrices (``l = k + oversampling``) reach the driver:
-  Gram matrices for orthonormalization and for the small SVD of ``B B^T``.
+- only ``l x l`` matrices (``l = k + oversampling``) reach the driver: the
+  triangles of tall QR factorizations, for orthonormalization and for the
+  small SVD of ``B``.
 
 Item vectors are ``A V_k = U_k S_k`` (uncentred, like the reference). The
 result may be a rotation or sign flip of another solver's, which leaves
@@ -21,40 +22,38 @@ every cosine unchanged.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.functions.vectors import vec_sum
+from cinelens.functions.vectors import sparse, vec_sum
+from cinelens.operators.joins import broadcast_if_small
+from cinelens.operators.ordering import numbered
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
 # ------------------------------------------------------------ exact vectors
 
+# Conservative size of a (term, position) row when broadcast.
+TERM_ROW_BYTES = 96
 
-def exact_vectors(weights: DataFrame, vocab: DataFrame, movies: DataFrame, max_dims: int) -> tuple[DataFrame, int]:
-    """Dense TF-IDF rows over the vocabulary in term order: ``(movieId, vec)``.
 
-    Only for a vocabulary of at most ``max_dims`` terms (checked with a
-    count, so each vector and the index table are bounded). Movies with no
-    kept term get a zero vector.
+def exact_vectors(weights: DataFrame, vocab: DataFrame, movies: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Sparse TF-IDF rows over the vocabulary in term order: ``(movieId,
+    vec)``, the vocabulary with each term's position ``idx``, and its size.
+
+    Positions come from a range partitioning, so a vocabulary of any size has
+    them without a single task. Movies with no kept term get an empty row.
     """
     dims = vocab.count()
     if dims == 0:
         raise ValueError("No term is left in the vocabulary: lower min_df or raise max_df.")
-    if dims > max_dims:
-        raise ValueError(
-            f"vocabulary has {dims} terms, above max_exact_dims={max_dims}; use n_components"
-        )
-    index = vocab.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"))
-    entries = weights.join(F.broadcast(index), "term").groupBy("movieId").agg(
-        F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("m")
-    )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
-        lambda i: F.coalesce(F.col("m")[i], F.lit(0.0)),
+    placed = numbered(vocab, "term", name="idx").checkpoint(eager=True)
+    index = broadcast_if_small(placed.select("term", "idx"), dims, TERM_ROW_BYTES)
+    held = weights.join(index, "term").filter(F.col("weight") != 0).groupBy("movieId").agg(
+        sparse(F.collect_list(F.struct("idx", F.col("weight").alias("val")))).alias("vec")
     )
-    vecs = entries.select("movieId", dense.alias("vec"))
-    return attach_zero_rows(movies, vecs, dims), dims
+    none = F.struct(F.array().cast("array<bigint>").alias("idx"), F.array().cast("array<double>").alias("val"))
+    items = movies.select("movieId").join(held, "movieId", "left").select("movieId", F.coalesce("vec", none).alias("vec"))
+    return items, placed, dims
 
 
 def attach_zero_rows(movies: DataFrame, vecs: DataFrame, dims: int) -> DataFrame:
@@ -70,71 +69,118 @@ def attach_zero_rows(movies: DataFrame, vecs: DataFrame, dims: int) -> DataFrame
 # ------------------------------------------------------- small dense algebra
 
 
-def _stack(series: pd.Series, width: int) -> np.ndarray:
-    if len(series) == 0:
-        return np.zeros((0, width))
-    return np.stack(series.to_numpy()).astype(np.float64, copy=False)
+def _rows(column, width: int) -> np.ndarray:
+    """A list column of an Arrow batch as a matrix, from its flat buffer."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, width)
 
 
 # Largest Gram matrix (2,896 columns) held by a task and by the driver.
 GRAM_LIMIT_BYTES = 64 << 20
+# Largest triangle (8,192 columns) held by a task and by the driver.
+TRIANGLE_LIMIT_BYTES = 512 << 20
+# Triangles stacked and factorized together by one task of the tree.
+FAN_IN = 16
 
 
 def gram(df: DataFrame, col: str, width: int) -> np.ndarray:
     """``X^T X`` of a vector column (``width x width``, on the driver).
 
-    Each Arrow batch adds its partial product in numpy; the partials are
-    summed by one grouped vector sum. Only ``width^2`` numbers are returned.
+    Each task adds its rows' products in numpy; the partials are summed by one
+    grouped vector sum. Only ``width^2`` numbers are returned.
     """
 
     if width * width * 8 > GRAM_LIMIT_BYTES:
         raise ValueError(f"{width} columns: their Gram matrix is over {GRAM_LIMIT_BYTES >> 20} MB; ask for fewer components")
 
     def partial(batches):
+        import pyarrow as pa
+
         acc = np.zeros((width, width))
-        for pdf in batches:
-            x = _stack(pdf[col], width)
+        for batch in batches:
+            x = _rows(batch.column(0), width)
             acc += x.T @ x
-        yield pd.DataFrame({"g": [acc.ravel()]})
+        yield pa.RecordBatch.from_arrays([pa.array([acc.ravel()], pa.list_(pa.float64()))], names=["g"])
 
     ship_package(df.sparkSession)
-    parts = df.select(col).mapInPandas(partial, "g array<double>")
+    parts = df.select(col).mapInArrow(partial, "g array<double>")
     row = parts.agg(vec_sum("g").alias("g")).first()
     if row is None or row["g"] is None:
         return np.zeros((width, width))
     return np.asarray(row["g"], dtype=np.float64).reshape(width, width)
 
 
+def triangle(df: DataFrame, col: str, width: int) -> np.ndarray:
+    """R of ``X = Q R`` for the tall matrix of a vector column, by a tree of
+    QR factorizations (TSQR; Demmel, Grigori, Hoemmen & Langou 2012).
+
+    Each task factorizes its rows block by block and keeps the triangle alone;
+    tasks of the next level stack ``FAN_IN`` triangles and factorize again,
+    until one is left. ``R^T R`` is the Gram matrix, but R comes from the rows
+    themselves, so small directions keep their digits: a Gram matrix squares
+    the condition and loses those under 1e-8.
+    """
+    if width * width * 8 > TRIANGLE_LIMIT_BYTES:
+        raise ValueError(f"{width} columns: their triangle is over {TRIANGLE_LIMIT_BYTES >> 20} MB; ask for fewer components")
+    kind = "part long, r array<double>"
+
+    def row(part: int, r: np.ndarray):
+        import pyarrow as pa
+
+        return [pa.array([part] if len(r) else [], pa.int64()), pa.array([r.ravel()] if len(r) else [], pa.list_(pa.float64()))]
+
+    def partial(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        r, step = np.zeros((0, width)), max(width, 1024)
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                r = np.linalg.qr(np.vstack([r, _rows(batch.slice(at, step).column(0), width)]), mode="r")
+        yield pa.RecordBatch.from_arrays(row(TaskContext.get().partitionId(), r), names=["part", "r"])
+
+    def merge(table):
+        import pyarrow as pa
+
+        blocks = [np.asarray(x).reshape(-1, width) for x in table.column("r").to_numpy()]
+        return pa.Table.from_arrays(row(table.column("part")[0].as_py() // FAN_IN, np.linalg.qr(np.vstack(blocks), mode="r")), names=["part", "r"])
+
+    ship_package(df.sparkSession)
+    parts, left = df.select(col).mapInArrow(partial, kind), df.rdd.getNumPartitions()
+    while True:
+        parts, left = parts.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(merge, kind), -(-left // FAN_IN)
+        if left <= 1:
+            break
+    found = [np.asarray(x["r"]).reshape(-1, width) for x in parts.collect()]  # one row
+    return np.linalg.qr(np.vstack(found), mode="r") if found else np.zeros((0, width))
+
+
 def apply_matrix(df: DataFrame, key: str, col: str, m: np.ndarray) -> DataFrame:
     """``(key, col @ m)`` for a small matrix ``m`` shipped with the task."""
     width_in, width_out = m.shape
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):
-        for pdf in batches:
-            x = _stack(pdf[col], width_in)
-            y = x @ m if len(x) else np.zeros((0, width_out))
-            yield pd.DataFrame({key: pdf[key].to_numpy(), col: list(y)})
+        import pyarrow as pa
+
+        for batch in batches:
+            y = _rows(batch.column(1), width_in) @ m
+            ends = pa.array(np.arange(len(y) + 1, dtype=np.int32) * width_out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(y.ravel()))], names=[key, col])
 
     ship_package(df.sparkSession)
-    return df.select(key, col).mapInPandas(run, f"{key} {key_type}, {col} array<double>")
+    return df.select(key, col).mapInArrow(run, f"{key} {key_type}, {col} array<double>")
 
 
-def orthonormal_transform(g: np.ndarray, shift: float = 0.0, rel_tol: float = 0.0) -> np.ndarray:
-    """``M`` with ``(X M)^T (X M)`` near ``I`` from ``G = X^T X``.
+def orthonormal_transform(r: np.ndarray) -> np.ndarray:
+    """``M`` with orthonormal columns ``X M`` that span X, from its triangle;
+    directions of relative size ``ZERO`` or less are rounding and go."""
+    _, s, vt = np.linalg.svd(r, full_matrices=False)
+    keep = s > ZERO * s.max() if s.size and s.max() > 0 else np.zeros(s.shape, bool)
+    return vt[keep].T / s[keep]
 
-    ``shift`` (a share of the largest eigenvalue) is added to the eigenvalues,
-    so that small directions are scaled up without dividing by noise;
-    directions with an eigenvalue of at most ``rel_tol * max`` are dropped.
-    """
-    evals, evecs = np.linalg.eigh(g)
-    top = evals.max() if evals.size else 0.0
-    keep = evals > rel_tol * top if top > 0 else np.zeros_like(evals, dtype=bool)
-    if shift:
-        keep = np.full(len(evals), top > 0)
-    if not keep.any():
-        return np.zeros((g.shape[0], 0))
-    return evecs[:, keep] / np.sqrt(np.maximum(evals[keep], 0.0) + shift * top)
+
+# Relative size of a direction that counts as zero at working precision.
+ZERO = 1e-13
 
 
 # ---------------------------------------------------------------- the SVD
@@ -179,7 +225,7 @@ class _Sides:
     def times(self, x: DataFrame, on: str, group: str, width: int) -> DataFrame:
         """``sum over `on` of weight * x[on]`` grouped by ``group``:
         ``A @ X`` when ``on='term'``, ``A^T @ X`` when ``on='movieId'``.
-        Checkpointed: it is read twice (Gram, next product) and its lineage
+        Checkpointed: it is read twice (triangle, next product) and its lineage
         holds every earlier iteration."""
         small = self.rows[on] * max(width, 1) * 8 <= BROADCAST_FACTOR_BYTES
         joined = self.a.join(F.broadcast(x) if small else x, on)
@@ -190,38 +236,27 @@ class _Sides:
         self.a.unpersist()
 
 
-# Shift of a Gram matrix, relative to its largest eigenvalue: over the rounding
-# of sums of products, so it hides nothing that they can still tell.
-GRAM_SHIFT = 1e-14
+def _normalized(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """Orthonormal columns spanning ``df.vec``, by one triangle and a lazy
+    transform: the iterate is not written, it feeds the next product."""
+    m = orthonormal_transform(triangle(df, "vec", width))
+    if m.shape[1] == 0:
+        return df, 0
+    return apply_matrix(df, key, "vec", m), m.shape[1]
 
 
 def _orthonormalize(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
-    """Orthonormal columns spanning ``df.vec`` in three Gram passes.
-
-    A Gram matrix squares the condition, so one pass cannot tell a direction
-    of relative size 1e-8 from noise. The first pass is shifted: sizes t become
-    ``t / sqrt(t**2 + shift)``. The second then drops what is still under
-    1e-6, that is t under 1e-13, zero at working precision; the third brings
-    the columns to orthonormal at that precision.
-    """
-    for settings in ({"shift": GRAM_SHIFT}, {"rel_tol": 1e-12}, {"rel_tol": 1e-12}):
-        m = orthonormal_transform(gram(df, "vec", width), **settings)
-        width = m.shape[1]
+    """As :func:`_normalized`, twice: dividing by a triangle of condition c
+    leaves columns orthonormal to c times the rounding, and the second triangle
+    is that of nearly orthonormal columns."""
+    for _ in range(2):
+        df, width = _normalized(df, key, width)
         if width == 0:
             break
-        df = apply_matrix(df, key, "vec", m).checkpoint(eager=True)
+        df = df.checkpoint(eager=True)
     return df, width
 
 
-def _normalized(df: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
-    """One shifted Gram pass and a lazy transform: no direction is dropped,
-    and the iterate is not written, it feeds the next product directly."""
-    m = orthonormal_transform(gram(df, "vec", width), shift=GRAM_SHIFT)
-    if m.shape[1] == 0:
-        return df, 0
-    return apply_matrix(df, key, "vec", m), m.shape[1]
-
-
 def randomized_svd(
     weights: DataFrame,
     movies: DataFrame,
@@ -238,7 +273,7 @@ def randomized_svd(
     ``n_components`` exceeds the number of terms.
 
     Per power iteration: two products with ``A`` (one join + grouped sum
-    each, checkpointed) and two Gram passes; the final basis gets two more.
+    each, checkpointed) and two triangles; the final basis gets two more.
     """
     spark = weights.sparkSession
     ensure_checkpoint_dir(spark)
@@ -274,15 +309,14 @@ def randomized_svd(
         basis = a.select("term").distinct().select("term", zeros.alias("vec"))
         return items, basis, np.zeros(k)
 
-    # B = Q^T A as per-term columns b(t); B B^T = U_B S^2 U_B^T.
+    # B = Q^T A as per-term columns b(t), the rows of B^T = Q' R; the left
+    # singular vectors of B are the right ones of R.
     b = sides.times(q, "movieId", "term", width)
     sides.release()
-    evals, u_b = np.linalg.eigh(gram(b, "vec", width))
-    order = np.argsort(evals)[::-1]
-    evals, u_b = np.clip(evals[order], 0.0, None), u_b[:, order]
-    s = np.sqrt(evals)
-    r = min(k, width)
-    s_k = s[:r]
+    _, s, vt = np.linalg.svd(triangle(b, "vec", width), full_matrices=False)
+    u_b = vt.T
+    r = min(k, len(s))
+    s_k = np.where(s[:r] > ZERO * s[0], s[:r], 0.0)
 
     # Items: Q U_B[:, :k] S_k, padded with zero columns up to k.
     to_items = np.zeros((width, k))

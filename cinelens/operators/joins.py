@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinelens.functions.vectors import is_sparse
+
 # Largest side broadcast on a checked size (vectors, metadata).
 BROADCAST_LIMIT_BYTES = 64 << 20
 # Largest id set broadcast into a semi join (about 10 million ids).
@@ -23,6 +25,14 @@ def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int, limit: int
     return F.broadcast(df) if rows * max(bytes_per_row, 1) <= limit else df
 
 
+def vector_rows(df: DataFrame, dims: int) -> tuple[int, int]:
+    """(rows, mean bytes of a row) of a table with a vector ``vec``."""
+    if not is_sparse(df):
+        return df.count(), vector_row_bytes(dims)
+    rows, held = df.agg(F.count(F.lit(1)), F.sum(F.size("vec.val"))).first()
+    return rows, 16 * (held or 0) // max(rows, 1) + 64
+
+
 def vector_row_bytes(dims: int) -> int:
     """Rough size of an ``(id, array<double>[dims])`` row."""
     return 8 * max(dims, 1) + 32

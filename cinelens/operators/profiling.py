@@ -6,6 +6,7 @@ lists are ordered frames with an explicit limit (top-k is the feature).
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from cinelens.config import NO_GENRES
 from cinelens.functions import text
 from cinelens.operators.ordering import numbered
+from cinelens.operators.selection import facts, order_statistics
 from cinelens.operators.validate import null_counts_by_column
 from cinelens.session import ensure_checkpoint_dir
 
@@ -124,60 +126,66 @@ def positions(df: DataFrame, col: str) -> DataFrame:
     return numbered(values, "_x").select("_pos", F.col("_x").alias(col))
 
 
+def _ranks(n: int, q: float, interpolation: str) -> tuple[int, int, float]:
+    """(lower rank, upper rank, share of the upper one) of a quantile."""
+    at = q * (n - 1)
+    if interpolation == "nearest":
+        rank = math.floor(at + 0.5)
+        return rank, rank, 0.0
+    return math.floor(at), math.ceil(at), at - math.floor(at)
+
+
+def _quantiles(df: DataFrame, known: dict, qs, interpolation: str) -> dict:
+    """``{(column, q): value}`` of all columns of ``known`` (see
+    :func:`cinelens.operators.selection.facts`); None for a column of nulls."""
+    if interpolation not in ("nearest", "linear"):
+        raise ValueError(f"unknown interpolation {interpolation!r}")
+    sizes = {c: int(sum(f[:4])) for c, f in known.items()}
+    places = {(c, q): _ranks(n, float(q), interpolation) for c, n in sizes.items() if n for q in qs}
+    wanted: dict = {}
+    for (c, _), (lo, hi, _) in places.items():
+        wanted.setdefault(c, set()).update((lo, hi))
+    found = order_statistics(df, wanted, known)
+    out = {}
+    for c in known:
+        for q in qs:
+            lo, hi, share = places.get((c, q), (None, None, 0.0))
+            low, high = found.get((c, lo)), found.get((c, hi))
+            out[c, q] = low if low is None or lo == hi or low == high else low + share * (high - low)
+    return out
+
+
 def quantiles(df: DataFrame, col: str, qs=(0.25, 0.5, 0.75), interpolation: str = "nearest") -> DataFrame:
-    """Exact quantiles ``(q, value)`` without gathering the values.
+    """Exact quantiles ``(q, value)`` without gathering or sorting the values.
 
     ``nearest``: the value at rank ``round(q * (n - 1))`` (halves away from
-    zero); ``linear``: interpolation between the ranks around it. Only the
-    needed ranks are fetched from :func:`positions`.
+    zero); ``linear``: interpolation between the ranks around it. The ranks are
+    selected by histogram refinement (:mod:`cinelens.operators.selection`).
     """
-    n = df.agg(F.count(F.col(col)).cast("double")).scalar()
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(float(q),) for q in qs], "q double").select(
-        "q", (F.col("q") * (n - F.lit(1.0))).alias("h")
-    )
-    if interpolation == "nearest":
-        wanted = wanted.select("q", "h", F.round("h").cast("long").alias("lo"), F.round("h").cast("long").alias("hi"))
-    elif interpolation == "linear":
-        wanted = wanted.select("q", "h", F.floor("h").cast("long").alias("lo"), F.ceil("h").cast("long").alias("hi"))
-    else:
-        raise ValueError(f"unknown interpolation {interpolation!r}")
-    pos = positions(df, col)
-    lo = pos.select(F.col("_pos").alias("lo"), F.col(col).alias("v_lo"))
-    hi = pos.select(F.col("_pos").alias("hi"), F.col(col).alias("v_hi"))
-    # Right outer joins, so the few wanted ranks are the broadcast side.
-    joined = lo.join(F.broadcast(wanted), "lo", "right")
-    joined = hi.join(F.broadcast(joined), "hi", "right")
-    value = F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))
-    return joined.select("q", F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(value).alias("value"))
+    known = {col: df.agg(facts(F.col(f"`{col}`").cast("double"))).first()[0]}
+    found = _quantiles(df, known, qs, interpolation)
+    return df.sparkSession.createDataFrame([(float(q), found[col, q]) for q in qs], "q double, value double")
 
 
-_STAT_ORDER = ["count", "null_count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+_MOMENTS = ["count", "null_count", "mean", "std", "min", "max"]
+_QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe(df: DataFrame, columns: list, interpolation: str = "nearest") -> DataFrame:
     """D11 (A15): count, null_count, mean, std, min, 25/50/75%, max per
-    column as ``(column, statistic, value)``. Moments come from one
-    aggregate; quartiles are exact, nearest-rank by default (as the
-    reference's describe), taken by position from a distributed sort."""
-    x = lambda c: F.col(c).cast("double")
-    # One scan for the moments of all columns.
-    moments = df.agg(*[
-        F.array(F.count(x(c)).cast("double"), F.count_if(F.col(c).isNull()).cast("double"), F.avg(x(c)), F.stddev_samp(x(c)),
-                F.min(x(c)), F.max(x(c))).alias(f"_m{i}")
-        for i, c in enumerate(columns)])
-    names = F.array(*[F.lit(n) for n in ("count", "null_count", "mean", "std", "min", "max")])
-    each = F.array(*[F.struct(F.lit(c).alias("column"), F.arrays_zip(names.alias("statistic"), F.col(f"_m{i}").alias("value")).alias("stats"))
-                     for i, c in enumerate(columns)])
-    tall = moments.select(F.explode(each).alias("c")).select("c.column", F.explode("c.stats").alias("s"))
-    rows = [tall.select("column", F.col("s.statistic").alias("statistic"), F.col("s.value").alias("value"))]
-    for c in columns:
-        rows.append(quantiles(df, c, (0.25, 0.5, 0.75), interpolation).select(
-            F.lit(c).alias("column"),
-            F.concat((F.col("q") * 100).cast("int").cast("string"), F.lit("%")).alias("statistic"),
-            "value",
-        ))
-    return reduce(DataFrame.unionByName, rows)
+    column as ``(column, statistic, value)``. Moments of all columns come from
+    one aggregate; quartiles are exact, nearest-rank by default (as the
+    reference's describe), selected for all columns together in a few passes
+    that count, so the number of scans doesn't depend on the columns."""
+    x = lambda c: F.col(f"`{c}`").cast("double")
+    row = df.agg(*[
+        F.struct(F.array(F.count(x(c)).cast("double"), F.count_if(F.col(f"`{c}`").isNull()).cast("double"), F.avg(x(c)), F.stddev_samp(x(c)),
+                         F.min(x(c)), F.max(x(c))), facts(x(c))).alias(f"_m{i}")
+        for i, c in enumerate(columns)]).first()
+    quartiles = _quantiles(df, {c: r[1] for c, r in zip(columns, row)}, _QUARTILES, interpolation)
+    rows = [(c, name, value) for c, r in zip(columns, row) for name, value in zip(_MOMENTS, r[0])]
+    rows += [(c, f"{q:.0%}", quartiles[c, q]) for c in columns for q in _QUARTILES]
+    return df.sparkSession.createDataFrame(rows, "column string, statistic string, value double")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

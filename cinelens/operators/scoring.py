@@ -11,17 +11,19 @@ profile against the whole catalogue). The work is cut into a grid:
 users of one salt, together with those users' seen items that fall in the
 block. The task multiplies in numpy, masks the seen items and keeps the top
 ``n`` per user, so no (user, item) pair is ever a row and nothing passes
-through the driver. A final per-user ``row_number`` over the ``B * n``
-candidates (planned with a partial ``WindowGroupLimit`` before the
-shuffle) gives the exact top ``n``.
+through the driver. Vectors are dense arrays (SVD) or sparse rows (exact
+TF-IDF), read from Arrow's flat buffers. Inside a task bounds on tiles of items
+spare products (T4, :mod:`cinelens.operators.blocks`). A final per-user
+``row_number`` over the ``B * n`` candidates (planned with a partial
+``WindowGroupLimit`` before the shuffle) gives the exact top ``n``.
 
 Ties: ``round(similarity, 9)`` descending, then movieId ascending.
 
-Block and salt counts come from ``count()`` of the item, user and seen tables,
-a per-task memory budget (``budget_bytes`` for each of the three) and a floor
-of twice the session's parallelism in tasks. A very active user's seen rows
-are spread over the item blocks, so no task holds more than one block of
-them.
+Block and salt counts come from ``count()`` of the item, user and seen tables
+and the mean size of their vectors, a per-task memory budget (``budget_bytes``
+for each of the three) and a floor of twice the session's parallelism in tasks.
+A very active user's seen rows are spread over the item blocks, so no task
+holds more than one block of them.
 """
 
 from __future__ import annotations
@@ -33,15 +35,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelens.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small
+from cinelens.functions.vectors import is_sparse
+from cinelens.operators import blocks
+from cinelens.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small, vector_rows
 from cinelens.session import ensure_checkpoint_dir, ship_package
 
 CANDIDATE_SCHEMA = "userId long, movieId long, similarity double"
 # Session setting for the per-task vector budget, in MB per side.
 BUDGET_CONF = "cinelens.scoring.budgetMB"
 DEFAULT_BUDGET_MB = 64
-# Users scored per numpy product inside a task (bounds the score matrix).
-CHUNK_USERS = 256
 
 
 def rank_order(sim_col: str = "similarity", id_col: str = "movieId"):
@@ -49,72 +51,20 @@ def rank_order(sim_col: str = "similarity", id_col: str = "movieId"):
     return [F.round(F.col(sim_col), 9).desc(), F.col(id_col).asc()]
 
 
-def _unit_rows(x: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(x, axis=1, keepdims=True)
-    return np.divide(x, norms, out=np.zeros_like(x), where=norms > 0)
-
-
-def _top_n_block(user_ids, u, item_ids, items, seen_users, seen_items, n):
-    """Top ``n`` per user of one (users x block) product, seen masked."""
-    out_u, out_m, out_s = [], [], []
-    if len(user_ids) == 0 or len(item_ids) == 0:
-        return out_u, out_m, out_s
-    items_u = _unit_rows(items)
-    users_u = _unit_rows(u)
-    item_pos = pd.Index(item_ids)
-    user_pos = pd.Index(user_ids)
-    s_rows = user_pos.get_indexer(seen_users) if len(seen_users) else np.zeros(0, dtype=np.int64)
-    s_cols = item_pos.get_indexer(seen_items) if len(seen_items) else np.zeros(0, dtype=np.int64)
-    ok = (s_rows >= 0) & (s_cols >= 0)
-    s_rows, s_cols = s_rows[ok], s_cols[ok]
-    n_items = len(item_ids)
-    take = min(n, n_items)
-    for start in range(0, len(user_ids), CHUNK_USERS):
-        stop = min(start + CHUNK_USERS, len(user_ids))
-        sims = users_u[start:stop] @ items_u.T
-        key = np.round(sims, 9)
-        sel = (s_rows >= start) & (s_rows < stop)
-        key[s_rows[sel] - start, s_cols[sel]] = -np.inf
-        # n-th largest key per row; every item at or above it is a candidate.
-        kth = -np.partition(-key, take - 1, axis=1)[:, take - 1]
-        rows, cols = np.nonzero((key >= kth[:, None]) & np.isfinite(key))
-        order = np.lexsort((item_ids[cols], -key[rows, cols], rows))
-        rows, cols = rows[order], cols[order]
-        first = np.searchsorted(rows, rows, side="left")
-        keep = (np.arange(len(rows)) - first) < n
-        rows, cols = rows[keep], cols[keep]
-        out_u.append(user_ids[start + rows])
-        out_m.append(item_ids[cols])
-        out_s.append(sims[rows, cols])
-    return out_u, out_m, out_s
-
-
-def _kernel(n: int, dims: int):
-    def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        prof = users[users["kind"] == 0]
-        seen = users[users["kind"] == 1]
-        if prof.empty or items.empty:
-            return pd.DataFrame({"userId": [], "movieId": [], "similarity": []}).astype(
-                {"userId": "int64", "movieId": "int64", "similarity": "float64"}
-            )
-        user_ids = prof["userId"].to_numpy(dtype=np.int64)
-        u = np.stack(prof["vec"].to_numpy()).astype(np.float64).reshape(len(prof), dims)
-        item_ids = items["movieId"].to_numpy(dtype=np.int64)
-        m = np.stack(items["vec"].to_numpy()).astype(np.float64).reshape(len(items), dims)
-        ou, om, os_ = _top_n_block(
-            user_ids,
-            u,
-            item_ids,
-            m,
-            seen["userId"].to_numpy(dtype=np.int64),
-            seen["movieId"].to_numpy(dtype=np.int64),
-            n,
-        )
-        if not ou:
-            ou, om, os_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        return pd.DataFrame(
-            {"userId": np.concatenate(ou), "movieId": np.concatenate(om), "similarity": np.concatenate(os_)}
-        )
+def _kernel(n: int, dims: int, sparse: bool):
+    def run(users, items):
+        import pyarrow as pa
+
+        kind = users.column("kind").to_numpy()
+        prof, seen = (users.filter(pa.array(kind == k)) for k in (0, 1))
+        user_ids, item_ids = prof.column("userId").to_numpy(), items.column("movieId").to_numpy()
+        # A user's rows are one, but for callers that pass repeated users.
+        places = pd.Index(user_ids).get_indexer_for(seen.column("userId").to_numpy()) if len(user_ids) else np.full(seen.num_rows, -1)
+        columns = pd.Index(item_ids).get_indexer(seen.column("movieId").to_numpy()) if len(item_ids) else np.full(seen.num_rows, -1)
+        known = (places >= 0) & (columns >= 0)
+        read = blocks.Csr.from_arrow if sparse else lambda c: blocks.Dense.from_arrow(c, dims)
+        rows, cols, sims, _ = blocks.top_unseen(read(prof.column("vec")), read(items.column("vec")), item_ids, places[known], columns[known], n)
+        return pa.table({"userId": user_ids[rows], "movieId": item_ids[cols], "similarity": sims})
 
     return run
 
@@ -125,15 +75,16 @@ SEEN_ROW_BYTES = 64
 
 def grid_size(
     n_users: int, n_items: int, dims: int, budget_bytes: int, min_tasks: int = 1, n_seen: int = 0,
-    max_users: int | None = None, max_items: int | None = None,
+    max_users: int | None = None, max_items: int | None = None, item_bytes: int | None = None, user_bytes: int | None = None,
 ):
     """(item blocks, user salts): a task holds at most ``budget_bytes`` of
     item vectors, as much of user vectors, and (with seen rows spread evenly)
     as much of seen rows; there are at least ``min_tasks`` tasks as long as
-    there are users to split. ``max_users`` and ``max_items`` cut finer."""
+    there are users to split. ``max_users`` and ``max_items`` cut finer;
+    ``item_bytes`` and ``user_bytes`` are the mean sizes of sparse rows."""
     per_row = max(dims, 1) * 8
-    items_per_block = max(1, min(max_items or n_items or 1, budget_bytes // per_row))
-    users_per_group = max(1, min(max_users or n_users or 1, budget_bytes // per_row))
+    items_per_block = max(1, min(max_items or n_items or 1, budget_bytes // (item_bytes or per_row)))
+    users_per_group = max(1, min(max_users or n_users or 1, budget_bytes // (user_bytes or per_row)))
     blocks = max(1, math.ceil(n_items / items_per_block))
     salts = max(1, math.ceil(n_users / users_per_group))
     salts = max(salts, min(max(n_users, 1), math.ceil(n_seen * SEEN_ROW_BYTES / (budget_bytes * blocks))))
@@ -155,8 +106,9 @@ def top_n_unseen(
 ) -> DataFrame:
     """Exact top ``n`` items per user, seen items excluded.
 
-    ``profiles(userId, vec)``, ``items(movieId, vec)``, ``seen(userId,
-    movieId)`` (may be None). Returns ``(userId, movieId, similarity,
+    ``profiles(userId, vec)``, ``items(movieId, vec)``, both dense (of
+    ``dims`` components) or both sparse, ``seen(userId, movieId)`` (may be
+    None). Returns ``(userId, movieId, similarity,
     rank)`` with ranks 1..n (fewer when fewer unseen items exist),
     checkpointed (at most ``n`` rows per user).
     """
@@ -166,8 +118,9 @@ def top_n_unseen(
         # Per-task vector budget (each side); larger executors can raise it
         # to cut the number of user salts, and so the catalogue copies.
         budget_bytes = int(float(spark.conf.get(BUDGET_CONF, str(DEFAULT_BUDGET_MB))) * (1 << 20))
-    n_items = items.count()
-    n_users = profiles.count()
+    sparse = is_sparse(items)
+    n_items, item_bytes = vector_rows(items, dims)
+    n_users, user_bytes = vector_rows(profiles, dims)
     if seen is not None:
         # Only scored users' rows go to the grid. The scored ids are plain, so
         # beyond the broadcast limit AQE splits a very active user's rows.
@@ -176,16 +129,18 @@ def top_n_unseen(
             ensure_checkpoint_dir(spark)
             scored = scored.checkpoint(eager=True)
         seen = seen.select("userId", "movieId").join(broadcast_if_small(scored, n_users, 16), "userId", "left_semi")
-    blocks, salts = grid_size(
+    n_blocks, salts = grid_size(
         n_users, n_items, dims, budget_bytes, min_tasks=2 * spark.sparkContext.defaultParallelism,
         n_seen=0 if seen is None else seen.count(), max_users=users_per_group, max_items=items_per_block,
+        item_bytes=item_bytes, user_bytes=user_bytes,
     )
+    kind = profiles.schema["vec"].dataType
 
-    block_of = lambda c: F.pmod(F.xxhash64(F.lit(seed), F.col(c)), F.lit(blocks)).cast("int")
+    block_of = lambda c: F.pmod(F.xxhash64(F.lit(seed), F.col(c)), F.lit(n_blocks)).cast("int")
     salt_of = lambda c: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(c)), F.lit(salts)).cast("int")
 
     user_rows = profiles.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
         salt_of("userId").alias("salt"),
         F.lit(0).alias("kind"),
         "userId",
@@ -201,7 +156,7 @@ def top_n_unseen(
                 F.lit(1).alias("kind"),
                 "userId",
                 "movieId",
-                F.lit(None).cast("array<double>").alias("vec"),
+                F.lit(None).cast(kind).alias("vec"),
             )
         )
         user_rows = user_rows.unionByName(seen_rows)
@@ -214,7 +169,7 @@ def top_n_unseen(
     cands = (
         user_rows.groupBy("block", "salt")
         .cogroup(item_rows.groupBy("block", "salt"))
-        .applyInPandas(_kernel(n, dims), CANDIDATE_SCHEMA)
+        .applyInArrow(_kernel(int(n), dims, sparse), CANDIDATE_SCHEMA)
     )
     w = Window.partitionBy("userId").orderBy(*rank_order())
     top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cinelens.config import MAX_RATING, MIN_RATING, MIN_RATINGS_PER_USER
@@ -92,6 +92,30 @@ def _sql_str(text: str) -> str:
     return "'" + text.replace("'", "\\'") + "'"
 
 
+def _movie_report(row: DataFrame) -> DataFrame:
+    return _unpivot(row, "movies", [
+        ("nulls", "n_nulls", True, _sql_str(MSG_NULL_MOVIES)),
+        ("duplicate_ids", "dup_ids", True, _sql_str(MSG_DUP_IDS)),
+        ("duplicate_titles", "dup_titles", False, _sql_str("duplicate titles (warning)")),
+    ])
+
+
+def _rating_report(row: DataFrame, floor: int) -> DataFrame:
+    return _unpivot(row, "ratings", [
+        ("nulls", "n_nulls", True, _sql_str(MSG_NULL_RATINGS)),
+        ("unknown_movies", "orphans", True, _sql_str(MSG_RATING_ORPHANS)),
+        ("rating_range", "bad_range", True, _sql_str(MSG_RANGE)),
+        ("user_activity", "n_low", True, _sql_str(MSG_ACTIVITY.format(n=int(floor)))),
+    ])
+
+
+def _tag_report(row: DataFrame) -> DataFrame:
+    return _unpivot(row, "tags", [
+        ("nulls", "n_nulls", True, _sql_str(MSG_NULL_TAGS)),
+        ("unknown_movies", "orphans", True, "orphan_msg"),
+    ])
+
+
 def _movie_checks(movies: DataFrame) -> list:
     """Nulls, duplicate ids and duplicate titles in one scan."""
     per_col = [F.count_if(F.col(c).isNull()) for c in movies.columns]
@@ -100,17 +124,7 @@ def _movie_checks(movies: DataFrame) -> list:
         (F.count(F.lit(1)) - F.countDistinct("movieId")).alias("dup_ids"),
         (F.count(F.lit(1)) - F.countDistinct("title")).alias("dup_titles"),
     )
-    return [
-        _unpivot(
-            row,
-            "movies",
-            [
-                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_MOVIES)),
-                ("duplicate_ids", "dup_ids", True, _sql_str(MSG_DUP_IDS)),
-                ("duplicate_titles", "dup_titles", False, _sql_str("duplicate titles (warning)")),
-            ],
-        )
-    ]
+    return [_movie_report(row)]
 
 
 def _rating_checks(ratings: DataFrame, movies: DataFrame, floor: int, lo: float, hi: float) -> list:
@@ -131,18 +145,7 @@ def _rating_checks(ratings: DataFrame, movies: DataFrame, floor: int, lo: float,
         .alias("bad_range"),
         low.alias("n_low"),
     )
-    return [
-        _unpivot(
-            row,
-            "ratings",
-            [
-                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_RATINGS)),
-                ("unknown_movies", "orphans", True, _sql_str(MSG_RATING_ORPHANS)),
-                ("rating_range", "bad_range", True, _sql_str(MSG_RANGE)),
-                ("user_activity", "n_low", True, _sql_str(MSG_ACTIVITY.format(n=int(floor)))),
-            ],
-        )
-    ]
+    return [_rating_report(row, floor)]
 
 
 def _tag_checks(tags: DataFrame, movies: DataFrame) -> list:
@@ -153,16 +156,7 @@ def _tag_checks(tags: DataFrame, movies: DataFrame) -> list:
         orphans.alias("orphans"),
         F.format_string(MSG_TAG_ORPHANS.replace("{n}", "%d"), orphans).alias("orphan_msg"),
     )
-    return [
-        _unpivot(
-            row,
-            "tags",
-            [
-                ("nulls", "n_nulls", True, _sql_str(MSG_NULL_TAGS)),
-                ("unknown_movies", "orphans", True, "orphan_msg"),
-            ],
-        )
-    ]
+    return [_tag_report(row)]
 
 
 def validation_report(
@@ -184,6 +178,52 @@ def validation_report(
     return reduce(DataFrame.unionByName, rows)
 
 
+def write_observed(df: DataFrame, path: str, bounds: tuple[str, ...] = ()) -> dict:
+    """Writes ``df`` as Parquet and counts on the way: rows, nulls summed over
+    every column, and the least and greatest value of the ``bounds`` columns.
+    The counts are metrics of the write (``DataFrame.observe``), so the rows
+    are read once."""
+    seen = Observation()
+    nulls = reduce(lambda a, b: a + b, (F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns))
+    ends = [f(F.col(f"`{c}`")).alias(f"{n}_{c}") for c in bounds for n, f in (("min", F.min), ("max", F.max))]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"), *ends).write.parquet(path)
+    return seen.get
+
+
+def report_on_write(
+    movies: DataFrame,
+    ratings: DataFrame,
+    tags: DataFrame,
+    folder: str,
+    min_ratings_per_user: int = MIN_RATINGS_PER_USER,
+    min_rating: float = MIN_RATING,
+    max_rating: float = MAX_RATING,
+) -> DataFrame:
+    """V8 while the raw tables are written to ``folder`` (``movies``,
+    ``ratings``, ``tags``): the rows of :func:`validation_report`.
+
+    Nulls and ranges are metrics of the writes. What has to compare rows with
+    each other (repeats, unknown ids, activity) reads the columns it needs of
+    the written tables.
+    """
+    spark, folder = movies.sparkSession, folder.rstrip("/")
+    m = write_observed(movies, f"{folder}/movies")
+    r = write_observed(ratings, f"{folder}/ratings", ("rating",))
+    t = write_observed(tags, f"{folder}/tags")
+    movies, ratings, tags = (spark.read.parquet(f"{folder}/{x}") for x in ("movies", "ratings", "tags"))
+    ends = r["min_rating"], r["max_rating"]
+    bad_range = int(None in ends or ends[0] < min_rating or ends[1] > max_rating)
+    lone = spark.range(1)
+    ids = movies.agg(F.countDistinct("movieId").alias("ids"), F.countDistinct("title").alias("titles"))
+    movie_row = ids.select(F.lit(m["nulls"]).alias("n_nulls"), (F.lit(m["rows"]) - F.col("ids")).alias("dup_ids"), (F.lit(m["rows"]) - F.col("titles")).alias("dup_titles"))
+    rating_row = lone.select(F.lit(r["nulls"]).alias("n_nulls"), F.lit(bad_range).alias("bad_range"),
+                             orphan_count(ratings, movies).scalar().alias("orphans"), low_activity_users(ratings, min_ratings_per_user).scalar().alias("n_low"))
+    tag_row = lone.select(F.lit(t["nulls"]).alias("n_nulls"), orphan_count(tags, movies).scalar().alias("orphans"))
+    rows = [_movie_report(movie_row), _rating_report(rating_row, min_ratings_per_user),
+            _tag_report(tag_row.withColumn("orphan_msg", F.format_string(MSG_TAG_ORPHANS.replace("{n}", "%d"), F.col("orphans"))))]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _raise_first(checks: list, table: str) -> None:
     """Collect the few report rows of one table; raise the first failure."""
     for r in reduce(DataFrame.unionByName, checks).collect():

@@ -174,6 +174,34 @@ def _s1(s: Stages):
         t.select(F.lit("tags"), "movieId", "userId", "tag", none("string"), F.lit(0.0), "timestamp"))
 
 
+@query("s1_csv_quarantine", with_stages() + """
+SELECT kind, count(*) AS n, CAST(sum(userId) AS BIGINT) AS users, CAST(sum(movieId) AS BIGINT) AS movies FROM (
+  SELECT CASE WHEN movieId % 37 = 0 OR movieId % 41 = 0 OR movieId % 43 = 0 OR movieId % 47 = 0 THEN 'broken' ELSE 'tags' END AS kind, userId, movieId FROM tags) GROUP BY kind
+""")
+def _s1_quarantine(s: Stages):
+    """S1 over lines of which some are short, long, hold a word for a number
+    or an unclosed quote: every line is a row or lies in quarantine."""
+    import uuid
+
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources.tables import read_checked
+
+    m = F.col("movieId")
+    fields = F.concat_ws(",", F.col("userId"), m, "tag", "timestamp")
+    line = (F.when(m % 37 == 0, F.concat_ws(",", F.col("userId"), m, "tag"))
+            .when(m % 41 == 0, F.concat(fields, F.lit(",more")))
+            .when(m % 43 == 0, F.concat_ws(",", F.col("userId"), m, "tag", F.lit("yesterday")))
+            .when(m % 47 == 0, F.concat_ws(",", F.col("userId"), m, F.concat(F.lit('"'), "tag"), "timestamp"))
+            .otherwise(fields))
+    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    s.raw[2].select(line.alias("value")).write.text(path)
+    rows, broken = read_checked(s.spark, path, "tags", header=False)
+    parts = F.split("line", ",")
+    both = rows.select(F.lit("tags").alias("kind"), "userId", "movieId").unionByName(
+        broken.select(F.lit("broken").alias("kind"), parts[0].cast("long").alias("userId"), parts[1].cast("long").alias("movieId")))
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("userId").alias("users"), F.sum("movieId").alias("movies"))
+
+
 # ------------------------------------------------------------- validation
 
 
@@ -305,7 +333,7 @@ def _damaged(s: Stages):
     return s._get("damaged", build)
 
 
-@query("v8_report_damaged", DAMAGED_SQL + """
+V8_DAMAGED_SQL = DAMAGED_SQL + """
 SELECT "table", "check", n_bad, fatal FROM (VALUES
   ('movies', 'nulls', (SELECT count(*) FILTER (WHERE movieId IS NULL) + count(*) FILTER (WHERE title IS NULL)
                        + count(*) FILTER (WHERE genres IS NULL) FROM bad_movies), true),
@@ -320,11 +348,26 @@ SELECT "table", "check", n_bad, fatal FROM (VALUES
                      + count(*) FILTER (WHERE tag IS NULL) + count(*) FILTER (WHERE timestamp IS NULL) FROM bad_tags), true),
   ('tags', 'unknown_movies', (SELECT count(*) FROM bad_tags t WHERE t.movieId NOT IN (SELECT movieId FROM bad_movies)), true)
 ) AS v("table", "check", n_bad, fatal)
-""")
+"""
+
+
+@query("v8_report_damaged", V8_DAMAGED_SQL)
 def _v8d(s: Stages):
     return validate.validation_report(*_damaged(s)).select("table", "check", "n_bad", "fatal")
 
 
+@query("v8_report_on_write", V8_DAMAGED_SQL)
+def _v8w(s: Stages):
+    """V1-V8 while the (damaged) tables are written: nulls and ranges are
+    metrics of the writes."""
+    import uuid
+
+    from cinelens.session import ensure_checkpoint_dir
+
+    folder = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    return validate.report_on_write(*_damaged(s), folder).select("table", "check", "n_bad", "fatal")
+
+
 @query("v_raising_forms", DAMAGED_SQL + """
 SELECT * FROM (VALUES ('movies', true), ('ratings', true), ('tags', true), ('movies_as_given', false), ('tags_as_given', false)) AS v("table", raised)
 """)
@@ -442,6 +485,43 @@ def _f1(s: Stages):
     return s.featurized
 
 
+def _sorted_folder(s: Stages, df: DataFrame, *keys: str) -> str:
+    import uuid
+
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources.sorted import write_sorted
+
+    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/sorted-{uuid.uuid4().hex}"
+    write_sorted(df, path, *keys)
+    return path
+
+
+@query("t1_sorted_text", PREP_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY movieId) - 1 AS BIGINT) AS position, movieId, movie_text, 0 AS out_of_order FROM featurized
+""")
+def _t1(s: Stages):
+    """The featurized catalogue written in movieId order; each row's place
+    in the files, and the number of rows and borders that are out of order."""
+    from cinelens.sources.sorted import out_of_order, read_in_order
+
+    movies, tags, _ = s.prepared
+    path = _sorted_folder(s, features.assemble_movie_text(movies, tags), "movieId")
+    bad = out_of_order(s.spark, path, "movieId").select(F.col("inside") + F.col("borders")).scalar()
+    return read_in_order(s.spark, path).select("position", "movieId", "movie_text", bad.alias("out_of_order"))
+
+
+@query("t8_sorted_tags", with_stages() + """
+SELECT CAST(row_number() OVER (ORDER BY tag) - 1 AS BIGINT) AS position, tag, 0 AS out_of_order FROM (SELECT DISTINCT tag FROM tags)
+""")
+def _t8(s: Stages):
+    """The distinct tags written in byte order, with their places."""
+    from cinelens.sources.sorted import out_of_order, read_in_order
+
+    path = _sorted_folder(s, s.raw[2].select("tag").distinct(), "tag")
+    bad = out_of_order(s.spark, path, "tag").select(F.col("inside") + F.col("borders")).scalar()
+    return read_in_order(s.spark, path).select("position", "tag", bad.alias("out_of_order"))
+
+
 @query("f2_tokens", TFIDF_SQL + """
 SELECT movieId, CAST(pos AS BIGINT) AS pos, token FROM (
   SELECT movieId, generate_subscripts(t, 1) - 1 AS pos, unnest(t) AS token FROM toks)
@@ -548,15 +628,89 @@ def _f9(s: Stages):
 
 @query("r1_profiles", SCORES_SQL + "\nSELECT userId, term, round(pw, 6) AS weight FROM prof WHERE pw <> 0")
 def _r1(s: Stages):
+    from cinelens.functions.vectors import entries
+
+    m = s.model(None)
+    held = m.profiles.select("userId", F.explode(entries("vec")).alias("e")).select("userId", "e.idx", F.col("e.val").alias("weight"))
+    return held.filter("weight <> 0").join(m.vocab.select("idx", "term"), "idx").select("userId", "term", "weight")
+
+
+@query("a8_plain_means", SCORES_SQL + """
+SELECT l.userId, w.term, round(CASE WHEN l.userId % 3 = 0 THEN sum(w.weight) / max(c.n) ELSE sum(l.rating * w.weight) / max(c.ws) END, 6) AS weight
+FROM liked_known l JOIN weights w ON w.movieId = l.movieId
+JOIN (SELECT userId, count(*) AS n, sum(rating) AS ws FROM liked_known GROUP BY userId) c ON c.userId = l.userId
+GROUP BY l.userId, w.term
+""")
+def _a8(s: Stages):
+    """A7 and A8 side by side: the weights of every third user are 0, so
+    their profiles are plain means."""
+    from cinelens.functions.vectors import entries
+    from cinelens.operators.profiles import liked, weighted_profiles
+
     m = s.model(None)
-    index = m.vocab.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"))
-    exploded = m.profiles.select("userId", F.posexplode("vec").alias("idx", "weight")).filter(F.col("weight") != 0)
-    return exploded.join(F.broadcast(index), "idx").select("userId", "term", "weight")
+    weight = F.when(F.col("userId") % 3 == 0, F.lit(0.0)).otherwise(F.col("rating"))
+    rows = liked(m.ratings, 4.0).withColumn("w", weight).join(m.items, "movieId").select("userId", "vec", "w")
+    held = weighted_profiles(rows, "w").select("userId", F.explode(entries("vec")).alias("e")).select("userId", "e.idx", F.col("e.val").alias("weight"))
+    return held.join(m.vocab.select("idx", "term"), "idx").select("userId", "term", "weight")
+
+
+GUARDS = [("F10 no movie_text", "ValueError"), ("F10 no movies", "ValueError"), ("F11 no ratings", "ValueError"), ("R2 not fitted", "RuntimeError"),
+          ("E9 not fitted", "RuntimeError"), ("S3 not fitted", "RuntimeError"), ("S4 no model", "FileNotFoundError"), ("fitted", "none")]
+
+
+@query("f10_f11_e9_guards", PREP_SQL + "SELECT v.c AS \"case\", v.e AS raised, (SELECT count(*) FROM featurized) AS n_movies, (SELECT count(*) FROM ratings_prep) AS n_ratings FROM (VALUES "
+       + ", ".join(f"('{c}', '{e}')" for c, e in GUARDS) + ") AS v(c, e)")
+def _guards(s: Stages):
+    """F10, F11, E9 and the other guards: what each call raises on tables that
+    lack a column or every row, or before the fit; the fit itself raises
+    nothing on the whole tables."""
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources import store
+
+    movies, ratings, exact = s.featurized, s.ratings_prep, ModelParams(n_components=None)
+    unfitted = model_mod.ContentRecommender(movies, exact)
+    nowhere = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/no-model"
+    calls = [lambda: model_mod.fit(movies.drop("movie_text"), ratings, exact), lambda: model_mod.fit(movies.filter("movieId is null"), ratings, exact),
+             lambda: model_mod.fit(movies, ratings.filter("userId is null"), exact), lambda: unfitted.recommend(s.users),
+             lambda: unfitted.evaluate_leave_one_out(ratings), lambda: unfitted.save_model(nowhere),
+             lambda: store.load_model(s.spark, nowhere, movies, ratings), lambda: s.model(None)]
+    found = []
+    for (case, _), call in zip(GUARDS, calls):
+        try:
+            call()
+            found.append((case, "none"))
+        except Exception as e:  # noqa: BLE001
+            found.append((case, type(e).__name__))
+    return s.spark.createDataFrame(found, "case string, raised string").select(
+        "case", "raised", F.lit(movies.count()).alias("n_movies"), F.lit(ratings.count()).alias("n_ratings"))
 
 
 # ------------------------------------------------------- recommendation
 
 
+RELATED_SQL = DOC_TFIDF + """,
+dots AS (SELECT a.movieId AS userId, b.movieId, sum(a.weight * b.weight) AS dot FROM weights a JOIN weights b ON b.term = a.term WHERE a.movieId <> b.movieId GROUP BY ALL),
+ranked AS (
+  SELECT u.doc_id AS userId, i.doc_id AS movieId, coalesce(d.dot, 0.0) AS similarity,
+    row_number() OVER (PARTITION BY u.doc_id ORDER BY round(coalesce(d.dot, 0.0), 9) DESC, i.doc_id) AS rank
+  FROM documents u JOIN documents i ON i.doc_id <> u.doc_id LEFT JOIN dots d ON d.userId = u.doc_id AND d.movieId = i.doc_id)
+SELECT userId, CAST(rank AS BIGINT) AS rank, movieId, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 10
+"""
+
+
+@query("r2_recommend_documents", RELATED_SQL)
+def _r2_documents(s: Stages):
+    """R1 + R2 in the exact mode over a real vocabulary (tens of thousands of
+    terms): every document is an item, and a user who liked it alone; the ten
+    nearest others are recommended."""
+    from cinelens.config import TfidfParams
+
+    docs = _documents(s).withColumns({"title": F.col("movieId").cast("string"), "genres": F.lit("")}).checkpoint(eager=True)
+    ratings = docs.select(F.col("movieId").alias("userId"), "movieId", F.lit(5.0).alias("rating"))
+    m = model_mod.fit(docs, ratings, ModelParams(tfidf=TfidfParams(min_df=3, max_df=0.5), n_components=None))
+    return m.recommend(ratings.select("userId"), 10).filter("source = 'profile'").select("userId", "rank", "movieId", "similarity")
+
+
 @query("r2_recommend", SCORES_SQL + ",\n" + recommend_sql())
 def _r2(s: Stages):
     return s.recommendations
@@ -584,10 +738,10 @@ _N_ALL = "(SELECT count(*) FROM featurized)"
     "FROM recs r LEFT JOIN", "FROM (SELECT * FROM recs WHERE source = 'top_up') r LEFT JOIN"))
 def _r3(s: Stages):
     """Lists as long as the catalogue: every warm list is short by the
-    user's seen count and gets topped up (Q2 parity: repeats allowed)."""
+    user's seen count and gets topped up (Q2 parity: repeats allowed). The
+    lengths come from counts; no list is ranked."""
     m = s.model(None)
-    n = s.featurized.count()
-    return m.recommend(s.users, n).filter(F.col("source") == "top_up")
+    return m.top_up(s.users, m.n_catalogue())
 
 
 @query("r3_top_up_dedupe", SCORES_SQL + ",\n" + recommend_sql(n=_N_ALL, dedupe=True).replace(
@@ -596,8 +750,7 @@ def _r3d(s: Stages):
     """R3 with the ``dedupe_top_up`` switch: top-up rows skip items already
     in the ranked list (the parity form, r3_top_up, may repeat them)."""
     m = s.model(None)
-    n = s.featurized.count()
-    return m.recommend(s.users, n, dedupe_top_up=True).filter(F.col("source") == "top_up")
+    return m.top_up(s.users, m.n_catalogue(), dedupe=True)
 
 
 @query("r5_liked", PREP_SQL + """
@@ -617,6 +770,25 @@ def _r8(s: Stages):
     return s.model(None).recommend(s.users, 10, movies=movies, ratings=ratings)
 
 
+@query("r8_answer_requests", SCORES_SQL + """,
+asked AS (SELECT 'q' || userId AS request_id, userId, [3, 10, 25][CAST(abs(userId) % 3 AS INT) + 1] AS k FROM (SELECT DISTINCT userId FROM ratings UNION ALL SELECT DISTINCT -userId FROM ratings WHERE userId > 0)),
+lists AS (
+  SELECT a.request_id, a.userId, r.rank, r.movieId FROM asked a JOIN ranked_all r ON r.userId = a.userId AND r.rank <= a.k
+  UNION ALL
+  SELECT a.request_id, a.userId, row_number() OVER (PARTITION BY a.request_id ORDER BY p.movieId), p.movieId
+  FROM asked a JOIN pop p ON p.pop_rank <= a.k WHERE a.userId NOT IN (SELECT userId FROM wsum))
+SELECT l.request_id, l.userId, CAST(l.rank AS BIGINT) AS rank, l.movieId, f.title, f.genres FROM lists l JOIN featurized f ON f.movieId = l.movieId
+""")
+def _r8_requests(s: Stages):
+    """R8 as requests: every user and as many unknown ones, each with its own
+    k (3, none, which means 10, or 25)."""
+    from cinelens.streaming.serve import answer_requests
+
+    both = s.users.select("userId").union(s.users.filter("userId > 0").select(-F.col("userId")))
+    k = F.element_at(F.array(F.lit(3), F.lit(None).cast("int"), F.lit(25)), (F.abs("userId") % 3 + 1).cast("int"))
+    return answer_requests(s.model(None), both.select(F.concat(F.lit("q"), F.col("userId").cast("string")).alias("request_id"), "userId", k.alias("k")))
+
+
 @query("r9_service_liked", with_stages() + """
 SELECT DISTINCT r.userId, m.movieId, m.title, m.genres
 FROM ratings r JOIN movies m ON m.movieId = r.movieId WHERE r.rating >= 4.0
@@ -647,6 +819,28 @@ def _s3(s: Stages):
     return loaded.recommend(s.users, 10)
 
 
+@query("s4_lookups", SCORES_SQL + ",\n" + recommend_sql(users="SELECT unnest([(SELECT min(userId) FROM ratings), (SELECT max(userId) FROM ratings), -5])"))
+def _s4(s: Stages):
+    """S3 + S4 + R8 as point lookups: the model is stored in buckets by user,
+    loaded without ratings, and asked for the first user, the last one and an
+    unknown one; each lookup reads one bucket of a table."""
+    import uuid
+    from functools import reduce
+
+    from cinelens.session import ensure_checkpoint_dir
+    from cinelens.sources import store
+
+    m = s.model(None)
+    path = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    store.save_model(m, path, user_buckets=16)
+    loaded = store.load_model(s.spark, path, m.movies)
+    ends = s.raw[1].agg(F.min("userId"), F.max("userId")).first()
+    for df in loaded.lookup(ends[0]):
+        if store.buckets_read(df) != [(1, 16)]:
+            raise AssertionError("a lookup reads more than one bucket")
+    return reduce(DataFrame.unionByName, [loaded.recommend_one(u, 10) for u in (*ends, -5)])
+
+
 @query("r7_cold_without_ratings", SCORES_SQL + """
 SELECT -1 - u.userId AS userId, CAST(row_number() OVER (PARTITION BY u.userId ORDER BY p.movieId) AS BIGINT) AS rank, p.movieId
 FROM (SELECT DISTINCT userId FROM ratings) u, pop p WHERE p.pop_rank <= 10

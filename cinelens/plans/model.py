@@ -18,8 +18,9 @@ class ContentModel:
 
     ``movies``: featurized catalogue (metadata for outputs); ``ratings``:
     the ratings seen sets come from; ``items(movieId, vec)``;
-    ``profiles(userId, vec)``; ``vocab(term, df, idf)``; ``term_basis``
-    (SVD only) projects new TF-IDF rows.
+    ``profiles(userId, vec)``; ``vocab(term, df, idf)``, with the term's
+    position ``idx`` in the exact mode, whose vectors are sparse rows;
+    ``term_basis`` (SVD only) projects new TF-IDF rows.
     """
 
     params: ModelParams
@@ -31,12 +32,14 @@ class ContentModel:
     dims: int
     term_basis: DataFrame | None = None
     singular_values: np.ndarray | None = field(default=None, repr=False)
+    #: ``(userId, movieId)`` pairs from the store, where ratings are not given.
+    seen: DataFrame | None = None
 
     def recommend(self, users: DataFrame, n: int = 10, dedupe_top_up: bool = False,
                   movies: DataFrame | None = None, ratings: DataFrame | None = None) -> DataFrame:
         """R2/R3/R7 for all users of ``users(userId)``; ``movies`` and
         ``ratings`` replace the model's metadata and seen sets (R10)."""
-        seen = ratings if ratings is not None else self.ratings
+        seen = next((x for x in (ratings, self.ratings, self.seen) if x is not None), None)
         if seen is None:
             # Without ratings only users without a profile can be answered:
             # their list needs none.
@@ -55,6 +58,36 @@ class ContentModel:
             n_movies=None if movies is not None else self.n_catalogue(),
         )
 
+    def lookup(self, user_id: int) -> tuple[DataFrame, DataFrame]:
+        """``(profile, seen)`` rows of one user, filtered by a literal, so that
+        bucketed tables read the one bucket that can hold them."""
+        seen = next((x for x in (self.seen, self.ratings) if x is not None), None)
+        if seen is None:
+            raise RuntimeError("no ratings to take seen items from")
+        mine = F.col("userId") == F.lit(int(user_id))
+        return self.profiles.filter(mine), seen.select("userId", "movieId").filter(mine)
+
+    def recommend_one(self, user_id: int, n: int = 10, dedupe_top_up: bool = False) -> DataFrame:
+        """R2/R3/R7 for one user, from that user's rows alone."""
+        profile, seen = self.lookup(user_id)
+        user = profile.sparkSession.createDataFrame([(int(user_id),)], "userId long")
+        return recommend.recommend_users(user, profile, self.items, seen, self.movies, n, self.dims, dedupe_top_up=dedupe_top_up, n_movies=self.n_catalogue())
+
+    def top_up(self, users: DataFrame, n: int, dedupe: bool = False) -> DataFrame:
+        """R3 alone, with metadata: the rows added to lists shorter than
+        ``n``, of the users of ``users(userId)`` with a profile. A short list
+        holds every unseen item of the catalogue, so ``dedupe`` leaves only
+        rows of other items."""
+        from cinelens.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(users.sparkSession)
+        warm = self.profiles.select("userId").join(users.select("userId").distinct(), "userId", "left_semi")
+        size = self.n_catalogue()
+        rows = recommend.top_up(warm, self.items, self.ratings, int(n), size, self.popular(n))
+        if dedupe:
+            rows = rows.join(self.items.select("movieId"), "movieId", "left_anti")
+        return recommend.with_metadata(rows, self.movies, size)
+
     def n_catalogue(self) -> int:
         """Rows of the model's catalogue: one item vector per movie, read
         from the checkpointed vectors instead of re-running featurization."""
@@ -80,7 +113,7 @@ def fit_items(movies: DataFrame, params: ModelParams = ModelParams()):
         raise ValueError("The movies table must contain a non-empty 'movie_text' column.")
     weights, vocab = features.tfidf(movies, params.tfidf)
     if params.n_components is None:
-        items, dims = factorize.exact_vectors(weights, vocab, movies, params.max_exact_dims)
+        items, vocab, dims = factorize.exact_vectors(weights, vocab, movies)
         return items, vocab, dims, None, None
     items, basis, values = factorize.randomized_svd(
         weights,
@@ -164,6 +197,8 @@ class ContentRecommender:
         return spark.createDataFrame([(int(u),) for u in ids], "userId long")
 
     def recommend(self, users, rec_n: int = 10, dedupe_top_up: bool = False) -> DataFrame:
+        if isinstance(users, int) and self._require().seen is not None:
+            return self._require().recommend_one(users, rec_n, dedupe_top_up)
         return self._require().recommend(self._users(users), rec_n, dedupe_top_up=dedupe_top_up)
 
     def get_actual_liked_movies(self, users=None) -> DataFrame:
@@ -173,12 +208,12 @@ class ContentRecommender:
     def popular_movies(self, top_n: int = 10) -> DataFrame:
         return self._require().popular(top_n)
 
-    def save_model(self, path: str) -> None:
+    def save_model(self, path: str, user_buckets: int | None = None) -> None:
         from cinelens.sources import store
 
         if self.model is None:
             raise RuntimeError("Cannot save an unfitted model.")
-        store.save_model(self.model, path)
+        store.save_model(self.model, path, user_buckets)
 
     @classmethod
     def load_model(cls, path: str, movies: DataFrame, ratings: DataFrame | None = None) -> "ContentRecommender":

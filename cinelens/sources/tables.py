@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelens.session import stored
+
 MOVIES_SCHEMA = T.StructType(
     [
         T.StructField("movieId", T.LongType()),
@@ -47,6 +50,32 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
+#: Column of the text of a line that does not fit its schema.
+BROKEN = "_broken_line"
+
+
+def read_checked(spark: SparkSession, path: str, table: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(rows, quarantine)`` of one raw CSV table that may hold broken lines.
+
+    A line with too few or too many fields, a field that is not of its column's
+    type or an unclosed quote goes to ``quarantine(line)``; every other line is
+    a row, as :func:`read_csv` gives it. The file is parsed once, whole lines
+    at that (a pruned read would not see a bad field), and both tables are read
+    from what was stored.
+    """
+    schema = T.StructType([*SCHEMAS[table].fields, T.StructField(BROKEN, T.StringType())])
+    parsed = stored(
+        spark.read.schema(schema)
+        .option("header", header)
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BROKEN)
+        .csv(path)
+    )
+    good = parsed.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+    return good, parsed.filter(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
+
+
 def read_movielens(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``movies.csv``, ``ratings.csv`` and ``tags.csv`` of one folder."""
     return tuple(read_csv(spark, f"{folder.rstrip('/')}/{t}.csv", t) for t in ("movies", "ratings", "tags"))

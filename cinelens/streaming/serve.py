@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelens.operators.joins import broadcast_if_small
+from cinelens.operators.joins import ID_ROW_BYTES, broadcast_if_small
 from cinelens.operators.recommend import METADATA_ROW_BYTES
 
 REQUEST_SCHEMA = "request_id string, userId long, k int"
@@ -127,7 +127,7 @@ def precompute(model, users: DataFrame, max_k: int = 30) -> ServingTables:
         pop.select("movieId", "pop_rank", ks)
         .filter(F.col("pop_rank") <= F.col("k"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("movieId")))
-        .join(F.broadcast(meta.join(pop.select("movieId"), "movieId", "left_semi")), "movieId")
+        .join(broadcast_if_small(meta.join(pop.select("movieId"), "movieId", "left_semi"), n, METADATA_ROW_BYTES), "movieId")
         .select("k", "rank", "movieId", "title", "genres")
     )
 
@@ -136,7 +136,7 @@ def precompute(model, users: DataFrame, max_k: int = 30) -> ServingTables:
     short = lengths.filter(F.col("L") < n)
     cands = (
         short.select("userId", "L", F.explode(F.sequence(F.lit(1), F.lit(n) - F.col("L"))).alias("pop_rank"))
-        .join(F.broadcast(pop), "pop_rank")
+        .join(broadcast_if_small(pop, n, ID_ROW_BYTES), "pop_rank")
         .join(seen, ["userId", "movieId"], "left_anti")
     )
     per_k = cands.select("userId", "L", "movieId", "pop_rank", ks).filter(
