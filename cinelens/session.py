@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -111,10 +113,15 @@ def stored(df):
 
 
 def release(*tables) -> None:
-    """Delete tables made by :func:`stored` that nothing reads any more."""
+    """Delete tables made by :func:`stored` that nothing reads any more, and let
+    the driver collect its garbage: executors keep the shuffle files behind a
+    table until the driver's collector notices that nothing refers to them,
+    which in a job of many stages may be long after."""
     for df in tables:
         path = df.__dict__.pop("stored_path", None)
         if path:
             spark = df.sparkSession
             place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
