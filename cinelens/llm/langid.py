@@ -1,7 +1,8 @@
 """Language identification by compression.
 
 Each learned language gets a raw-content dictionary: lines of its training
-texts, chosen by hash over all of them, ``dict_bytes`` in all. A text is
+texts (long ones in pieces), chosen by hash over all of them, ``dict_bytes`` in
+all. A text is
 compressed with every dictionary and gets the language whose output is
 smallest. Texts are reduced to lower-case letter runs and compressed whole,
 in windows of ``window`` bytes, so that a long text cannot become its own
@@ -12,7 +13,8 @@ tie too often.
 ``margin`` is the gap between the two smallest sizes over the larger of
 them; under ``min_margin`` the text is rejected (``lang`` is ``und``), while
 ``lang_best`` still names the smallest. A tie goes to the language that
-comes first. A null text, and one without a letter, has ``lang_best`` =
+comes first. Rows that repeat a doc_id are identified each for itself; lines
+that recur enter a dictionary once. A null text, and one without a letter, has ``lang_best`` =
 ``und`` and score 0; so has every text if nothing was learned.
 """
 
@@ -34,6 +36,8 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 @dataclass(frozen=True)
 class Params:
     dict_bytes: int = 192 << 10
+    #: Characters of a line that are drawn together at most.
+    piece_chars: int = 2000
     window: int = 2048
     #: Texts under this many bytes are compressed in ``rotations`` word orders.
     short_bytes: int = 400
@@ -52,7 +56,11 @@ def letters(text: str) -> bytes:
 def learn(docs: DataFrame, params: Params = Params()) -> dict[str, bytes]:
     """Dictionaries by language from ``docs(text, lang)``: lines of a
     bounded sample, about ``dict_bytes`` for each language."""
-    lines = docs.filter("lang is not null and text is not null").select("lang", F.explode(F.split("text", "\n")).alias("line"))
+    whole = docs.filter("lang is not null and text is not null").select("lang", F.explode(F.split("text", "\n")).alias("whole"))
+    # Pieces of a bounded size, so that a draw of about 1.3 * dict_bytes is
+    # many pieces, whatever the lines' length.
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("whole") / F.lit(params.piece_chars)).cast("int") - 1, F.lit(0)))
+    lines = whole.select("lang", F.explode(F.transform(starts, lambda i: F.substring("whole", i * params.piece_chars + 1, params.piece_chars))).alias("line"))
     sizes = lines.groupBy("lang").agg(F.sum(F.length("line")).alias("chars")).limit(params.max_languages + 1).collect()
     if len(sizes) > params.max_languages:
         raise ValueError(f"more than {params.max_languages} languages")
