@@ -40,7 +40,7 @@ class Lists:
         first and ties by id, and the depth read. Lists of components 0 add
         nothing to a score and are not read."""
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        query = query.astype(self.rows.dtype)
+        query = np.array([int(x) for x in query.tolist()], object) if self.rows.dtype == object else query.astype(self.rows.dtype)
         met, scores = np.zeros(self.n, bool), np.zeros(self.n, self.rows.dtype)
         depth, best = 0, np.empty(0, np.int64)
         while True:
@@ -57,25 +57,35 @@ class Lists:
             best = np.concatenate([best, new[ids[new] != own]])
             if len(best) > 4 * k:
                 found = scores[best]
-                best = best[found >= np.partition(found, -k)[-k]]
-            best = best[np.lexsort((ids[best], -scores[best]))][:k]
+                best = best[found >= (np.sort(found) if found.dtype == object else np.partition(found, -k))[-k]]
+            best = best[_order(scores[best], ids[best])][:k]
             if met.all() or depth == self.n:
-                return best, scores[best].astype(np.int64), depth
-            bound = self.sorted[depth - 1, up] @ query[up] + self.sorted[self.n - depth, down] @ query[down]
+                return best, scores[best], depth
+            bound = (self.sorted[depth - 1, up] * query[up]).sum() + (self.sorted[self.n - depth, down] * query[down]).sum()
             if len(best) == k and scores[best[-1]] > bound:
-                return best, scores[best].astype(np.int64), depth
+                return best, scores[best], depth
 
 
-def exact_type(rows: np.ndarray, queries: np.ndarray):
-    """The floats that hold every partial sum of a product exactly."""
+def _order(scores: np.ndarray, ids: np.ndarray):
+    """Places by falling score, ties by id."""
+    if scores.dtype != object:
+        return np.lexsort((ids, -scores))
+    return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i])), np.int64)
+
+
+def exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """``rows`` in a type that holds every partial sum of a product exactly:
+    floats while they do, else Python's integers."""
     largest = np.abs(rows).max() * np.abs(queries).max() * rows.shape[1]
-    if largest >= 2.0**53:
-        raise ValueError("inner products of these vectors do not fit a double exactly; use a smaller scale")
-    return np.float32 if largest < 2.0**24 else np.float64
+    if largest < 2.0**53:
+        return rows.astype(np.float32 if largest < 2.0**24 else np.float64)
+    return np.array([int(x) for x in rows.ravel().tolist()], object).reshape(rows.shape)
 
 
 def quantize(vec: str = "vec", scale: int = SCALE) -> Column:
-    return F.transform(vec, lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
+    """Whole numbers as doubles (beyond 2**53 a double is whole already)."""
+    scaled = F.transform(vec, lambda x: x * F.lit(float(scale)))
+    return F.transform(scaled, lambda x: F.when(F.abs(x) < F.lit(float(1 << 53)), F.floor(x).cast("double")).otherwise(x))
 
 
 def search(embeddings: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -83,14 +93,19 @@ def search(embeddings: DataFrame, is_query: Column, k: int = K, scale: int = SCA
     ``embeddings(vec_id, embedding)`` that ``is_query``.
 
     Rows with a null id, a null or empty vector, or a component that is null
-    or not finite take no part; only vectors of one length are compared.
+    or not finite (also once scaled) take no part; only vectors of one length
+    are compared. Products too large for a double are made with Python's
+    integers, exactly; scores that a long can't hold are null, and ranked by id
+    among themselves.
     """
     rows = vectors.clean(embeddings).withColumn("vec", quantize(scale=scale))
+    rows = rows.filter(F.forall("vec", lambda x: F.abs(x) != F.lit(float("inf"))))
 
     def within(ids, rows, asked, queries):
-        lists = Lists(rows.astype(exact_type(rows, queries)))
+        lists = Lists(exact(rows, queries))
         got = [lists.top(q, ids, own, k)[:2] for own, q in zip(asked, queries)]
         at = np.repeat(np.arange(len(got)), [len(b) for b, _ in got])
-        return at, ids[np.concatenate([b for b, _ in got])], np.concatenate([s for _, s in got])
+        scores = np.concatenate([s for _, s in got])
+        return at, ids[np.concatenate([b for b, _ in got])], scores.astype(np.int64) if scores.dtype != object else scores
 
     return vectors.search(rows, is_query, within, k, F.desc, shard_rows, block_rows, "int64")

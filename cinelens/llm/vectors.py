@@ -50,28 +50,32 @@ def search(rows: DataFrame, is_query, within: Callable, k: int, best_first, shar
     """``query_id, rank, vec_id, score`` of the k best of every query.
 
     ``within(candidate ids, candidates, query ids, queries)`` gives arrays
-    (place of the query, candidate id, score) with the k best in one group.
+    (place of the query, candidate id, score) with the k best in one group;
+    scores are ``score`` (a numpy type) or Python's integers, of which those
+    that a long can't hold become null.
     """
     spark = rows.sparkSession
     prepare(spark)
-    rows = stored(rows)
+    rows, kind, limit = stored(rows), "Int64" if score == "int64" else "float64", (1 << 63) - 1
     candidates, asked, groups = blocks(rows, is_query, shard_rows, block_rows)
 
     def run(left, right):
         import numpy as np
         import pandas as pd
 
-        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0, score)})
+        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0, score), "over": np.empty(0, np.int64)})
         if not len(left) or not len(right):
             return empty
         left, right = left.sort_values("vec_id"), right.sort_values("vec_id")
         ids, asked_ids = left["vec_id"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
         at, found, value = within(ids, np.stack(left["vec"].to_numpy()), asked_ids, np.stack(right["vec"].to_numpy()))
-        return pd.DataFrame({"query_id": asked_ids[at], "vec_id": found, "score": value})
+        # Python's integers where 64 bits may not do.
+        over = [(x > limit) - (x < -limit) for x in value] if value.dtype == object else 0
+        value = [x if -limit <= x <= limit else None for x in value] if value.dtype == object else value
+        return pd.DataFrame({"query_id": asked_ids[at], "vec_id": found, "score": pd.array(value, kind), "over": over})
 
     key = ["dims", "shard", "block"]
-    kind = "long" if score == "int64" else "double"
     pairs = candidates.repartition(groups, *key).groupBy(*key).cogroup(asked.repartition(groups, *key).groupBy(*key))
-    found = pairs.applyInPandas(run, f"query_id long, vec_id long, score {kind}")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(best_first(F.col("score")), "vec_id"))
+    found = pairs.applyInPandas(run, f"query_id long, vec_id long, score {'long' if score == 'int64' else 'double'}, over long")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(best_first(F.col("over")), best_first(F.col("score")), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

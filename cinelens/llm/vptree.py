@@ -1,11 +1,12 @@
 """Approximate nearest neighbours: a vantage-point tree for each shard.
 
-A node holds a vantage row and the median distance mu of its rows to it; the
-inner child has the rows nearer than mu, the outer child the others. With r
-the k-th distance found so far and d the query's distance to the vantage row,
-the inner child can hold a better row only if ``d - mu < r`` and the outer one
-only if ``mu - d <= r``. ``factor`` relaxes this: a child is left out if its
-gap is at least ``factor * r``. Factor 1 is the triangle inequality and the
+A node holds a vantage row; the inner child has the half of its rows that is
+nearer to it (ties by place, so depth is logarithmic whatever the distances),
+up to distance mu, the outer child the others, from distance nu on. With r the
+k-th distance found so far and d the query's distance to the vantage row, the
+inner child can hold a better row only if ``d - mu <= r`` and the outer one only
+if ``nu - d <= r``. ``factor`` relaxes this: a child is left out if its
+gap is over ``factor * r``. Factor 1 is the triangle inequality and the
 search is exact; under 1 more is pruned and a near row may be missed.
 
 All queries of a block go through the tree together: first each to its home
@@ -44,20 +45,15 @@ class Tree:
         self.root = self.build(np.arange(len(rows)), np.random.default_rng(seed))
 
     def build(self, places: np.ndarray, rng):
-        """A leaf is an array of places; a node (vantage, mu, inner, outer).
-        Rows all at one distance stay together as a leaf."""
+        """A leaf is an array of places; a node (vantage, mu, nu, inner, outer)."""
         if len(places) <= self.leaf:
             return places
         vantage = places[rng.integers(len(places))]
         d = distances(self.rows[vantage][None], self.rows[places])[0]
-        mu = np.median(d)
-        near = d < mu
-        if not near.any():
-            near = d <= mu
-            if near.all():
-                return places
-            mu = d[~near].min()
-        return vantage, mu, self.build(places[near], rng), self.build(places[~near], rng)
+        order = np.argsort(d, kind="stable")
+        half = len(places) // 2
+        inner, outer = (self.build(places[part], rng) for part in (order[:half], order[half:]))
+        return vantage, d[order[half - 1]], d[order[half]], inner, outer
 
 
 class Search:
@@ -98,8 +94,8 @@ class Search:
             for q in who:
                 self.home[q] = id(node)
             return
-        vantage, mu, inner, outer = node
-        near = distances(self.tree.rows[vantage][None], self.queries[who])[0] < mu
+        vantage, mu, nu, inner, outer = node
+        near = distances(self.tree.rows[vantage][None], self.queries[who])[0] <= (mu + nu) / 2
         self.descend(inner, who[near])
         self.descend(outer, who[~near])
 
@@ -109,11 +105,11 @@ class Search:
         if isinstance(node, np.ndarray):
             self.scan(node, who[np.array([self.home[q] != id(node) for q in who])])
             return
-        vantage, mu, inner, outer = node
+        vantage, mu, nu, inner, outer = node
         d = distances(self.tree.rows[vantage][None], self.queries[who])[0]
-        self.visit(inner, who[d - mu < self.factor * self.dist[who, -1]])
+        self.visit(inner, who[d - mu <= self.factor * self.dist[who, -1]])
         # The inner child may have brought the bound down.
-        self.visit(outer, who[mu - d <= self.factor * self.dist[who, -1]])
+        self.visit(outer, who[nu - d <= self.factor * self.dist[who, -1]])
 
 
 def search(embeddings: DataFrame, is_query: Column, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -102,3 +102,33 @@ def test_lists_stop_early_on_clustered_rows():
     best, scores, depth = lists.top(query, ids, -1, 20)
     want = np.lexsort((ids, -(rows @ query.astype(np.float32))))[:20]
     assert best.tolist() == want.tolist() and depth < 4096 // 16
+
+
+def test_top_k_with_large_components(spark):
+    """Products beyond a double and beyond 64 bits."""
+    rows = [(0, [1e9, 1.0]), (1, [1e9, -1.0]), (2, [0.5, 2.0]), (3, [-1e9, 0.25]), (20, [1.0, 1.0]), (40, [1e300, 0.0]), (60, [1e308, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.search(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    whole = {i: [int(np.floor(64 * c)) if abs(c) < 1e14 else 64 * int(c) for c in x] for i, x in rows if i != 60}
+    assert set(got) == {0, 20, 40}  # 60: not finite once scaled
+    for q, found in got.items():
+        score = {i: sum(a * b for a, b in zip(x, whole[q])) for i, x in whole.items() if i != q}
+        over = lambda x: (x >= 1 << 63) - (x <= -(1 << 63))
+        best = sorted(score, key=lambda i: (-over(score[i]), 0 if over(score[i]) else -score[i], i))
+        assert found == [(i, None if over(score[i]) else score[i]) for i in best]
+
+
+def test_tree_over_rows_at_equal_distances(spark):
+    """1,400 orthonormal vectors: the tree stays shallow, the search exact."""
+    n = 1400
+    rows = np.eye(n)[:, :n]
+    tree = vptree.Tree(rows, leaf=8)
+    depth = lambda x: 0 if isinstance(x, np.ndarray) else 1 + max(depth(x[3]), depth(x[4]))
+    assert depth(tree.root) <= 10
+    ids = np.arange(n)
+    found = vptree.Search(tree, ids, ids[:3], rows[:3], 5, 1.0).run()
+    assert [[i for i in range(6) if i != q][:5] for q in range(3)] == found.id.tolist()
+    copies = vptree.Tree(np.ones((500, 4)), leaf=4)
+    assert vptree.Search(copies, np.arange(500), np.array([7]), np.ones((1, 4)), 3, 1.0).run().id.tolist() == [[0, 1, 2]]
