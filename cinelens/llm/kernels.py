@@ -88,30 +88,14 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(ascii_words(text)), k))
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """Counts of a set's hashes by their leading bits, a byte each, in about
-    half as many classes as the set has elements (a power of two)."""
-    bits = max(3, len(shingles).bit_length() - 2)
-    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+def sketch(members: np.ndarray, width: int) -> bytes:
+    """Counts of a set's hashes by class (the leading bits), a byte each, in
+    ``width`` classes (a power of two). A count is capped at 255, which can
+    only bring two sketches nearer together."""
+    counts = np.bincount((members >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64), minlength=width)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def fold_sketches(raw: bytes, rows: int, width: int) -> np.ndarray:
-    """``rows`` sketches of one length as a table of ``width`` classes. Counts
-    are capped at 255 again: a capped class may hold more than it tells."""
-    table = np.frombuffer(raw, np.uint8).astype(np.int32).reshape(rows, -1)
-    if table.shape[1] > width:
-        table = np.minimum(table.reshape(rows, width, -1).sum(axis=2), 255)
-    return table
-
-
-def sketch_gap(x: bytes, y: bytes) -> int:
-    """Sum of absolute differences of two sketches, the finer one folded: at
-    most the size of the symmetric difference of the sets."""
-    width = min(len(x), len(y))
-    return int(np.abs(fold_sketches(x, 1, width) - fold_sketches(y, 1, width)).sum())
-
-
 class Distinct:
     """Distinct values of an index array in linear time, without sorting:
     each value's last place is stamped, and the places that kept their own
@@ -127,9 +111,9 @@ class Distinct:
 
 
 def char_ngrams(text: str, orders: tuple[int, ...], bits: int) -> np.ndarray:
-    """Hashed n-grams of the UTF-8 bytes of the lower-cased text, one block
-    for each order, repeats included."""
-    raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    """Hashed n-grams of the characters (code points) of the lower-cased text,
+    one block for each order, repeats included."""
+    raw = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
     out, code, prime = [], raw, np.uint32(16777619)
     for n in range(2, max(orders) + 1):
         if len(raw) < n:

@@ -14,8 +14,9 @@ ratios (NBSVM), for the quality and toxicity operators.
    logistic curve fitted on the sample's cross-fitted margins (each half is
    judged by a model of the other half).
 
-Texts are used whole. A null text is scored as an empty one. Without rows of
-both classes every score is 0.5.
+Texts are used whole. A null text is scored as an empty one. A document that
+repeats, or that several rows label, counts once for each pair of such rows; a
+null doc_id has no label. Without rows of both classes every score is 0.5.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from cinelens.session import release, stored
 
 @dataclass(frozen=True)
 class Params:
-    #: "char": byte n-grams of the lower-cased text; "word": words and outlines.
+    #: "char": n-grams of the characters of the lower-cased text; "word": words and outlines.
     grams: str = "char"
     orders: tuple[int, ...] = (5, 6, 7)
     bits: int = 19

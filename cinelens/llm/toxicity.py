@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on character n-grams.
 
-Indicators of byte 5- to 7-grams of the lower-cased text, scaled by naive
-Bayes log-count ratios and fitted on labelled text; see
+Indicators of 5- to 7-grams of the characters of the lower-cased text, scaled by
+naive Bayes log-count ratios and fitted on labelled text; see
 :mod:`cinelens.llm.nbsvm`.
 """
 

@@ -98,3 +98,100 @@ def test_fits_are_not_cut():
     from cinelens.llm import quality, toxicity
 
     assert quality.PARAMS.fit_rows == toxicity.PARAMS.fit_rows == 3000
+
+
+def test_language_of_few_long_lines(spark):
+    """Every language has a full dictionary, however long its lines are."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(STOCK[lang].split(), k=20_000)), lang) for i, lang in enumerate(list(STOCK) * 4)]
+    learned = langid.learn(docs(spark, rows))
+    p = langid.Params()
+    assert sorted(learned) == sorted(STOCK) and all(len(x) > 0.9 * p.dict_bytes for x in learned.values())
+
+
+def test_language_sizes_equal_plain_compression():
+    """The language is that of the smallest output of zstandard itself."""
+    import zstandard as zs
+
+    rng, p = random.Random(7), langid.Params()
+    learned = {k: langid.letters(" ".join(rng.choices(v.split(), k=3000))) for k, v in STOCK.items()}
+    model = langid.Compressors(learned, p)
+    setting = zs.ZstdCompressionParameters.from_level(6, min_match=4, search_log=4, strategy=zs.STRATEGY_GREEDY, window_log=20,
+                                                      write_content_size=False, write_checksum=False, write_dict_id=False)
+    for lang, stock in STOCK.items():
+        text = " ".join(rng.choices(stock.split(), k=600))
+        raw = langid.letters(text)
+        sizes = {}
+        for k, d in learned.items():
+            one = zs.ZstdCompressor(compression_params=setting, dict_data=zs.ZstdCompressionDict(d, dict_type=zs.DICT_TYPE_RAWCONTENT))
+            sizes[k] = sum(len(one.compress(raw[i : i + p.window])) for i in range(0, len(raw), p.window))
+        assert model.sizes(raw).tolist() == list(sizes.values())
+        assert model(text)[0] == min(sizes, key=sizes.get) == lang
+
+
+def plain_fit(texts, labels, p):
+    """Ratios and the optimum of the hinge loss with plain NumPy: features as
+    sets, dense rows, projected gradient on the dual to convergence."""
+    import numpy as np
+
+    features = nbsvm.Features(p)
+    rows = [sorted(set(features(t).tolist())) for t in texts]
+    y = np.where(np.array(labels) > 0, 1.0, -1.0)
+    vocab = sorted({g for r in rows for g in r})
+    at = {g: i for i, g in enumerate(vocab)}
+    x = np.zeros((len(rows), len(vocab)))
+    for i, r in enumerate(rows):
+        x[i, [at[g] for g in r]] = 1
+    neg, pos = x[y < 0].sum(axis=0), x[y > 0].sum(axis=0)
+    share = pos.sum() / (pos.sum() + neg.sum())
+    a = p.smoothing
+    ratio = np.log((pos + 2 * a * share) / share) - np.log((neg + 2 * a * (1 - share)) / (1 - share))
+    z = x * ratio
+    z = np.hstack([z / np.linalg.norm(z, axis=1, keepdims=True), np.ones((len(z), 1))]) * y[:, None]
+    top = p.cost * np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
+    q, alpha = z @ z.T, np.zeros(len(y))
+    for _ in range(20_000):
+        alpha = np.clip(alpha - (q @ alpha - 1) / np.linalg.norm(q, 2), 0, top)
+    loss = lambda w: 0.5 * w @ w + (top * np.maximum(0, 1 - z @ w)).sum()
+    return dict(zip(vocab, ratio)), loss, z.T @ alpha, at
+
+
+@pytest.mark.parametrize("params", [nbsvm.Params(bits=16, epochs=200), nbsvm.Params(grams="word", bits=16, smoothing=5.0, epochs=200)])
+def test_fit_equals_plain_solver(spark, params):
+    import numpy as np
+
+    rng = random.Random(11)
+    texts, labels = [], []
+    for i in range(60):
+        text = words(i, rng.randint(10, 40))
+        if i % 3 == 0 and i % 9:
+            text.insert(3, "zonkhead")
+        texts.append(" ".join(text) + " é日本")
+        labels.append(int(i % 3 == 0))
+    d = docs(spark, list(enumerate(texts)))
+    model = nbsvm.fit(d, spark.createDataFrame(list(enumerate(labels)), "doc_id long, label int"), params)
+    ratio, loss, best, at = plain_fit(texts, labels, params)
+    assert all(abs(model.square[g] - r * r) <= 1e-5 * (1 + r * r) for g, r in ratio.items())
+    # Weights of indicators are ratio times the fitted weight.
+    w = np.append([model.weight[g] / r if r else 0.0 for g, r in ratio.items()], model.bias)
+    assert loss(best) <= loss(w) + 1e-6 and loss(w) <= loss(best) * 1.01 + 1e-3
+
+
+def test_character_grams_are_of_characters():
+    from cinelens.llm import kernels
+
+    for text in ("абвгд", "天地玄黄宇宙", "a\U0001F600bcdefg"):
+        padded = f" {text.lower()} "
+        for n in (5, 6, 7):
+            got = kernels.char_ngrams(text, (n,), 24)
+            assert len(got) == max(len(padded) - n + 1, 0) == len(set(got.tolist()))
+
+
+def test_documents_labelled_several_times(spark):
+    """Each label row counts; a document with both labels is in both classes."""
+    d, l = labelled(spark, 60)
+    twice = nbsvm.fit(d, l.union(l), nbsvm.Params(bits=14))
+    both = nbsvm.fit(d, l.union(l.filter("doc_id = 0").selectExpr("doc_id", "1 - label")), nbsvm.Params(bits=14))
+    for model in (twice, both):
+        got = {r["doc_id"]: r["score"] for r in nbsvm.score(d, model).collect()}
+        assert sum((got[i] >= 0.5) == (i % 3 == 0) for i in got) >= 58
