@@ -66,6 +66,8 @@ class Params:
     max_frequent: int = 500_000
     pivots: int = 256
     pivot_shingles: int = 1_000_000
+    #: Classes of the counts by which pairs are screened.
+    classes: int = 256
     #: Shingles (about) of a block of sets whose links are counted together.
     block_shingles: int = 1 << 18
 
@@ -175,78 +177,49 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
     return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
 
 
-def _measure(docs: DataFrame, pivots, params: Params) -> DataFrame:
-    """``doc_id, n, hi, lo, near, sketch``: size, 128-bit digest and sketch of
-    each set, and the pivots around it."""
+def _measure(docs: DataFrame, order, pivots, params: Params) -> DataFrame:
+    """``doc_id, n, hi, lo, near, cells, sketch``: size and 128-bit digest of
+    each set, the pivots around it, its first shingles in the order, and its
+    counts by class. The texts are shingled once for all of these."""
 
     def run(batches):
         import pyarrow as pa
 
-        net = pivots.value
+        net, by = pivots.value, order.value
         for batch in slices(batches):
-            n, hi, lo, near, sketches = [], [], [], [], []
+            n, hi, lo, near, cells, sketches = [], [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = kernels.shingle_set(t, params.words)
                 d = digest(s)
                 n.append(len(s))
                 hi.append(d[0])
                 lo.append(d[1])
-                sketches.append(kernels.sketch(s))
                 near.append([{"pivot": p, "dist": d, "link": k} for p, d, k in net.near(s)])
+                cells.append(by.first(s, len(s) - -(-params.num * len(s) // params.den) + 1).view(np.int64) if len(s) else [])
+                sketches.append(kernels.sketch(s, params.classes))
             kind = pa.list_(pa.struct([("pivot", pa.int32()), ("dist", pa.float64()), ("link", pa.bool_())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind), pa.array(sketches, pa.binary())], names=["doc_id", "n", "hi", "lo", "near", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "n", "hi", "lo", "near", "cells", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, near array<struct<pivot:int,dist:double,link:boolean>>, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, near array<struct<pivot:int,dist:double,link:boolean>>, cells array<long>, sketch binary")
 
 
-def _replicate(docs: DataFrame, order, pivots, ring: np.ndarray, params: Params) -> DataFrame:
-    """``cell, n, node``: documents in the regions of their first shingles,
-    but for those whose pivot settles them."""
-    eps = 1 - params.num / params.den + 1e-9
+def _sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
+    """``node, members`` of the wanted documents (64-bit shingles, sorted)."""
 
     def run(batches):
         import pyarrow as pa
 
-        net, by = pivots.value, order.value
         for batch in slices(batches):
-            cells, nodes, sizes = [], [], []
-            for node, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                s = kernels.shingle_set(t, params.words)
-                n = len(s)
-                if not n or any(link and d + eps < ring[p] for p, d, link in net.near(s)):
-                    continue
-                k = n - -(-params.num * n // params.den) + 1
-                cells.append(by.first(s, k))
-                nodes.append(np.full(k, node))
-                sizes.append(np.full(k, n))
-            if cells:
-                yield pa.RecordBatch.from_pydict({"cell": np.concatenate(cells).view(np.int64), "n": np.concatenate(sizes), "node": np.concatenate(nodes)})
-
-    return docs.mapInArrow(run, "cell long, n long, node long")
-
+            found = [kernels.shingle_set(t, params.words).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["node", "members"])
 
-def _sets(docs: DataFrame, params: Params):
-    """``node, n, set`` of wanted documents; only their texts are shuffled, if
-    any."""
+    ids = wanted.withColumnRenamed("node", "doc_id")
+    return docs.join(broadcast_if_small(ids, ids.count(), 24), "doc_id", "left_semi").mapInArrow(run, "node long, members binary")
 
-    def task(fold: bool):
-        def run(batches):
-            import pyarrow as pa
 
-            for batch in slices(batches):
-                whole = [kernels.shingle_set(t, params.words) for t in batch.column("text").to_pylist()]
-                found = [np.unique(s.astype(np.uint32)).view(np.int32) if fold else s.view(np.int64) for s in whole]
-                kind = pa.list_(pa.int32() if fold else pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in whole], pa.int64()), pa.array(found, kind), pa.array([kernels.sketch(s) for s in whole], pa.binary())], names=["node", "n", "set", "sketch"])
-
-        return run
-
-    def sets(nodes: DataFrame, fold: bool) -> DataFrame:
-        wanted = stored(nodes.withColumnRenamed("node", "doc_id"))
-        texts = docs.join(broadcast_if_small(wanted, wanted.count(), 24), "doc_id", "left_semi")
-        return texts.mapInArrow(task(fold), f"node long, n long, set array<{'int' if fold else 'long'}>, sketch binary")
-
-    return sets
+def _decode(batch) -> list[np.ndarray]:
+    """Sets of a batch with a column members."""
+    return [np.frombuffer(x, np.uint64) for x in batch.column("members").to_pylist()]
 
 
 #: Rows of a matrix product, and shingles of one step of it.
@@ -389,7 +362,7 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     null doc_id has a null component and takes no part. Rows that repeat a
     doc_id are one document: it links where any of its texts does.
     """
-    found = stored(_components(docs, params))
+    found = _components(docs, params)
     counts = _link_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), found, params)
     out = found.join(broadcast_if_small(counts, counts.count(), 32), ["hi", "lo"], "left")
     return out.select("doc_id", "n_shingles", "component_id", "class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
@@ -402,11 +375,11 @@ def _components(docs: DataFrame, params: Params) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order, net = _sample(docs, params)
     order, pivots = spark.sparkContext.broadcast(order), spark.sparkContext.broadcast(net)
-    measured = stored(_measure(docs, pivots, params))
+    measured = stored(_measure(docs, order, pivots, params))
     full = measured.filter("doc_id is not null and n > 0")
     classes = stored(full.groupBy("hi", "lo").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("other")).filter("class_id < other").drop("other"))
-    named = stored(measured.join(classes, ["hi", "lo"], "left").withColumn("class_id", F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))))
-    release(measured, classes)
+    class_id = F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))
+    named = measured.join(classes, ["hi", "lo"], "left").withColumn("class_id", class_id)
     # Links that the document pivots give; the smallest node stands for a pivot.
     near = named.filter("doc_id is not null").select("class_id", F.explode("near").alias("near")).select("class_id", "near.*")
     ball = near.filter("link").select("pivot", F.col("class_id").alias("b")).distinct()
@@ -415,30 +388,44 @@ def _components(docs: DataFrame, params: Params) -> DataFrame:
     ring = np.full(len(net.sizes), np.inf)
     for r in near.filter("not link").groupBy("pivot").agg(F.min("dist").alias("dist")).collect():
         ring[r["pivot"]] = r["dist"]
-    copies = stored(named.filter("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("class_id")).cast("int")).alias("head")).filter("head = 0").select("doc_id"))
-    heads_only = docs.filter("doc_id is not null").join(broadcast_if_small(copies, copies.count(), 24), "doc_id", "left_anti")
-    rows = _replicate(heads_only, order, pivots, ring, params)
-    sketches = named.filter("doc_id = class_id and n > 0").select(F.col("class_id").alias("node"), "n", "sketch")
-    known = regions.resolve(rows, _sets(heads_only, params), params.num, params.den, links, sketches)
+    eps = 1 - params.num / params.den + 1e-9
+    rings = F.array(*(F.lit(float(x)) for x in ring)) if len(ring) else F.array(F.lit(0.0))
+    settled = F.exists("near", lambda x: x["link"] & (x["dist"] + F.lit(eps) < F.element_at(rings, x["pivot"] + 1)))
+    heads_only = named.filter((F.col("doc_id") == F.col("class_id")) & (F.col("n") > 0) & ~settled)
+    cells = heads_only.select(F.explode("cells").alias("cell"), F.col("class_id").alias("node"))
+    groups = stored(regions.crowded(cells))
+    sketches = heads_only.select(F.col("class_id").alias("node"), "n", "sketch")
+    left = stored(regions.screened(groups.join(sketches, "node"), params.num, params.den))
+    found = stored(regions.chained(left))
+    release(groups, left)
+    rows = stored(found.join(_sets(docs, found.select("node"), params), "node").select("cell", "node", "members"))
+    more = regions.links(rows, _decode, params.num, params.den)
+    known = links.unionByName(more)
     labels = components(known)
-    release(copies, links, known)
-    out = named.join(labels, named["class_id"] == labels["node"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id", "hi", "lo")
+    out = stored(named.join(labels, named["class_id"] == labels["node"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"), "class_id", "hi", "lo"))
+    release(measured, classes, links, found, rows, more, labels)
+    return out
 
 
 def keep_one(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest
-    doc_id, and with its columns. Documents without words and rows with a null
-    doc_id stay; of rows that repeat a doc_id one stays (by hash of its text)."""
-    named = stored(_components(docs, params))
+    doc_id, and with its columns (whatever their names). Documents without
+    words and rows with a null doc_id stay; of rows that repeat a doc_id one
+    stays (by hash of its text)."""
+    named = _components(docs, params)
     ids = stored(named.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("head")))
-    gone = ids.filter("head = 0").select(F.col("doc_id").alias("_id"))
-    kept = docs.join(broadcast_if_small(gone, gone.count(), 24), docs["doc_id"] == F.col("_id"), "left_anti")
-    repeated = ids.filter("head = 1 and rows > 1").select(F.col("doc_id").alias("_id"))
-    if repeated.isEmpty():
-        return kept
-    several = broadcast_if_small(repeated, repeated.count(), 24)
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    once = kept.join(several, kept["doc_id"] == F.col("_id"), "left_semi").withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
-    return kept.join(several, kept["doc_id"] == F.col("_id"), "left_anti").unionByName(once)
+    release(named)
+    whole = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id") == F.col("id")
+    gone = ids.filter("head = 0").select(F.col("doc_id").alias("id"))
+    kept = whole.join(broadcast_if_small(gone, gone.count(), 24), same, "left_anti")
+    repeated = ids.filter("head = 1 and rows > 1").select(F.col("doc_id").alias("id"))
+    count = repeated.count()
+    if count:
+        several = broadcast_if_small(repeated, count, 24)
+        order = Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row.text"), "row.text")
+        once = kept.join(several, same, "left_semi").withColumn("place", F.row_number().over(order)).filter("place = 1").select("row")
+        kept = kept.join(several, same, "left_anti").unionByName(once)
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

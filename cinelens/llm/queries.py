@@ -94,6 +94,27 @@ def op4_ngram_jaccard(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
+ORACLE["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM w),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT c.a, c.b, c.n = x.n AND c.n = y.n AS same FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM documents UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+classes AS (SELECT d.doc_id, least(d.doc_id, coalesce(min(l.b), d.doc_id)) AS class_id FROM documents d LEFT JOIN links l ON l.a = d.doc_id AND l.same GROUP BY d.doc_id),
+counts AS (SELECT l.a, count(DISTINCT c.class_id) AS n FROM links l JOIN classes c ON c.doc_id = l.b WHERE NOT l.same GROUP BY l.a)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, r.component_id, c.class_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links
+FROM sizes s JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = s.doc_id
+JOIN classes c ON c.doc_id = s.doc_id LEFT JOIN counts k ON k.a = s.doc_id
+"""
+
+
 @query
 def op5_quality(spark, sf_dir):
     """Quality score of every document; learned outside the held-out third."""

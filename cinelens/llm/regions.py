@@ -1,25 +1,40 @@
-"""Exact joins inside regions of a metric space, by recursive pivots.
-
-A region is a set of nodes that may hold linked pairs; the caller sees to it
-that every linked pair shares a region. In each round the first rows of a
-region, by size and id, are its pivots, and the other rows are compared with
-them only (one pivot in the first round, eight times as many in each next
-one). Then
-
-- linked rows join components: rows of one component need no comparing, and
-  a region whose rest is one component is done;
-- pairs whose sketches are too far apart are left out, exactly;
-- by the triangle inequality rows x and y with ``|d(x, p) - d(y, p)| > eps``
-  for a pivot p cannot link, so rows carry the interval that their distance
-  to the region's first pivot lies in, and such pairs are left out;
-- what is left is joined again, without the pivots.
-
-A region is read as a sorted stream, so its rows are never held together.
-The result is a set of links that has the components of all linked pairs.
+"""Exact joins inside regions of a metric space: links, never candidate pairs.
+
+The caller deals nodes into cells so that every linked pair shares one. A cell
+is a region of the space of sets, with Jaccard distance, in which pairs at
+distance eps or less link.
+
+1. *Crowded cells* (:func:`crowded`). Cells with one node are left out, and of
+   cells with the same nodes one stays, as near copies meet in many cells.
+2. *Screening* (:func:`screened`). Mapping sets to their counts by class does
+   not lengthen distances: the sum of the counts' differences is at most the
+   symmetric difference. Rows whose counts are too far from those of every
+   other row of the cell for a link are left out, exactly. What is left of the
+   cells is chained to regions (:func:`chained`), so that a node is in one. Only
+   then do rows get what decides a pair (:func:`links` takes them with it).
+3. *Large cells* (:func:`_split`) are split by pivots, some rows of the cell
+   drawn by hash. A row's region is that of its nearest pivot p, and it is
+   copied to the region of q if ``d(x, q) - d(x, p) <= 2 eps``: by the triangle
+   inequality every linked pair then meets in the home region of either. A row
+   within eps of its pivot links to it; if no row of the cell lies between eps
+   and ``d(x, p) + eps`` from p, all its partners link to p as well, and it is
+   settled (pivots that one row links to are linked). So a group of near copies
+   ends here, however large, and the rest is
+   split again. Rows are dealt by (cell, salt) with the pivots copied to each
+   salt, so a cell is spread over many tasks. What pivots can't split, rows at
+   like distances of each other, is dealt in pairs of blocks.
+4. *Small regions* are decided by one task each (:class:`Region`), which holds
+   at most ``2 * LIMIT`` rows. Rows gather in balls of radius eps around the
+   first row that no ball took. A row is compared with the centres, and with
+   members of a ball only where the triangle inequality leaves a link open and
+   both are not connected yet. At most one link for each row leaves the task.
+
+The links have the components of all linked pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -27,244 +42,399 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelens.llm import kernels
-from cinelens.llm.common import prepare
+from cinelens.llm.common import prepare, slices, unit_hash
 from cinelens.llm.components import components
+from cinelens.operators.joins import broadcast_if_small
 from cinelens.session import release, stored
 
-GROWTH = 8
-#: Pairs a task remembers, as near copies meet in many regions.
-SENT_PAIRS = 500_000
+#: Rows of a region that one task decides, and pivots of a larger one.
+LIMIT, PIVOTS = 4096, 32
+#: A split that leaves more than this share of the rows is the last one.
+SHRINK = 0.7
+#: Copies at boundaries for each row of the cells split, at most: with more,
+#: distances are too alike for pivots.
+COPIES = 3
+#: Bytes of a (cell, count) row when broadcast.
+CELL_ROW_BYTES = 32
 
 
-def first_pivots(num: int, den: int):
-    """Task over rows (cell, n, node) sorted by these: every row but a cell's
-    first, with that pivot and whether the sizes allow a link."""
+def _named(nodes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A name made of the nodes, and the size, of each run; ``starts`` tells
+    where runs begin. Runs that share a name by chance (one in 2**64 pairs) are
+    one region, which costs comparisons but no link."""
+    total = np.add.reduceat(kernels.mix64(nodes.view(np.uint64)), starts)
+    sizes = np.diff(np.append(starts, len(nodes)))
+    return kernels.mix64(total + sizes.astype(np.uint64)).view(np.int64), sizes
 
-    def run(batches):
-        import pyarrow as pa
 
-        cell, pivot, size = None, 0, 0
-        for batch in batches:
-            cells, n, node = (batch.column(c).to_numpy() for c in ("cell", "n", "node"))
-            if not len(cells):
-                continue
-            first = np.r_[cells[0] != cell, cells[1:] != cells[:-1]]
-            at = np.maximum.accumulate(np.where(first, np.arange(len(cells)), -1))
-            p = np.where(at >= 0, node[at], pivot)
-            m = np.where(at >= 0, n[at], size)
-            cell, pivot, size = cells[-1], p[-1], m[-1]
-            rest = np.flatnonzero(~first & (node != p))
-            yield pa.RecordBatch.from_pydict({
-                "cell": cells[rest], "n": n[rest], "node": node[rest], "pivot": p[rest], "pivot_n": m[rest],
-                "fits": den * m[rest] >= num * n[rest]})
+class _Cells:
+    """The last cell of a sorted stream, which may go on in the next batch.
+    At most LIMIT of its nodes are held; a larger cell keeps its own name."""
 
-    return run
+    def __init__(self):
+        self.cell, self.held, self.size = None, [], 0
+
+    def close(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        if self.held and self.size > 1:
+            nodes = np.concatenate(self.held)
+            out.append((np.repeat(_named(nodes, np.zeros(1, np.int64))[0], len(nodes)), nodes))
+        self.cell, self.held, self.size = None, [], 0
+        return out
 
+    def add(self, cell: int, nodes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = [] if cell == self.cell else self.close()
+        self.cell, self.size = cell, self.size + len(nodes)
+        self.held.append(nodes)
+        if self.size > LIMIT:
+            nodes, self.held = np.concatenate(self.held), []
+            out.append((np.full(len(nodes), cell), nodes))
+        return out
 
-class Held:
-    """A region's pivots, ready to be compared with one row at a time."""
 
-    def __init__(self):
-        self.rows, self.sketches, self.folded, self.arrays = [], [], {}, None
-
-    def add(self, row, sketch: bytes) -> None:
-        self.rows.append(row)
-        self.sketches.append(sketch)
-        self.folded, self.arrays = {}, None
-
-    def near(self, row, sketch: bytes, num: int, den: int, eps: float) -> np.ndarray:
-        """Nodes of the pivots that ``row`` may link to."""
-        if not self.rows:
-            return np.empty(0, np.int64)
-        if self.arrays is None:
-            self.arrays = [np.array(c) for c in zip(*self.rows)]
-            self.lengths = np.array([len(s) for s in self.sketches])
-        m, other, group, low, high = self.arrays
-        n, node, component, lo, hi = row
-        keep = np.flatnonzero((group != component) & (other != node) & (den * m >= num * n) & (low - hi <= eps) & (lo - high <= eps))
-        if len(keep):
-            gap = np.empty(len(keep), np.int64)
-            for size in set(self.lengths[keep].tolist()):
-                which = np.flatnonzero(self.lengths[keep] == size)
-                width = min(size, len(sketch))
-                if (size, width) not in self.folded:
-                    place = np.flatnonzero(self.lengths == size)
-                    table = kernels.fold_sketches(b"".join(self.sketches[i] for i in place), len(place), width)
-                    self.folded[size, width] = np.searchsorted(place, np.arange(len(self.rows))), table
-                at, table = self.folded[size, width]
-                mine = kernels.fold_sketches(sketch, 1, width)
-                gap[which] = np.abs(table[at[keep[which]]] - mine).sum(axis=1)
-            keep = keep[(den + num) * gap <= (den - num) * (m[keep] + n)]
-        return other[keep]
-
-
-def more_pivots(num: int, den: int, eps: float, pivots: int):
-    """Task over rows (cell, n, node, component, lo, hi, sketch) sorted by
-    cell, n and node: pairs of each row with the pivots before it that it may
-    link to, and the rows that are no pivots themselves (without a pair).
-    Sizes, intervals and sketches are looked at here, so that pairs that
-    cannot link never become rows."""
+def _crowded_task(batches):
+    """Rows (cell, node) sorted by these: ``group, node`` of the cells with
+    two nodes or more."""
+    import pyarrow as pa
+
+    open_cell, last = _Cells(), None
+    for batch in batches:
+        cells, nodes = (batch.column(c).to_numpy() for c in ("cell", "node"))
+        if not len(cells):
+            continue
+        fresh = np.r_[(cells[0], nodes[0]) != last, (cells[1:] != cells[:-1]) | (nodes[1:] != nodes[:-1])]
+        last = cells[-1], nodes[-1]
+        cells, nodes = cells[fresh], nodes[fresh]
+        if not len(cells):
+            continue
+        starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+        lo, hi = (starts[1], starts[-1]) if len(starts) > 1 else (len(cells), len(cells))
+        out = open_cell.add(cells[0], nodes[:lo])
+        if len(starts) > 1:
+            out += open_cell.close()
+            if hi > lo:  # cells that lie wholly in this batch
+                names, sizes = _named(nodes[lo:hi], starts[1:-1] - lo)
+                names = np.repeat(np.where(sizes > LIMIT, cells[starts[1:-1]], names), sizes)
+                many = np.repeat(sizes, sizes) > 1
+                out.append((names[many], nodes[lo:hi][many]))
+            out += open_cell.add(cells[-1], nodes[hi:])
+        for group, node in out:
+            yield pa.RecordBatch.from_pydict({"group": group, "node": node})
+    for group, node in open_cell.close():
+        yield pa.RecordBatch.from_pydict({"group": group, "node": node})
+
+
+def crowded(rows: DataFrame) -> DataFrame:
+    """``group, node`` of ``rows(cell, node)`` (two longs): the cells that
+    hold two different nodes, those with the same nodes once. A cell is read as
+    a sorted stream."""
+    prepare(rows.sparkSession)
+    ordered = rows.select("cell", "node").repartition("cell").sortWithinPartitions("cell", "node")
+    return ordered.mapInArrow(_crowded_task, "group long, node long").distinct()
+
+
+def near_rows(group: np.ndarray, n: np.ndarray, sketches: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For each row the first row that it hangs together with, in steps that
+    the sketches allow to be links. Rows come sorted by group; row i meets rows
+    i + 1, i + 2, ..., where both do not hang together yet."""
+    root = np.arange(len(group))
+    for step in range(1, len(group)):
+        a = np.flatnonzero(group[step:] == group[:-step])
+        if not len(a):
+            break
+        b = a + step
+        # By size first, as the counts' sums differ by as much at least.
+        fit = (den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])) & (root[a] != root[b])
+        a, b = a[fit], b[fit]
+        for at in range(0, len(a), PAIRS):
+            x, y = a[at : at + PAIRS], b[at : at + PAIRS]
+            gap = np.abs(sketches[x].astype(np.int16) - sketches[y]).sum(axis=1, dtype=np.int64)
+            near = (den + num) * gap <= (den - num) * (n[x] + n[y])
+            for i, j in zip(x[near].tolist(), y[near].tolist()):
+                while root[i] != i:
+                    i = root[i]
+                while root[j] != j:
+                    j = root[j]
+                root[max(i, j)] = min(i, j)
+            while (root[root] != root).any():
+                root = root[root]
+    return root
+
+
+#: Rows compared by their sketches at a time.
+PAIRS = 1 << 13
+
+
+def screened(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``group, node`` of the ``rows(group, node, n, sketch)`` that may link to
+    another one of their group: ``n`` is the size of the row's set, ``sketch``
+    its counts by class (:func:`cinelens.llm.kernels.sketch`). A group falls
+    into those of its rows that hang together. Groups of more than LIMIT rows
+    pass as they are."""
 
     def run(batches):
         import pyarrow as pa
 
-        # Pairs sent by this task; sending one again after a reset is harmless.
-        cell, held, sent = None, Held(), set()
+        held: list = []  # batches of the rows that may go on
+        passed = None  # a group of which rows have passed already
+
+        def decided(part: list, whole: bool):
+            """Rows of groups that are complete; the last one is, if ``whole``."""
+            table = pa.Table.from_batches(part).combine_chunks()
+            group = table.column("group").to_numpy()
+            end = len(group) if whole else int(np.searchsorted(group, group[-1]))
+            done = table.slice(0, end)
+            sizes = np.diff(np.flatnonzero(np.r_[True, group[1:end] != group[: end - 1], True])) if end else np.empty(0, np.int64)
+            large = np.repeat(sizes, sizes) > LIMIT
+            if passed is not None:
+                large |= group[:end] == passed
+            keep, name, node = large.copy(), group[:end].copy(), done.column("node").to_numpy()
+            some = np.flatnonzero(~large)
+            if len(some):
+                sketches = np.stack([np.frombuffer(x, np.uint8) for x in done.column("sketch").take(pa.array(some)).to_pylist()])
+                root = near_rows(name[some], done.column("n").to_numpy()[some], sketches, num, den)
+                keep[some] = np.bincount(root, minlength=len(some))[root] > 1
+                name[some] = kernels.mix64(kernels.mix64(name[some].view(np.uint64)) + node[some][root].view(np.uint64)).view(np.int64)
+            return [pa.RecordBatch.from_pydict({"group": name[keep], "node": node[keep]})], table.slice(end).to_batches()
+
         for batch in batches:
-            out, rest = [], []
-            if len(sent) > SENT_PAIRS:
-                sent.clear()
-            for c, n, node, component, lo, hi, sketch in zip(*(batch.column(x).to_pylist() for x in ("cell", "n", "node", "component", "lo", "hi", "sketch"))):
-                if c != cell:
-                    cell, held = c, Held()
-                row = (n, node, component, lo, hi)
-                fresh = {(int(other), node) for other in held.near(row, sketch, num, den, eps)} - sent
-                sent |= fresh
-                out += sorted(fresh)
-                if len(held.rows) < pivots:
-                    held.add(row, sketch)
-                else:
-                    rest.append((c, n, node, lo, hi))
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            first, last = batch.column("group")[0].as_py(), batch.column("group")[-1].as_py()
+            if held[0].column("group")[0].as_py() != last:
+                out, held = decided(held, False)
+                yield from out
+            elif sum(b.num_rows for b in held) > LIMIT and first == last:
+                # One group that is too large to hold: its rows pass.
+                yield from (pa.RecordBatch.from_arrays([b.column("group"), b.column("node")], names=["group", "node"]) for b in held[:-1])
+                held, passed = held[-1:], first
+        if held:
+            yield from decided(held, True)[0]
+
+    ordered = rows.select("group", "node", "n", "sketch").repartition("group").sortWithinPartitions("group", "node")
+    return ordered.mapInArrow(run, "group long, node long")
+
+
+def chained(groups: DataFrame) -> DataFrame:
+    """``cell, node``: the regions that ``groups(group, node)`` form where
+    they overlap, so that a node is in one region only and its set travels
+    once. Every pair that shares a group shares a region."""
+    first = groups.groupBy("group").agg(F.min("node").alias("a"))
+    chains = groups.join(first, "group").filter("a < node").select("a", F.col("node").alias("b"))
+    return components(chains).select(F.col("component").alias("cell"), "node")
+
+
+# --------------------------------------------------------------- one region
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common elements of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return 0
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
+
+
+class Region:
+    """Links among sets that come one by one, up to their components."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        self.eps = 1 - num / den + 1e-9
+        self.nodes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.parent: list[int] = []
+        self.balls: list[tuple[int, list[int], list[float]]] = []  # centre, members, their distances
+        self.sizes = np.empty(0, np.int64)  # of the centres
+
+    def _root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = i = self.parent[self.parent[i]]
+        return i
+
+    def _shared(self, i: int, j: int) -> tuple[float, bool]:
+        """(distance, linked)."""
+        x, y = self.sets[i], self.sets[j]
+        both = overlap(x, y)
+        union = len(x) + len(y) - both
+        return 1 - both / union, self.den * both >= self.num * union
+
+    def _join(self, i: int, j: int) -> tuple[int, int] | None:
+        """A link between two components, which become one."""
+        a, b = self._root(i), self._root(j)
+        if a == b:
+            return None
+        self.parent[b] = a
+        x, y = self.nodes[i], self.nodes[j]
+        return None if x == y else (min(x, y), max(x, y))
+
+    def add(self, node: int, members: np.ndarray) -> list[tuple[int, int]]:
+        """Links of one more set to those before it. Not empty."""
+        i, out, home = len(self.nodes), [], None
+        self.nodes.append(node)
+        self.sets.append(members)
+        self.parent.append(i)
+        n = len(members)
+        low, high = np.minimum(self.sizes, n), np.maximum(self.sizes, n)
+        # Distances are at least what the sizes tell.
+        for b in np.flatnonzero(1 - low / np.maximum(high, 1) <= 2 * self.eps).tolist():
+            centre, held, far = self.balls[b]
+            d, link = self._shared(i, centre)
+            if link:
+                out.append(self._join(i, centre))
+                if home is None:
+                    home = b
+                    held.append(i)
+                    far.append(d)
+            elif d <= 2 * self.eps:
+                for j in (np.flatnonzero(np.abs(np.array(far) - d) <= self.eps)).tolist():
+                    y = held[j]
+                    if self._root(y) != self._root(i) and self._shared(i, y)[1]:
+                        out.append(self._join(i, y))
+        if home is None:
+            self.balls.append((i, [], []))
+            self.sizes = np.append(self.sizes, n)
+        return [x for x in out if x]
+
+
+def _region_task(decode: Callable, key: tuple[str, ...], num: int, den: int):
+    def run(batches):
+        import pyarrow as pa
+
+        at, region = None, Region(num, den)
+        for batch in slices(batches):
+            out = []
+            for where, node, members in zip(zip(*(batch.column(c).to_pylist() for c in key)), batch.column("node").to_pylist(), decode(batch)):
+                if where != at:
+                    at, region = where, Region(num, den)
+                if len(members):
+                    out += region.add(node, members)
             a, b = zip(*out) if out else ((), ())
-            rows = list(zip(*rest)) if rest else [()] * 5
-            none = lambda k: [None] * k
-            yield pa.RecordBatch.from_arrays([
-                pa.array([*a, *none(len(rest))], pa.int64()), pa.array([*b, *none(len(rest))], pa.int64()),
-                *(pa.array([*none(len(out)), *rows[i]], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())))],
-                names=["a", "b", "cell", "n", "node", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def resolve(rows: DataFrame, sets: Callable[[DataFrame, bool], DataFrame], num: int, den: int, links: DataFrame | None = None,
-            sketches: DataFrame | None = None) -> DataFrame:
-    """Links ``(a, b)`` with the components of all linked pairs.
+# ------------------------------------------------------------ large regions
 
-    ``rows(cell, n, node)``: longs; ``n`` is the size of the node's set, or 1
-    throughout if sizes are to rule out nothing. ``sets(nodes, fold)`` gives
-    ``node, n, set, sketch`` (see :func:`compare` and :func:`screen`) of the
-    ``nodes(node)``, with elements folded to 32 bits or whole. ``links`` are known beforehand.
 
-    With ``sketches(node, n, sketch)`` of all nodes at hand, every pair is
-    screened by them and sets are made only of nodes in pairs still open;
-    without, sets and sketches of all nodes that share a region are made once.
-    Pairs that folding leaves in doubt count as not linked, which costs
-    comparisons but no link, and are compared by whole sets at the end.
-    """
-    prepare(rows.sparkSession)
+def _near_task(decode: Callable, num: int, den: int):
+    """Rows of one (cell, salt) against the cell's pivots: each row with its
+    nearest pivot, whose distance, and the regions it belongs to; pivots that a
+    row links to besides that one (rows without regions, once for each two
+    pivots); and for each pivot the least distance beyond eps (rows without a
+    node)."""
     eps = 1 - num / den + 1e-9
-    in_order = lambda df: df.repartition("cell").sortWithinPartitions("cell", "n", "node")
-    starred = stored(in_order(rows).mapInArrow(first_pivots(num, den), "cell long, n long, node long, pivot long, pivot_n long, fits boolean"))
-    pairs = stored(starred.filter("fits").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-    held = None
-    if sketches is None:
-        held = stored(sets(starred.select(F.explode(F.array("node", "pivot")).alias("node")).distinct(), True))
-
-    def measure(pairs: DataFrame) -> DataFrame:
-        """``a, b, dist, link, sure, lo``: without a distance where the
-        sketches alone rule a link out; ``lo`` is at most the distance."""
-        seen = stored(screen(pairs, held if sketches is None else sketches, num, den))
-        near = seen.filter("open").select("a", "b")
-        own = held or stored(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), True))
-        out = compare(near, own, num, den).withColumn("lo", F.col("dist"))
-        far = seen.filter("not open").select("a", "b", F.lit(None).cast("double").alias("dist"), F.lit(False).alias("link"), F.lit(True).alias("sure"), "lo")
-        out = stored(out.unionByName(far))
-        release(seen)
-        if own is not held:
-            release(own)
-        return out
 
-    done = measure(pairs)
-    known = done.filter("link and sure").select("a", "b")
-    known = stored(known if links is None else known.union(links.select("a", "b")))
-    # Distance to the first pivot: known, or at least what the sizes tell.
-    lower = 1 - F.col("pivot_n") / F.col("n")
-    keyed = starred.withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
-    measured = keyed.join(done.groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max(F.coalesce("dist", F.lit(1.0))).alias("hi")), ["a", "b"], "left")
-    left = _many_rows(measured.select("cell", "n", "node", F.coalesce("lo", lower).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")))
-    release(starred, pairs)
-    pivots = 1
-    while not left.isEmpty():
-        pivots *= GROWTH
-        labels = components(known)
-        named = stored(left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        mixed = stored(named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("cell"))
-        # ``n`` may be 1 throughout; pairs are judged by the sets' own sizes.
-        own_size = (held if sketches is None else sketches).select("node", F.col("n").alias("size"), "sketch").distinct()
-        open_rows = named.join(mixed, "cell").join(own_size, "node").select("cell", F.col("size").alias("n"), "node", "component", "lo", "hi", "sketch")
-        step = stored(in_order(open_rows).mapInArrow(more_pivots(num, den, eps, pivots), "a long, b long, cell long, n long, node long, lo double, hi double"))
-        release(left, labels, named, mixed)
-        pairs = step.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = stored(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
-        if not fresh.isEmpty():
-            new = measure(fresh)
-            both, more = stored(done.unionByName(new)), stored(known.union(new.filter("link and sure").select("a", "b")))
-            release(new, done, known)
-            done, known = both, more
-        left = _many_rows(step.filter("cell is not null").select("cell", "n", "node", "lo", "hi"))
-        release(step, fresh)
-    release(left)
-    if held:
-        release(held)
-    doubtful = stored(done.filter("not sure").select("a", "b").distinct())
-    if not doubtful.isEmpty():
-        whole = sets(doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct(), False)
-        last = stored(known.union(compare(doubtful, whole, num, den).filter("link").select("a", "b")))
-        release(known)
-        known = last
-    release(done, doubtful)
-    return known
-
-
-def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``a, b, dist, link, sure`` of ``pairs(a, b)`` from ``sets(node, n,
-    set)`` without repeats in a set; ``n`` is the size of the node's true set.
-
-    Sets of integers are folded hashes: two different elements match with
-    probability 2**-32. Such a pair is not ``sure`` if a set lost elements to
-    folding or if so few matches as four times the expected ones and 3 could
-    turn ``link``. A pair whose node has several sets has a row for each choice.
-    """
-    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("set").alias("y")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), "n", F.col("set").alias("x")), "a")
-    counted = both.select("a", "b", "n", "m", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"),
-                          ((F.size("x") == F.col("n")) & (F.size("y") == F.col("m"))).alias("whole"))
-    linked = lambda shared: den * shared >= num * (F.col("n") + F.col("m") - shared)
-    chance = F.least(F.col("shared"), F.ceil(F.col("n") * F.col("m") / F.lit(float(1 << 30))) + 3)
-    folded = sets.schema["set"].dataType.elementType.simpleString() == "int"
-    sure = F.col("whole") & (linked(F.col("shared")) == linked(F.col("shared") - chance)) if folded else F.lit(True)
-    return counted.select("a", "b", (1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))).alias("dist"), linked(F.col("shared")).alias("link"), sure.alias("sure"))
-
-
-def screen(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``a, b, lo, open`` of ``pairs(a, b)`` by sketches of their sets.
-
-    Mapping a set to its counts by class does not lengthen distances: the sum
-    g of the counts' differences is at most the symmetric difference, which a
-    linked pair keeps within (den - num) / (den + num) of its sizes' sum, and
-    the distance is at least 2 g / (sizes + g). So pairs well beyond the
-    threshold go, exactly, for an eighth of the bytes.
-    """
-
-    def run(batches):
+    def run(rows, pivots):
         import pyarrow as pa
 
-        for batch in batches:
-            n, x, y = (batch.column(c).to_pylist() for c in ("sizes", "x", "y"))
-            gap = np.array([kernels.sketch_gap(p, q) for p, q in zip(x, y)], np.int64)
-            n = np.array(n, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(2 * gap / np.maximum(n + gap, 1)), pa.array((den + num) * gap <= (den - num) * n)], names=["a", "b", "lo", "open"])
-
-    left = pairs.join(sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), "n", F.col("sketch").alias("x")), "a")
-    each = both.select("a", "b", (F.col("n") + F.col("m")).alias("sizes"), "x", "y").mapInArrow(run, "a long, b long, lo double, open boolean")
-    return each.groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max("open").alias("open"))
-
-
-def _many_rows(rows: DataFrame) -> DataFrame:
-    """Rows of cells that hold two different nodes or more, stored."""
-    rows = stored(rows)
-    held = stored(rows.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("cell"))
-    out = stored(rows.join(held, "cell"))
-    release(rows, held)
+        names = ["cell", "node"]
+        sets, centres = (decode(t.combine_chunks().to_batches()[0]) if t.num_rows else [] for t in (rows, pivots))
+        ids = pivots.column("node").to_numpy() if pivots.num_rows else np.empty(0, np.int64)
+        home, dist, regions, both_near = [], [], [], set()
+        ring = np.full(len(ids), np.inf)
+        for s in sets:
+            both = np.array([overlap(s, c) for c in centres], np.int64)
+            union = np.array([len(c) for c in centres], np.int64) + len(s) - both
+            d = 1 - both / np.maximum(union, 1)
+            link = (den * both >= num * union) & (union > 0)
+            ring = np.where(~link, np.minimum(ring, d), ring)
+            if not len(ids):
+                home, dist, regions = [*home, None], [*dist, None], [*regions, [0]]
+                continue
+            p = int(np.argmin(d))
+            home.append(int(ids[p]))
+            dist.append(float(d[p]) if link[p] else 2.0)
+            regions.append(ids[d - d[p] <= 2 * eps].tolist())
+            both_near.update((int(ids[p]), q) for q in ids[link].tolist() if q != ids[p])
+        out = [rows.column(c).combine_chunks() for c in names]
+        out += [pa.array(home, pa.int64()), pa.array(dist, pa.float64()), pa.array(regions, pa.list_(pa.int64()))]
+        table = pa.Table.from_arrays(out, names=[*names, "home", "dist", "regions"])
+        if len(ids) and rows.num_rows:
+            cell = rows.column("cell")[0].as_py()
+
+            def more(**fields):
+                size = len(next(iter(fields.values())))
+                fields = {"cell": [cell] * size, **fields}
+                return pa.Table.from_arrays([pa.array(fields[f.name], f.type) if f.name in fields else pa.nulls(size, f.type) for f in table.schema], schema=table.schema)
+
+            a, b = zip(*sorted(both_near)) if both_near else ((), ())
+            table = pa.concat_tables([table, more(home=a, node=b, dist=[0.0] * len(a)), more(home=ids, dist=ring)])
+        return table
+
+    return run
+
+
+def _split(rows: DataFrame, sizes: DataFrame, decode: Callable, num: int, den: int, depth: int, most: float) -> tuple[DataFrame, DataFrame | None]:
+    """``(links, rows)`` of the large cells ``sizes(cell, n)`` after a split
+    by pivots; the rows left are in cells of their own. No rows if copies at
+    boundaries would make them more than ``most``."""
+    eps = 1 - num / den + 1e-9
+    payload = [c for c in rows.columns if c not in ("cell", "node")]
+    salts = F.ceil(F.col("n") / F.lit(float(LIMIT))).cast("long")
+    mine = rows.join(sizes, "cell").withColumn("salts", salts)
+    drawn = stored(mine.filter(unit_hash("node", "cell", F.lit(depth)) < F.lit(float(PIVOTS)) / F.col("n")))
+    spread = drawn.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    salted = mine.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(depth)), F.col("salts")))
+    keep = ["cell", "salt", "node", *payload]
+    near = salted.select(*keep).groupBy("cell", "salt").cogroup(spread.select(*keep).groupBy("cell", "salt"))
+    near = stored(near.applyInArrow(_near_task(decode, num, den), "cell long, node long, home long, dist double, regions array<long>"))
+    found = near.filter("node is not null and dist <= 1 and home <> node").select(F.least("home", "node").alias("a"), F.greatest("home", "node").alias("b"))
+    ring = near.filter("node is null").groupBy("cell", "home").agg(F.min("dist").alias("ring"))
+    left = near.filter("node is not null").join(ring, ["cell", "home"], "left")
+    left = left.filter(F.coalesce(F.col("dist") + F.lit(eps) >= F.col("ring"), F.lit(True)))
+    left = stored(left.select("cell", "node", F.explode("regions").alias("region")).distinct())
+    rest = None
+    if left.count() <= most:
+        region = F.xxhash64("cell", "region", F.lit(depth)).alias("cell")
+        rest = stored(rows.join(left, ["cell", "node"]).select(region, "node", *payload))
+    out = stored(found.distinct()), rest
+    release(near, drawn, left)
+    return out
+
+
+def links(rows: DataFrame, decode: Callable, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` with the components of all pairs that share a cell
+    and link: ``den * |x & y| >= num * |x | y|``.
+
+    ``rows(cell, node, ...)``: two longs, and columns from which
+    ``decode(batch)`` makes each row's set, a sorted array without repeats. A
+    node with several sets links where any of them does. Empty sets link with
+    nothing. ``rows`` are read several times: a stored table serves best.
+    """
+    spark = rows.sparkSession
+    prepare(spark)
+    found, depth, total, own_table = [], 0, math.inf, False
+    payload = [c for c in rows.columns if c not in ("cell", "node")]
+    while True:
+        sizes = stored(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LIMIT))
+        cells, now = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not cells or now > SHRINK * total:
+            break
+        known = broadcast_if_small(sizes, cells, CELL_ROW_BYTES)
+        more, rest = _split(rows, known, decode, num, den, depth, COPIES * now)
+        found.append(more)
+        if rest is None:
+            break
+        both = stored(rows.join(broadcast_if_small(sizes.select("cell"), cells, CELL_ROW_BYTES), "cell", "left_anti").unionByName(rest))
+        release(rest, sizes, *([rows] if own_table else []))
+        rows, depth, total, own_table = both, depth + 1, now, True
+    own = F.coalesce(F.ceil(F.col("n") / F.lit(float(LIMIT))), F.lit(1)).cast("long")
+    dealt = rows.join(broadcast_if_small(sizes, cells, CELL_ROW_BYTES), "cell", "left").withColumn("blocks", own)
+    block = F.pmod(F.xxhash64("node", F.lit(-1)), F.col("blocks"))
+    # Every two blocks of a cell that is still large meet in a group.
+    j = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.withColumn("own", block).withColumn("j", j).select("cell", F.least("own", "j").alias("block"), F.greatest("own", "j").alias("other"), "node", *payload)
+    key = ("cell", "block", "other")
+    ordered = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key, "node")
+    out = ordered.mapInArrow(_region_task(decode, key, num, den), "a long, b long")
+    for more in found:
+        out = out.unionByName(more)
+    out = stored(out.distinct())
+    release(sizes, *found, *([rows] if own_table else []))
     return out
