@@ -180,25 +180,42 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
 def _measure(docs: DataFrame, order, pivots, params: Params) -> DataFrame:
     """``doc_id, n, hi, lo, near, cells, sketch``: size and 128-bit digest of
     each set, the pivots around it, its first shingles in the order, and its
-    counts by class. The texts are shingled once for all of these."""
+    counts by class. The texts are shingled once for all of these.
+
+    Every task ends with a row of n = -1 that sums up its documents: ``near``
+    has the least distance beyond eps to each pivot, ``cells`` the pairs of
+    pivots that some document links to both, one after the other. So what is
+    needed of each pivot is never a row for each document and pivot."""
 
     def run(batches):
         import pyarrow as pa
 
         net, by = pivots.value, order.value
+        ring: dict[int, float] = {}
+        pairs: set[tuple[int, int]] = set()
+        kind = pa.list_(pa.struct([("pivot", pa.int32()), ("dist", pa.float64()), ("link", pa.bool_())]))
+        names = ["doc_id", "n", "hi", "lo", "near", "cells", "sketch"]
         for batch in slices(batches):
             n, hi, lo, near, cells, sketches = [], [], [], [], [], []
-            for t in batch.column("text").to_pylist():
+            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 s = kernels.shingle_set(t, params.words)
                 d = digest(s)
                 n.append(len(s))
                 hi.append(d[0])
                 lo.append(d[1])
-                near.append([{"pivot": p, "dist": d, "link": k} for p, d, k in net.near(s)])
+                around = net.near(s)
+                near.append([{"pivot": p, "dist": d, "link": k} for p, d, k in around])
+                if i is not None:
+                    linked = sorted((d, p) for p, d, k in around if k)
+                    pairs.update((linked[0][1], p) for _, p in linked[1:])
+                    for p, d, k in around:
+                        if not k and d < ring.get(p, np.inf):
+                            ring[p] = d
                 cells.append(by.first(s, len(s) - -(-params.num * len(s) // params.den) + 1).view(np.int64) if len(s) else [])
                 sketches.append(kernels.sketch(s, params.classes))
-            kind = pa.list_(pa.struct([("pivot", pa.int32()), ("dist", pa.float64()), ("link", pa.bool_())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "n", "hi", "lo", "near", "cells", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(near, kind), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=names)
+        sums = [[None], [-1], [0], [0], [[{"pivot": p, "dist": d, "link": False} for p, d in ring.items()]], [[p for pair in sorted(pairs) for p in pair]], [b""]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(sums, (*[pa.int64()] * 4, kind, pa.list_(pa.int64()), pa.binary()))], names=names)
 
     return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, near array<struct<pivot:int,dist:double,link:boolean>>, cells array<long>, sketch binary")
 
@@ -379,14 +396,22 @@ def _components(docs: DataFrame, params: Params) -> DataFrame:
     full = measured.filter("doc_id is not null and n > 0")
     classes = stored(full.groupBy("hi", "lo").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("other")).filter("class_id < other").drop("other"))
     class_id = F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))
-    named = measured.join(classes, ["hi", "lo"], "left").withColumn("class_id", class_id)
-    # Links that the document pivots give; the smallest node stands for a pivot.
-    near = named.filter("doc_id is not null").select("class_id", F.explode("near").alias("near")).select("class_id", "near.*")
-    ball = near.filter("link").select("pivot", F.col("class_id").alias("b")).distinct()
-    heads = ball.groupBy("pivot").agg(F.min("b").alias("a"))
-    links = stored(ball.join(F.broadcast(heads), "pivot").select("a", "b"))
+    named = measured.filter("n >= 0").join(classes, ["hi", "lo"], "left").withColumn("class_id", class_id)
+    # Links that the document pivots give: a document to its nearest pivot, for
+    # which the smallest node there stands, and pivots with one document near both.
+    home = F.array_min(F.transform(F.filter("near", lambda x: x["link"]), lambda x: F.struct(x["dist"], x["pivot"])))["pivot"]
+    ball = stored(named.filter("doc_id is not null").select(home.alias("pivot"), F.col("class_id").alias("b")).filter("pivot is not null").distinct())
+    heads = ball.groupBy("pivot").agg(F.min("b").alias("a"))  # one row for each pivot
+    sums = measured.filter("n = -1")
+    links = ball.join(F.broadcast(heads), "pivot").select("a", "b")
+    if len(net.sizes):
+        both = sums.filter(F.size("cells") > 0).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("cells"), F.lit(2)), lambda i: F.struct(F.element_at("cells", i).alias("p"), F.element_at("cells", i + 1).alias("q")))).alias("pair")).select("pair.*").distinct()
+        first, second = (heads.select(F.col("pivot").cast("long").alias(c), F.col("a").alias(n)) for c, n in (("p", "a"), ("q", "b")))
+        links = links.union(both.join(F.broadcast(first), "p").join(F.broadcast(second), "q").select("a", "b"))
+    links = stored(links)
+    release(ball)
     ring = np.full(len(net.sizes), np.inf)
-    for r in near.filter("not link").groupBy("pivot").agg(F.min("dist").alias("dist")).collect():
+    for r in sums.select(F.explode("near").alias("near")).groupBy("near.pivot").agg(F.min("near.dist").alias("dist")).collect():
         ring[r["pivot"]] = r["dist"]
     eps = 1 - params.num / params.den + 1e-9
     rings = F.array(*(F.lit(float(x)) for x in ring)) if len(ring) else F.array(F.lit(0.0))
