@@ -6,8 +6,8 @@ joined by one space, repeats counted. A feature's bucket is the CRC-32 of its
 UTF-8 bytes modulo ``buckets``.
 
 *Dictionary.* The corpus's distinct words are counted by Spark, and the most
-frequent ones (``dictionary_words``, of at most ``word_bytes`` bytes each, so
-the broadcast has a fixed bound) enter an Aho-Corasick automaton, each between
+frequent ones (up to ``dictionary_words``, of at most ``word_bytes`` bytes each,
+so the broadcast has a fixed bound) enter an Aho-Corasick automaton, each between
 two delimiters; its payload is the word's CRC and length. A task puts a text's
 words between single delimiters and scans it once. Neighbouring matches share
 a delimiter, so a gap between two matches holds exactly the words that the
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from cinelens.llm.common import prepare, slices
 from cinelens.operators.ordering import numbered
-from cinelens.session import stored
+from cinelens.session import release, stored
 
 
 @dataclass(frozen=True)
@@ -216,12 +216,25 @@ def scanner(shared) -> Scanner:
 
 
 def dictionary(docs: DataFrame, params: Params) -> list[bytes]:
-    """The most frequent distinct words of all texts, as bytes."""
+    """The most frequent distinct words of all texts, as bytes.
+
+    How many words there are of each frequency, in steps of a sixteenth power
+    of two, tells from which step on all fit; so only the words chosen leave
+    the tasks. Words that occur once gain nothing by being known.
+    """
     word = F.explode(F.split(F.translate("text", UPPER, LOWER), DELIMITERS))
-    counts = docs.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    fit = counts.filter((F.col("word") != "") & (F.octet_length("word") <= params.word_bytes))
-    top = fit.orderBy(F.desc("n"), "word").limit(params.dictionary_words).select(F.col("word").cast("binary").alias("word"))
-    return [bytes(w) for w in top.toPandas()["word"]]
+    counts = docs.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    step = F.floor(F.log2(F.col("n")) * 16).cast("int")
+    fit = stored(counts.filter((F.col("word") != "") & (F.octet_length("word") <= params.word_bytes)).select(F.col("word").cast("binary").alias("word"), step.alias("step")))
+    least, total = None, 0
+    for r in fit.groupBy("step").count().orderBy(F.desc("step")).collect():  # 1,024 steps at most
+        total += r["count"]
+        if total > params.dictionary_words:
+            break
+        least = r["step"]
+    words = [] if least is None else [bytes(r[0]) for r in fit.filter(F.col("step") >= least).select("word").collect()]
+    release(fit)
+    return words
 
 
 def bucket_counts(docs: DataFrame, shared, params: Params) -> np.ndarray:
