@@ -108,3 +108,23 @@ def test_no_rows():
     some = blocks.Dense.unit(np.ones((2, 3)))
     for users, items in ((some.take(none), some), (some, some.take(none))):
         assert [len(c) for c in blocks.top_unseen(users, items, np.arange(len(items)), none, none, 3)[:3]] == [0, 0, 0]
+
+
+def test_many_tiles_are_multiplied_together_where_bounds_spare_little(monkeypatch):
+    """Unrelated sparse rows: a chunk's products are few calls, not one a tile."""
+    users, items, _, _ = case(np.random.default_rng(4), "sparse", 512, 4096, False)
+    calls, product = [], blocks.CsrIndex.product
+    monkeypatch.setattr(blocks.CsrIndex, "product", lambda self, u, lo, hi: calls.append((hi - lo) * len(u)) or product(self, u, lo, hi))
+    none = np.empty(0, np.int64)
+    made = blocks.top_unseen(users, items, np.arange(4096), none, none, 10)[3]
+    assert made > 0.9 * 512 * 4096
+    assert sum(size > blocks.CHUNK_USERS * 4096 // 2 for size in calls) == 512 // blocks.CHUNK_USERS
+
+
+def test_full_columns_are_dense(monkeypatch):
+    monkeypatch.setattr(blocks, "SLAB", 3)
+    rng = np.random.default_rng(5)
+    a, b = random_csr(rng, 17, 9, 9), random_csr(rng, 23, 9, 9)
+    index = b.index()
+    assert index.full.shape == (23, 3)
+    assert np.allclose(index.product(index.placed(a), 5, 14), (dense_of(a, 9) @ dense_of(b, 9).T)[:, 5:14], atol=1e-12)
