@@ -104,3 +104,47 @@ def test_tokenizer_agrees_with_word_regex_on_random_text(spark):
     word = re.compile(r"(?u)\b\w\w+\b")
     for i, t in enumerate(texts):
         assert got[i] == word.findall(t.lower()), repr(t)
+
+
+def test_terms_of_movies_with_several_rows_or_no_id(spark):
+    """Texts are counted where they are read; rows of one movieId (null too)
+    count as one movie, in every form of the terms."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    docs = [(1, "aa bb aa"), (2, "aa cc"), (2, "cc aa cc"), (None, "dd"), (None, "dd aa"), (3, ""), (4, None), (5, "x y"), (6, "aa")]
+    movies = spark.createDataFrame(docs, "movieId long, movie_text string").repartition(3)
+    want = Counter()
+    for i, t in docs:
+        words = [w for w in (t or "").split() if len(w) > 1]
+        want.update((i, g) for g in words + [" ".join(p) for p in zip(words, words[1:])])
+    got = features.doc_terms(movies).collect()
+    assert {(r.movieId, r.term): r.tf for r in got} == want and len(got) == len(want)
+    lists = features.doc_terms(movies, lists=True).select("movieId", F.explode(F.arrays_zip("terms", "tfs")).alias("e")).select("movieId", "e.*").collect()
+    assert {(r.movieId, r.terms): r.tfs for r in lists} == want and len(lists) == len(want)
+    held = features.postings(movies)
+    by_term = held.select("term", F.explode(F.arrays_zip("ids", "tfs")).alias("e")).select("term", "e.*").collect()
+    assert {(r.ids, r.term): r.tfs for r in by_term} == want and len(by_term) == len(want)
+    dfs = {r.term: r.df for r in features.document_frequencies(held).collect()}
+    assert dfs == Counter(term for _, term in want)
+
+
+def test_vocabulary_is_fitted_without_weights(spark, monkeypatch):
+    movies = spark.createDataFrame([(1, "aa bb"), (2, "aa cc"), (3, "bb")], "movieId long, movie_text string")
+    monkeypatch.setattr(features, "stored", None)
+    vocab = features.fit_vocabulary(movies, TfidfParams(min_df=2))
+    assert {r.term: r.df for r in vocab.collect()} == {"aa": 2, "bb": 2}
+
+
+def test_batches_are_cut_by_tokens(spark, monkeypatch):
+    """N-grams of up to three words, in cuts of two tokens, long texts whole."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(features, "BATCH_TOKENS", 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([7, None, 8, 9]), pa.array(["aa bb aa bb", "cc", None, "dd ee"])], names=["movieId", "_tok"])
+    got = {}
+    for out in features._lists_task((2, 3))([batch]):
+        for r in out.to_pylist():
+            got.setdefault(r["movieId"], {}).update(zip(r["terms"], r["tfs"]))
+    assert got == {7: {"aa bb": 2, "bb aa": 1, "aa bb aa": 1, "bb aa bb": 1}, 9: {"dd ee": 1}}
