@@ -83,9 +83,11 @@ class ContentModel:
         ensure_checkpoint_dir(users.sparkSession)
         warm = self.profiles.select("userId").join(users.select("userId").distinct(), "userId", "left_semi")
         size = self.n_catalogue()
-        rows = recommend.top_up(warm, self.items, self.ratings, int(n), size, self.popular(n))
+        pop = self.popular(n)
         if dedupe:
-            rows = rows.join(self.items.select("movieId"), "movieId", "left_anti")
+            # A rule of the item alone, so it holds before users meet items.
+            pop = pop.join(self.items.select("movieId"), "movieId", "left_anti")
+        rows = recommend.top_up(warm, self.items, self.ratings, int(n), size, pop)
         return recommend.with_metadata(rows, self.movies, size)
 
     def n_catalogue(self) -> int:
