@@ -126,3 +126,18 @@ def test_project_new_rows_through_term_basis(spark, fx10):
         assert np.allclose(v, items[mid], atol=1e-9), mid
     with pytest.raises(RuntimeError):
         M.project(M.fit(movies, ratings, ModelParams(n_components=None)), weights)
+
+
+def test_dedupe_leaves_no_rows_to_make(spark, fx10, monkeypatch):
+    """A short list holds the whole unseen catalogue, so with ``dedupe`` users
+    meet an empty popular list."""
+    from cinelens.operators import recommend
+
+    movies, ratings = fx10
+    m = M.fit(movies, ratings, ModelParams(n_components=None))
+    sizes, made = [], recommend.top_up
+    monkeypatch.setattr(recommend, "top_up", lambda *a: sizes.append(a[-1].count()) or made(*a))
+    users = ratings.select("userId").distinct()
+    plain, deduped = m.top_up(users, 10), m.top_up(users, 10, dedupe=True)
+    assert sizes == [m.n_catalogue(), 0]
+    assert plain.count() > 0 and deduped.count() == 0
