@@ -36,3 +36,23 @@ def test_randomized_svd_truncated_and_low_rank(spark):
     assert np.allclose(x @ x.T, low @ low.T, atol=1e-8)
     with pytest.raises(ValueError):
         factorize.randomized_svd(w, movies, 16)
+
+
+def test_products_with_weights_of_either_sign(spark):
+    """Positive weights go through vectors, others through arrays; both sum
+    weight times row."""
+    import numpy as np
+
+    from cinelens.operators.factorize import _Sides
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(5, 4))
+    rows = spark.createDataFrame([(f"t{i}", r.tolist()) for i, r in enumerate(x)], "term string, vec array<double>")
+    for low in (0.1, -1.0):
+        a = rng.uniform(low, 1.0, size=(6, 5))
+        a[2:, 3] = 0.1
+        table = spark.createDataFrame([(i, f"t{j}", float(a[i, j])) for i in range(6) for j in range(5)], "movieId long, term string, weight double")
+        sides = _Sides(table, 6, 5, low > 0)
+        got = {r["movieId"]: r["vec"] for r in sides.times(rows, "term", "movieId", 4).collect()}
+        sides.release()
+        assert np.allclose([got[i] for i in range(6)], a @ x, atol=1e-12)
