@@ -89,6 +89,16 @@ def count_task(params: Params):
     return run
 
 
+def packed(batches):
+    """Columns ``gram, r`` as bytes, a row for each batch: half a million rows
+    would be as many Python objects on the driver."""
+    import pyarrow as pa
+
+    for batch in batches:
+        parts = batch.column("gram").to_numpy().astype("<i4"), batch.column("r").to_numpy().astype("<f4")
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["gram", "r"])
+
+
 def ratio(neg, pos, neg_total: float, pos_total: float, a: float):
     """Log-count ratio of an n-gram, as an expression. The smoothing ``a`` is
     dealt to the classes by their share of all counts, so that an n-gram seen
@@ -201,10 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params) -> Model:
         release(counted)
         return flat
     neg_rows, pos_rows = sums[True]["neg"], sums[True]["pos"]
-    held = counted.filter("gram >= 0").select(F.col("gram").cast("int").alias("gram"), ratio(F.col("neg"), F.col("pos"), sums[False]["neg"], sums[False]["pos"], params.smoothing).cast("float").alias("r")).toPandas()
-    release(counted)
+    ratios = counted.filter("gram >= 0").select(F.col("gram").cast("int").alias("gram"), ratio(F.col("neg"), F.col("pos"), sums[False]["neg"], sums[False]["pos"], params.smoothing).cast("float").alias("r"))
     r = np.zeros(size, np.float32)
-    r[held["gram"]] = held["r"]
+    for gram, values in ratios.mapInArrow(packed, "gram binary, r binary").collect():
+        r[np.frombuffer(gram, "<i4")] = np.frombuffer(values, "<f4")
+    release(counted)
     shared = spark.sparkContext.broadcast(r)
     part = lambda n: F.lit(min(1.0, params.fit_rows / n))
     key = F.xxhash64("doc_id")

@@ -195,3 +195,22 @@ def test_documents_labelled_several_times(spark):
     for model in (twice, both):
         got = {r["doc_id"]: r["score"] for r in nbsvm.score(d, model).collect()}
         assert sum((got[i] >= 0.5) == (i % 3 == 0) for i in got) >= 58
+
+
+def test_ratios_reach_the_driver_packed(spark, monkeypatch):
+    """A row for each n-gram would be half a million objects on the driver."""
+    d, l = labelled(spark)
+    params, most = nbsvm.Params(bits=14), []
+    collect = type(d).collect
+
+    def counted(self):
+        most.append(collect(self))
+        return most[-1]
+
+    def refused(self):
+        raise AssertionError("n-grams collected row by row")
+
+    monkeypatch.setattr(type(d), "collect", counted)
+    monkeypatch.setattr(type(d), "toPandas", refused)
+    model = nbsvm.fit(d, l, params)
+    assert (model.square > 0).sum() > 1000 and max(map(len, most)) < 100
