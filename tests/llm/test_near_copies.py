@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from cinelens.llm import jaccard, linededup, queries
+from cinelens.llm import jaccard, linededup, queries, regions
 from cinelens.llm.components import components
 
 from .fixtures import awkward, docs, words
@@ -318,3 +318,45 @@ def test_queries_equal_brute_force(spark):
     assert lines.keys() == want.keys()
     kept = {k for k, v in lines.items() if k == v}
     assert {want[k] for k in kept} >= {want[v] for v in lines.values()} and len(kept) < len(want)
+
+
+def test_marks_keep_links_and_tell_strangers():
+    """Marks let all lines that link pass, and few of those that only meet."""
+    import numpy as np
+
+    rng, p = random.Random(8), linededup.Params()
+    signer, letters = linededup.Signer(p), "abcdefghijklmnopqrstuvwxyz "
+    for k, lengths in ((2, (20, 50)), (3, (30, 80)), (5, (50, 95)), (5, (150, 600))):
+        near, far = [], []
+        for _ in range(300):
+            line = "".join(rng.choices(letters, k=rng.randint(*lengths)))
+            other = edited(line, rng.randrange(len(line) // 2), rng.randint(1, max(1, len(line) // 20)), letters)
+            near.append((line.encode(), other.encode()))
+            far.append((line.encode(), "".join(rng.choices(letters, k=rng.randint(*lengths))).encode()))
+        grams = lambda x: {x[i : i + k] for i in range(len(x) - k + 1)}  # noqa: B023, E731
+        near = [(x, y) for x, y in near if 100 * len(grams(x) & grams(y)) >= 80 * len(grams(x) | grams(y))]
+        pairs = near + far
+        bands, x = signer([a for a, _ in pairs], k)
+        _, y = signer([b for _, b in pairs], k)
+        assert (bands == signer.bands([a for a, _ in pairs], k)).all()
+        passed = linededup.may_link(x, y, p.num, p.den)
+        assert len(near) > 100 and passed[: len(near)].all() and passed[len(near) :].sum() <= 6
+        assert (linededup.may_link(x, np.full(len(x), -1), p.num, p.den)).all()
+
+
+def test_crowded_cells_fall_apart_by_marks(spark):
+    """A cell of strangers is no group; one of two pairs is two groups."""
+    rows = [(1, 10, 5), (1, 11, 6), (2, 10, 5), (2, 20, 5), (2, 11, 6), (2, 30, 6), (2, 40, 7), (3, 50, 8)]
+    rows += [(4, n, n) for n in range(1000, 1000 + regions.MARKED + 1)]
+    got = {}
+    for r in regions.crowded(spark.createDataFrame(rows, "cell long, node long, mark long"), lambda x, y: x == y).collect():
+        got.setdefault(r["group"], set()).add(r["node"])
+    large = set(range(1000, 1000 + regions.MARKED + 1))
+    assert sorted(map(sorted, got.values())) == [[10, 20], [11, 30], sorted(large)]
+
+
+def test_normal_form_of_odd_white_space():
+    for text in ("a  b\n c", "a\x1fb", "\x1c\n x", "é  x\ny", "a\x0bb\x7f\x00c\n\n z ", "\n", " ", "a\r\nb", "x\n\ny\n", "É\x85b", "é\xa0b é",
+                 "a\u2003b", "é\u2028x", "天\u3000天", "é y\n é", "É’s y\nÜx", "\ud800 a", "é\u1680x", "a\u205fb\u202f", "Plain text\nof Two lines"):
+        want = [(i, " ".join(x.split()).encode("utf-8", "surrogatepass")) for i, x in enumerate(text.lower().split("\n")) if x.split()]
+        assert linededup.normalized(text) == want
