@@ -360,3 +360,47 @@ def test_normal_form_of_odd_white_space():
                  "a\u2003b", "é\u2028x", "天\u3000天", "é y\n é", "É’s y\nÜx", "\ud800 a", "é\u1680x", "a\u205fb\u202f", "Plain text\nof Two lines"):
         want = [(i, " ".join(x.split()).encode("utf-8", "surrogatepass")) for i, x in enumerate(text.lower().split("\n")) if x.split()]
         assert linededup.normalized(text) == want
+
+
+def test_marks_tell_sizes_and_meeting_strangers():
+    """An exact mark beside one that is not passes only near it in size, and
+    few pairs of long lines with a third of their shingles in common pass."""
+    import numpy as np
+
+    rng, p = random.Random(9), linededup.Params()
+    signer, letters = linededup.Signer(p), "abcdefghijklmnopqrstuvwxyz "
+    line = lambda n: "".join(rng.choices(letters, k=n))
+    short, long = [line(rng.randint(20, 100)).encode() for _ in range(200)], [line(rng.randint(250, 600)).encode() for _ in range(200)]
+    (_, x), (_, y) = signer(short, 5), signer(long, 5)
+    assert not linededup.may_link(x, y, p.num, p.den).any() and not linededup.may_link(y, x, p.num, p.den).any()
+    border = [line(n) for n in range(84, 101) for _ in range(20)]  # 80 to 96 shingles
+    (_, x), (_, y) = signer([b.encode() for b in border], 5), signer([(b + line(6)).encode() for b in border], 5)
+    assert linededup.may_link(x, y, p.num, p.den).all()
+    pairs = [(both + line(125), both + line(125)) for both in (line(125) for _ in range(1000))]
+    (u, x), (v, y) = signer([a.encode() for a, _ in pairs], 5), signer([b.encode() for _, b in pairs], 5)
+    more = u[:, 0] ^ v[:, 0]
+    # Two bits of 31 bins let 190 of these pairs pass.
+    assert linededup.may_link(x, y, p.num, p.den, more=more).sum() < 100
+    near = [(b, edited(b, 50, 6, letters)) for b in (line(250) for _ in range(1000))]
+    (u, x), (v, y) = signer([a.encode() for a, _ in near], 5), signer([b.encode() for _, b in near], 5)
+    assert linededup.may_link(x, y, p.num, p.den, more=u[:, 0] ^ v[:, 0]).all()
+    again = linededup.Signer(p)([a.encode() for a, _ in near], 5)
+    assert (again[0] == u).all() and (again[1] == x).all() and ((u & ((1 << linededup.SPARE) - 1)) == (u[:, :1] & ((1 << linededup.SPARE) - 1))).all()
+    assert len(np.unique(u >> linededup.SPARE)) > 0.999 * u.size
+
+
+def test_popular_cells_fall_apart_by_marks(spark):
+    """A cell of many strangers passes only those with a partner, repeated
+    rows are one node, and the last bits of a cell can belong to the mark."""
+    rows = [(1, n, n) for n in range(2000)] + [(1, n, n - 10000) for n in (10007, 11000)]
+    rows += [(2, 5, 1)] * 9000 + [(3, 5, 1)] * 3 + [(3, 6, 1)] * 2
+    got = {}
+    for r in regions.crowded(spark.createDataFrame(rows, "cell long, node long, mark long"), lambda x, y: x == y).collect():
+        got.setdefault(r["group"], set()).add(r["node"])
+    assert sorted(map(sorted, got.values())) == [[5, 6], [7, 10007], [1000, 11000]]
+    rows = [(1 << 8 | 3, 10, 0), (1 << 8 | 2, 11, 0), (1 << 8 | 3, 12, 0), (2 << 8 | 3, 13, 0), (-1 << 8 | 1, 14, 0), (-1 << 8 | 1, 15, 0)]
+    near = lambda x, y, more: (x == y) & (more == 0)
+    got = {}
+    for r in regions.crowded(spark.createDataFrame(rows, "cell long, node long, mark long"), near, 8).collect():
+        got.setdefault(r["group"], set()).add(r["node"])
+    assert sorted(map(sorted, got.values())) == [[10, 12], [14, 15]]
