@@ -3,9 +3,10 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from cinelens.llm import jaccard, linededup, queries, regions
+from cinelens.llm import bloom, jaccard, linededup, queries, regions
 from cinelens.llm.components import components
 
 from .fixtures import awkward, docs, words
@@ -404,3 +405,34 @@ def test_popular_cells_fall_apart_by_marks(spark):
     for r in regions.crowded(spark.createDataFrame(rows, "cell long, node long, mark long"), near, 8).collect():
         got.setdefault(r["group"], set()).add(r["node"])
     assert sorted(map(sorted, got.values())) == [[10, 12], [14, 15]]
+
+
+def test_bloom_filter_loses_no_key(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    keys, others = rng.integers(-(1 << 63), 1 << 63, 50_000), rng.integers(-(1 << 63), 1 << 63, 50_000)
+    table = spark.createDataFrame([(int(k),) for k in keys[:20_000]], "key long")
+    held = bloom.fitted(table, 20_000)
+    assert held.may_hold(keys[:20_000]).all() and held.may_hold(others).mean() < 0.02
+    monkeypatch.setattr(bloom, "MOST", bloom.BLOCK // 8)  # too few bits for them
+    small = bloom.fitted(spark.createDataFrame([(int(k),) for k in keys], "key long"), len(keys))
+    assert small.blocks == 1 and small.may_hold(keys).all() and small.may_hold(others).mean() < 0.5
+    assert not bloom.fitted(table.limit(0), 0).may_hold(others).any()
+
+
+def test_only_lines_that_may_be_wanted_are_sent(spark, monkeypatch):
+    """Where the wanted lines are too many to broadcast, the join shuffles what tasks send."""
+    rng = random.Random(5)
+    line = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(12))
+    twin = line()
+    table = docs(spark, [(i, line()) for i in range(300)] + [(300, twin), (301, twin + "x")])
+    seen, real = [], linededup._sent
+
+    def counted(*args):
+        rows = real(*args)
+        seen.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(linededup, "broadcast_if_small", lambda df, *a: df)
+    monkeypatch.setattr(linededup, "_sent", counted)
+    lost = [r["doc_id"] for r in linededup.lines(table).filter("not kept").collect()]
+    assert lost == [301] and 2 <= seen[0] <= 10

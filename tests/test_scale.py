@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from cinelens import session
 from cinelens.config import ModelParams, TfidfParams
 from cinelens.functions import text
 from cinelens.operators import factorize, features, prepare, profiling
@@ -123,6 +124,17 @@ def test_stored_tables(spark):
         spark.read.parquet(path).count()
 
 
+def test_shuffle_files_of_stored_tables_go(spark):
+    ensure_checkpoint_dir(spark)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if f.startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(session.SHUFFLE_CLEANUP)
+    df = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert not files() - before and df.count() == 7
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == setting
+    release(df)
+
+
 def test_genre_pattern_quotes_names(spark):
     df = spark.createDataFrame([("A.B",), ("AxB",), ("a.b|C(D",)], "genres string")
     bad = profiling.malformed_genres(df, ["A.B", "C(D"]).collect()
