@@ -7,6 +7,7 @@ import corpus_pipeline
 from cinelens.llm import jaccard, linededup, packing, toxicity
 from cinelens.llm.common import fold
 
+from .fixtures import docs
 from .test_near_copies import brute
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +47,18 @@ def test_run_and_empty_tables(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_no_shuffle_files_of_a_stage_beside_the_next(spark, tmp_path, monkeypatch):
+    docs(spark, [(i, f"line {i}") for i in range(20)]).write.parquet(f"{tmp_path}/documents.parquet")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if f.startswith("shuffle_")}
+    before, seen = files(), []
+
+    def dealt(spark, table, sf_dir):
+        seen.append(files() - before)
+        return table.repartition("doc_id")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(k), dealt) for k in range(3)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 20
+    assert seen == [set()] * 3
